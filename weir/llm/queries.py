@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from weir.llm import simhash
+from weir.llm import language, simhash
 
 QUERIES = {
+    "op5_language": language.op5_language,
     "op9_simhash": simhash.op9_simhash,
 }
 
