@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from weir.llm import language, simhash
+from weir.llm import language, secrets, simhash
 
 QUERIES = {
+    "op1_secrets": secrets.op1_secrets,
     "op5_language": language.op5_language,
     "op9_simhash": simhash.op9_simhash,
 }
