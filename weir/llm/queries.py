@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from weir.llm import language, secrets, simhash
+from weir.llm import language, mixing, secrets, simhash
 
 QUERIES = {
+    "op4_mixing": mixing.op4_mixing,
     "op1_secrets": secrets.op1_secrets,
     "op5_language": language.op5_language,
     "op9_simhash": simhash.op9_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_mixing": mixing.OP4_SQL,
+}
