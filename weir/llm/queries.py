@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from weir.llm import language, mixing, secrets, simhash
+from weir.llm import language, mixing, pieces, secrets, simhash
 
 QUERIES = {
+    "op2_pieces": pieces.op2_pieces,
     "op4_mixing": mixing.op4_mixing,
     "op1_secrets": secrets.op1_secrets,
     "op5_language": language.op5_language,
