@@ -211,14 +211,22 @@ def identify(df: DataFrame, parser: CrossParser, id_col: str = "doc_id", text_co
         for batch in batches:
             for at in range(0, batch.num_rows, 1_000):
                 part = batch.slice(at, 1_000)
-                names, score = shipped.value.predict(part.column(len(keep)).to_pylist())
+                names, score = shipped.value.predict(part.column(at_text).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), pa.array(names, pa.string()), pa.array(score)], names=[f"c{i}" for i in range(len(keep) + 2)])
 
-    plain = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], F.col(text_col).alias(f"c{len(keep)}"))
+    at_text = keep.index(text_col) if text_col in keep else len(keep)
+    plain = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep if text_col in keep else [*keep, text_col])])
     schema = ", ".join([f"c{i} {plain.schema[i].dataType.simpleString()}" for i in range(len(keep))] + [f"c{len(keep)} string", f"c{len(keep) + 1} double"])
     return plain.mapInArrow(run, schema).toDF(*keep, "lang_pred", "score")
 
 
+def known_languages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", least: float = 0.0) -> DataFrame:
+    """The rows of df whose language is found with a score of `least` or more, with all their columns; a null label becomes
+    the language found. Rows that are `und` go."""
+    found = identify(df, train(df, id_col, text_col, label_col), id_col, text_col, df.columns).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return found.withColumn(label_col, F.coalesce(label_col, "lang_pred")).select(*df.columns)
+
+
 def op5_language(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return identify(docs, train(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

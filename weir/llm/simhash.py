@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm.components import components
-from weir.llm.shared import staged
+from weir.llm.shared import small, staged
 
 SEED = 42
 #: Fingerprints of one leaf of the index, children of a node, and words hashed at a time.
@@ -43,16 +43,18 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(id_col, fp long) for every row; a text that is null or has no word has 0."""
+def fingerprints(df: DataFrame, keep: list[str], text_col: str = "text", shingle: int = 3, out: str = "fp") -> DataFrame:
+    """The columns `keep` and `out`, a signed long, for every row; a text that is null or has no word has 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.fromiter((fingerprint(x.as_py(), shingle) for x in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=[id_col, "fp"])
+            fps = np.fromiter((fingerprint(x.as_py(), shingle) for x in batch.column(at)), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(fps.view(np.int64))], names=[f"c{i}" for i in range(len(keep) + 1)])
 
-    kind = dict(df.dtypes)[id_col]
-    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, fp long")
+    at = keep.index(text_col) if text_col in keep else len(keep)
+    plain = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep if text_col in keep else [*keep, text_col])])
+    schema = ", ".join([f"c{i} {plain.schema[i].dataType.simpleString()}" for i in range(len(keep))] + [f"c{len(keep)} long"])
+    return plain.mapInArrow(run, schema).toDF(*keep, out)
 
 
 def gray_rank(fp):
@@ -225,7 +227,7 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     and blank texts have fingerprint 0 and link like any other. Rows with a null id take part and never give their id: it is
     null where no row reached has one. Repeated rows are kept. An empty table gives an empty one.
     """
-    rows = staged(fingerprints(df, id_col, text_col, shingle), "fingerprints")
+    rows = staged(fingerprints(df, [id_col], text_col, shingle), "fingerprints")
     distinct = staged(rows.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct")
     roots = components(links(distinct, radius, group_limit)).withColumnRenamed("node", "fp")
     joined = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked"))
@@ -235,6 +237,22 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return rows.join(of, "fp").select(id_col, "fp", "component_id")
 
 
+def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """df with one row of each group of near-duplicates: that with the least id; of rows that repeat an id, any one. Rows with
+    a null id stay only where their group has no other, one for each fingerprint. All columns stay as they are."""
+    groups = staged(near_components(df, id_col, text_col, **options), "groups")
+    gone = staged(groups.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "gone")
+    kept = df.where(F.col(id_col).isNotNull()).join(small(gone), id_col, "left_anti").select(*df.columns)
+    repeated = staged(groups.groupBy(id_col).agg(F.count("*").alias("n")).where(f"n > 1 and `{id_col}` is not null").select(id_col), "repeated")
+    if not repeated.isEmpty():
+        kept = kept.join(repeated, id_col, "left_anti").select(*df.columns).unionByName(kept.join(repeated, id_col, "left_semi").select(*df.columns).dropDuplicates([id_col]))
+    nameless = groups.where(F.col(id_col).isNull() & F.col("component_id").isNull()).select(F.col("fp").alias("__alone")).distinct()
+    if not groups.where(F.col(id_col).isNull()).isEmpty():
+        found = fingerprints(df.where(F.col(id_col).isNull()), df.columns, text_col, options.get("shingle", 3), "__fp")
+        kept = kept.unionByName(found.join(nameless, F.col("__fp") == F.col("__alone"), "left_semi").dropDuplicates(["__fp"]).select(*df.columns))
+    return kept
+
+
 def op9_simhash(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = near_components(docs)
