@@ -9,7 +9,7 @@ pass the radius. Each group returns the links as stars, and components() joins t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -28,21 +28,33 @@ LEAF, FAN, SLICE = 32, 8, 100_000
 GROUP_LIMIT = 16_384
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """The unsigned 64-bit fingerprint of one text."""
+def _hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """The hashes of all shingles of a text, a slice at a time: of its words, or of the whole sequence if it has fewer."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
-    n, ones = max(1, len(words) - shingle + 1), np.zeros(64, np.int64)
+        return
+    n = max(1, len(words) - shingle + 1)
     for at in range(0, n, SLICE):
         part = words[at : min(at + SLICE, n) + shingle - 1]
         runs = zip(*(part[i:] for i in range(shingle)), strict=False) if len(words) >= shingle else [words]
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, runs), repeat(SEED)), np.uint64)
+        yield np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, runs), repeat(SEED)), np.uint64)
+
+
+def _bits(slices: list[np.ndarray] | Iterator[np.ndarray]) -> int:
+    """The majority of each bit of the hashes."""
+    n, ones = 0, np.zeros(64, np.int64)
+    for hashes in slices:
+        n += len(hashes)
         bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """The unsigned 64-bit fingerprint of one text."""
+    return _bits(_hashes(text, shingle))
+
+
 def fingerprints(df: DataFrame, keep: list[str], text_col: str = "text", shingle: int = 3, out: str = "fp") -> DataFrame:
     """The columns `keep` and `out`, a signed long, for every row; a text that is null or has no word has 0."""
 
@@ -79,10 +91,10 @@ def _merge(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
             root[:] = to
 
 
-def tree_join(fps: np.ndarray, radius: int = 2, root: np.ndarray | None = None) -> np.ndarray:
-    """For distinct fingerprints in Gray order, the pointer of each to the least position that links reach."""
+def tree_pairs(fps: np.ndarray, radius: int, visit: Callable[[np.ndarray, np.ndarray], None]) -> None:
+    """Calls visit(i, j) with all places i < j whose fingerprints differ in `radius` bits at most, some at a time. fps: in
+    Gray order."""
     n = len(fps)
-    root = np.arange(n) if root is None else root
     levels = []
     starts = np.arange(0, n, LEAF)
     all_, any_ = np.bitwise_and.reduceat(fps, starts), np.bitwise_or.reduceat(fps, starts)
@@ -101,7 +113,7 @@ def tree_join(fps: np.ndarray, radius: int = 2, root: np.ndarray | None = None)
             ok = (i < j) & (j < n)
             i, j = i[ok], j[ok]
             near = np.bitwise_count(fps[i] ^ fps[j]) <= radius
-            _merge(root, i[near], j[near])
+            visit(i[near], j[near])
 
     def down(level: int, u: np.ndarray, v: np.ndarray, seen: np.ndarray, gone: np.ndarray) -> None:
         """seen: the bits compared so far of each pair of nodes; gone: the differences on them."""
@@ -121,8 +133,15 @@ def tree_join(fps: np.ndarray, radius: int = 2, root: np.ndarray | None = None)
             ok = (cu <= cv) & (cv < below)
             down(level - 1, cu[ok], cv[ok], seen[s][more[ok]], gone[s][more[ok]])
 
-    zero = np.zeros(1, np.int64)
-    down(len(levels) - 1, zero, zero, np.zeros(1, np.uint64), zero)
+    if n:
+        zero = np.zeros(1, np.int64)
+        down(len(levels) - 1, zero, zero, np.zeros(1, np.uint64), zero)
+
+
+def tree_join(fps: np.ndarray, radius: int = 2) -> np.ndarray:
+    """For distinct fingerprints in Gray order, the pointer of each to the least place that links reach."""
+    root = np.arange(len(fps))
+    tree_pairs(fps, radius, lambda i, j: _merge(root, i, j))
     return root
 
 
@@ -220,40 +239,209 @@ def links(distinct: DataFrame, radius: int = 2, group_limit: int = GROUP_LIMIT)
     return found if found is not None else spark.createDataFrame([], "a long, b long")
 
 
+def _spread(rows: DataFrame, id_col: str, edges: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(id_col, node, component_id) of rows (id_col, node), a staged table, by the edges between distinct nodes."""
+    distinct = staged(rows.groupBy("node").agg(F.min(id_col).alias("least")), "distinct")
+    roots = components(edges(distinct))
+    linked = staged(distinct.join(roots, "node", "left").select("node", "least", "root"), "roots")
+    groups = linked.where("root is not null").groupBy("root").agg(F.min("least").alias("component_id"))
+    of = linked.where("root is not null").join(groups, "root").select("node", "component_id").unionByName(linked.where("root is null").select("node", F.col("least").alias("component_id")))
+    return rows.join(of, "node").select(id_col, "node", "component_id")
+
+
 def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """(id_col, fp long, component_id) for every row of df, which needs no other columns than the two named.
+    """(id_col, node, component_id) for every row of df, which needs no other columns than the two named; node is the
+    fingerprint, a signed long.
 
     component_id is the least id among the rows whose fingerprints can be reached by links, the row itself included. Null
     and blank texts have fingerprint 0 and link like any other. Rows with a null id take part and never give their id: it is
     null where no row reached has one. Repeated rows are kept. An empty table gives an empty one.
     """
-    rows = staged(fingerprints(df, [id_col], text_col, shingle), "fingerprints")
-    distinct = staged(rows.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct")
-    roots = components(links(distinct, radius, group_limit)).withColumnRenamed("node", "fp")
-    joined = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked"))
-    linked = staged(joined, "roots")
-    groups = linked.where("linked").groupBy("root").agg(F.min("least").alias("component_id"))
-    of = linked.where("linked").join(groups, "root").select("fp", "component_id").unionByName(linked.where("not linked").select("fp", F.col("least").alias("component_id")))
-    return rows.join(of, "fp").select(id_col, "fp", "component_id")
-
-
-def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """df with one row of each group of near-duplicates: that with the least id; of rows that repeat an id, any one. Rows with
-    a null id stay only where their group has no other, one for each fingerprint. All columns stay as they are."""
-    groups = staged(near_components(df, id_col, text_col, **options), "groups")
+    rows = staged(fingerprints(df, [id_col], text_col, shingle, "node"), "fingerprints")
+    return _spread(rows, id_col, lambda x: links(x.select(F.col("node").alias("fp")), radius, group_limit))
+
+
+# Near-duplicates by the share of common shingles. Copies that share four fifths of their shingles differ in 4 to 14 of 64
+# bits, too many for blocks of equal bits; so rows are dealt by bands of least hashes instead, and the index then works
+# within a band with a wide radius, before an exact test.
+
+#: Bands, least hashes of each, and bits in which fingerprints may differ before the exact test.
+BANDS, ROWS, WIDE = 14, 3, 20
+#: Of the least hashes, the share that must agree before the exact test; pairs of a row that are tested in one round; rows
+#: of a band that meet at a time, the half of them again with those that follow in Gray order.
+AGREE, TESTS, MEET = 0.6, 4, 4_096
+_MIX = np.random.default_rng(SEED).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def sketch(text: str | None, shingle: int) -> tuple[int, np.ndarray, bytes]:
+    """(fingerprint, keys of the bands, one byte of each least hash)."""
+    least, parts = np.full(len(_MIX), np.iinfo(np.uint64).max), []
+    for hashes in _hashes(text, shingle):
+        parts.append(hashes)
+        for at in range(0, len(hashes), 4_096):
+            part = hashes[at : at + 4_096, None] * _MIX
+            np.minimum(least, (part ^ (part >> np.uint64(32))).min(axis=0), out=least)
+    bands = least.reshape(BANDS, ROWS)
+    keys = np.array([xxhash.xxh64_intdigest(bands[i].tobytes(), i) for i in range(BANDS)], np.uint64)
+    return _bits(parts), keys.view(np.int64), (least >> np.uint64(24)).astype(np.uint8).tobytes()
+
+
+def _node(text_col: str):
+    """What stands for a text: a hash of 64 bits, so that equal texts are one."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def sketches(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
+    """(node, fp, keys, sketch) for every distinct text of df."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sketch(x.as_py(), shingle) for x in batch.column(1)]
+            fps = pa.array(np.fromiter((f[0] for f in found), np.uint64, len(found)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), fps, pa.array([f[1] for f in found], pa.list_(pa.int64())), pa.array([f[2] for f in found], pa.binary())], names=["node", "fp", "keys", "sketch"])
+
+    return df.select(_node(text_col).alias("node"), text_col).mapInArrow(run, "node long, fp long, keys array<long>, sketch binary").dropDuplicates(["node"])
+
+
+def shingle_sets(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
+    """(node, hashes) of rows (node, text): the distinct hashes of each text's shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(np.concatenate([np.empty(0, np.uint64), *_hashes(x.as_py(), shingle)])).view(np.int64) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "hashes"])
+
+    return df.select("node", text_col).mapInArrow(run, "node long, hashes array<long>")
+
+
+def _to_test(turn: int):
+    """From rows (k, node, fp, sketch, root) by k and Gray rank: (a, b, null) pairs of unlike roots to test in this turn, and
+    (null, null, k) for each k that has pairs left for a later one. Each turn tests twice as many pairs of a row."""
+    low, high = TESTS * (2**turn - 1), TESTS * (2 ** (turn + 1) - 1)
+
+    def meet(k: int, nodes: np.ndarray, fps: np.ndarray, marks: np.ndarray, roots: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+        """A row's candidates stand in a fixed order, those first that are like it and like many others, such as the text that
+        copies were made of. Each turn takes the next of them; those of its own root fall out."""
+        got = []
+
+        def visit(i: np.ndarray, j: np.ndarray) -> None:
+            for at in range(0, len(i), 100_000):
+                x, y = i[at : at + 100_000], j[at : at + 100_000]
+                same = (marks[x] == marks[y]).sum(axis=1)
+                ok = same >= AGREE * marks.shape[1]
+                got.append((x[ok], y[ok], same[ok]))
+
+        tree_pairs(fps, WIDE, visit)
+        i, j, same = (np.concatenate(x) for x in zip(*got, strict=True)) if got else (np.empty(0, int),) * 3
+        own, other, like = np.r_[i, j], np.r_[j, i], np.r_[same, same]
+        liked = np.bincount(other, like, len(nodes)) / len(nodes)
+        order = np.lexsort((nodes[other], -like - liked[other], own))
+        own, other = own[order], other[order]
+        place = np.arange(len(own)) - np.searchsorted(own, own)
+        apart = roots[own] != roots[other]
+        now = apart & (place >= low) & (place < high)
+        return nodes[own[now]], nodes[other[now]], bool((apart & (place >= high)).any())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(parts: list, more: list) -> pa.RecordBatch:
+            a, b = (np.concatenate([p[i] for p in parts] or [np.empty(0, np.int64)]) for i in (0, 1))
+            first, second = np.minimum(a, b), np.maximum(a, b)
+            none = [None] * len(more)
+            return pa.RecordBatch.from_arrays([pa.array([*first.tolist(), *none], pa.int64()), pa.array([*second.tolist(), *none], pa.int64()), pa.array([*[None] * len(a), *more], pa.int64())], names=["a", "b", "more"])
+
+        held: list[np.ndarray] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 4)]
+            cols[2] = cols[2].view(np.uint64)
+            cols.append(np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(batch.num_rows, -1))
+            held = [np.concatenate(x) for x in zip(held, cols, strict=True)] if held else cols
+            parts, more = [], []
+            starts = np.flatnonzero(np.r_[True, held[0][1:] != held[0][:-1]])
+            for s, e in zip(starts, [*starts[1:], None], strict=True):
+                while True:
+                    n = (len(held[0]) if e is None else e) - s
+                    if e is None and n < MEET or n < 2:
+                        break
+                    k, nodes, fps, roots, marks = (x[s : s + MEET] if n > MEET else x[s:e] for x in held)
+                    a, b, left = meet(k[0], nodes, fps, marks, roots)
+                    parts.append((a, b))
+                    if left:
+                        more.append(int(k[0]))
+                    if n <= MEET:
+                        s = s + n if e is not None else s + n // 2
+                        break
+                    s += MEET // 2
+                last = s
+            held = [x[last:] for x in held]
+            yield out(parts, more)
+        if held and len(held[0]) > 1:
+            k, nodes, fps, roots, marks = held
+            a, b, left = meet(k[0], nodes, fps, marks, roots)
+            yield out([(a, b)], [int(k[0])] if left else [])
+
+    return run
+
+
+def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id_col, node, component_id) like near_components, where texts link if the sets of their shingles have a Jaccard
+    similarity of `similarity` or more; node is a hash of the words. Each link is tested exactly on whole sets.
+
+    Texts that should link share a band's key but for 4 of 100,000 at 0.8. A text's candidates are tested a few at a time,
+    the likeliest first, and those that links have joined meanwhile need no test, so a group of copies isn't expanded into
+    pairs. Rounds go on until no pair is left.
+    """
+    rows = staged(df.select(id_col, _node(text_col).alias("node")), "nodes")
+    one = staged(sketches(df, text_col, shingle), "sketches")
+
+    def edges(_: DataFrame) -> DataFrame:
+        dealt = one.select("node", "fp", "sketch", F.explode("keys").alias("k"))
+        shared = staged(dealt.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k"), "bands")
+        todo = staged(dealt.join(shared, "k", "left_semi"), "dealt")
+        found, sets, turn = None, None, 0
+        while True:
+            rooted = todo.withColumn("root", F.col("node"))
+            if found is not None:
+                roots = staged(components(found), "so-far")
+                rooted = todo.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            ordered = rooted.select("k", "node", "fp", "sketch", "root").repartition("k").sortWithinPartitions("k", _gray(F.col("fp")), "node")
+            out = staged(ordered.mapInArrow(_to_test(turn), "a long, b long, more long"), "candidates")
+            pairs = staged(out.where("a is not null").select("a", "b").distinct(), "pairs")
+            if sets is None:
+                needed = staged(todo.select("node").distinct(), "needed")
+                texts = df.select(_node(text_col).alias("node"), text_col).join(small(needed), "node", "left_semi").dropDuplicates(["node"])
+                sets = staged(shingle_sets(texts, text_col, shingle), "sets")
+            left, right = (sets.select(F.col("node").alias(c), F.col("hashes").alias(f"{c}s")) for c in "ab")
+            both = F.size(F.array_intersect("as", "bs"))
+            passed = pairs.join(left, "a").join(right, "b").where(both >= F.lit(similarity) * (F.size("as") + F.size("bs") - both)).select("a", "b")
+            found = staged(passed if found is None else found.unionByName(passed), "found")
+            again = staged(out.where("more is not null").select(F.col("more").alias("k")).distinct(), "again")
+            if again.isEmpty():
+                return found
+            todo, turn = staged(todo.join(again, "k", "left_semi"), "todo"), turn + 1
+
+    return _spread(rows, id_col, edges)
+
+
+def representatives(df: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """df with one row of each of `groups`, which similar_components has found in df: that with the least id; of rows that
+    repeat an id, any one. Rows with a null id stay only where their group has no other, one for each text. All columns
+    stay as they are."""
+    groups = staged(groups, "groups")
     gone = staged(groups.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "gone")
     kept = df.where(F.col(id_col).isNotNull()).join(small(gone), id_col, "left_anti").select(*df.columns)
     repeated = staged(groups.groupBy(id_col).agg(F.count("*").alias("n")).where(f"n > 1 and `{id_col}` is not null").select(id_col), "repeated")
     if not repeated.isEmpty():
         kept = kept.join(repeated, id_col, "left_anti").select(*df.columns).unionByName(kept.join(repeated, id_col, "left_semi").select(*df.columns).dropDuplicates([id_col]))
-    nameless = groups.where(F.col(id_col).isNull() & F.col("component_id").isNull()).select(F.col("fp").alias("__alone")).distinct()
     if not groups.where(F.col(id_col).isNull()).isEmpty():
-        found = fingerprints(df.where(F.col(id_col).isNull()), df.columns, text_col, options.get("shingle", 3), "__fp")
-        kept = kept.unionByName(found.join(nameless, F.col("__fp") == F.col("__alone"), "left_semi").dropDuplicates(["__fp"]).select(*df.columns))
+        named = groups.where(F.col("component_id").isNotNull()).select("node").distinct()
+        alone = df.where(F.col(id_col).isNull()).withColumn("__node", _node(text_col)).join(named, F.col("__node") == F.col("node"), "left_anti")
+        kept = kept.unionByName(alone.dropDuplicates(["__node"]).select(*df.columns))
     return kept
 
 
 def op9_simhash(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = near_components(docs)
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component_id").cast("long").alias("component_id"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), F.col("component_id").cast("long").alias("component_id"))
