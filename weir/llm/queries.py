@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from weir.llm import language, mixing, pieces, secrets, simhash
+from weir.llm import language, mixing, pieces, secrets, simhash, topk
 
 QUERIES = {
+    "op3_topk": topk.op3_topk,
     "op2_pieces": pieces.op2_pieces,
     "op4_mixing": mixing.op4_mixing,
     "op1_secrets": secrets.op1_secrets,
@@ -13,5 +14,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_topk": topk.OP3_SQL,
     "op4_mixing": mixing.OP4_SQL,
 }
