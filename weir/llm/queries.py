@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from weir.llm import language, mixing, pieces, secrets, simhash, topk
+from weir.llm import chat, language, mixing, pieces, secrets, sharding, simhash, topk, urls
 
 QUERIES = {
+    "op6_sharding": sharding.op6_sharding,
+    "op7_urls": urls.op7_urls,
+    "op8_chat": chat.op8_chat,
     "op3_topk": topk.op3_topk,
     "op2_pieces": pieces.op2_pieces,
     "op4_mixing": mixing.op4_mixing,
@@ -14,6 +17,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op8_chat": chat.OP8_SQL,
     "op3_topk": topk.OP3_SQL,
     "op4_mixing": mixing.OP4_SQL,
 }
