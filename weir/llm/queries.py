@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from weir.llm import chat, language, mixing, pieces, secrets, sharding, simhash, topk, urls
+from weir.llm import chat, language, mixing, pieces, quality, secrets, sharding, simhash, topk, urls
 
 QUERIES = {
+    "op10_quality": quality.op10_quality,
     "op6_sharding": sharding.op6_sharding,
     "op7_urls": urls.op7_urls,
     "op8_chat": chat.op8_chat,
