@@ -88,7 +88,7 @@ def merge(challenges: DataFrame, pos: str = "input_pos") -> tuple[DataFrame, Dat
         "__pos": F.col("__first"),
     }
     out = joined.withColumns(changed).drop(pos).withColumnRenamed("__pos", pos).select(*challenges.columns)
-    pairs = of.join(canonical.select("__cluster", F.col("id").alias("duplicate_of")), "__cluster").where(F.col("id") != F.col("duplicate_of")).select("id", "duplicate_of")
+    pairs = of.select("__cluster", "id").join(canonical.select("__cluster", F.col("id").alias("duplicate_of")), "__cluster").where(F.col("id") != F.col("duplicate_of")).select("id", "duplicate_of")
     return out, pairs
 
 

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weir import schema
 from weir.operators import catalog, discovery
@@ -77,7 +78,8 @@ def pending(repos: DataFrame, manifest: DataFrame) -> DataFrame:
 
 def sized(repos: DataFrame, candidates: DataFrame, max_mb: int) -> DataFrame:
     """repos with size_kb, the first that candidates tell, and too_big; an unknown size passes."""
-    sizes = candidates.groupBy(F.col("full_name").alias("repo")).agg(F.min_by("size_kb", F.monotonically_increasing_id()).alias("size_kb"))
+    placed = candidates.select(F.col("full_name").alias("repo"), "size_kb", F.monotonically_increasing_id().alias("at"))
+    sizes = placed.groupBy("repo").agg(F.min_by("size_kb", "at").alias("size_kb"))
     return repos.join(sizes, "repo", "left").withColumn("too_big", F.coalesce(F.col("size_kb") > max_mb * 1_024, F.lit(False)))
 
 
@@ -95,4 +97,4 @@ def flushes(results: DataFrame, batch_size: int = 50, max_mb: int = 8_000, pos:
         n, size = n + 1, size + (r["bytes"] or 0)
         if n >= batch_size or size >= max_mb * 1_000_000:
             batch, n, size = batch + 1, 0, 0
-    return results.sparkSession.createDataFrame(out, results.schema.add("batch", "int"))
+    return results.sparkSession.createDataFrame(out, T.StructType([*results.schema, T.StructField("batch", T.IntegerType())]))

@@ -32,16 +32,16 @@ def _fields(*parts: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in parts])
 
 
-_s, _i, _b, _strings = T.StringType(), T.IntegerType(), T.BooleanType(), T.ArrayType(T.StringType(), False)
+_s, _i, _b, _strings = T.StringType(), T.IntegerType(), T.BooleanType(), T.ArrayType(T.StringType())
 CHALLENGE = _fields(
     ("id", _s), ("title", _s), ("slug", _s), ("event", EVENT), ("event_name", _s), ("year", _i), ("category", _s), ("raw_category", _s), ("tags", _strings), ("difficulty", _s),
-    ("points", _i), ("description", _s), ("flag", _s), ("flag_format", _s), ("has_source", _b), ("files", T.ArrayType(FILE, False)), ("solve_languages", _strings), ("docker", _b),
-    ("writeups", T.ArrayType(WRITEUP, False)), ("sources", T.ArrayType(SOURCE, False)), ("license", LICENSE), ("content_fingerprint", _s), ("duplicate_of", _s), ("corpus_path", _s),
+    ("points", _i), ("description", _s), ("flag", _s), ("flag_format", _s), ("has_source", _b), ("files", T.ArrayType(FILE)), ("solve_languages", _strings), ("docker", _b),
+    ("writeups", T.ArrayType(WRITEUP)), ("sources", T.ArrayType(SOURCE)), ("license", LICENSE), ("content_fingerprint", _s), ("duplicate_of", _s), ("corpus_path", _s),
     ("ingested_at", T.TimestampType()), ("schema_version", _i),
 )
 RAW = _fields(
     ("origin", _s), ("title", _s), ("event_name", _s), ("edition", _s), ("year", _i), ("raw_category", _s), ("tags", _strings), ("difficulty", _s), ("points", _i), ("description", _s),
-    ("flag", _s), ("local_dir", _s), ("files", T.ArrayType(FILE, False)), ("writeups", T.ArrayType(WRITEUP, False)), ("source", SOURCE), ("extra", _s),
+    ("flag", _s), ("local_dir", _s), ("files", T.ArrayType(FILE)), ("writeups", T.ArrayType(WRITEUP)), ("source", SOURCE), ("extra", _s),
 )
 CANDIDATE = _fields(
     ("full_name", _s), ("html_url", _s), ("stars", _i), ("pushed_at", T.TimestampType()), ("created_at", T.TimestampType()), ("topics", _strings), ("description", _s),

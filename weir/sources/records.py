@@ -78,7 +78,8 @@ def discovered_seeds(seeds: DataFrame, candidates: DataFrame, only: list[str] |
     extra = candidates.where(F.col("size_kb") <= max_mb * 1_024).join(seeds.select(F.col("repo").alias("full_name")), "full_name", "left_anti")
     if only is not None:
         extra = extra.where(F.col("full_name").isin(only))
-    first = extra.groupBy("full_name").agg(F.min_by("kind", F.monotonically_increasing_id()).alias("kind"), F.min(F.monotonically_increasing_id()).alias("at"))
+    placed = extra.select("full_name", "kind", F.monotonically_increasing_id().alias("at"))
+    first = placed.groupBy("full_name").agg(F.min_by("kind", "at").alias("kind"), F.min("at").alias("at"))
     place = F.lit(1 << 20) + F.row_number().over(Window.orderBy("at"))
     made = first.select(
         place.cast("int").alias("pos"), F.lit("discovered").alias("section"), F.col("full_name").alias("repo"), "kind", F.lit(None).cast("string").alias("license"), F.lit(False).alias("official"),
