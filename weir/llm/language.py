@@ -101,7 +101,7 @@ class CrossParser:
             table = np.zeros((len(states), self.width), np.int64)
             first = np.array([states[0].get(c, 0) for c in range(self.width)], np.int64)
             table[:] = ~(base + first * self.width)
-            for s, moves in enumerate(states):
+            for s, moves in enumerate(states[1:], 1):  # the start has none: what comes there begins a phrase
                 for c, to in moves.items():
                     table[s, c] = base + to * self.width
             tables.append(table.ravel())
@@ -136,7 +136,7 @@ class CrossParser:
         for at in range(0, len(order), LANES):
             lanes = order[at : at + LANES]
             state = np.repeat(np.array(self.starts, self.step.dtype)[:, None], len(lanes), axis=1)
-            got = np.ones(state.shape, np.int32)  # each block begins a phrase
+            got = np.zeros(state.shape, np.int32)
             live, where = size[lanes], start[lanes]
             for i in range(int(live[0])):
                 n = int(np.searchsorted(-live, -i, side="left"))
