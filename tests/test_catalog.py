@@ -15,7 +15,7 @@ from weir.plans import ingest
 from weir.sinks import catalog as sink
 from weir.sinks import corpus
 from weir.sources import records
-from weir.sources.trees import read_tree
+from weir.sources.trees import TREE, read_tree
 
 
 def model(rows):
@@ -62,7 +62,8 @@ def test_tree_walk_and_corpus(spark, tmp_path):
         (root / name).parent.mkdir(parents=True, exist_ok=True)
         (root / name).write_text(body)
     os.symlink("/etc/passwd", root / "2021/Cup/pwn/baby/leak.py")
-    tree = read_tree(spark, str(tmp_path / "repos"), checkouts="true", heads="license,licence,copying,unlicense,challenge.json").cache()
+    tree = read_tree(spark, str(tmp_path / "repos"), checkouts="true", heads="license,licence,copying,unlicense,challenge.json")
+    tree = spark.createDataFrame(tree.collect(), TREE)
     listed = {r["path"]: r for r in tree.where("not is_dir").collect()}
     assert set(listed) == set(files) - {".git/config"}
     assert listed["tool.py"]["sha256"] == hashlib.sha256(b"t").hexdigest()

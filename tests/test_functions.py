@@ -49,8 +49,8 @@ def test_licenses(spark):
 
 def test_derive(spark):
     def of(path, name=None, category=None):
-        cols = paths.derive(F.split(F.lit(path), "/"), F.lit(name).cast("string"), F.lit(category).cast("string"))
-        return tuple(spark.range(1).select(*[c.alias(k) for k, c in cols.items()]).first())
+        df = spark.range(1).select(F.split(F.lit(path), "/").alias("s"), F.lit(name).cast("string").alias("n"), F.lit(category).cast("string").alias("c"))
+        return tuple(paths.derive(df, "s", "n", "c").drop("s", "n", "c").first())
 
     assert of("CTFs/HITCON/2021/Quals/pwn/baby") == ("baby", "HITCON", "Quals", 2021, "pwn")
     assert of("2017/finals/2017-finals-crypto-bender") == ("2017-finals-crypto-bender", None, "finals", 2017, "crypto")

@@ -67,9 +67,11 @@ def spdx_of_text(text: Column) -> Column:
 def from_text(text: Column, source_file: Column | None = None) -> Column:
     """The license that a license file's text names."""
     none = F.lit(None).cast("string")
-    file, spdx = none if source_file is None else source_file, spdx_of_text(text)
+    file = none if source_file is None else source_file
     blank = text.isNull() | ~text.rlike(r"\S")
-    return F.when(blank, unknown()).when(spdx.isNotNull(), _info(spdx, F.lit(TEXT_CONFIDENCE), file, none)).otherwise(unknown(F.lit(UNRECOGNIZED), file))
+    # the chain of markers stands once in the plan; what follows names its value
+    named = F.transform(F.array(spdx_of_text(text)), lambda s: F.when(s.isNotNull(), _info(s, F.lit(TEXT_CONFIDENCE), file, none)).otherwise(unknown(F.lit(UNRECOGNIZED), file)))
+    return F.when(blank, unknown()).otherwise(F.get(named, F.lit(0)))
 
 
 def is_license_file(path: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weir.functions.text import CATEGORY_LABELS, category, suffix
@@ -95,22 +95,31 @@ def _index(array: Column, holds, last: bool = False) -> Column:
     return F.try_element_at(places, F.lit(-1 if last else 1))
 
 
-def derive(segments: Column, meta_name: Column, meta_category: Column) -> dict[str, Column]:
-    """title, event_name, edition, year and raw_category of a challenge directory's path segments. What the directory's own
-    metadata names goes first; of the ancestors, the first year, the last edition and the last category count, and the
-    event is the first segment that is neither of them nor a wrapper."""
-    ancestors = F.slice(segments, F.lit(1), F.greatest(F.size(segments) - 1, F.lit(0)))
-    leaf = F.try_element_at(segments, F.lit(-1))
-    at_year, at_edition = _index(ancestors, lambda s: year_of(s).isNotNull()), _index(ancestors, lambda s: F.lower(s).isin(EDITIONS), last=True)
-    at_category = _index(ancestors, lambda s: category(s) != "unknown", last=True)
-    used = lambda i: F.coalesce(i == at_year, F.lit(False)) | F.coalesce(i == at_edition, F.lit(False)) | F.coalesce(i == at_category, F.lit(False))
-    rest = F.filter(F.transform(ancestors, lambda s, i: F.when(~used(i) & ~F.lower(s).isin(WRAPPERS), s)), lambda s: s.isNotNull())
-    return {
-        "title": F.coalesce(F.nullif(meta_name, F.lit("")), leaf, F.lit("unknown")),
-        "event_name": F.try_element_at(rest, F.lit(1)),
-        "edition": F.get(ancestors, at_edition),
-        "year": year_of(F.get(ancestors, at_year)),
-        "raw_category": F.nullif(F.coalesce(meta_category, F.get(ancestors, at_category), category_of_name(leaf)), F.lit("")),
-    }
-
-
+def derive(df: DataFrame, segments: str, meta_name: str, meta_category: str) -> DataFrame:
+    """df with title, event_name, edition, year and raw_category of a challenge directory's path segments. What the
+    directory's own metadata names goes first; of the ancestors, the first year, the last edition and the last category
+    count, and the event is the first segment that is neither of them nor a wrapper.
+
+    The places are columns of their own, so that each is computed once however often it is used.
+    """
+    up = F.slice(segments, F.lit(1), F.greatest(F.size(segments) - 1, F.lit(0)))
+    at = df.withColumn("__up", up).withColumns(
+        {
+            "__year": _index(F.col("__up"), lambda s: year_of(s).isNotNull()),
+            "__edition": _index(F.col("__up"), lambda s: F.lower(s).isin(EDITIONS), last=True),
+            "__category": _index(F.col("__up"), lambda s: category(s) != "unknown", last=True),
+            "__leaf": F.try_element_at(segments, F.lit(-1)),
+        }
+    )
+    used = F.filter(F.array("__year", "__edition", "__category"), lambda i: i.isNotNull())
+    rest = F.filter("__up", lambda s, i: ~F.array_contains(used, i) & ~F.lower(s).isin(WRAPPERS))
+    made = at.withColumns(
+        {
+            "title": F.coalesce(F.nullif(F.col(meta_name), F.lit("")), "__leaf", F.lit("unknown")),
+            "event_name": F.try_element_at(rest, F.lit(1)),
+            "edition": F.get("__up", F.col("__edition")),
+            "year": year_of(F.get("__up", F.col("__year"))),
+            "raw_category": F.nullif(F.coalesce(F.col(meta_category), F.get("__up", F.col("__category")), category_of_name(F.col("__leaf"))), F.lit("")),
+        }
+    )
+    return made.drop("__up", "__year", "__edition", "__category", "__leaf")

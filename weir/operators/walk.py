@@ -30,10 +30,10 @@ def ancestors(path: Column, itself: bool = False) -> Column:
 
 def license_of_trees(tree: DataFrame, declared: DataFrame) -> DataFrame:
     """(tree, license): what is declared (tree, spdx) goes first, then the surest of the root's license files by name."""
-    found = tree.where(~F.col("is_dir") & license.is_license_file(F.col("path"))).select("tree", F.col("path").alias("file"), license.from_text(F.col("head"), F.col("path")).alias("found"))
-    best = found.groupBy("tree").agg(F.min(F.struct((-F.col("found.confidence")).alias("c"), "file", "found")).alias("best"))
+    found = tree.where(~F.col("is_dir") & license.is_license_file(F.col("path"))).select("tree", F.col("path").alias("file"), "head", license.spdx_of_text(F.col("head")).alias("spdx"))
+    best = found.groupBy("tree").agg(F.min(F.struct(F.col("spdx").isNull().alias("c"), "file", "head")).alias("best")).select("tree", license.from_text(F.col("best.head"), F.col("best.file")).alias("found"))
     named = declared.select("tree", F.when(license.from_spdx(F.col("spdx"))["spdx_id"].isNotNull(), license.from_spdx(F.col("spdx"))).alias("declared"))
-    return tree.select("tree").distinct().join(named, "tree", "left").join(best, "tree", "left").select("tree", F.coalesce("declared", "best.found", license.unknown()).alias("license"))
+    return tree.select("tree").distinct().join(named, "tree", "left").join(best, "tree", "left").select("tree", F.coalesce("declared", "found", license.unknown()).alias("license"))
 
 
 def challenge_dirs(tree: DataFrame) -> DataFrame:
@@ -75,7 +75,8 @@ def records(tree: DataFrame, seeds: DataFrame, commits: DataFrame, retrieved_at:
     licensed = license_of_trees(tree, seeds.select(F.col("repo").alias("tree"), F.col("license").alias("spdx"))).withColumnRenamed("tree", "repo").withColumnRenamed("license", "repo_license")
     named = dirs.join(meta, ["repo", "dir"], "left").join(licensed, "repo", "left").join(commits.withColumnRenamed("tree", "repo"), "repo", "left").join(seeds.select("repo", "kind", "official"), "repo", "left")
     segments = F.when(F.col("dir") == "", F.array().cast("array<string>")).otherwise(F.split("dir", "/"))
-    found = paths.derive(segments, F.col("m.name"), F.col("m.category"))
+    named = paths.derive(named.withColumn("__segments", segments), "__segments", "m.name", "m.category")
+    found = {c: F.col(c) for c in ("title", "event_name", "edition", "year", "raw_category")}
     origin, short = paths.origin_of_repo(F.col("repo")), F.element_at(F.split("repo", "/"), -1)
     src = make(
         schema.SOURCE, origin=origin, url=F.concat(F.lit("https://github.com/"), F.col("repo")), repo=F.col("repo"), commit_sha=F.col("commit_sha"),

@@ -289,8 +289,8 @@ def flt_13(spark, sf_dir):
 @query("FLT-14")
 def flt_14(spark, sf_dir):
     rows = [(0, "CTFs/HITCON/2021/Quals/pwn/baby"), (1, "2017/finals/2017-finals-crypto-bender"), (2, "baby"), (3, "web/2020/Event/web-2/x"), (4, "challenges/tasks/thing")]
-    found = paths.derive(F.split("p", "/"), F.lit(None).cast("string"), F.lit(None).cast("string"))
-    return values(spark, rows, "k int, p string").select("k", *[c.alias(n) for n, c in found.items()])
+    df = values(spark, rows, "k int, p string").withColumns({"s": F.split("p", "/"), "n": F.lit(None).cast("string")})
+    return paths.derive(df, "s", "n", "n").drop("s", "n", "p")
 
 
 REPOS = [(0, "google/google-ctf"), (1, "Google/other"), (2, "sajjadium/ctf-archives"), (3, "PwnCollege/x"), (4, "nyu-llm-ctf/d"), (5, "me/ctf-writeups"), (6, "me/write-up"), (7, "me/tasks"), (8, "plain/repo")]
