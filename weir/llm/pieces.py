@@ -16,6 +16,7 @@ stretches between such boundaries are encoded alike wherever they stand, so they
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-#: Entries of a memory before it starts anew, code points that are cut into stretches at a time, and positions between two
+#: Entries of a memory before it becomes the old one, which is forgotten when the next is full; code points that are cut into stretches at a time, and positions between two
 #: looks for a boundary.
-MEMORY, SLICE, LOOK = 400_000, 1 << 20, 64
+MEMORY, SLICE, LOOK = 120_000, 1 << 20, 64
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -48,9 +49,10 @@ class Pieces:
         self.pairs = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.cut_at_space = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.fallback = min(self.score.values(), default=0.0) - 10
-        self._fits: dict[tuple[str, str], bool] = {}
-        self._runs: dict[str, tuple[int, ...]] = {}
-        self._stretches: dict[str, bytes] = {}
+        self._fits: dict[str, dict[str, bool]] = {}
+        self._n_fits = 0
+        self._runs, self._old_runs = {}, {}
+        self._stretches, self._old_stretches = {}, {}
 
     @classmethod
     def load(cls, path: str) -> Pieces:
@@ -68,7 +70,7 @@ class Pieces:
         return cls(rows, model.trainer_spec.model_type == 2, model.normalizer_spec.add_dummy_prefix, model.normalizer_spec.remove_extra_whitespaces, model.trainer_spec.byte_fallback)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_fits": {}, "_runs": {}, "_stretches": {}}
+        return self.__dict__ | {"_fits": {}, "_n_fits": 0, "_runs": {}, "_old_runs": {}, "_stretches": {}, "_old_stretches": {}}
 
     def merged(self, symbols: list[str]) -> list[str]:
         """The symbols after all merges: the best score first, the leftmost of equal ones."""
@@ -86,12 +88,16 @@ class Pieces:
 
     def fits(self, left: str, right: str) -> bool:
         """Whether a piece may follow another ("": the start of the text)."""
-        key = (left, right)
-        known = self._fits.get(key)
+        after = self._fits.get(left)
+        if after is None:
+            after = self._fits[left] = {}
+        known = after.get(right)
         if known is None:
-            if len(self._fits) >= MEMORY:
+            if self._n_fits >= MEMORY:
                 self._fits.clear()
-            known = self._fits[key] = self.merged(list(left + right)) == ([left, right] if left else [right])
+                self._n_fits, after = 0, self._fits.setdefault(left, {})
+            known = after[right] = self.merged(list(left + right)) == ([left, right] if left else [right])
+            self._n_fits += 1
         return known
 
     def path(self, text: str) -> Iterator[str]:
@@ -103,6 +109,8 @@ class Pieces:
 
     def _final(self, start: dict[int, int], piece: dict[int, str], base: int, ends: list[int], upto: int) -> tuple[int, list[str]]:
         """The last boundary that the paths of all `ends` share, and the pieces from base to it; they are forgotten."""
+        if len(ends) == 1 and not start.get(ends[0], 1):
+            return ends[0], [piece[ends[0]]]
         live = set(ends)
         while len(live) > 1:
             far = max(live)
@@ -113,26 +121,30 @@ class Pieces:
         while at > base:
             out.append(piece[at])
             at = start[at]
-        for i in [i for i in start if i <= end]:
-            del start[i], piece[i]
+        if end < upto:
+            for i in [i for i in start if i <= end]:
+                del start[i], piece[i]
         return end, out[::-1]
 
     def _path_bpe(self, text: str) -> Iterator[str]:
         start, piece, base, n = {}, {}, 0, len(text)
-        ids, prefixes, fits, longest = self.ids, self.prefixes, self._fits, self.longest
+        ids, prefixes, longest = self.ids, self.prefixes, self.longest
         before = ""  # the piece that ends at base
         for s in range(n):
             left = before if s == base else piece.get(s)
             if left is None:
                 continue
+            after = self._fits.get(left) or {}
             for e in range(s + 1, min(n, s + longest) + 1):
                 sub = text[s:e]
-                if sub not in prefixes and e > s + 1:
-                    break
                 if sub in ids or e == s + 1:
-                    ok = fits.get((left, sub))
+                    ok = after.get(sub)
                     if ok or ok is None and self.fits(left, sub):
                         start[e], piece[e] = s, sub
+                    if e == s + 1 and sub not in prefixes:
+                        break
+                elif sub not in prefixes:
+                    break
             if s - base >= LOOK and not s % LOOK:
                 end, out = self._final(start, piece, base, [e for e in start if e > s], n)
                 if end > base:
@@ -170,18 +182,20 @@ class Pieces:
         """The ids of a run of characters between two sure boundaries."""
         known = self._runs.get(run)
         if known is None:
-            if (one := self.ids.get(run)) is not None and (not self.bpe or self.fits("", run)) and (self.bpe or len(run) == 1):
+            if (known := self._old_runs.get(run)) is not None:
+                pass
+            elif (one := self.ids.get(run)) is not None and (not self.bpe or self.fits("", run)) and (self.bpe or len(run) == 1):
                 known = (one,)
             else:
                 known = tuple(i for p in self.path(run) for i in self._number(p))
             if len(run) <= 64:
                 if len(self._runs) >= MEMORY:
-                    self._runs.clear()
+                    self._old_runs, self._runs = self._runs, {}
                 self._runs[run] = known
         return known
 
     def _stretch(self, stretch: str) -> bytes:
-        known = self._stretches.get(stretch)
+        known = self._stretches.get(stretch) or self._old_stretches.get(stretch)
         if known is None:
             pairs, runs, at = self.pairs, [], 0
             for i in range(1, len(stretch)):
@@ -189,11 +203,11 @@ class Pieces:
                     runs.append(stretch[at:i])
                     at = i
             runs.append(stretch[at:])
-            known = np.fromiter((i for r in runs for i in self._run(r)), np.int32).tobytes()
-            if len(stretch) <= 64:
-                if len(self._stretches) >= MEMORY:
-                    self._stretches.clear()
-                self._stretches[stretch] = known
+            known = array("i", [i for r in runs for i in self._run(r)]).tobytes()
+        if len(stretch) <= 64:
+            if len(self._stretches) >= MEMORY:
+                self._old_stretches, self._stretches = self._stretches, {}
+            self._stretches[stretch] = known
         return known
 
     def encode_bytes(self, text: str) -> bytes:
@@ -205,14 +219,14 @@ class Pieces:
         text = (SPACE if self.dummy_prefix else "") + text.replace(" ", SPACE)
         if not self.cut_at_space:
             return self._stretch(text)
-        parts, at, known, find = [], 0, self._stretches, STRETCH.findall
+        parts, at, find = [], 0, STRETCH.findall
         while at < len(text):
             end = len(text)
             if end - at > SLICE:  # up to a space that follows something else
                 m = re.compile(f"(?<=[^{SPACE}]){SPACE}").search(text, at + SLICE)
                 end = m.start() if m else end
-            for x in find(text[at:end]):
-                parts.append(known.get(x) or self._stretch(x))
+            known = self._stretches.get
+            parts += [known(x) or self._stretch(x) for x in find(text[at:end])]
             at = end
         return b"".join(parts)
 
@@ -251,8 +265,8 @@ def encode(df: DataFrame, pieces: Pieces, text_col: str = "text", out: str = "id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = shipped.value
         for whole in batches:
-            for k in range(0, whole.num_rows, 512):
-                batch = whole.slice(k, 512)
+            for k in range(0, whole.num_rows, 128):
+                batch = whole.slice(k, 128)
                 texts = batch.column(at).to_pylist()
                 found = [b"" if x is None else one.encode_bytes(x) for x in texts]
                 ends = np.cumsum([0] + [len(x) // 4 for x in found]).astype(np.int32)
@@ -273,8 +287,8 @@ def decode(df: DataFrame, pieces: Pieces, ids_col: str = "ids", out: str = "deco
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = shipped.value
         for whole in batches:
-            for k in range(0, whole.num_rows, 512):
-                batch = whole.slice(k, 512)
+            for k in range(0, whole.num_rows, 128):
+                batch = whole.slice(k, 128)
                 texts = [None if x is None else one.decode([-1 if i is None else i for i in x]) for x in batch.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[f"c{i}" for i in range(len(rest) + 1)])
 
@@ -291,9 +305,25 @@ def model_of(spark) -> Pieces:
 
 
 def tokens(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, ids, n_ids, round_trip) for every row: round_trip says whether the ids decode to the very text."""
-    both = decode(encode(docs.select(id_col, text_col), pieces, text_col), pieces)
-    return both.select(id_col, "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"), F.col(text_col).eqNullSafe(F.col("decoded")).alias("round_trip"))
+    """(id_col, ids, n_ids, round_trip) for every row: encode and decode in one pass over the texts. round_trip says whether
+    the ids give the very text again, which they don't where it holds the character that stands for a space."""
+    plain, shipped = docs.select(id_col, text_col), docs.sparkSession.sparkContext.broadcast(pieces)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = shipped.value
+        for whole in batches:
+            for k in range(0, whole.num_rows, 128):
+                batch = whole.slice(k, 128)
+                texts = batch.column(1).to_pylist()
+                found = [b"" if x is None else one.encode_bytes(x) for x in texts]
+                same = [x is None or one.decode(np.frombuffer(y, np.int32).tolist()) == x for x, y in zip(texts, found, strict=True)]
+                ends = np.cumsum([0] + [len(x) // 4 for x in found]).astype(np.int32)
+                offsets = pa.array(ends, mask=np.array([*(x is None for x in texts), False]))
+                ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(found), np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(np.diff(ends), pa.int64()), pa.array(same)], names=["id", "ids", "n_ids", "round_trip"])
+
+    kind = plain.schema[0].dataType.simpleString()
+    return plain.mapInArrow(run, f"id {kind}, ids array<int>, n_ids long, round_trip boolean").withColumnRenamed("id", id_col)
 
 
 def op2_pieces(spark, sf_dir: str) -> DataFrame:
