@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A table of at most so many rows may be broadcast; beyond it the join is left to shuffle.
 BROADCAST_ROWS = 20_000
+#: The same for a table of one long column, which takes no more than about 40 MB at this size.
+BROADCAST_IDS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm.components import components
-from weir.llm.shared import small, staged
+from weir.llm.shared import BROADCAST_IDS, small, staged
 
 SEED = 42
 #: Fingerprints of one leaf of the index, children of a node, and words hashed at a time.
@@ -267,14 +267,26 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 #: Bands, least hashes of each, and bits in which fingerprints may differ before the exact test.
 BANDS, ROWS, WIDE = 14, 3, 20
-#: Of the least hashes, the share that must agree before the exact test; pairs of a row that are tested in one round; rows
-#: of a band that meet at a time, the half of them again with those that follow in Gray order.
+#: Of the least hashes, the share that must agree before a closer look; pairs of a row that are tested in the first round;
+#: rows of a band that meet at a time, the half of them again with those that follow in Gray order.
 AGREE, TESTS, MEET = 0.6, 4, 4_096
+#: Bins of the closer look, and how far below the similarity its estimate may be: three standard errors and more.
+BINS, SLACK = 256, 0.09
 _MIX = np.random.default_rng(SEED).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def sketch(text: str | None, shingle: int) -> tuple[int, np.ndarray, bytes]:
-    """(fingerprint, keys of the bands, one byte of each least hash)."""
+def _binned(hashes: np.ndarray) -> np.ndarray:
+    """One byte of the least hash in each of BINS bins of distinct hashes; 0 for an empty bin."""
+    out = np.zeros(BINS, np.uint8)
+    hashes = np.unique(hashes * _MIX[0])  # in order of bin, then hash
+    bins = (hashes >> np.uint64(56)).astype(np.int64) % BINS
+    first = np.flatnonzero(np.r_[True, bins[1:] != bins[:-1]]) if len(bins) else bins
+    out[bins[first]] = (hashes[first] >> np.uint64(8)).astype(np.uint8) % 255 + 1
+    return out
+
+
+def sketch(text: str | None, shingle: int) -> tuple[int, np.ndarray, bytes, bytes]:
+    """(fingerprint, keys of the bands, one byte of each least hash, one byte of each bin)."""
     least, parts = np.full(len(_MIX), np.iinfo(np.uint64).max), []
     for hashes in _hashes(text, shingle):
         parts.append(hashes)
@@ -283,7 +295,7 @@ def sketch(text: str | None, shingle: int) -> tuple[int, np.ndarray, bytes]:
             np.minimum(least, (part ^ (part >> np.uint64(32))).min(axis=0), out=least)
     bands = least.reshape(BANDS, ROWS)
     keys = np.array([xxhash.xxh64_intdigest(bands[i].tobytes(), i) for i in range(BANDS)], np.uint64)
-    return _bits(parts), keys.view(np.int64), (least >> np.uint64(24)).astype(np.uint8).tobytes()
+    return _bits(parts), keys.view(np.int64), (least >> np.uint64(24)).astype(np.uint8).tobytes(), _binned(np.concatenate([least[:0], *parts])).tobytes()
 
 
 def _node(text_col: str):
@@ -292,15 +304,34 @@ def _node(text_col: str):
 
 
 def sketches(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
-    """(node, fp, keys, sketch) for every distinct text of df."""
+    """(node, fp, keys, sketch, bins) for every distinct text of df."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for k in range(0, whole.num_rows, 1_000):
+                batch = whole.slice(k, 1_000)
+                found = [sketch(x.as_py(), shingle) for x in batch.column(1)]
+                fps = pa.array(np.fromiter((f[0] for f in found), np.uint64, len(found)).view(np.int64))
+                rest = [pa.array([f[1] for f in found], pa.list_(pa.int64())), *(pa.array([f[i] for f in found], pa.binary()) for i in (2, 3))]
+                yield pa.RecordBatch.from_arrays([batch.column(0), fps, *rest], names=["node", "fp", "keys", "sketch", "bins"])
+
+    return df.select(_node(text_col).alias("node"), text_col).mapInArrow(run, "node long, fp long, keys array<long>, sketch binary, bins binary").dropDuplicates(["node"])
+
+
+def alike(pairs: DataFrame, bins: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose bins agree often enough to be worth an exact test."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sketch(x.as_py(), shingle) for x in batch.column(1)]
-            fps = pa.array(np.fromiter((f[0] for f in found), np.uint64, len(found)).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps, pa.array([f[1] for f in found], pa.list_(pa.int64())), pa.array([f[2] for f in found], pa.binary())], names=["node", "fp", "keys", "sketch"])
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, BINS) for i in (2, 3))
+            used = ((x > 0) | (y > 0)).sum(axis=1)
+            ok = ((x == y) & (x > 0)).sum(axis=1) >= least * used
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(ok)) for i in (0, 1)], names=["a", "b"])
 
-    return df.select(_node(text_col).alias("node"), text_col).mapInArrow(run, "node long, fp long, keys array<long>, sketch binary").dropDuplicates(["node"])
+    left, right = (bins.select(F.col("node").alias(c), F.col("bins").alias(f"{c}s")) for c in "ab")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "as", "bs").mapInArrow(run, "a long, b long")
 
 
 def shingle_sets(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
@@ -308,18 +339,21 @@ def shingle_sets(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(np.concatenate([np.empty(0, np.uint64), *_hashes(x.as_py(), shingle)])).view(np.int64) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "hashes"])
+            for k in range(0, batch.num_rows, 1_000):
+                part = batch.slice(k, 1_000)
+                sets = [np.unique(np.concatenate([np.empty(0, np.uint64), *_hashes(x.as_py(), shingle)])).view(np.int64) for x in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "hashes"])
 
     return df.select("node", text_col).mapInArrow(run, "node long, hashes array<long>")
 
 
 def _to_test(turn: int):
-    """From rows (k, node, fp, sketch, root) by k and Gray rank: (a, b, null) pairs of unlike roots to test in this turn, and
-    (null, null, k) for each k that has pairs left for a later one. Each turn tests twice as many pairs of a row."""
+    """From rows (k, node, fp, sketch, root) by k and Gray rank: (a, b, null) pairs of unlike roots to test in this turn,
+    (null, null, k) for each k that has pairs left for a later one, and in the first turn (a, null, null) for each text that
+    has a candidate. Each turn tests twice as many pairs of a row."""
     low, high = TESTS * (2**turn - 1), TESTS * (2 ** (turn + 1) - 1)
 
-    def meet(k: int, nodes: np.ndarray, fps: np.ndarray, marks: np.ndarray, roots: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+    def meet(k: int, nodes: np.ndarray, fps: np.ndarray, marks: np.ndarray, roots: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool, np.ndarray]:
         """A row's candidates stand in a fixed order, those first that are like it and like many others, such as the text that
         copies were made of. Each turn takes the next of them; those of its own root fall out."""
         got = []
@@ -340,14 +374,15 @@ def _to_test(turn: int):
         place = np.arange(len(own)) - np.searchsorted(own, own)
         apart = roots[own] != roots[other]
         now = apart & (place >= low) & (place < high)
-        return nodes[own[now]], nodes[other[now]], bool((apart & (place >= high)).any())
+        return nodes[own[now]], nodes[other[now]], bool((apart & (place >= high)).any()), nodes[np.unique(own)] if not turn else nodes[:0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(parts: list, more: list) -> pa.RecordBatch:
             a, b = (np.concatenate([p[i] for p in parts] or [np.empty(0, np.int64)]) for i in (0, 1))
             first, second = np.minimum(a, b), np.maximum(a, b)
-            none = [None] * len(more)
-            return pa.RecordBatch.from_arrays([pa.array([*first.tolist(), *none], pa.int64()), pa.array([*second.tolist(), *none], pa.int64()), pa.array([*[None] * len(a), *more], pa.int64())], names=["a", "b", "more"])
+            met = np.concatenate([p[2] for p in parts] or [a[:0]]).tolist()
+            cols = [*first.tolist(), *met, *[None] * len(more)], [*second.tolist(), *[None] * (len(met) + len(more))], [*[None] * (len(a) + len(met)), *more]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["a", "b", "more"])
 
         held: list[np.ndarray] = []
         for batch in batches:
@@ -365,8 +400,8 @@ def _to_test(turn: int):
                     if e is None and n < MEET or n < 2:
                         break
                     k, nodes, fps, roots, marks = (x[s : s + MEET] if n > MEET else x[s:e] for x in held)
-                    a, b, left = meet(k[0], nodes, fps, marks, roots)
-                    parts.append((a, b))
+                    a, b, left, met = meet(k[0], nodes, fps, marks, roots)
+                    parts.append((a, b, met))
                     if left:
                         more.append(int(k[0]))
                     if n <= MEET:
@@ -378,8 +413,8 @@ def _to_test(turn: int):
             yield out(parts, more)
         if held and len(held[0]) > 1:
             k, nodes, fps, roots, marks = held
-            a, b, left = meet(k[0], nodes, fps, marks, roots)
-            yield out([(a, b)], [int(k[0])] if left else [])
+            a, b, left, met = meet(k[0], nodes, fps, marks, roots)
+            yield out([(a, b, met)], [int(k[0])] if left else [])
 
     return run
 
@@ -396,9 +431,7 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     one = staged(sketches(df, text_col, shingle), "sketches")
 
     def edges(_: DataFrame) -> DataFrame:
-        dealt = one.select("node", "fp", "sketch", F.explode("keys").alias("k"))
-        shared = staged(dealt.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k"), "bands")
-        todo = staged(dealt.join(shared, "k", "left_semi"), "dealt")
+        todo = one.select("node", "fp", "sketch", F.explode("keys").alias("k"))
         found, sets, turn = None, None, 0
         while True:
             rooted = todo.withColumn("root", F.col("node"))
@@ -407,19 +440,21 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 rooted = todo.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
             ordered = rooted.select("k", "node", "fp", "sketch", "root").repartition("k").sortWithinPartitions("k", _gray(F.col("fp")), "node")
             out = staged(ordered.mapInArrow(_to_test(turn), "a long, b long, more long"), "candidates")
-            pairs = staged(out.where("a is not null").select("a", "b").distinct(), "pairs")
-            if sets is None:
-                needed = staged(todo.select("node").distinct(), "needed")
-                texts = df.select(_node(text_col).alias("node"), text_col).join(small(needed), "node", "left_semi").dropDuplicates(["node"])
+            pairs = staged(out.where("b is not null").select("a", "b").distinct(), "pairs")
+            if sets is None:  # of all texts that have a candidate
+                needed = staged(out.where("a is not null").select(F.col("a").alias("node")).distinct(), "needed")
+                bins = staged(one.select("node", "bins").join(small(needed, BROADCAST_IDS), "node", "left_semi"), "bins")
+                texts = df.select(_node(text_col).alias("node"), text_col).join(small(needed, BROADCAST_IDS), "node", "left_semi").dropDuplicates(["node"])
                 sets = staged(shingle_sets(texts, text_col, shingle), "sets")
+            close = staged(alike(pairs, bins, similarity - SLACK), "close")
             left, right = (sets.select(F.col("node").alias(c), F.col("hashes").alias(f"{c}s")) for c in "ab")
             both = F.size(F.array_intersect("as", "bs"))
-            passed = pairs.join(left, "a").join(right, "b").where(both >= F.lit(similarity) * (F.size("as") + F.size("bs") - both)).select("a", "b")
+            passed = close.join(left, "a").join(right, "b").where(both >= F.lit(similarity) * (F.size("as") + F.size("bs") - both)).select("a", "b")
             found = staged(passed if found is None else found.unionByName(passed), "found")
             again = staged(out.where("more is not null").select(F.col("more").alias("k")).distinct(), "again")
             if again.isEmpty():
                 return found
-            todo, turn = staged(todo.join(again, "k", "left_semi"), "todo"), turn + 1
+            todo, turn = staged(todo.join(small(again, BROADCAST_IDS), "k", "left_semi"), "todo"), turn + 1
 
     return _spread(rows, id_col, edges)
 
@@ -430,7 +465,7 @@ def representatives(df: DataFrame, groups: DataFrame, id_col: str = "doc_id", te
     stay as they are."""
     groups = staged(groups, "groups")
     gone = staged(groups.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "gone")
-    kept = df.where(F.col(id_col).isNotNull()).join(small(gone), id_col, "left_anti").select(*df.columns)
+    kept = df.where(F.col(id_col).isNotNull()).join(small(gone, BROADCAST_IDS), id_col, "left_anti").select(*df.columns)
     repeated = staged(groups.groupBy(id_col).agg(F.count("*").alias("n")).where(f"n > 1 and `{id_col}` is not null").select(id_col), "repeated")
     if not repeated.isEmpty():
         kept = kept.join(repeated, id_col, "left_anti").select(*df.columns).unionByName(kept.join(repeated, id_col, "left_semi").select(*df.columns).dropDuplicates([id_col]))
