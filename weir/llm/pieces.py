@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 #: Entries of a memory before it becomes the old one, which is forgotten when the next is full; code points that are cut into stretches at a time, and positions between two
 #: looks for a boundary.
-MEMORY, SLICE, LOOK = 120_000, 1 << 20, 64
+MEMORY, SLICE, LOOK = 300_000, 1 << 20, 64
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -51,8 +51,7 @@ class Pieces:
         self.fallback = min(self.score.values(), default=0.0) - 10
         self._fits: dict[str, dict[str, bool]] = {}
         self._n_fits = 0
-        self._runs, self._old_runs = {}, {}
-        self._stretches, self._old_stretches = {}, {}
+        self._known, self._old = {}, {}
 
     @classmethod
     def load(cls, path: str) -> Pieces:
@@ -70,7 +69,7 @@ class Pieces:
         return cls(rows, model.trainer_spec.model_type == 2, model.normalizer_spec.add_dummy_prefix, model.normalizer_spec.remove_extra_whitespaces, model.trainer_spec.byte_fallback)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_fits": {}, "_n_fits": 0, "_runs": {}, "_old_runs": {}, "_stretches": {}, "_old_stretches": {}}
+        return self.__dict__ | {"_fits": {}, "_n_fits": 0, "_known": {}, "_old": {}}
 
     def merged(self, symbols: list[str]) -> list[str]:
         """The symbols after all merges: the best score first, the leftmost of equal ones."""
@@ -178,37 +177,37 @@ class Pieces:
         raw = piece.encode("utf-8", "surrogatepass")
         return [self.bytes[b] for b in raw] if len(self.bytes) == 256 else [self.unknown]
 
-    def _run(self, run: str) -> tuple[int, ...]:
+    def _keep(self, text: str, ids: bytes) -> bytes:
+        if len(text) <= 64:
+            if len(self._known) >= MEMORY:
+                self._old, self._known = self._known, {}
+            self._known[text] = ids
+        return ids
+
+    def _run(self, run: str) -> bytes:
         """The ids of a run of characters between two sure boundaries."""
-        known = self._runs.get(run)
+        known = self._known.get(run) or self._old.get(run)
         if known is None:
-            if (known := self._old_runs.get(run)) is not None:
-                pass
-            elif (one := self.ids.get(run)) is not None and (not self.bpe or self.fits("", run)) and (self.bpe or len(run) == 1):
-                known = (one,)
+            if self.bpe and (one := self.ids.get(run)) is not None and self.fits("", run):
+                ids = [one]
             else:
-                known = tuple(i for p in self.path(run) for i in self._number(p))
-            if len(run) <= 64:
-                if len(self._runs) >= MEMORY:
-                    self._old_runs, self._runs = self._runs, {}
-                self._runs[run] = known
-        return known
+                ids = [i for p in self.path(run) for i in self._number(p)]
+            known = array("i", ids).tobytes()
+        return self._keep(run, known)
 
     def _stretch(self, stretch: str) -> bytes:
-        known = self._stretches.get(stretch) or self._old_stretches.get(stretch)
-        if known is None:
-            pairs, runs, at = self.pairs, [], 0
-            for i in range(1, len(stretch)):
-                if stretch[i - 1 : i + 1] not in pairs:
-                    runs.append(stretch[at:i])
-                    at = i
-            runs.append(stretch[at:])
-            known = array("i", [i for r in runs for i in self._run(r)]).tobytes()
-        if len(stretch) <= 64:
-            if len(self._stretches) >= MEMORY:
-                self._old_stretches, self._stretches = self._stretches, {}
-            self._stretches[stretch] = known
-        return known
+        """The ids of a stretch, run by run."""
+        if known := self._old.get(stretch):
+            return self._keep(stretch, known)
+        pairs, runs, at = self.pairs, [], 0
+        for i in range(1, len(stretch)):
+            if stretch[i - 1 : i + 1] not in pairs:
+                runs.append(stretch[at:i])
+                at = i
+        if not runs:
+            return self._run(stretch)
+        runs.append(stretch[at:])
+        return self._keep(stretch, b"".join([self._run(r) for r in runs]))
 
     def encode_bytes(self, text: str) -> bytes:
         """The ids of a text as int32 bytes."""
@@ -225,7 +224,7 @@ class Pieces:
             if end - at > SLICE:  # up to a space that follows something else
                 m = re.compile(f"(?<=[^{SPACE}]){SPACE}").search(text, at + SLICE)
                 end = m.start() if m else end
-            known = self._stretches.get
+            known = self._known.get
             parts += [known(x) or self._stretch(x) for x in find(text[at:end])]
             at = end
         return b"".join(parts)
