@@ -271,7 +271,7 @@ BANDS, ROWS, WIDE = 14, 3, 20
 #: rows of a band that meet at a time, the half of them again with those that follow in Gray order.
 AGREE, TESTS, MEET = 0.6, 4, 4_096
 #: Bins of the closer look, and how far below the similarity its estimate may be: three standard errors and more.
-BINS, SLACK = 256, 0.09
+BINS, SLACK = 1_024, 0.05
 _MIX = np.random.default_rng(SEED).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -279,7 +279,7 @@ def _binned(hashes: np.ndarray) -> np.ndarray:
     """One byte of the least hash in each of BINS bins of distinct hashes; 0 for an empty bin."""
     out = np.zeros(BINS, np.uint8)
     hashes = np.unique(hashes * _MIX[0])  # in order of bin, then hash
-    bins = (hashes >> np.uint64(56)).astype(np.int64) % BINS
+    bins = (hashes >> np.uint64(54)).astype(np.int64)
     first = np.flatnonzero(np.r_[True, bins[1:] != bins[:-1]]) if len(bins) else bins
     out[bins[first]] = (hashes[first] >> np.uint64(8)).astype(np.uint8) % 255 + 1
     return out
@@ -318,6 +318,11 @@ def sketches(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
     return df.select(_node(text_col).alias("node"), text_col).mapInArrow(run, "node long, fp long, keys array<long>, sketch binary, bins binary").dropDuplicates(["node"])
 
 
+def _agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The estimated similarity of rows of bins."""
+    return ((x == y) & (x > 0)).sum(axis=-1) / np.maximum(1, ((x > 0) | (y > 0)).sum(axis=-1)) + ~((x > 0) | (y > 0)).any(axis=-1)
+
+
 def alike(pairs: DataFrame, bins: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose bins agree often enough to be worth an exact test."""
 
@@ -326,8 +331,7 @@ def alike(pairs: DataFrame, bins: DataFrame, least: float) -> DataFrame:
             if not batch.num_rows:
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, BINS) for i in (2, 3))
-            used = ((x > 0) | (y > 0)).sum(axis=1)
-            ok = ((x == y) & (x > 0)).sum(axis=1) >= least * used
+            ok = _agree(x, y) >= least
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(ok)) for i in (0, 1)], names=["a", "b"])
 
     left, right = (bins.select(F.col("node").alias(c), F.col("bins").alias(f"{c}s")) for c in "ab")
@@ -347,11 +351,11 @@ def shingle_sets(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
     return df.select("node", text_col).mapInArrow(run, "node long, hashes array<long>")
 
 
-def _to_test(turn: int):
-    """From rows (k, node, fp, sketch, root) by k and Gray rank: (a, b, null) pairs of unlike roots to test in this turn,
+def _to_test(turn: int, least: float):
+    """From rows (k, node, fp, marks, root) by k and Gray rank, where marks are the sketch in the first turn and the bins later: (a, b, null) pairs of unlike roots to test in this turn,
     (null, null, k) for each k that has pairs left for a later one, and in the first turn (a, null, null) for each text that
-    has a candidate. Each turn tests twice as many pairs of a row."""
-    low, high = TESTS * (2**turn - 1), TESTS * (2 ** (turn + 1) - 1)
+    has a candidate. Each turn tests four times as many pairs of a row."""
+    low, high = TESTS * (4**turn - 1) // 3, TESTS * (4 ** (turn + 1) - 1) // 3
 
     def meet(k: int, nodes: np.ndarray, fps: np.ndarray, marks: np.ndarray, roots: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool, np.ndarray]:
         """A row's candidates stand in a fixed order, those first that are like it and like many others, such as the text that
@@ -359,14 +363,14 @@ def _to_test(turn: int):
         got = []
 
         def visit(i: np.ndarray, j: np.ndarray) -> None:
-            for at in range(0, len(i), 100_000):
-                x, y = i[at : at + 100_000], j[at : at + 100_000]
-                same = (marks[x] == marks[y]).sum(axis=1)
-                ok = same >= AGREE * marks.shape[1]
+            for at in range(0, len(i), 10_000):
+                x, y = i[at : at + 10_000], j[at : at + 10_000]
+                same = (marks[x] == marks[y]).mean(axis=1) if not turn else _agree(marks[x], marks[y])
+                ok = same >= (AGREE if not turn else least)
                 got.append((x[ok], y[ok], same[ok]))
 
         tree_pairs(fps, WIDE, visit)
-        i, j, same = (np.concatenate(x) for x in zip(*got, strict=True)) if got else (np.empty(0, int),) * 3
+        i, j, same = (np.concatenate(x) for x in zip(*got, strict=True)) if got else (np.empty(0, int), np.empty(0, int), np.empty(0))
         own, other, like = np.r_[i, j], np.r_[j, i], np.r_[same, same]
         liked = np.bincount(other, like, len(nodes)) / len(nodes)
         order = np.lexsort((nodes[other], -like - liked[other], own))
@@ -432,21 +436,24 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     def edges(_: DataFrame) -> DataFrame:
         todo = one.select("node", "fp", "sketch", F.explode("keys").alias("k"))
-        found, sets, turn = None, None, 0
+        found, sets, turn, n, roots = None, None, 0, 0, None
         while True:
             rooted = todo.withColumn("root", F.col("node"))
             if found is not None:
-                roots = staged(components(found), "so-far")
+                if (now := found.count()) > n:
+                    n, roots = now, staged(components(found), "so-far")
+            if roots is not None:
                 rooted = todo.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            ordered = rooted.select("k", "node", "fp", "sketch", "root").repartition("k").sortWithinPartitions("k", _gray(F.col("fp")), "node")
-            out = staged(ordered.mapInArrow(_to_test(turn), "a long, b long, more long"), "candidates")
+            marks = "sketch" if not turn else "bins"
+            ordered = (rooted if not turn else rooted.join(bins, "node")).select("k", "node", "fp", marks, "root").repartition("k").sortWithinPartitions("k", _gray(F.col("fp")), "node")
+            out = staged(ordered.mapInArrow(_to_test(turn, similarity - SLACK), "a long, b long, more long"), "candidates")
             pairs = staged(out.where("b is not null").select("a", "b").distinct(), "pairs")
             if sets is None:  # of all texts that have a candidate
                 needed = staged(out.where("a is not null").select(F.col("a").alias("node")).distinct(), "needed")
                 bins = staged(one.select("node", "bins").join(small(needed, BROADCAST_IDS), "node", "left_semi"), "bins")
                 texts = df.select(_node(text_col).alias("node"), text_col).join(small(needed, BROADCAST_IDS), "node", "left_semi").dropDuplicates(["node"])
                 sets = staged(shingle_sets(texts, text_col, shingle), "sets")
-            close = staged(alike(pairs, bins, similarity - SLACK), "close")
+            close = pairs if turn else staged(alike(pairs, bins, similarity - SLACK), "close")
             left, right = (sets.select(F.col("node").alias(c), F.col("hashes").alias(f"{c}s")) for c in "ab")
             both = F.size(F.array_intersect("as", "bs"))
             passed = close.join(left, "a").join(right, "b").where(both >= F.lit(similarity) * (F.size("as") + F.size("bs") - both)).select("a", "b")
