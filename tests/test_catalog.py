@@ -55,7 +55,7 @@ def test_merge_model(spark):
     assert [(r["id"], [(s["origin"], int(s["is_official"]), s["repo"]) for s in r["sources"]], [(w["origin"], w["url"]) for w in r["writeups"]]) for r in got] == model(rows)
 
 
-def test_tree_walk_and_corpus(spark, tmp_path):
+def test_tree(spark, tmp_path):
     root = tmp_path / "repos" / "me__arch"
     files = {"2021/Cup/pwn/baby/chal.py": "print(1)", "2021/Cup/pwn/baby/.hidden": "h", "2021/Cup/pwn/baby/_x": "u", "2021/Cup/pwn/baby/solve.py": "s", "2021/Cup/web/a/public/i.js": "j", "2021/Cup/web/a/private/k.py": "k", ".git/config": "no", "LICENSE": "Apache License\nVersion 2.0", "tool.py": "t", "2021/Cup/misc/m/challenge.json": json.dumps({"name": "Em", "category": "crypto", "flag": "F{x}"})}
     for name, body in files.items():
@@ -67,32 +67,19 @@ def test_tree_walk_and_corpus(spark, tmp_path):
     listed = {r["path"]: r for r in tree.where("not is_dir").collect()}
     assert set(listed) == set(files) - {".git/config"}
     assert listed["tool.py"]["sha256"] == hashlib.sha256(b"t").hexdigest()
-    seeds = spark.createDataFrame([(0, "s", "me/arch", "sources", None, False, None, None)], schema.SEED)
-    commits = spark.createDataFrame([("me/arch", "c0")], "tree string, commit_sha string")
-    raw = walk.records(tree, seeds, commits)
-    got = {r["source"]["path_in_repo"]: r for r in raw.collect()}
-    assert set(got) == {"2021/Cup/pwn/baby", "2021/Cup/web/a", "2021/Cup/misc/m"}
-    baby = got["2021/Cup/pwn/baby"]
-    assert (baby["title"], baby["event_name"], baby["year"], baby["raw_category"], baby["source"]["license"]["spdx_id"]) == ("baby", "Cup", 2021, "pwn", "Apache-2.0")
-    assert [f["path"] for f in baby["files"]] == [".hidden", "_x", "chal.py", "solve.py"] and (got["2021/Cup/misc/m"]["title"], got["2021/Cup/misc/m"]["flag"]) == ("Em", "F{x}")
-
-    done = ingest.ingest(raw.withColumn("input_pos", F.monotonically_increasing_id()))
-    made = done.challenges.where("title = 'baby'").first()
-    assert made["category"] == "pwn" and made["solve_languages"] == ["python"] and made["corpus_path"].startswith("corpus/github/cup/2021/baby__")
-    plain = catalog.normalize(raw)
-    for turn in ("a", "b"):
-        out = corpus.write(plain, done.bodies, str(tmp_path / turn), str(tmp_path / "repos_by_name"), packed=True).collect()
-        assert not [r for r in out if r["error"]]
-    os.makedirs(tmp_path / "repos_by_name/me", exist_ok=True)
-    os.symlink(root, tmp_path / "repos_by_name/me/arch")
+    dirs = {r["dir"] for r in walk.challenge_dirs(tree.select("tree", "path", "is_dir")).collect()}
+    assert dirs == {"2021/Cup/pwn/baby", "2021/Cup/web/a", "2021/Cup/misc/m"}
+    shutil_copy = tmp_path / "copied"
+    assert corpus.copy_tree(str(root), str(shutil_copy)) == len(files) - 1 and not (shutil_copy / ".git").exists()
     sums = []
-    for turn in ("c", "d"):
-        out = corpus.write(plain, done.bodies, str(tmp_path / turn), str(tmp_path / "repos_by_name"), packed=True).collect()
-        path = next(tmp_path / turn / r["dir"] for r in out if "/baby__" in r["dir"])
+    for turn in "ab":
+        corpus.copy_tree(str(root / "2021/Cup/pwn/baby"), str(tmp_path / turn))
+        path = corpus.archive(str(tmp_path / turn))
         with tarfile.open(path) as tar:
             assert tar.getnames() == [".hidden", "_x", "chal.py", "solve.py"]
-        sums.append(hashlib.sha256(path.read_bytes()).hexdigest())
-    assert sums[0] == sums[1]
+        sums.append(hashlib.sha256(open(path, "rb").read()).hexdigest())
+    assert sums[0] == sums[1] and not (tmp_path / "a").exists()
+
 
 
 def test_sinks(spark, tmp_path):
