@@ -354,8 +354,9 @@ def shingle_sets(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
 def _to_test(turn: int, least: float):
     """From rows (k, node, fp, marks, root) by k and Gray rank, where marks are the sketch in the first turn and the bins later: (a, b, null) pairs of unlike roots to test in this turn,
     (null, null, k) for each k that has pairs left for a later one, and in the first turn (a, null, null) for each text that
-    has a candidate. Each turn tests four times as many pairs of a row."""
-    low, high = TESTS * (4**turn - 1) // 3, TESTS * (4 ** (turn + 1) - 1) // 3
+    has a candidate. Each turn tests four times as many pairs of a row; the order by bins is another one and begins at its first place."""
+    step = max(0, turn - 1)
+    low, high = TESTS * (4**step - 1) // 3, TESTS * (4 ** (step + 1) - 1) // 3
 
     def meet(k: int, nodes: np.ndarray, fps: np.ndarray, marks: np.ndarray, roots: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool, np.ndarray]:
         """A row's candidates stand in a fixed order, those first that are like it and like many others, such as the text that
