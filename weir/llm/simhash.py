@@ -268,7 +268,7 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 #: Bands, least hashes of each, and bits in which fingerprints may differ before the exact test.
 BANDS, ROWS, WIDE = 14, 3, 20
 #: Of the least hashes, the share that must agree before a closer look; pairs of a row that are tested in the first round;
-#: rows of a band that meet at a time, the half of them again with those that follow in Gray order.
+#: rows of a band that meet at a time; beyond that they are cut into blocks of half as many, and each two blocks meet.
 AGREE, TESTS, MEET = 0.6, 4, 4_096
 #: Bins of the closer look, and how far below the similarity its estimate may be: three standard errors and more.
 BINS, SLACK = 1_024, 0.05
@@ -352,18 +352,20 @@ def shingle_sets(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
 
 
 def _to_test(turn: int, least: float):
-    """From rows (k, node, fp, marks, root) by k and Gray rank, where marks are the sketch in the first turn and the bins later: (a, b, null) pairs of unlike roots to test in this turn,
+    """From rows (k, node, fp, marks, root, side) by k and Gray rank, where marks are the sketch in the first turn and the bins later, and where only unlike sides meet if a k has both: (a, b, null) pairs of unlike roots to test in this turn,
     (null, null, k) for each k that has pairs left for a later one, and in the first turn (a, null, null) for each text that
     has a candidate. Each turn tests four times as many pairs of a row; the order by bins is another one and begins at its first place."""
     step = max(0, turn - 1)
     low, high = TESTS * (4**step - 1) // 3, TESTS * (4 ** (step + 1) - 1) // 3
 
-    def meet(k: int, nodes: np.ndarray, fps: np.ndarray, marks: np.ndarray, roots: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool, np.ndarray]:
+    def meet(nodes: np.ndarray, fps: np.ndarray, marks: np.ndarray, roots: np.ndarray, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool, np.ndarray]:
         """A row's candidates stand in a fixed order, those first that are like it and like many others, such as the text that
         copies were made of. Each turn takes the next of them; those of its own root fall out."""
-        got = []
+        got, halves = [], bool(sides.any())
 
         def visit(i: np.ndarray, j: np.ndarray) -> None:
+            if halves:
+                i, j = i[sides[i] != sides[j]], j[sides[i] != sides[j]]
             for at in range(0, len(i), 10_000):
                 x, y = i[at : at + 10_000], j[at : at + 10_000]
                 same = (marks[x] == marks[y]).mean(axis=1) if not turn else _agree(marks[x], marks[y])
@@ -389,41 +391,46 @@ def _to_test(turn: int, least: float):
             cols = [*first.tolist(), *met, *[None] * len(more)], [*second.tolist(), *[None] * (len(met) + len(more))], [*[None] * (len(a) + len(met)), *more]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["a", "b", "more"])
 
+        def groups(whole: list[list[np.ndarray]]) -> pa.RecordBatch:
+            parts, more = [], []
+            for k, *rest in whole:
+                a, b, left, met = meet(*rest)
+                parts.append((a, b, met))
+                if left:
+                    more.append(int(k[0]))
+            return out(parts, more)
+
         held: list[np.ndarray] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 4)]
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 4, 5)]
             cols[2] = cols[2].view(np.uint64)
-            cols.append(np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(batch.num_rows, -1))
+            cols.insert(3, np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(batch.num_rows, -1))
             held = [np.concatenate(x) for x in zip(held, cols, strict=True)] if held else cols
-            parts, more = [], []
             starts = np.flatnonzero(np.r_[True, held[0][1:] != held[0][:-1]])
-            for s, e in zip(starts, [*starts[1:], None], strict=True):
-                while True:
-                    n = (len(held[0]) if e is None else e) - s
-                    if e is None and n < MEET or n < 2:
-                        break
-                    k, nodes, fps, roots, marks = (x[s : s + MEET] if n > MEET else x[s:e] for x in held)
-                    a, b, left, met = meet(k[0], nodes, fps, marks, roots)
-                    parts.append((a, b, met))
-                    if left:
-                        more.append(int(k[0]))
-                    if n <= MEET:
-                        s = s + n if e is not None else s + n // 2
-                        break
-                    s += MEET // 2
-                last = s
-            held = [x[last:] for x in held]
-            yield out(parts, more)
+            yield groups([[x[s:e] for x in held] for s, e in zip(starts, starts[1:], strict=False) if e - s > 1])
+            held = [x[starts[-1] :] for x in held]  # the last key may go on
         if held and len(held[0]) > 1:
-            k, nodes, fps, roots, marks = held
-            a, b, left, met = meet(k[0], nodes, fps, marks, roots)
-            yield out([(a, b, met)], [int(k[0])] if left else [])
+            yield groups([held])
 
     return run
 
 
+def in_blocks(dealt: DataFrame) -> DataFrame:
+    """dealt (k, node, ...) with `side`. Where more than MEET texts share a k, they are cut into blocks of half that, and each
+    two blocks meet under a k of their own, one as side 0 and one as side 1: all pairs meet, in bounded groups."""
+    counted = dealt.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > MEET)
+    hot = small(staged(counted.select("k", F.ceil(F.col("n") * 2 / MEET).cast("int").alias("blocks")), "hot"))
+    if hot.isEmpty():
+        return dealt.withColumn("side", F.lit(0))
+    cold = dealt.join(hot, "k", "left_anti").withColumn("side", F.lit(0))
+    cut = dealt.join(hot, "k").withColumn("own", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cut = cut.withColumn("k", F.xxhash64("k", F.least("own", "other"), F.greatest("own", "other"))).withColumn("side", (F.col("own") > F.col("other")).cast("int"))
+    return cold.unionByName(cut.select(*cold.columns))
+
+
 def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(id_col, node, component_id) like near_components, where texts link if the sets of their shingles have a Jaccard
     similarity of `similarity` or more; node is a hash of the words. Each link is tested exactly on whole sets.
@@ -436,7 +443,7 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     one = staged(sketches(df, text_col, shingle), "sketches")
 
     def edges(_: DataFrame) -> DataFrame:
-        todo = one.select("node", "fp", "sketch", F.explode("keys").alias("k"))
+        todo = in_blocks(one.select("node", "fp", "sketch", F.explode("keys").alias("k")))
         found, sets, turn, n, roots = None, None, 0, 0, None
         while True:
             rooted = todo.withColumn("root", F.col("node"))
@@ -446,7 +453,7 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
             if roots is not None:
                 rooted = todo.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
             marks = "sketch" if not turn else "bins"
-            ordered = (rooted if not turn else rooted.join(bins, "node")).select("k", "node", "fp", marks, "root").repartition("k").sortWithinPartitions("k", _gray(F.col("fp")), "node")
+            ordered = (rooted if not turn else rooted.join(bins, "node")).select("k", "node", "fp", marks, "root", "side").repartition("k").sortWithinPartitions("k", _gray(F.col("fp")), "node")
             out = staged(ordered.mapInArrow(_to_test(turn, similarity - SLACK), "a long, b long, more long"), "candidates")
             pairs = staged(out.where("b is not null").select("a", "b").distinct(), "pairs")
             if sets is None:  # of all texts that have a candidate
