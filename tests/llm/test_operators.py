@@ -136,6 +136,15 @@ def test_a_band_above_the_limit(spark, monkeypatch):
     assert sum(got[i] != i for i in range(len(texts))) == 40 and [got[i] for i in range(len(texts))] == of
 
 
+def test_repeats_do_not_count(spark):
+    rng, texts = random.Random(12), []
+    for n in range(4):
+        body, line = [f"w{rng.randrange(10**6)}" for _ in range(120)], [f"z{n}{i}" for i in range(9)]
+        texts += [" ".join([*body, *line, *line]), " ".join([*body, *line * 300])]
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: i // 2 * 2 for i in range(8)}
+
+
 def test_a_sketch_below_its_mean(spark):
     texts = []
     for n in range(4_000):

@@ -262,11 +262,11 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 # Near-duplicates by the share of common shingles. Copies that share four fifths of their shingles differ in 4 to 14 of 64
-# bits, too many for blocks of equal bits; so rows are dealt by bands of least hashes instead, and the index then works
-# within a band with a wide radius, before an exact test.
+# bits, and in more where shingles are few or repeated, too many for blocks of equal bits; so rows are dealt by bands of least
+# hashes instead, and all pairs of a band are compared by them before an exact test.
 
-#: Bands, least hashes of each, and bits in which fingerprints may differ before the exact test.
-BANDS, ROWS, WIDE = 14, 3, 20
+#: Bands, and least hashes of each.
+BANDS, ROWS = 14, 3
 #: Of the least hashes, the share that must agree before a closer look; pairs of a row that are tested in the first round;
 #: rows of a band that meet at a time; beyond that they are cut into blocks of half as many, and each two blocks meet.
 AGREE, TESTS, MEET = 0.5, 4, 4_096
@@ -286,8 +286,8 @@ def _binned(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketch(text: str | None, shingle: int) -> tuple[int, np.ndarray, bytes, bytes]:
-    """(fingerprint, keys of the bands, one byte of each least hash, one byte of each bin)."""
+def sketch(text: str | None, shingle: int) -> tuple[np.ndarray, bytes, bytes]:
+    """(keys of the bands, one byte of each least hash, one byte of each bin)."""
     least, parts = np.full(len(_MIX), np.iinfo(np.uint64).max), []
     for hashes in _hashes(text, shingle):
         parts.append(hashes)
@@ -296,7 +296,7 @@ def sketch(text: str | None, shingle: int) -> tuple[int, np.ndarray, bytes, byte
             np.minimum(least, (part ^ (part >> np.uint64(32))).min(axis=0), out=least)
     bands = least.reshape(BANDS, ROWS)
     keys = np.array([xxhash.xxh64_intdigest(bands[i].tobytes(), i) for i in range(BANDS)], np.uint64)
-    return _bits(parts), keys.view(np.int64), (least >> np.uint64(24)).astype(np.uint8).tobytes(), _binned(np.concatenate([least[:0], *parts])).tobytes()
+    return keys.view(np.int64), (least >> np.uint64(24)).astype(np.uint8).tobytes(), _binned(np.concatenate([least[:0], *parts])).tobytes()
 
 
 def _node(text_col: str):
@@ -305,18 +305,27 @@ def _node(text_col: str):
 
 
 def sketches(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
-    """(node, fp, keys, sketch, bins) for every distinct text of df."""
+    """(node, keys, sketch, bins) for every distinct text of df."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for k in range(0, whole.num_rows, 1_000):
                 batch = whole.slice(k, 1_000)
                 found = [sketch(x.as_py(), shingle) for x in batch.column(1)]
-                fps = pa.array(np.fromiter((f[0] for f in found), np.uint64, len(found)).view(np.int64))
-                rest = [pa.array([f[1] for f in found], pa.list_(pa.int64())), *(pa.array([f[i] for f in found], pa.binary()) for i in (2, 3))]
-                yield pa.RecordBatch.from_arrays([batch.column(0), fps, *rest], names=["node", "fp", "keys", "sketch", "bins"])
+                rest = [pa.array([f[0] for f in found], pa.list_(pa.int64())), *(pa.array([f[i] for f in found], pa.binary()) for i in (1, 2))]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *rest], names=["node", "keys", "sketch", "bins"])
 
-    return df.select(_node(text_col).alias("node"), text_col).mapInArrow(run, "node long, fp long, keys array<long>, sketch binary, bins binary").dropDuplicates(["node"])
+    return df.select(_node(text_col).alias("node"), text_col).mapInArrow(run, "node long, keys array<long>, sketch binary, bins binary").dropDuplicates(["node"])
+
+
+def _places(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many places each row of x agrees with each row of y."""
+    if len(x) * len(y) < 1_000:
+        return (x[:, None] == y[None]).sum(axis=2)
+    out = np.zeros((len(x), len(y)), np.uint8)
+    for a, b in zip(np.ascontiguousarray(x.T), np.ascontiguousarray(y.T), strict=True):
+        out += a[:, None] == b[None]
+    return out
 
 
 def _agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -353,36 +362,41 @@ def shingle_sets(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
 
 
 def _to_test(turn: int, least: float):
-    """From rows (k, node, fp, marks, root, side) by k and Gray rank, where marks are the sketch in the first turn and the bins later, and where only unlike sides meet if a k has both: (a, b, null) pairs of unlike roots to test in this turn,
+    """From rows (k, node, marks, root, side) by k and node, where marks are the sketch, with the bins after it in later turns, and where only unlike sides meet if a k has both: (a, b, null) pairs of unlike roots to test in this turn,
     (null, null, k) for each k that has pairs left for a later one, and in the first turn (a, null, null) for each text that
     has a candidate. Each turn tests four times as many pairs of a row; the order by bins is another one and begins at its first place."""
     step = max(0, turn - 1)
     low, high = TESTS * (4**step - 1) // 3, TESTS * (4 ** (step + 1) - 1) // 3
 
-    def meet(nodes: np.ndarray, fps: np.ndarray, marks: np.ndarray, roots: np.ndarray, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool, np.ndarray]:
+    def meet(nodes: np.ndarray, marks: np.ndarray, roots: np.ndarray, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool, np.ndarray]:
         """A row's candidates stand in a fixed order, those first that are like it and like many others, such as the text that
         copies were made of. Each turn takes the next of them; those of its own root fall out."""
-        got, halves = [], bool(sides.any())
-
-        def visit(i: np.ndarray, j: np.ndarray) -> None:
-            if halves:
-                i, j = i[sides[i] != sides[j]], j[sides[i] != sides[j]]
-            for at in range(0, len(i), 10_000):
-                x, y = i[at : at + 10_000], j[at : at + 10_000]
-                same = (marks[x] == marks[y]).mean(axis=1) if not turn else _agree(marks[x], marks[y])
-                ok = same >= (AGREE if not turn else least)
-                got.append((x[ok], y[ok], same[ok]))
-
-        tree_pairs(fps, WIDE, visit)
-        i, j, same = (np.concatenate(x) for x in zip(*got, strict=True)) if got else (np.empty(0, int), np.empty(0, int), np.empty(0))
-        own, other, like = np.r_[i, j], np.r_[j, i], np.r_[same, same]
-        liked = np.bincount(other, like, len(nodes)) / len(nodes)
-        order = np.lexsort((nodes[other], -like - liked[other], own))
-        own, other = own[order], other[order]
-        place = np.arange(len(own)) - np.searchsorted(own, own)
-        apart = roots[own] != roots[other]
-        now = apart & (place >= low) & (place < high)
-        return nodes[own[now]], nodes[other[now]], bool((apart & (place >= high)).any()), nodes[np.unique(own)] if not turn else nodes[:0]
+        n, halves = len(nodes), bool(sides.any())
+        like = np.zeros((n, n), np.float32)
+        for at in range(0, n, 256):
+            same = _places(marks[at : at + 256, : len(_MIX)], marks[at:, : len(_MIX)])
+            i, j = np.nonzero(same >= AGREE * len(_MIX))
+            later = (i < j) & (sides[i + at] != sides[j + at]) if halves else i < j
+            i, j = i[later], j[later]
+            if not turn:
+                like[i + at, j + at] = same[i, j] / np.float32(len(_MIX))
+            for k in range(0, len(i) if turn else 0, 10_000):
+                x, y = i[k : k + 10_000] + at, j[k : k + 10_000] + at
+                close = _agree(marks[x, len(_MIX) :], marks[y, len(_MIX) :])
+                like[x, y] = np.where(close >= least, close, 0)
+        like += like.T.copy()  # only one of both is set
+        liked, counts = like.sum(axis=0) / n, np.count_nonzero(like, axis=1)
+        a, b, left = [], [], False
+        for at in range(0, n, 256):
+            part = like[at : at + 256]
+            order = np.argsort(np.where(part > 0, -part - liked, np.inf), axis=1, kind="stable")  # ties: by node
+            place = np.arange(n)
+            apart = (place < counts[at : at + 256, None]) & (roots[at : at + 256, None] != roots[order])
+            left = left or bool(apart[:, high:].any())
+            own, nth = np.nonzero(apart[:, low:high])
+            a.append(nodes[own + at])
+            b.append(nodes[order[own, nth + low]])
+        return np.concatenate(a), np.concatenate(b), left, nodes[counts > 0] if not turn else nodes[:0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(parts: list, more: list) -> pa.RecordBatch:
@@ -405,9 +419,8 @@ def _to_test(turn: int, least: float):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 4, 5)]
-            cols[2] = cols[2].view(np.uint64)
-            cols.insert(3, np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(batch.num_rows, -1))
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3, 4)]
+            cols.insert(2, np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(batch.num_rows, -1))
             held = [np.concatenate(x) for x in zip(held, cols, strict=True)] if held else cols
             starts = np.flatnonzero(np.r_[True, held[0][1:] != held[0][:-1]])
             yield groups([[x[s:e] for x in held] for s, e in zip(starts, starts[1:], strict=False) if e - s > 1])
@@ -444,7 +457,7 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     one = staged(sketches(df, text_col, shingle), "sketches")
 
     def edges(_: DataFrame) -> DataFrame:
-        todo = in_blocks(one.select("node", "fp", "sketch", F.explode("keys").alias("k")))
+        todo = in_blocks(one.select("node", "sketch", F.explode("keys").alias("k")))
         found, sets, turn, n, roots = None, None, 0, 0, None
         while True:
             rooted = todo.withColumn("root", F.col("node"))
@@ -453,8 +466,8 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                     n, roots = now, staged(components(found), "so-far")
             if roots is not None:
                 rooted = todo.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            marks = "sketch" if not turn else "bins"
-            ordered = (rooted if not turn else rooted.join(bins, "node")).select("k", "node", "fp", marks, "root", "side").repartition("k").sortWithinPartitions("k", _gray(F.col("fp")), "node")
+            marked = rooted.withColumn("marks", F.col("sketch")) if not turn else rooted.join(bins, "node").withColumn("marks", F.concat("sketch", "bins"))
+            ordered = marked.select("k", "node", "marks", "root", "side").repartition("k").sortWithinPartitions("k", "node")
             out = staged(ordered.mapInArrow(_to_test(turn, similarity - SLACK), "a long, b long, more long"), "candidates")
             pairs = staged(out.where("b is not null").select("a", "b").distinct(), "pairs")
             if sets is None:  # of all texts that have a candidate
