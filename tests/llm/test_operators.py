@@ -228,6 +228,18 @@ def test_language(spark):
     assert {r["lang_pred"] for r in language.identify(df, language.train(df.limit(0))).collect()} == {"und"}
 
 
+def test_languages_of_many_letters():
+    rng = random.Random(13)
+    letters = {"el": range(0x3B1, 0x3CA), "en": range(97, 123), "ja": range(0x4E00, 0x4F00), "ru": range(0x430, 0x450), "zh": range(0x4F80, 0x5080)}
+    lexicon = {k: ["".join(chr(rng.choice(x)) for _ in range(rng.randint(2, 5))) for _ in range(40)] for k, x in letters.items()}
+    make = lambda k: " ".join(rng.choice(lexicon[k]) for _ in range(60))
+    samples = {k: [make(k) for _ in range(5)] for k in letters}
+    parser = language.CrossParser(samples)
+    texts = [make(k) for k in letters] + ["中" + make("zh") + "Жξ\uac00\uac01 x", "\uac00\uac01\uac02"]
+    assert parser.phrases([parser.code(t) for t in texts]).tolist() == [[brute_phrases(t, " ".join(samples[k]) + " ", language.BLOCK) for k in letters] for t in texts]
+    assert parser.predict(texts)[0][:6] == [*letters, "zh"]
+
+
 @pytest.mark.skipif(not __import__("os").path.exists(pieces.MODEL), reason="no model file")
 def test_pieces(spark, docs):
     import sentencepiece

@@ -22,7 +22,8 @@ UNKNOWN = "und"
 #: The bounded sample of labelled rows: about so many rows and so many characters of each at most, by language, and so
 #: many symbols of all of them that an automaton is built of. LANGUAGES: more labels than this are an error.
 SAMPLE_ROWS, SAMPLE_CHARS, TRAIN_SYMBOLS, LANGUAGES = 60, 2_000, 32_000, 200
-#: Letters that have a symbol of their own; the rest share one. Symbol 0 is all that isn't a letter, in runs of one.
+#: Letters with a column in the table of transitions; other letters that were learned have their transitions in a sorted list,
+#: and those never learned share a symbol. Symbol 0 is all that isn't a letter, in runs of one.
 SYMBOLS = 60
 #: A phrase ends where a block ends, so that the blocks of long texts can be followed side by side.
 BLOCK = 512
@@ -85,7 +86,9 @@ class CrossParser:
     """Automata of all languages in one table.
 
     step[state + symbol] is the next state, already times the number of symbols; where no transition is, it is the
-    complement of the state in which a new phrase stands after that symbol.
+    complement of the state in which a new phrase stands after that symbol. Symbols from `width` on are the letters beyond
+    the table: far_keys holds state * len(far) + letter in order, far_to what step would hold, and far_new[language, letter]
+    stands for a missing one.
     """
 
     def __init__(self, samples: dict[str, list[str]], symbols: int = SYMBOLS, train_symbols: int = TRAIN_SYMBOLS):
@@ -93,9 +96,11 @@ class CrossParser:
         parts = {k: np.concatenate([np.r_[normal(x), np.uint32(0)] for x in samples[k]] or [np.empty(0, np.uint32)]) for k in self.languages}
         parts = {k: x[:train_symbols] for k, x in parts.items()}
         seen = Counter(int(c) for x in parts.values() for c in x if c)
-        self.letters = sorted(c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:symbols])
+        ranked = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))]
+        self.letters, self.far = sorted(ranked[:symbols]), sorted(ranked[symbols:])
         self.width = len(self.letters) + 2
         tables, self.starts, base = [], [], 0
+        keys, to_, news = [], [], []
         for k in self.languages:
             states = suffix_automaton(self.table[parts[k]].tolist())
             table = np.zeros((len(states), self.width), np.int64)
@@ -103,25 +108,46 @@ class CrossParser:
             table[:] = ~(base + first * self.width)
             for s, moves in enumerate(states[1:], 1):  # the start has none: what comes there begins a phrase
                 for c, to in moves.items():
-                    table[s, c] = base + to * self.width
+                    if c < self.width:
+                        table[s, c] = base + to * self.width
+                    else:
+                        keys.append((base + s * self.width) * len(self.far) + c - self.width)
+                        to_.append(base + to * self.width)
+            news.append([~(base + states[0].get(self.width + c, 0) * self.width) for c in range(len(self.far))])
             tables.append(table.ravel())
             self.starts.append(base)
             base += table.size
         self.step = np.concatenate(tables).astype(np.int32 if base < 2**31 else np.int64) if tables else np.empty(0, np.int32)
+        order = np.argsort(np.array(keys, np.int64))
+        self.far_keys, self.far_to = np.array(keys, np.int64)[order], np.array(to_, self.step.dtype)[order]
+        self.far_new = np.array(news, self.step.dtype).reshape(len(self.languages), len(self.far))
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "table"}
 
     @functools.cached_property
     def table(self) -> np.ndarray:
-        """The symbol of each code point: 0 for others than letters, 1 to n for the letters that have one, n + 1 for the rest."""
+        """The symbol of each code point: 0 for others than letters, 1 to n for the letters in the table, n + 1 for those never learned, more for the others."""
         table = np.where(_letters(), np.int32(self.width - 1), np.int32(0))
         table[np.array(self.letters, np.int64)] = np.arange(1, len(self.letters) + 1)
+        table[np.array(self.far, np.int64)] = self.width + np.arange(len(self.far))
         return table
 
     def code(self, text: str) -> np.ndarray:
         return _collapsed(self.table[_points(text)])
 
+    def _next(self, state: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """What follows the states, (languages, symbols), by the symbols: a state, or the complement of one that begins a phrase."""
+        far = np.flatnonzero(symbols >= self.width) if self.far else ()
+        if not len(far):
+            return self.step[state + symbols]
+        to = self.step[state + np.where(symbols < self.width, symbols, 0)]
+        letters = symbols[far] - self.width
+        keys = state[:, far].astype(np.int64) * len(self.far) + letters
+        at = np.minimum(np.searchsorted(self.far_keys, keys), len(self.far_keys) - 1)
+        to[:, far] = np.where(self.far_keys[at] == keys, self.far_to[at], self.far_new[:, letters]) if len(self.far_keys) else self.far_new[:, letters]
+        return to
+
     def phrases(self, codes: list[np.ndarray]) -> np.ndarray:
         """The number of phrases of each text in each language: (texts, languages)."""
         counts = np.zeros((len(codes), len(self.languages)), np.int64)
@@ -140,7 +166,7 @@ class CrossParser:
             live, where = size[lanes], start[lanes]
             for i in range(int(live[0])):
                 n = int(np.searchsorted(-live, -i, side="left"))
-                to = self.step[state[:, :n] + flat[where[:n] + i]]
+                to = self._next(state[:, :n], flat[where[:n] + i])
                 ended = to < 0
                 got[:, :n] += ended
                 state[:, :n] = to ^ (to >> (to.dtype.itemsize * 8 - 1))
