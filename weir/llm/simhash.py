@@ -240,17 +240,19 @@ def links(distinct: DataFrame, radius: int = 2, group_limit: int = GROUP_LIMIT)
 
 
 def _spread(rows: DataFrame, id_col: str, edges: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(id_col, node, component_id) of rows (id_col, node), a staged table, by the edges between distinct nodes."""
+    """(id_col, node, component_id, root) of rows (id_col, node), a staged table, by the edges between distinct nodes; root is
+    the least node of the group."""
     distinct = staged(rows.groupBy("node").agg(F.min(id_col).alias("least")), "distinct")
     roots = components(edges(distinct))
     linked = staged(distinct.join(roots, "node", "left").select("node", "least", "root"), "roots")
     groups = linked.where("root is not null").groupBy("root").agg(F.min("least").alias("component_id"))
-    of = linked.where("root is not null").join(groups, "root").select("node", "component_id").unionByName(linked.where("root is null").select("node", F.col("least").alias("component_id")))
-    return rows.join(of, "node").select(id_col, "node", "component_id")
+    alone = linked.where("root is null").select("node", F.col("least").alias("component_id"), F.col("node").alias("root"))
+    of = linked.where("root is not null").join(groups, "root").select("node", "component_id", "root").unionByName(alone)
+    return rows.join(of, "node").select(id_col, "node", "component_id", "root")
 
 
 def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 2, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """(id_col, node, component_id) for every row of df, which needs no other columns than the two named; node is the
+    """(id_col, node, component_id, root) for every row of df, which needs no other columns than the two named; node is the
     fingerprint, a signed long.
 
     component_id is the least id among the rows whose fingerprints can be reached by links, the row itself included. Null
@@ -446,7 +448,7 @@ def in_blocks(dealt: DataFrame) -> DataFrame:
 
 
 def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(id_col, node, component_id) like near_components, where texts link if the sets of their shingles have a Jaccard
+    """(id_col, node, component_id, root) like near_components, where texts link if the sets of their shingles have a Jaccard
     similarity of `similarity` or more; node is a hash of the words. Each link is tested exactly on whole sets.
 
     Texts that should link share a band's key and pass both looks but for 5 of 100,000 at 0.8. A text's candidates are tested a few at a time,
@@ -489,15 +491,23 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def representatives(df: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """df with one row of each of `groups`, which similar_components has found in df: that with the least id; of rows that
-    repeat an id, any one. Rows with a null id stay only where their group has no other, one for each text. All columns
-    stay as they are."""
+    """df with one row of each of `groups`, which similar_components has found in df: that with the least id; where the group
+    repeats that id, that with the least node, any one of equal texts. Groups that share an id keep a row each. Rows with a null
+    id stay only where their group has no other, one for each text. All columns stay as they are."""
     groups = staged(groups, "groups")
-    gone = staged(groups.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "gone")
-    kept = df.where(F.col(id_col).isNotNull()).join(small(gone, BROADCAST_IDS), id_col, "left_anti").select(*df.columns)
+    gone = groups.where(F.col(id_col) != F.col("component_id")).select(id_col, "node")
     repeated = staged(groups.groupBy(id_col).agg(F.count("*").alias("n")).where(f"n > 1 and `{id_col}` is not null").select(id_col), "repeated")
-    if not repeated.isEmpty():
-        kept = kept.join(repeated, id_col, "left_anti").select(*df.columns).unionByName(kept.join(repeated, id_col, "left_semi").select(*df.columns).dropDuplicates([id_col]))
+    clash = not repeated.isEmpty()
+    if clash:
+        least = groups.where(F.col(id_col) == F.col("component_id")).join(repeated, id_col, "left_semi").select(id_col, "node", "root")
+        firsts = least.groupBy("root").agg(F.min("node").alias("first"))
+        gone = gone.unionByName(least.join(firsts, "root").where("node <> first").select(id_col, "node"))
+    gone = staged(gone.select(F.col(id_col).alias("__id"), F.col("node").alias("__gone")).distinct(), "gone")
+    named = df.where(F.col(id_col).isNotNull()).withColumn("__node", _node(text_col))
+    kept = named.join(small(gone, BROADCAST_IDS // 2), (F.col(id_col) == F.col("__id")) & (F.col("__node") == F.col("__gone")), "left_anti")
+    if clash:
+        kept = kept.join(repeated, id_col, "left_anti").select(*kept.columns).unionByName(kept.join(repeated, id_col, "left_semi").select(*kept.columns).dropDuplicates([id_col, "__node"]))
+    kept = kept.select(*df.columns)
     if not groups.where(F.col(id_col).isNull()).isEmpty():
         named = groups.where(F.col("component_id").isNotNull()).select("node").distinct()
         alone = df.where(F.col(id_col).isNull()).withColumn("__node", _node(text_col)).join(named, F.col("__node") == F.col("node"), "left_anti")
