@@ -90,3 +90,10 @@ def test_tasks(spark):
     a, b = got[0]["writeups"]
     assert (a["text"], a["is_inline"], a["rating"], a["author"], a["origin"]) == ("Body", True, 4.0, "T", "ctftime")
     assert (b["url"], b["origin"], b["is_inline"], b["rating"]) == ("https://GitHub.com/x", "github", False, None)
+
+
+def test_signatures_have_all_permutations(spark):
+    from weir.plans import queries
+
+    got = [r["signature"] for r in queries.agg_15(spark, "/root/testdata/sf0.001").collect()]
+    assert {len(x) for x in got if x is not None} == {128} and any(len(set(x)) > 100 for x in got if x is not None)

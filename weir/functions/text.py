@@ -123,7 +123,8 @@ def near_tokens(text: Column) -> Column:
 def minhash(tokens: Column, permutations: int = 128) -> Column:
     """The least hash of the tokens under each seed; null for no tokens."""
     seeds = F.sequence(F.lit(1), F.lit(permutations))
-    return F.when(F.size(tokens) > 0, F.transform(seeds, lambda s: F.array_min(F.transform(F.array_distinct(tokens), lambda t: F.xxhash64(t, s)))))
+    once = F.array(F.array_distinct(tokens))  # bound to a variable, not found again for each seed
+    return F.when(F.size(tokens) > 0, F.transform(once, lambda x: F.transform(seeds, lambda s: F.array_min(F.transform(x, lambda t: F.xxhash64(t, s)))))[0])
 
 
 def first_int(text: Column) -> Column:

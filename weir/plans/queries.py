@@ -472,7 +472,7 @@ def agg_14(spark, sf_dir):
 @query("AGG-15")
 def agg_15(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", F.xxhash64(text.minhash(text.near_tokens(F.col("text")), 16)).alias("signature"))
+    return d.select("doc_id", text.minhash(text.near_tokens(F.col("text"))).alias("signature"))
 
 
 @query("AGG-16", "SELECT doc_id, len(regexp_extract_all(lower(regexp_replace(text, '(?m)(#|//).*?$', '', 'g')), '[A-Za-z0-9_]+'))::BIGINT AS n FROM documents")
