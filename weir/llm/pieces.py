@@ -9,8 +9,9 @@ not give that model's ids; there a piece may follow another only if the merges o
 Since a sequence of pieces is what the merges give exactly if each two neighbours are, one piece is left for each position,
 and the path is the model's own encoding.
 
-Two properties of the vocabulary save work: two characters that stand together in no piece are always a boundary, and
-stretches between such boundaries are encoded alike wherever they stand, so they are remembered.
+The pieces that end at a position come from an automaton of the vocabulary. Where no piece holds a space after something
+else, the place before a space is always a boundary, as is one between two characters that stand together in no piece; the
+stretches between are encoded alike wherever they stand, so those lately met are remembered.
 """
 
 from __future__ import annotations
@@ -25,11 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-#: Entries of a memory before it becomes the old one, which is forgotten when the next is full; code points that are cut into stretches at a time, and positions between two
-#: looks for a boundary.
-MEMORY, SLICE, LOOK = 300_000, 1 << 20, 64
+#: Entries of a memory before it becomes the old one, which is forgotten when the next is full; code points that are cut
+#: into stretches at a time, and positions between two looks for a boundary.
+MEMORY, SLICE, LOOK = 300_000, 1 << 20, 16
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+WORD = re.compile(rf"{SPACE}*[^\W\d_]+")
 
 
 class Pieces:
@@ -45,12 +47,14 @@ class Pieces:
         self.unknown = next((i for i, k in enumerate(self.kinds) if k == UNKNOWN), 0)
         self.bytes = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == BYTE} if byte_fallback else {}
         self.longest = max(map(len, self.ids), default=1)
-        self.prefixes = {p[:i] for p in self.ids for i in range(1, len(p) + 1)}
         self.pairs = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self._automaton()
+        self._shown = [p.replace(SPACE, " ") for p in self.names]
+        self._plain = np.array([k in (NORMAL, UNUSED) for k in self.kinds] or [False])
         self.cut_at_space = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.fallback = min(self.score.values(), default=0.0) - 10
         self._fits: dict[str, dict[str, bool]] = {}
-        self._n_fits = 0
+        self._n_fits = self._n_moves = 0
         self._known, self._old = {}, {}
 
     @classmethod
@@ -69,7 +73,7 @@ class Pieces:
         return cls(rows, model.trainer_spec.model_type == 2, model.normalizer_spec.add_dummy_prefix, model.normalizer_spec.remove_extra_whitespaces, model.trainer_spec.byte_fallback)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_fits": {}, "_n_fits": 0, "_known": {}, "_old": {}}
+        return self.__dict__ | {"_fits": {}, "_n_fits": 0, "_n_moves": 0, "_known": {}, "_old": {}}
 
     def merged(self, symbols: list[str]) -> list[str]:
         """The symbols after all merges: the best score first, the leftmost of equal ones."""
@@ -87,18 +91,58 @@ class Pieces:
 
     def fits(self, left: str, right: str) -> bool:
         """Whether a piece may follow another ("": the start of the text)."""
-        after = self._fits.get(left)
-        if after is None:
-            after = self._fits[left] = {}
+        after = self._after(left)
         known = after.get(right)
         if known is None:
             if self._n_fits >= MEMORY:
                 self._fits.clear()
-                self._n_fits, after = 0, self._fits.setdefault(left, {})
+                self._n_fits, after = 0, self._after(left)
             known = after[right] = self.merged(list(left + right)) == ([left, right] if left else [right])
             self._n_fits += 1
         return known
 
+    def _after(self, left: str) -> dict[str, bool]:
+        """What is known of the pieces that may follow this one."""
+        after = self._fits.get(left)
+        if after is None:
+            after = self._fits[left] = {}
+        return after
+
+    def _automaton(self) -> None:
+        """The pieces in a trie with links to the longest suffix that it also holds. moves[c][state] is where character c leads;
+        ends[state] the pieces that end there with their lengths, the longest first."""
+        nexts: dict[str, set[str]] = {}
+        for p in self.ids:
+            for i in range(len(p)):
+                nexts.setdefault(p[:i], set()).add(p[i])
+        moves: dict[str, dict[int, int]] = {}
+        link, ends, level = [0], [()], {"": 0}
+        while level:
+            below = {}
+            for head, state in level.items():
+                for c in nexts.get(head, ()):
+                    to, up, way = len(link), link[state], moves.setdefault(c, {})
+                    while up and up not in way:
+                        up = link[up]
+                    link.append(way.get(up, 0) if state else 0)
+                    way[state] = to
+                    own = ((head + c, len(head) + 1),) if head + c in self.ids else ()
+                    ends.append(own + ends[link[to]])
+                    below[head + c] = to
+            level = below
+        self._moves, self._link, self._ends = moves, link, ends
+
+    def _move(self, way: dict[int, int], state: int) -> int:
+        """Where a character leads from a state that has no move of its own by it."""
+        up = self._link[state]
+        while up and up not in way:
+            up = self._link[up]
+        to = way.get(up, 0)
+        if self._n_moves < MEMORY:
+            way[state] = to
+            self._n_moves += 1
+        return to
+
     def path(self, text: str) -> Iterator[str]:
         """The pieces of a text, given out as soon as they are final."""
         if self.bpe:
@@ -106,74 +150,86 @@ class Pieces:
         else:
             yield from self._path_unigram(text)
 
-    def _final(self, start: dict[int, int], piece: dict[int, str], base: int, ends: list[int], upto: int) -> tuple[int, list[str]]:
-        """The last boundary that the paths of all `ends` share, and the pieces from base to it; they are forgotten."""
-        if len(ends) == 1 and not start.get(ends[0], 1):
-            return ends[0], [piece[ends[0]]]
-        live = set(ends)
+    @staticmethod
+    def _shared(start: list[int], upto: int, live: set[int]) -> int:
+        """The last boundary, of places in start, that the back pointers of all live places lead to."""
+        live = live | {upto}
         while len(live) > 1:
             far = max(live)
             live.discard(far)
             live.add(start[far])
-        at = end = live.pop()
+        return live.pop()
+
+    @staticmethod
+    def _back(start: list[int], end: int) -> list[int]:
+        """The ends of the pieces that lead from place 0 to end."""
         out = []
-        while at > base:
-            out.append(piece[at])
-            at = start[at]
-        if end < upto:
-            for i in [i for i in start if i <= end]:
-                del start[i], piece[i]
-        return end, out[::-1]
+        while end:
+            out.append(end)
+            end = start[end]
+        return out[::-1]
 
     def _path_bpe(self, text: str) -> Iterator[str]:
-        start, piece, base, n = {}, {}, 0, len(text)
-        ids, prefixes, longest = self.ids, self.prefixes, self.longest
-        before = ""  # the piece that ends at base
-        for s in range(n):
-            left = before if s == base else piece.get(s)
-            if left is None:
-                continue
-            after = self._fits.get(left) or {}
-            for e in range(s + 1, min(n, s + longest) + 1):
-                sub = text[s:e]
-                if sub in ids or e == s + 1:
-                    ok = after.get(sub)
-                    if ok or ok is None and self.fits(left, sub):
-                        start[e], piece[e] = s, sub
-                    if e == s + 1 and sub not in prefixes:
+        """At each character the pieces that end there are asked from the longest on; the first that may follow the piece which
+        ends where it begins is the one. Lists hold the window: place i is position base + i."""
+        moves, ends, memo, longest, whole = self._moves, self._ends, self._fits, self.longest, len(text)
+        pieces, after, start, here, base, state = [""], [self._after("")], [0], 0, 0, 0
+        for c in text:
+            here += 1
+            way = moves.get(c)
+            if way is None:
+                state = 0
+            else:
+                to = way.get(state)
+                state = self._move(way, state) if to is None else to
+            for piece, n in ends[state]:
+                if n <= here:
+                    ok = after[here - n].get(piece)
+                    if ok or ok is None and self.fits(pieces[here - n], piece):
                         break
-                elif sub not in prefixes:
-                    break
-            if s - base >= LOOK and not s % LOOK:
-                end, out = self._final(start, piece, base, [e for e in start if e > s], n)
-                if end > base:
-                    base, before = end, out[-1]
-                    yield from out
-        if n > base:
-            yield from self._final(start, piece, base, [n], n)[1]
+            else:
+                piece, n = c, 1
+            pieces.append(piece)
+            start.append(here - n)
+            follow = memo.get(piece)
+            after.append(self._after(piece) if follow is None else follow)
+            if here > LOOK and not here % LOOK and base + here < whole:
+                end = self._shared(start, here, set(range(max(0, here - longest + 1), here)))
+                if end:
+                    yield from [pieces[i] for i in self._back(start, end)]
+                    base, here = base + end, here - end
+                    pieces, after, start = pieces[end:], after[end:], [max(0, i - end) for i in start[end:]]
+        yield from [pieces[i] for i in self._back(start, here)]
 
     def _path_unigram(self, text: str) -> Iterator[str]:
-        start, piece, base, n = {}, {}, 0, len(text)
-        best = {0: 0.0}
-        for s in range(n):
-            here = best.pop(s)
-            for e in range(s + 1, min(n, s + self.longest) + 1):
-                sub = text[s:e]
-                if sub not in self.prefixes and e > s + 1:
-                    break
-                score = self.score.get(sub, self.fallback if e == s + 1 else None)
-                if score is not None and (e not in best or here + score > best[e]):
-                    best[e], start[e], piece[e] = here + score, s, sub
-            if s - base >= LOOK and not s % LOOK:
-                end, out = self._final(start, piece, base, [e for e in start if e > s], n)
-                base = end
-                yield from out
-        if n > base:
-            yield from self._final(start, piece, base, [n], n)[1]
+        """The best sum of scores; of equal ones the longest last piece."""
+        moves, ends, score, longest, whole = self._moves, self._ends, self.score, self.longest, len(text)
+        best, pieces, start, here, base, state = [0.0], [""], [0], 0, 0, 0
+        for c in text:
+            here += 1
+            way = moves.get(c)
+            if way is None:
+                state = 0
+            else:
+                to = way.get(state)
+                state = self._move(way, state) if to is None else to
+            most = None
+            for x, n in ends[state] if c in score else (*ends[state], (c, 1)):
+                if n <= here and (most is None or best[here - n] + score.get(x, self.fallback) > most):
+                    most, piece, length = best[here - n] + score.get(x, self.fallback), x, n
+            best.append(most)
+            pieces.append(piece)
+            start.append(here - length)
+            if here > LOOK and not here % LOOK and base + here < whole:
+                end = self._shared(start, here, set(range(max(0, here - longest + 1), here)))
+                if end:
+                    yield from [pieces[i] for i in self._back(start, end)]
+                    base, here = base + end, here - end
+                    best, pieces, start = best[end:], pieces[end:], [max(0, i - end) for i in start[end:]]
+        yield from [pieces[i] for i in self._back(start, here)]
 
     def _number(self, piece: str) -> list[int]:
-        if (known := self.ids.get(piece)) is not None:
-            return [known]
+        """The ids of a character that is no piece."""
         raw = piece.encode("utf-8", "surrogatepass")
         return [self.bytes[b] for b in raw] if len(self.bytes) == 256 else [self.unknown]
 
@@ -185,29 +241,28 @@ class Pieces:
         return ids
 
     def _run(self, run: str) -> bytes:
-        """The ids of a run of characters between two sure boundaries."""
+        """The ids of a run of characters between two sure boundaries: as remembered, or by a pass over it."""
         known = self._known.get(run) or self._old.get(run)
         if known is None:
-            if self.bpe and (one := self.ids.get(run)) is not None and self.fits("", run):
-                ids = [one]
-            else:
-                ids = [i for p in self.path(run) for i in self._number(p)]
-            known = array("i", ids).tobytes()
+            ids, own = array("i"), self.ids
+            for p in self.path(run):
+                one = own.get(p)
+                if one is None:
+                    ids.extend(self._number(p))
+                else:
+                    ids.append(one)
+            known = ids.tobytes()
         return self._keep(run, known)
 
     def _stretch(self, stretch: str) -> bytes:
-        """The ids of a stretch, run by run."""
+        """The ids of a stretch. Where a word ends in characters that no piece joins to its last letter, both are runs."""
         if known := self._old.get(stretch):
             return self._keep(stretch, known)
-        pairs, runs, at = self.pairs, [], 0
-        for i in range(1, len(stretch)):
-            if stretch[i - 1 : i + 1] not in pairs:
-                runs.append(stretch[at:i])
-                at = i
-        if not runs:
+        m = WORD.match(stretch)
+        at = m.end() if m else 0
+        if not 0 < at < len(stretch) or stretch[at - 1 : at + 1] in self.pairs:
             return self._run(stretch)
-        runs.append(stretch[at:])
-        return self._keep(stretch, b"".join([self._run(r) for r in runs]))
+        return self._keep(stretch, self._run(stretch[:at]) + self._run(stretch[at:]))
 
     def encode_bytes(self, text: str) -> bytes:
         """The ids of a text as int32 bytes."""
@@ -232,14 +287,22 @@ class Pieces:
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), np.int32).tolist()
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: list[int] | np.ndarray) -> str:
         """The text of ids: control pieces are nothing, bytes are joined, and ids that aren't in the vocabulary are unknown."""
+        places = np.asarray(ids, np.int64)
+        if not len(places) or places.min() >= 0 and places.max() < len(self.names) and self._plain[places].all():
+            text = "".join(map(self._shown.__getitem__, places.tolist()))
+        else:
+            text = self._decode_each(places.tolist())
+        return text[1:] if self.dummy_prefix and text.startswith(" ") else text
+
+    def _decode_each(self, ids: list[int]) -> str:
         out, raw = [], bytearray()
-        names, kinds, n = self.names, self.kinds, len(self.names)
+        kinds, n = self.kinds, len(self.names)
         for i in ids:
             kind = kinds[i] if 0 <= i < n else UNKNOWN
             if kind == BYTE:
-                raw.append(int(names[i][3:5], 16))
+                raw.append(int(self.names[i][3:5], 16))
                 continue
             if raw:
                 out.append(raw.decode("utf-8", "replace"))
@@ -247,11 +310,10 @@ class Pieces:
             if kind == UNKNOWN:
                 out.append(" ⁇ ")
             elif kind != CONTROL:
-                out.append(names[i])
+                out.append(self._shown[i])
         if raw:
             out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(SPACE, " ")
-        return text[1:] if self.dummy_prefix and text.startswith(" ") else text
+        return "".join(out).replace(SPACE, " ")
 
 
 def encode(df: DataFrame, pieces: Pieces, text_col: str = "text", out: str = "ids") -> DataFrame:
@@ -315,7 +377,7 @@ def tokens(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
                 batch = whole.slice(k, 128)
                 texts = batch.column(1).to_pylist()
                 found = [b"" if x is None else one.encode_bytes(x) for x in texts]
-                same = [x is None or one.decode(np.frombuffer(y, np.int32).tolist()) == x for x, y in zip(texts, found, strict=True)]
+                same = [x is None or one.decode(np.frombuffer(y, np.int32)) == x for x, y in zip(texts, found, strict=True)]
                 ends = np.cumsum([0] + [len(x) // 4 for x in found]).astype(np.int32)
                 offsets = pa.array(ends, mask=np.array([*(x is None for x in texts), False]))
                 ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(found), np.int32)))
