@@ -16,12 +16,14 @@ stretches between are encoded alike wherever they stand, so those lately met are
 
 from __future__ import annotations
 
+import gc
 import re
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,14 +49,14 @@ class Pieces:
         self.unknown = next((i for i, k in enumerate(self.kinds) if k == UNKNOWN), 0)
         self.bytes = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == BYTE} if byte_fallback else {}
         self.longest = max(map(len, self.ids), default=1)
+        self._fits: dict[str, dict[str, bool]] = {}
+        self._n_fits = self._n_moves = 0
         self.pairs = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self._automaton()
         self._shown = [p.replace(SPACE, " ") for p in self.names]
         self._plain = np.array([k in (NORMAL, UNUSED) for k in self.kinds] or [False])
         self.cut_at_space = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.fallback = min(self.score.values(), default=0.0) - 10
-        self._fits: dict[str, dict[str, bool]] = {}
-        self._n_fits = self._n_moves = 0
         self._known, self._old = {}, {}
 
     @classmethod
@@ -73,7 +75,11 @@ class Pieces:
         return cls(rows, model.trainer_spec.model_type == 2, model.normalizer_spec.add_dummy_prefix, model.normalizer_spec.remove_extra_whitespaces, model.trainer_spec.byte_fallback)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_fits": {}, "_n_fits": 0, "_n_moves": 0, "_known": {}, "_old": {}}
+        return self.__dict__ | {"_known": {}, "_old": {}}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state
+        gc.freeze()  # a worker keeps the vocabulary, so its garbage collector need not walk it again and again
 
     def merged(self, symbols: list[str]) -> list[str]:
         """The symbols after all merges: the best score first, the leftmost of equal ones."""
@@ -95,8 +101,9 @@ class Pieces:
         known = after.get(right)
         if known is None:
             if self._n_fits >= MEMORY:
-                self._fits.clear()
-                self._n_fits, after = 0, self._after(left)
+                for x in self._fits.values():
+                    x.clear()
+                self._n_fits = 0
             known = after[right] = self.merged(list(left + right)) == ([left, right] if left else [right])
             self._n_fits += 1
         return known
@@ -105,12 +112,14 @@ class Pieces:
         """What is known of the pieces that may follow this one."""
         after = self._fits.get(left)
         if after is None:
-            after = self._fits[left] = {}
+            after = {}
+            if left in self.ids or not left:  # what is kept is bounded by the vocabulary
+                self._fits[left] = after
         return after
 
     def _automaton(self) -> None:
         """The pieces in a trie with links to the longest suffix that it also holds. moves[c][state] is where character c leads;
-        ends[state] the pieces that end there with their lengths, the longest first."""
+        ends[state] the pieces that end there, the longest first, with their lengths and what may follow them."""
         nexts: dict[str, set[str]] = {}
         for p in self.ids:
             for i in range(len(p)):
@@ -126,7 +135,7 @@ class Pieces:
                         up = link[up]
                     link.append(way.get(up, 0) if state else 0)
                     way[state] = to
-                    own = ((head + c, len(head) + 1),) if head + c in self.ids else ()
+                    own = ((head + c, len(head) + 1, self._after(head + c)),) if head + c in self.ids else ()
                     ends.append(own + ends[link[to]])
                     below[head + c] = to
             level = below
@@ -143,17 +152,14 @@ class Pieces:
             self._n_moves += 1
         return to
 
-    def path(self, text: str) -> Iterator[str]:
+    def path(self, text: str) -> Iterator[list[str]]:
         """The pieces of a text, given out as soon as they are final."""
-        if self.bpe:
-            yield from self._path_bpe(text)
-        else:
-            yield from self._path_unigram(text)
+        return self._path_bpe(text) if self.bpe else self._path_unigram(text)
 
     @staticmethod
-    def _shared(start: list[int], upto: int, live: set[int]) -> int:
-        """The last boundary, of places in start, that the back pointers of all live places lead to."""
-        live = live | {upto}
+    def _shared(start: list[int], upto: int, longest: int) -> int:
+        """The last boundary that the back pointers of all places lead to from which a piece can still end after upto."""
+        live = set(range(max(0, upto - longest + 1), upto + 1))
         while len(live) > 1:
             far = max(live)
             live.discard(far)
@@ -161,19 +167,21 @@ class Pieces:
         return live.pop()
 
     @staticmethod
-    def _back(start: list[int], end: int) -> list[int]:
-        """The ends of the pieces that lead from place 0 to end."""
+    def _back(text: str, start: list[int], end: int) -> list[str]:
+        """The pieces that lead from the first to the last place of text."""
         out = []
         while end:
-            out.append(end)
-            end = start[end]
-        return out[::-1]
+            at = start[end]
+            out.append(text[at:end])
+            end = at
+        out.reverse()
+        return out
 
-    def _path_bpe(self, text: str) -> Iterator[str]:
+    def _path_bpe(self, text: str) -> Iterator[list[str]]:
         """At each character the pieces that end there are asked from the longest on; the first that may follow the piece which
-        ends where it begins is the one. Lists hold the window: place i is position base + i."""
-        moves, ends, memo, longest, whole = self._moves, self._ends, self._fits, self.longest, len(text)
-        pieces, after, start, here, base, state = [""], [self._after("")], [0], 0, 0, 0
+        ends where it begins is the one. The lists hold the window: place i is position base + i."""
+        moves, ends, longest, whole = self._moves, self._ends, self.longest, len(text)
+        after, start, here, base, state, before = [self._after("")], [0], 0, 0, 0, ""
         for c in text:
             here += 1
             way = moves.get(c)
@@ -182,29 +190,29 @@ class Pieces:
             else:
                 to = way.get(state)
                 state = self._move(way, state) if to is None else to
-            for piece, n in ends[state]:
+            for piece, n, follow in ends[state]:
                 if n <= here:
-                    ok = after[here - n].get(piece)
-                    if ok or ok is None and self.fits(pieces[here - n], piece):
+                    at = here - n
+                    ok = after[at].get(piece)
+                    if ok or ok is None and self.fits(text[base + start[at] : base + at] if at else before, piece):
                         break
             else:
-                piece, n = c, 1
-            pieces.append(piece)
-            start.append(here - n)
-            follow = memo.get(piece)
-            after.append(self._after(piece) if follow is None else follow)
-            if here > LOOK and not here % LOOK and base + here < whole:
-                end = self._shared(start, here, set(range(max(0, here - longest + 1), here)))
+                at, follow = here - 1, self._after(c)
+            start.append(at)
+            after.append(follow)
+            if here >= LOOK and not here % LOOK and base + here < whole:
+                end = self._shared(start, here, longest)
                 if end:
-                    yield from [pieces[i] for i in self._back(start, end)]
-                    base, here = base + end, here - end
-                    pieces, after, start = pieces[end:], after[end:], [max(0, i - end) for i in start[end:]]
-        yield from [pieces[i] for i in self._back(start, here)]
+                    out = self._back(text[base : base + end], start, end)
+                    yield out
+                    before, base, here = out[-1], base + end, here - end
+                    after, start = after[end:], [max(0, i - end) for i in start[end:]]
+        yield self._back(text[base:], start, here)
 
-    def _path_unigram(self, text: str) -> Iterator[str]:
+    def _path_unigram(self, text: str) -> Iterator[list[str]]:
         """The best sum of scores; of equal ones the longest last piece."""
         moves, ends, score, longest, whole = self._moves, self._ends, self.score, self.longest, len(text)
-        best, pieces, start, here, base, state = [0.0], [""], [0], 0, 0, 0
+        best, start, here, base, state = [0.0], [0], 0, 0, 0
         for c in text:
             here += 1
             way = moves.get(c)
@@ -214,19 +222,18 @@ class Pieces:
                 to = way.get(state)
                 state = self._move(way, state) if to is None else to
             most = None
-            for x, n in ends[state] if c in score else (*ends[state], (c, 1)):
-                if n <= here and (most is None or best[here - n] + score.get(x, self.fallback) > most):
-                    most, piece, length = best[here - n] + score.get(x, self.fallback), x, n
+            for piece, n, _ in ends[state] if c in score else (*ends[state], (c, 1, None)):
+                if n <= here and (most is None or best[here - n] + score.get(piece, self.fallback) > most):
+                    most, at = best[here - n] + score.get(piece, self.fallback), here - n
             best.append(most)
-            pieces.append(piece)
-            start.append(here - length)
-            if here > LOOK and not here % LOOK and base + here < whole:
-                end = self._shared(start, here, set(range(max(0, here - longest + 1), here)))
+            start.append(at)
+            if here >= LOOK and not here % LOOK and base + here < whole:
+                end = self._shared(start, here, longest)
                 if end:
-                    yield from [pieces[i] for i in self._back(start, end)]
+                    yield self._back(text[base : base + end], start, end)
                     base, here = base + end, here - end
-                    best, pieces, start = best[end:], pieces[end:], [max(0, i - end) for i in start[end:]]
-        yield from [pieces[i] for i in self._back(start, here)]
+                    best, start = best[end:], [max(0, i - end) for i in start[end:]]
+        yield self._back(text[base:], start, here)
 
     def _number(self, piece: str) -> list[int]:
         """The ids of a character that is no piece."""
@@ -245,12 +252,13 @@ class Pieces:
         known = self._known.get(run) or self._old.get(run)
         if known is None:
             ids, own = array("i"), self.ids
-            for p in self.path(run):
-                one = own.get(p)
-                if one is None:
-                    ids.extend(self._number(p))
-                else:
-                    ids.append(one)
+            for some in self.path(run):
+                for p in some:
+                    one = own.get(p)
+                    if one is None:
+                        ids.extend(self._number(p))
+                    else:
+                        ids.append(one)
             known = ids.tobytes()
         return self._keep(run, known)
 
@@ -287,14 +295,29 @@ class Pieces:
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), np.int32).tolist()
 
-    def decode(self, ids: list[int] | np.ndarray) -> str:
-        """The text of ids: control pieces are nothing, bytes are joined, and ids that aren't in the vocabulary are unknown."""
-        places = np.asarray(ids, np.int64)
-        if not len(places) or places.min() >= 0 and places.max() < len(self.names) and self._plain[places].all():
-            text = "".join(map(self._shown.__getitem__, places.tolist()))
-        else:
-            text = self._decode_each(places.tolist())
-        return text[1:] if self.dummy_prefix and text.startswith(" ") else text
+    def decode_lists(self, lists: pa.ListArray) -> pa.Array:
+        """The text of each list of ids, null for null. Control pieces are nothing, bytes are joined, and ids that are null or
+        not in the vocabulary are unknown."""
+        ids = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
+        known = (ids >= 0) & (ids < len(self.names))
+        plain = known & self._plain[np.where(known, ids, 0)]
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        starts = np.cumsum(sizes) - sizes
+        offsets = pa.array(np.r_[starts, len(ids)].astype(np.int32), mask=np.r_[lists.is_null().to_numpy(zero_copy_only=False), False])
+        shown = pa.array(self._shown, pa.string()).take(pa.array(np.where(plain, ids, 0)))
+        out = pc.binary_join(pa.ListArray.from_arrays(offsets, shown), "")
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        odd = np.unique(owner[~plain])
+        if len(odd):
+            out = out.to_pylist()
+            for i in odd:
+                out[i] = self._decode_each(ids[starts[i] : starts[i] + sizes[i]].tolist())
+            out = pa.array(out, pa.string())
+        return pc.replace_substring_regex(out, "^ ", "", max_replacements=1) if self.dummy_prefix else out
+
+    def decode(self, ids: list[int]) -> str:
+        """The text of ids."""
+        return self.decode_lists(pa.array([ids], pa.list_(pa.int64())))[0].as_py()
 
     def _decode_each(self, ids: list[int]) -> str:
         out, raw = [], bytearray()
@@ -316,45 +339,54 @@ class Pieces:
         return "".join(out).replace(SPACE, " ")
 
 
-def encode(df: DataFrame, pieces: Pieces, text_col: str = "text", out: str = "ids") -> DataFrame:
-    """df and a column `out`: array<int> of each whole text's ids. A null text has null, an empty one no ids; rows stand
-    alone, so repeated rows and hot keys change nothing. A column named `out` is replaced."""
-    rest = [c for c in df.columns if c != out]
+def _lists(found: list[bytes], texts: list[str | None]) -> pa.ListArray:
+    """int32 bytes as lists, null where the text is."""
+    ends = np.cumsum([0] + [len(x) // 4 for x in found]).astype(np.int32)
+    offsets = pa.array(ends, mask=np.array([*(x is None for x in texts), False]))
+    return pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(found), np.int32)))
+
+
+def _by_rows(df: DataFrame, col: str, out: list[tuple[str, str]], of) -> DataFrame:
+    """df and the columns `out` (name, type): of(values of col) gives their arrays. Columns of these names are replaced."""
+    names = [n for n, _ in out]
+    rest = [c for c in df.columns if c not in names or c == col]
     plain = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)])
-    at, shipped = rest.index(text_col), df.sparkSession.sparkContext.broadcast(pieces)  # bounded by the vocabulary
+    at = rest.index(col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = shipped.value
         for whole in batches:
             for k in range(0, whole.num_rows, 128):
                 batch = whole.slice(k, 128)
-                texts = batch.column(at).to_pylist()
-                found = [b"" if x is None else one.encode_bytes(x) for x in texts]
-                ends = np.cumsum([0] + [len(x) // 4 for x in found]).astype(np.int32)
-                offsets = pa.array(ends, mask=np.array([*(x is None for x in texts), False]))
-                ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(found), np.int32)))
-                yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[f"c{i}" for i in range(len(rest) + 1)])
+                cols = [*batch.columns, *of(batch.column(at))]
+                yield pa.RecordBatch.from_arrays(cols, names=[f"c{i}" for i in range(len(cols))])
+
+    schema = ", ".join([f"c{i} {x.dataType.simpleString()}" for i, x in enumerate(plain.schema)] + [f"c{len(rest) + i} {t}" for i, (_, t) in enumerate(out)])
+    found = plain.mapInArrow(run, schema).toDF(*rest, *[f"__new{i}" for i in range(len(out))])
+    return found.select(*[F.col(f"`{c}`") for c in rest if c not in names], *[F.col(f"__new{i}").alias(n) for i, n in enumerate(names)])
 
-    schema = ", ".join([f"c{i} {x.dataType.simpleString()}" for i, x in enumerate(plain.schema)] + [f"c{len(rest)} array<int>"])
-    return plain.mapInArrow(run, schema).toDF(*rest, out)
+
+def encode(df: DataFrame, pieces: Pieces, text_col: str = "text", out: str = "ids") -> DataFrame:
+    """df and a column `out`: array<int> of each whole text's ids. A null text has null, an empty one no ids; rows stand
+    alone, so ties, repeated rows and hot keys change nothing, and an empty table gives an empty one. A column named `out` is
+    replaced; other columns may have any name."""
+    shipped = df.sparkSession.sparkContext.broadcast(pieces)  # bounded by the vocabulary
+
+    def of(texts: pa.Array) -> list[pa.Array]:
+        values = texts.to_pylist()
+        return [_lists([b"" if x is None else shipped.value.encode_bytes(x) for x in values], values)]
+
+    return _by_rows(df, text_col, [(out, "array<int>")], of)
 
 
 def decode(df: DataFrame, pieces: Pieces, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
-    """df and a column `out`: the text of each row's ids; null for null, null ids among others are unknown."""
-    rest = [c for c in df.columns if c != out]
-    plain = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)])
-    at, shipped = rest.index(ids_col), df.sparkSession.sparkContext.broadcast(pieces)
+    """df and a column `out`: the text of each row's ids; null for null, an empty text for no ids. Ids that are null or not in
+    the vocabulary are unknown. Rows stand alone, and an empty table gives an empty one. A column named `out` is replaced."""
+    shipped = df.sparkSession.sparkContext.broadcast(pieces)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = shipped.value
-        for whole in batches:
-            for k in range(0, whole.num_rows, 128):
-                batch = whole.slice(k, 128)
-                texts = [None if x is None else one.decode([-1 if i is None else i for i in x]) for x in batch.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[f"c{i}" for i in range(len(rest) + 1)])
+    def of(lists: pa.Array) -> list[pa.Array]:
+        return [shipped.value.decode_lists(lists)]
 
-    schema = ", ".join([f"c{i} {x.dataType.simpleString()}" for i, x in enumerate(plain.schema)] + [f"c{len(rest)} string"])
-    return plain.mapInArrow(run, schema).toDF(*rest, out)
+    return _by_rows(df, ids_col, [(out, "string")], of)
 
 
 #: Where the model of the query is, unless spark.weir.pieces names another.
@@ -367,24 +399,21 @@ def model_of(spark) -> Pieces:
 
 def tokens(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, ids, n_ids, round_trip) for every row: encode and decode in one pass over the texts. round_trip says whether
-    the ids give the very text again, which they don't where it holds the character that stands for a space."""
-    plain, shipped = docs.select(id_col, text_col), docs.sparkSession.sparkContext.broadcast(pieces)
+    the ids give the very text again, which they don't where it holds the character that stands for a space.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = shipped.value
-        for whole in batches:
-            for k in range(0, whole.num_rows, 128):
-                batch = whole.slice(k, 128)
-                texts = batch.column(1).to_pylist()
-                found = [b"" if x is None else one.encode_bytes(x) for x in texts]
-                same = [x is None or one.decode(np.frombuffer(y, np.int32)) == x for x, y in zip(texts, found, strict=True)]
-                ends = np.cumsum([0] + [len(x) // 4 for x in found]).astype(np.int32)
-                offsets = pa.array(ends, mask=np.array([*(x is None for x in texts), False]))
-                ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(found), np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(np.diff(ends), pa.int64()), pa.array(same)], names=["id", "ids", "n_ids", "round_trip"])
-
-    kind = plain.schema[0].dataType.simpleString()
-    return plain.mapInArrow(run, f"id {kind}, ids array<int>, n_ids long, round_trip boolean").withColumnRenamed("id", id_col)
+    A null text has null ids, n_ids 0 and comes back as null, an empty one has no ids. Rows stand alone: null and repeated
+    ids, ties and equal texts are rows like others, and an empty table gives an empty one."""
+    shipped = docs.sparkSession.sparkContext.broadcast(pieces)
+
+    def of(texts: pa.Array) -> list[pa.Array]:
+        one, values = shipped.value, texts.to_pylist()
+        ids = _lists([b"" if x is None else one.encode_bytes(x) for x in values], values)
+        same = pc.fill_null(pc.equal(one.decode_lists(ids), texts), True)
+        return [ids, pc.cast(pc.fill_null(pc.list_value_length(ids), 0), pa.int64()), same]
+
+    plain = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    found = _by_rows(plain, "text", [("ids", "array<int>"), ("n_ids", "long"), ("round_trip", "boolean")], of)
+    return found.select(F.col("id").alias(id_col), "ids", "n_ids", "round_trip")
 
 
 def op2_pieces(spark, sf_dir: str) -> DataFrame:
