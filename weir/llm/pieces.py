@@ -152,8 +152,12 @@ class Pieces:
             self._n_moves += 1
         return to
 
-    def path(self, text: str) -> Iterator[list[str]]:
+    def path(self, text: str) -> Iterator[str]:
         """The pieces of a text, given out as soon as they are final."""
+        for some in self._path(text):
+            yield from some
+
+    def _path(self, text: str) -> Iterator[list[str]]:
         return self._path_bpe(text) if self.bpe else self._path_unigram(text)
 
     @staticmethod
@@ -252,7 +256,7 @@ class Pieces:
         known = self._known.get(run) or self._old.get(run)
         if known is None:
             ids, own = array("i"), self.ids
-            for some in self.path(run):
+            for some in self._path(run):
                 for p in some:
                     one = own.get(p)
                     if one is None:
