@@ -9,6 +9,7 @@ pass the radius. Each group returns the links as stars, and components() joins t
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from itertools import repeat
 
@@ -264,18 +265,21 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 # Near-duplicates by the share of common shingles. Copies that share four fifths of their shingles differ in 4 to 14 of 64
-# bits, and in more where shingles are few or repeated, too many for blocks of equal bits; so rows are dealt by bands of least
-# hashes instead, and all pairs of a band are compared by them before an exact test.
+# bits, and in more where shingles are few, too many for blocks of equal bits; so rows are dealt by bands of least hashes.
+# In a band they stand in the Gray order of their fingerprints, and an index as above, of masked bytes of the sketch, leaves
+# out whole groups; what remains is tested exactly.
 
-#: Bands, and least hashes of each.
-BANDS, ROWS = 14, 3
+#: Bands, and least hashes of each; the same of the finer bands that a band of more than MEET texts is cut by.
+BANDS, ROWS, FINER, FINER_ROWS = 14, 3, 6, 4
 #: Of the least hashes, the share that must agree before a closer look; pairs of a row that are tested in the first round;
-#: rows of a band that meet at a time; beyond that they are cut into blocks of half as many, and each two blocks meet.
-AGREE, TESTS, MEET = 0.5, 4, 4_096
+#: texts of a band that are looked at together; and of a band above which neighbours and hubs are linked before the rest.
+AGREE, TESTS, MEET, CROWD = 0.5, 4, 1_024, 256
 #: Bins of the closer look, and how far below the similarity its estimate may be. At 0.8 the bands miss 43 of a million pairs,
-#: AGREE another 3.2 (fewer than 21 of 42 agree) and SLACK 1.5 (fewer than 758 of 1,024 bins): 48 in all at most.
+#: AGREE another 3.2 (fewer than 21 of 42 agree) and SLACK 1.5 (fewer than 758 of 1,024 bins): 48 in all at most. Where all
+#: 14 bands of a pair hold over MEET texts, the finer bands miss 79 of a million instead of 43, and 780 if all of those do too.
 BINS, SLACK = 1_024, 0.06
-_MIX = np.random.default_rng(SEED).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MIX = np.random.default_rng(SEED).integers(1, 1 << 63, BANDS * ROWS + FINER * FINER_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+PLACES = BANDS * ROWS
 
 
 def _binned(hashes: np.ndarray) -> np.ndarray:
@@ -288,17 +292,18 @@ def _binned(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketch(text: str | None, shingle: int) -> tuple[np.ndarray, bytes, bytes]:
-    """(keys of the bands, one byte of each least hash, one byte of each bin)."""
-    least, parts = np.full(len(_MIX), np.iinfo(np.uint64).max), []
-    for hashes in _hashes(text, shingle):
-        parts.append(hashes)
-        for at in range(0, len(hashes), 4_096):
-            part = hashes[at : at + 4_096, None] * _MIX
-            np.minimum(least, (part ^ (part >> np.uint64(32))).min(axis=0), out=least)
-    bands = least.reshape(BANDS, ROWS)
-    keys = np.array([xxhash.xxh64_intdigest(bands[i].tobytes(), i) for i in range(BANDS)], np.uint64)
-    return keys.view(np.int64), (least >> np.uint64(24)).astype(np.uint8).tobytes(), _binned(np.concatenate([least[:0], *parts])).tobytes()
+def sketch(text: str | None, shingle: int) -> tuple[int, np.ndarray, np.ndarray, bytes, bytes]:
+    """(Gray rank of the fingerprint of distinct shingles, keys of the finer bands, keys of the bands, one byte of each least
+    hash of the bands, one byte of each bin)."""
+    hashes = np.unique(np.concatenate([np.empty(0, np.uint64), *_hashes(text, shingle)]))
+    least = np.full(len(_MIX), np.iinfo(np.uint64).max)
+    for at in range(0, len(hashes), 4_096):
+        part = hashes[at : at + 4_096, None] * _MIX
+        np.minimum(least, (part ^ (part >> np.uint64(32))).min(axis=0), out=least)
+    key = lambda rows: np.array([xxhash.xxh64_intdigest(x.tobytes(), i) for i, x in enumerate(rows)], np.uint64).view(np.int64)
+    rank = gray_rank(np.array([_bits(hashes[at : at + SLICE] for at in range(0, len(hashes), SLICE))], np.uint64)).view(np.int64)[0]
+    bands, finer = least[:PLACES].reshape(BANDS, ROWS), least[PLACES:].reshape(FINER, FINER_ROWS)
+    return int(rank), key(finer), key(bands), (least[:PLACES] >> np.uint64(24)).astype(np.uint8).tobytes(), _binned(hashes).tobytes()
 
 
 def _node(text_col: str):
@@ -307,27 +312,19 @@ def _node(text_col: str):
 
 
 def sketches(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
-    """(node, keys, sketch, bins) for every distinct text of df."""
+    """(node, rank, finer, keys, sketch, bins) for every distinct text of df."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for k in range(0, whole.num_rows, 1_000):
                 batch = whole.slice(k, 1_000)
                 found = [sketch(x.as_py(), shingle) for x in batch.column(1)]
-                rest = [pa.array([f[0] for f in found], pa.list_(pa.int64())), *(pa.array([f[i] for f in found], pa.binary()) for i in (1, 2))]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *rest], names=["node", "keys", "sketch", "bins"])
+                kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary())
+                rest = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *rest], names=["node", "rank", "finer", "keys", "sketch", "bins"])
 
-    return df.select(_node(text_col).alias("node"), text_col).mapInArrow(run, "node long, keys array<long>, sketch binary, bins binary").dropDuplicates(["node"])
-
-
-def _places(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """In how many places each row of x agrees with each row of y."""
-    if len(x) * len(y) < 1_000:
-        return (x[:, None] == y[None]).sum(axis=2)
-    out = np.zeros((len(x), len(y)), np.uint8)
-    for a, b in zip(np.ascontiguousarray(x.T), np.ascontiguousarray(y.T), strict=True):
-        out += a[:, None] == b[None]
-    return out
+    one = df.select(_node(text_col).alias("node"), text_col)
+    return one.mapInArrow(run, "node long, rank long, finer array<long>, keys array<long>, sketch binary, bins binary").dropDuplicates(["node"])
 
 
 def _agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -363,132 +360,243 @@ def shingle_sets(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
     return df.select("node", text_col).mapInArrow(run, "node long, hashes array<long>")
 
 
-def _to_test(turn: int, least: float):
-    """From rows (k, node, marks, root, side) by k and node, where marks are the sketch, with the bins after it in later turns, and where only unlike sides meet if a k has both: (a, b, null) pairs of unlike roots to test in this turn,
-    (null, null, k) for each k that has pairs left for a later one, and in the first turn (a, null, null) for each text that
-    has a candidate. Each turn tests four times as many pairs of a row; the order by bins is another one and begins at its first place."""
-    step = max(0, turn - 1)
-    low, high = TESTS * (4**step - 1) // 3, TESTS * (4 ** (step + 1) - 1) // 3
-
-    def meet(nodes: np.ndarray, marks: np.ndarray, roots: np.ndarray, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool, np.ndarray]:
-        """A row's candidates stand in a fixed order, those first that are like it and like many others, such as the text that
-        copies were made of. Each turn takes the next of them; those of its own root fall out."""
-        n, halves = len(nodes), bool(sides.any())
-        like = np.zeros((n, n), np.float32)
-        for at in range(0, n, 256):
-            same = _places(marks[at : at + 256, : len(_MIX)], marks[at:, : len(_MIX)])
-            i, j = np.nonzero(same >= AGREE * len(_MIX))
-            later = (i < j) & (sides[i + at] != sides[j + at]) if halves else i < j
-            i, j = i[later], j[later]
-            if not turn:
-                like[i + at, j + at] = same[i, j] / np.float32(len(_MIX))
-            for k in range(0, len(i) if turn else 0, 10_000):
-                x, y = i[k : k + 10_000] + at, j[k : k + 10_000] + at
-                close = _agree(marks[x, len(_MIX) :], marks[y, len(_MIX) :])
-                like[x, y] = np.where(close >= least, close, 0)
-        like += like.T.copy()  # only one of both is set
-        liked, counts = like.sum(axis=0) / n, np.count_nonzero(like, axis=1)
-        a, b, left = [], [], False
-        for at in range(0, n, 256):
-            part = like[at : at + 256]
-            order = np.argsort(np.where(part > 0, -part - liked, np.inf), axis=1, kind="stable")  # ties: by node
-            place = np.arange(n)
-            apart = (place < counts[at : at + 256, None]) & (roots[at : at + 256, None] != roots[order])
-            left = left or bool(apart[:, high:].any())
-            own, nth = np.nonzero(apart[:, low:high])
-            a.append(nodes[own + at])
-            b.append(nodes[order[own, nth + low]])
-        return np.concatenate(a), np.concatenate(b), left, nodes[counts > 0] if not turn else nodes[:0]
+def _near_places(marks: np.ndarray, roots: np.ndarray, least: int, visit: Callable[[np.ndarray, np.ndarray, np.ndarray], None]) -> None:
+    """Calls visit(i, j, places) with all rows i < j of unlike roots whose marks agree in `least` places or more, some at a
+    time. Leaves are runs of rows; an upper node holds the places in which all below agree, and pairs of nodes that differ in
+    too many of them are left out with all that is below, as are those of a single root."""
+    n, most = len(marks), marks.shape[1] - least
+    starts = np.arange(0, n, LEAF)
+    low, high = np.minimum.reduceat(marks, starts), np.maximum.reduceat(marks, starts)
+    levels = [(low, low == high, np.minimum.reduceat(roots, starts), np.maximum.reduceat(roots, starts))]
+    while len(levels[-1][0]) > 1:
+        starts = np.arange(0, len(levels[-1][0]), FAN)
+        low, high = np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts)
+        levels.append((low, low == high, np.minimum.reduceat(levels[-1][2], starts), np.maximum.reduceat(levels[-1][3], starts)))
+    span = np.arange(LEAF)
+
+    def leaves(u: np.ndarray, v: np.ndarray) -> None:
+        for at in range(0, len(u), 64):
+            i, j = np.broadcast_arrays((u[at : at + 64, None] * LEAF + span)[:, :, None], (v[at : at + 64, None] * LEAF + span)[:, None, :])
+            ok = (i < j) & (j < n)
+            i, j = i[ok], j[ok]
+            apart = roots[i] != roots[j]
+            i, j = i[apart], j[apart]
+            places = (marks[i] == marks[j]).sum(axis=1)
+            near = places >= least
+            visit(i[near], j[near], places[near])
+
+    def down(level: int, u: np.ndarray, v: np.ndarray) -> None:
+        low, same, first, last = levels[level]
+        ok = ((low[u] != low[v]) & same[u] & same[v]).sum(axis=1) <= most
+        ok &= (first[u] != last[u]) | (first[v] != last[v]) | (first[u] != first[v])
+        u, v = u[ok], v[ok]
+        if not level:
+            return leaves(u, v)
+        below = len(levels[level - 1][0])
+        a, b = np.divmod(np.arange(FAN * FAN), FAN)
+        for at in range(0, len(u), 1_024):
+            cu, cv = (u[at : at + 1_024, None] * FAN + a).ravel(), (v[at : at + 1_024, None] * FAN + b).ravel()
+            ok = (cu <= cv) & (cv < below)
+            down(level - 1, cu[ok], cv[ok])
+
+    down(len(levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
+def _by_key(of: Callable[..., tuple], names: list[str]):
+    """An Arrow function that calls `of` with the arrays of each run of an equal first column, which follow one another; it
+    gives arrays of longs, null where a mask of them says so."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(parts: list, more: list) -> pa.RecordBatch:
-            a, b = (np.concatenate([p[i] for p in parts] or [np.empty(0, np.int64)]) for i in (0, 1))
-            first, second = np.minimum(a, b), np.maximum(a, b)
-            met = np.concatenate([p[2] for p in parts] or [a[:0]]).tolist()
-            cols = [*first.tolist(), *met, *[None] * len(more)], [*second.tolist(), *[None] * (len(met) + len(more))], [*[None] * (len(a) + len(met)), *more]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["a", "b", "more"])
-
-        def groups(whole: list[list[np.ndarray]]) -> pa.RecordBatch:
-            parts, more = [], []
-            for k, *rest in whole:
-                a, b, left, met = meet(*rest)
-                parts.append((a, b, met))
-                if left:
-                    more.append(int(k[0]))
-            return out(parts, more)
+        def out(parts: list[tuple]) -> pa.RecordBatch:
+            cols = [np.concatenate([p[i] for p in parts] or [np.empty(0, np.int64)]) for i in range(len(names))]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
 
         held: list[np.ndarray] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3, 4)]
-            cols.insert(2, np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(batch.num_rows, -1))
+            cols = [_matrix(c) if pa.types.is_binary(c.type) else c.to_numpy(zero_copy_only=False) for c in batch.columns]
             held = [np.concatenate(x) for x in zip(held, cols, strict=True)] if held else cols
             starts = np.flatnonzero(np.r_[True, held[0][1:] != held[0][:-1]])
-            yield groups([[x[s:e] for x in held] for s, e in zip(starts, starts[1:], strict=False) if e - s > 1])
+            yield out([of(*(x[s:e] for x in held)) for s, e in zip(starts, starts[1:], strict=False) if e - s > 1])
             held = [x[starts[-1] :] for x in held]  # the last key may go on
         if held and len(held[0]) > 1:
-            yield groups([held])
+            yield out([of(*held)])
 
     return run
 
 
+def _neighbours(keys: np.ndarray, nodes: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From the rows of a band in Gray order, pairs (a, b): each with the next two, and with the two that agree best with what
+    the most agree in, such as the text that copies were made of. 4,096 rows are looked at together."""
+    a, b = [nodes[:0]], [nodes[:0]]
+    for at in range(0, len(nodes), 4_096):
+        own, part = nodes[at : at + 4_096], marks[at : at + 4_096]
+        usual = np.array([np.bincount(part[:, c], minlength=256).argmax() for c in range(part.shape[1])], np.uint8)
+        hubs = np.argsort(-(part == usual).sum(axis=1), kind="stable")[:2]
+        every = np.arange(len(own))
+        for i, j in [(every[:-1], every[1:]), (every[:-2], every[2:]), *((every, np.full(len(own), h)) for h in hubs)]:
+            near = ((part[i] == part[j]).sum(axis=1) >= AGREE * part.shape[1]) & (own[i] != own[j])
+            a.append(own[i[near]])
+            b.append(own[j[near]])
+    a, b = np.concatenate(a), np.concatenate(b)
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+#: What stands for null in arrays of longs of nodes and keys; it is a hash of nothing with a chance of 1 in 2 ** 64.
+NONE = -(1 << 63)
+
+
+def _to_test(turn: int, least: float):
+    """From rows (k, node, root, side, sketch) of a band in Gray order, and their bins in later turns; only unlike sides meet
+    if a k has both: (a, b, NONE), pairs of unlike roots to test in this turn, and (NONE, NONE, k) for each k that has pairs
+    left for a later one. Each turn takes four times as many pairs of a row."""
+    high = TESTS * 4**turn
+
+    def meet(keys: np.ndarray, nodes: np.ndarray, roots: np.ndarray, sides: np.ndarray, marks: np.ndarray, bins: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A row's candidates are taken in an order: those first that are like it and like many others."""
+        halves, found = bool(sides.any()) and not sides.all(), []
+
+        def visit(i: np.ndarray, j: np.ndarray, places: np.ndarray) -> None:
+            if halves:
+                across = sides[i] != sides[j]
+                i, j, places = i[across], j[across], places[across]
+            like = places / np.float64(marks.shape[1])
+            if bins is not None:
+                like = np.concatenate([like[:0], *(_agree(bins[i[k : k + 10_000]], bins[j[k : k + 10_000]]) for k in range(0, len(i), 10_000))])
+                close = like >= least
+                i, j, like = i[close], j[close], like[close]
+            found.append((i, j, like))
+
+        _near_places(marks, roots, math.ceil(AGREE * marks.shape[1]), visit)
+        i, j, like = (np.concatenate([x[c] for x in found] or [np.empty(0, np.int64)]) for c in range(3))
+        own, other, like = np.r_[i, j], np.r_[j, i], np.r_[like, like]
+        worth = like + np.bincount(own, like, len(nodes))[other] / len(nodes)
+        order = np.lexsort((nodes[other], -worth, own))
+        own, other = own[order], other[order]
+        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else own
+        nth = np.arange(len(own)) - np.repeat(first, np.diff(np.r_[first, len(own)]))
+        now = nth < high
+        a, b = nodes[own[now]], nodes[other[now]]
+        more = keys[:1] if not now.all() else keys[:0]
+        none = np.full(len(more), NONE)
+        return np.r_[np.minimum(a, b), none], np.r_[np.maximum(a, b), none], np.r_[np.full(len(a), NONE), more]
+
+    return _by_key(meet, ["a", "b", "more"])
+
+
 def in_blocks(dealt: DataFrame) -> DataFrame:
-    """dealt (k, node, ...) with `side`. Where more than MEET texts share a k, they are cut into blocks of half that, and each
-    two blocks meet under a k of their own, one as side 0 and one as side 1: all pairs meet, in bounded groups."""
-    counted = dealt.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > MEET)
-    hot = small(staged(counted.select("k", F.ceil(F.col("n") * 2 / MEET).cast("int").alias("blocks")), "hot"))
-    if hot.isEmpty():
-        return dealt.withColumn("side", F.lit(0))
-    cold = dealt.join(hot, "k", "left_anti").withColumn("side", F.lit(0))
-    cut = dealt.join(hot, "k").withColumn("own", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int"))
-    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cut = cut.withColumn("k", F.xxhash64("k", F.least("own", "other"), F.greatest("own", "other"))).withColumn("side", (F.col("own") > F.col("other")).cast("int"))
-    return cold.unionByName(cut.select(*cold.columns))
+    """dealt (k, node, n), n texts in a k, as (k, node, side): each k is cut into blocks of half of MEET, and each two blocks
+    meet under a k of their own, one as side 0 and one as side 1, so that all pairs meet in bounded groups."""
+    blocks = F.ceil(F.col("n") * 2 / MEET).cast("int")
+    cut = dealt.withColumn("own", F.pmod(F.xxhash64("node", F.lit("block")), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return cut.select(F.xxhash64("k", F.least("own", "other"), F.greatest("own", "other")).alias("k"), "node", (F.col("own") > F.col("other")).cast("int").alias("side"))
 
 
 def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(id_col, node, component_id, root) like near_components, where texts link if the sets of their shingles have a Jaccard
-    similarity of `similarity` or more; node is a hash of the words. Each link is tested exactly on whole sets.
-
-    Texts that should link share a band's key and pass both looks but for 5 of 100,000 at 0.8. A text's candidates are tested a few at a time,
-    the likeliest first, and those that links have joined meanwhile need no test, so a group of copies isn't expanded into
-    pairs. Rounds go on until no pair is left.
+    similarity of `similarity` or more; node is a hash of the text. Each link is tested exactly on whole sets.
+
+    Texts that should link share a band's key and pass both looks but for 5 of 100,000 at 0.8 (8 of 10,000 in a crowd that no
+    band takes apart). Texts of a large band are first tested against their neighbours in Gray order and against hubs; bands
+    whose texts are linked by then go, and what is left of large ones is cut by finer bands. A text's candidates are tested a
+    few at a time, the likeliest first, and those that links have joined meanwhile need no test, so a group of copies isn't
+    expanded into pairs. Rounds go on until no pair is left. Null and blank texts are alike; nulls among ids, repeated rows
+    and empty tables are as in near_components.
     """
-    rows = staged(df.select(id_col, _node(text_col).alias("node")), "nodes")
+    rows = staged(df.select(F.col(f"`{id_col}`"), _node(text_col).alias("node")), "nodes")
     one = staged(sketches(df, text_col, shingle), "sketches")
-
-    def edges(_: DataFrame) -> DataFrame:
-        todo = in_blocks(one.select("node", "sketch", F.explode("keys").alias("k")))
-        found, sets, turn, n, roots = None, None, 0, 0, None
+    return _spread(rows, id_col, lambda _: _Links(df, one, text_col, shingle, similarity).all())
+
+
+class _Links:
+    """The links found so far between the texts of `one` (see sketches)."""
+
+    def __init__(self, df: DataFrame, one: DataFrame, text_col: str, shingle: int, similarity: float):
+        self.df, self.one, self.text_col, self.shingle, self.similarity = df, one, text_col, shingle, similarity
+        self.found = self.roots = self.tested = self.sets = self.bins = None
+
+    def rooted(self, groups: DataFrame) -> DataFrame:
+        """groups with the root of each node so far."""
+        if self.roots is None:
+            return groups.withColumn("root", F.col("node"))
+        return groups.join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    def apart(self, groups: DataFrame) -> DataFrame:
+        """groups (k, node, ...) with root and the number n of texts, without those k that have a single root."""
+        rooted = self.rooted(groups)
+        sizes = rooted.groupBy("k").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("k", "n")
+        return rooted.join(sizes, "k")
+
+    def _of(self, nodes: DataFrame) -> None:
+        """Bins and sets of nodes that have none yet."""
+        if self.bins is not None:
+            nodes = nodes.join(self.bins.select("node"), "node", "left_anti")
+        nodes = staged(nodes, "needed")
+        texts = self.df.select(_node(self.text_col).alias("node"), self.text_col).join(small(nodes, BROADCAST_IDS), "node", "left_semi").dropDuplicates(["node"])
+        bins, sets = staged(self.one.select("node", "bins").join(small(nodes, BROADCAST_IDS), "node", "left_semi"), "bins"), staged(shingle_sets(texts, self.text_col, self.shingle), "sets")
+        self.bins, self.sets = (bins, sets) if self.bins is None else (self.bins.unionByName(bins), self.sets.unionByName(sets))
+
+    def test(self, pairs: DataFrame, new: bool) -> None:
+        """Adds those of pairs (a, b) that pass; new: whether they may hold nodes that no pair has held."""
+        if self.tested is not None:
+            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
+        pairs = staged(pairs.distinct(), "pairs")
+        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
+        if new:
+            self._of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        close = staged(alike(pairs, self.bins, self.similarity - SLACK), "close")
+        left, right = (self.sets.select(F.col("node").alias(c), F.col("hashes").alias(f"{c}s")) for c in "ab")
+        both = F.size(F.array_intersect("as", "bs"))
+        passed = close.join(left, "a").join(right, "b").where(both >= F.lit(self.similarity) * (F.size("as") + F.size("bs") - both)).select("a", "b")
+        passed = staged(passed, "found")
+        if not passed.isEmpty():
+            self.found = passed if self.found is None else self.found.unionByName(passed)
+            self.roots = staged(components(self.found), "so-far")
+
+    def cut(self, large: DataFrame) -> DataFrame:
+        """(k, node, side) groups of at most MEET texts from large bands (k, node): those in which more than one root is left,
+        cut by finer bands, twice if need be, and what is too large still in blocks."""
+        out = None
+        for depth in range(3):
+            left = staged(self.apart(large).select("k", "node", "n"), "apart")
+            ready = left.where(F.col("n") <= MEET).select("k", "node", F.lit(0).alias("side"))
+            out = ready if out is None else out.unionByName(ready)
+            left = left.where(F.col("n") > MEET)
+            if left.isEmpty():
+                return out
+            if depth < 2:
+                finer = left.join(self.one.select("node", F.posexplode("finer").alias("i", "f")), "node")
+                large = finer.select(F.xxhash64("k", "i", "f").alias("k"), "node")
+        return out.unionByName(in_blocks(left))
+
+    def all(self) -> DataFrame:
+        dealt = self.one.select("node", F.explode("keys").alias("k"))
+        sizes = dealt.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
+        bands = staged(dealt.join(sizes, "k"), "bands")
+        marks = self.one.select("node", "rank", "sketch")
+        todo = bands.where(F.col("n") <= CROWD).select("k", "node", F.lit(0).alias("side"))
+        large = bands.where(F.col("n") > CROWD).select("k", "node")
+        if not large.isEmpty():
+            ordered = staged(large.join(marks, "node"), "crowds").repartitionByRange("k", "rank", "node").sortWithinPartitions("k", "rank", "node").select("k", "node", "sketch")
+            self.test(ordered.mapInArrow(_by_key(_neighbours, ["a", "b"]), "a long, b long"), True)
+            todo = staged(todo.unionByName(self.cut(large)), "todo")
+        turn = 0
         while True:
-            rooted = todo.withColumn("root", F.col("node"))
-            if found is not None:
-                if (now := found.count()) > n:
-                    n, roots = now, staged(components(found), "so-far")
-            if roots is not None:
-                rooted = todo.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            marked = rooted.withColumn("marks", F.col("sketch")) if not turn else rooted.join(bins, "node").withColumn("marks", F.concat("sketch", "bins"))
-            ordered = marked.select("k", "node", "marks", "root", "side").repartition("k").sortWithinPartitions("k", "node")
-            out = staged(ordered.mapInArrow(_to_test(turn, similarity - SLACK), "a long, b long, more long"), "candidates")
-            pairs = staged(out.where("b is not null").select("a", "b").distinct(), "pairs")
-            if sets is None:  # of all texts that have a candidate
-                needed = staged(out.where("a is not null").select(F.col("a").alias("node")).distinct(), "needed")
-                bins = staged(one.select("node", "bins").join(small(needed, BROADCAST_IDS), "node", "left_semi"), "bins")
-                texts = df.select(_node(text_col).alias("node"), text_col).join(small(needed, BROADCAST_IDS), "node", "left_semi").dropDuplicates(["node"])
-                sets = staged(shingle_sets(texts, text_col, shingle), "sets")
-            close = pairs if turn else staged(alike(pairs, bins, similarity - SLACK), "close")
-            left, right = (sets.select(F.col("node").alias(c), F.col("hashes").alias(f"{c}s")) for c in "ab")
-            both = F.size(F.array_intersect("as", "bs"))
-            passed = close.join(left, "a").join(right, "b").where(both >= F.lit(similarity) * (F.size("as") + F.size("bs") - both)).select("a", "b")
-            found = staged(passed if found is None else found.unionByName(passed), "found")
-            again = staged(out.where("more is not null").select(F.col("more").alias("k")).distinct(), "again")
+            marked = self.apart(todo).join(marks if not turn else marks.join(self.bins, "node"), "node")
+            cols = ["k", "node", "root", "side", "sketch", *["bins"] * bool(turn)]
+            ordered = marked.repartition("k").sortWithinPartitions("k", "rank", "node").select(*cols)
+            out = staged(ordered.mapInArrow(_to_test(turn, self.similarity - SLACK), "a long, b long, more long"), "candidates")
+            self.test(out.where(F.col("a") != NONE).select("a", "b"), not turn)
+            again = staged(out.where(F.col("more") != NONE).select(F.col("more").alias("k")).distinct(), "again")
             if again.isEmpty():
-                return found
+                return self.found if self.found is not None else self.tested.limit(0)
             todo, turn = staged(todo.join(small(again, BROADCAST_IDS), "k", "left_semi"), "todo"), turn + 1
 
-    return _spread(rows, id_col, edges)
-
 
 def representatives(df: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df with one row of each of `groups`, which similar_components has found in df: that with the least id; where the group
