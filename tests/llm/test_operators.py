@@ -295,7 +295,24 @@ def test_topk(spark):
     assert sorted(got) == sorted(want)
     assert topk.nearest(df.limit(0)).count() == 0
     q, x, pivots = (rng.integers(-50, 50, (n, 6)).astype(float) for n in (5, 40, 4))
-    assert (topk.bounds(q, x, pivots) >= q @ x.T).all()
+    assert (topk.bounds(q, topk.distances(q, pivots), x, topk.distances(x, pivots)) >= q @ x.T).all()
+
+
+def test_topk_eliminates():
+    """Vectors in clusters: the pivot table leaves few candidates to score, and none that matter."""
+    rng = np.random.default_rng(4)
+    centres = rng.integers(-400, 400, (30, 16))
+    x = (centres[rng.integers(0, 30, 6_000)] + rng.integers(-20, 20, (6_000, 16))).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True) / 1_000
+    x = np.floor(x)
+    pivots, ids = topk.far_apart(x[:500], 64), np.arange(6_000)
+    q = x[::20]
+    i, j, s, scored = topk.best(q, topk.distances(q, pivots), ids[::20], np.full(len(q), -np.inf), x, topk.distances(x, pivots), ids, ids, 20)
+    dense = q @ x.T
+    dense[np.arange(len(q)), ids[::20]] = -np.inf
+    want = [ids[np.lexsort((ids, -row))[:20]].tolist() for row in dense]
+    assert [j[i == a].tolist() for a in range(len(q))] == want and (s == dense[i, j]).all()
+    assert scored < 0.2 * len(q) * len(x)
 
 
 def test_sharding(spark, docs):

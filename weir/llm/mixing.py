@@ -2,8 +2,8 @@
 
 Each document draws an exponential key divided by its quality weight. A source whose target holds whole multiples of its
 size takes complete epochs of all its documents first; what is left of the target goes to its documents in the order of
-their keys, by the prefix sums of their sizes. Prefix sums are taken in two steps, within buckets of key ranges and over
-the buckets, so that no task holds a whole source.
+their keys, by the prefix sums of their sizes. Prefix sums are taken in two steps, within ranges of source and key that are
+cut by sampled splitters, and over the ranges, so that no task holds a whole source or many equal keys.
 """
 
 from __future__ import annotations
@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from weir.llm.shared import small, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Documents of one bucket, about.
-BUCKET_ROWS = 1_024
 
 
 def uniform(*cols: Column) -> Column:
@@ -30,10 +28,12 @@ def quality(text: Column) -> Column:
     return F.greatest(F.lit(0.01), letters / F.greatest(F.lit(1), F.char_length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", ""))))
 
 
-def sized(df: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> list[Column]:
-    """The columns by which a document is dealt: its words, and its exponential key scaled by its quality."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return [F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), (-F.log(uniform(F.col(id_col), F.lit(seed))) / quality(text)).alias("key")]
+def sized(df: DataFrame, id_col: str, text_col: str, seed: int) -> list[Column]:
+    """The columns by which a document is dealt: its words, and its exponential key scaled by its quality. The key comes from
+    id and text, so that documents without an id, or of one id, have keys of their own."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    drawn = -F.log(uniform(F.col(f"`{id_col}`"), F.lit(seed), F.md5(text)))
+    return [F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), (drawn / quality(text)).alias("key")]
 
 
 def fill(sources: DataFrame, factor: float, cap: float) -> DataFrame:
@@ -54,10 +54,11 @@ def fill(sources: DataFrame, factor: float, cap: float) -> DataFrame:
 def plan(df: DataFrame, weights, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", factor: float = 1.5, cap: float = 2.0, seed: int = 0) -> tuple[DataFrame, DataFrame]:
     """(documents, sources) of a mix, both written and read again.
 
-    documents: id, source, size, key, bucket, for every row of df. sources: source, source_size, docs, weight, target.
-    weights: a function of the table (source, source_size, docs) that adds a column weight of 0 or more.
+    documents: id, source, size, key, row, for every row of df; row tells equal ones apart. sources: source, source_size,
+    docs, weight, target. weights: a function of the table (source, source_size, docs) that adds a column weight of 0 or more.
     """
-    rows = staged(df.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), *sized(df, id_col, text_col, source_col, seed)), "sized")
+    own = [F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"), *sized(df, id_col, text_col, seed), F.monotonically_increasing_id().alias("row")]
+    rows = staged(df.select(*own), "sized")
     sums = staged(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs")), "sources")
     sources = staged(fill(staged(weights(sums), "weights"), factor, cap), "targets")
     return rows, sources
@@ -65,17 +66,17 @@ def plan(df: DataFrame, weights, id_col: str = "doc_id", text_col: str = "text",
 
 def placed(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """rows with their source's columns and `before`, the words of the source that come before the row's in key order."""
+    order = ["key", "id", "size", "row"]
+    ranges = rows.repartitionByRange("source", *order).withColumn("range", F.spark_partition_id())
+    ranges = staged(ranges, "ranges")
+    sums = ranges.groupBy("source", "range").agg(F.sum("size").alias("words"))
+    over = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    offsets = sums.select(F.col("source").alias("s"), F.col("range").alias("r"), F.coalesce(F.sum("words").over(over), F.lit(0)).alias("offset"))
+    within = Window.partitionBy("source", "range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = ranges.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    ranked = ranked.join(small(staged(offsets, "offsets")), F.col("source").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r")))
     one = sources.withColumnRenamed("source", "of")
-    joined = rows.join(small(one), F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    buckets = F.ceil(F.col("docs") / BUCKET_ROWS)
-    # keys of one rate would fall into these buckets evenly; others keep their order
-    joined = joined.withColumn("bucket", F.floor(buckets * (1 - F.exp(-F.col("key")))))
-    sums = joined.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    over = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("words").over(over), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("source", "bucket").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = joined.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    return ranked.join(small(staged(offsets, "offsets")), F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).withColumn("before", F.col("offset") + F.col("inner")).drop("s", "b", "offset", "inner")
+    return ranked.withColumn("before", F.col("offset") + F.col("inner")).join(small(one), F.col("source").eqNullSafe(F.col("of"))).drop("s", "r", "offset", "inner", "of")
 
 
 def _epochs() -> tuple[Column, Column]:
@@ -99,18 +100,20 @@ def mix(df: DataFrame, weights, id_col: str = "doc_id", text_col: str = "text",
 
     Texts aren't shuffled: the plan gives each source a number of epochs and the last key taken, which are joined to the
     rows. Rows with equal id, size and text have one key and are taken or left together. Null and blank texts have no words
-    and are taken with the words before them; a null source is a source. An empty table gives an empty one.
+    and are taken with the words before them; a null source is a source. An empty table gives an empty one. Columns may have
+    any name, with points or like those used here.
     """
     rows, sources = plan(df, weights, id_col, text_col, source_col, factor, cap, seed)
     epochs, rest = _epochs()
     fits = placed(rows, sources).where(F.col("before") + F.col("size") / 2 <= rest)
     last = staged(fits.groupBy("source").agg(F.max(F.struct("key", "id", "size")).alias("last")), "last")
-    ends = sources.select(F.col("source").alias("__of"), epochs.alias("__epochs")).join(last, F.col("__of").eqNullSafe(F.col("source")), "left").drop("source")
-    size, key = sized(df, id_col, text_col, source_col, seed)
-    own = F.struct(key, F.col(id_col).alias("id"), size)
-    joined = df.join(small(staged(ends, "ends")), F.col(source_col).eqNullSafe(F.col("__of")))
-    copies = F.col("__epochs") + F.coalesce((own <= F.col("last")).cast("long"), F.lit(0))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.greatest(copies, F.lit(0))))).where(copies > 0).select(*df.columns)
+    ends = sources.select(F.col("source").alias("of"), epochs.alias("epochs")).join(last, F.col("of").eqNullSafe(F.col("source")), "left").drop("source")
+    plain = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("all"), F.col(f"`{source_col}`").alias("source"), F.struct(*reversed(sized(df, id_col, text_col, seed))).alias("dealt"), F.col(f"`{id_col}`").alias("id"))
+    joined = plain.join(small(staged(ends, "ends")), F.col("source").eqNullSafe(F.col("of")))
+    own = F.struct(F.col("dealt.key").alias("key"), "id", F.col("dealt.size").alias("size"))
+    copies = F.col("epochs") + F.coalesce((own <= F.col("last")).cast("long"), F.lit(0))
+    taken_ = joined.select("all", copies.alias("copies")).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return taken_.select("all.*")
 
 
 def weights_by_name(sums: DataFrame) -> DataFrame:
@@ -128,7 +131,7 @@ def op4_mixing(spark, sf_dir: str) -> DataFrame:
 OP4_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-    -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':0'), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656::DOUBLE)
+    -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':0:' || md5(coalesce(text, ''))), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656::DOUBLE)
       / greatest(0.01::DOUBLE, length(regexp_replace(coalesce(text, ''), '[^\p{L}]+', '', 'g'))
         / greatest(1, length(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')))::DOUBLE) AS key
   FROM documents),

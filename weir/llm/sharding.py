@@ -62,12 +62,12 @@ def shard(df: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str
 
     Shards are near equal in bytes: they differ by no more than units do, or single texts where those are larger. Equal texts
     share a shard, unless they hold over WHOLE_GROUP of a shard and a boundary falls among them. Repeated rows all get slots.
-    Of an empty table nothing is returned.
+    No unit has many more than UNIT_ROWS records, whatever key holds them; null and repeated ids change nothing. Of an empty
+    table nothing is returned. Other columns may have any name.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = staged(
-        df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("key"), (F.octet_length(text) + F.lit(1)).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")), "sized"
-    )
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    sizes = [(F.octet_length(text) + F.lit(1)).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")]
+    rows = staged(df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("key"), *sizes, F.monotonically_increasing_id().alias("row")), "sized")
     total = rows.agg(F.sum("size")).first()[0] or 0
     edges, heavy = splitters(rows, total, ranges)
     ranged = rows.withColumn("range", _range(F.col("key"), edges))
@@ -77,17 +77,22 @@ def shard(df: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str
     by_bytes = F.when(one_key & (F.col("bytes") <= whole), 1).otherwise(F.when(F.col("bytes") > 2 * fill, F.ceil(F.col("bytes") / fill)).otherwise(1))
     # a single key can be cut only through its group, others between groups
     held = staged(held.select("range", F.greatest(by_bytes, F.ceil(F.col("rows") / UNIT_ROWS)).alias("cuts"), one_key.alias("one_key")), "ranges")
-    mixed = F.when(F.col("one_key"), F.xxhash64("id", F.lit("cut"))).otherwise(F.xxhash64("key", F.lit("cut")))
-    cut = ranged.join(small(held), "range").withColumn("sub", F.pmod(mixed, F.col("cuts")))
-    over = Window.orderBy("range", "sub")  # units, not records: about RANGES and one for each UNIT_ROWS records
-    sums = staged(cut.groupBy("range", "sub").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")), "units")
+    mixed = F.when(F.col("one_key"), F.xxhash64("row", F.lit("cut"))).otherwise(F.xxhash64("key", F.lit("cut")))
+    cut = ranged.join(small(held), "range").withColumn("sub", F.pmod(mixed, F.col("cuts"))).withColumn("part", F.lit(0))
+    sums = staged(cut.groupBy("range", "sub", "part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")), "units")
+    # a key of very many small records fills a unit though its range has others; such units are cut by records
+    over_full = sums.where(F.col("rows") > 2 * UNIT_ROWS).select("range", "sub", F.ceil(F.col("rows") / UNIT_ROWS).alias("parts"))
+    if not over_full.isEmpty():
+        cut = cut.join(small(staged(over_full, "over-full")), ["range", "sub"], "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("row", F.lit("part")), F.col("parts")), F.lit(0)).cast("int")).drop("parts")
+        sums = staged(cut.groupBy("range", "sub", "part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")), "units")
+    over = Window.orderBy("range", "sub", "part")  # units, not records: about RANGES and one for each UNIT_ROWS records
     before = F.coalesce(F.sum("bytes").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     of = F.least(F.lit(shards - 1), F.floor((before + F.col("bytes") / 2) * shards / F.lit(max(1, total)))).cast("int")
-    units = sums.select("range", "sub", (F.row_number().over(over) - 1).alias("unit"), "rows", of.alias("shard"))
+    units = sums.select("range", "sub", "part", (F.row_number().over(over) - 1).alias("unit"), "rows", of.alias("shard"))
     inside = Window.partitionBy("shard").orderBy("unit").rowsBetween(Window.unboundedPreceding, -1)
     units = staged(units.withColumn("offset", F.coalesce(F.sum("rows").over(inside), F.lit(0))), "placed")
-    within = Window.partitionBy("range", "sub").orderBy("key", "id")
-    placed = cut.withColumn("nth", F.row_number().over(within) - 1).join(small(units.drop("rows")), ["range", "sub"])
+    within = Window.partitionBy("range", "sub", "part").orderBy("key", "id", "row")
+    placed = cut.withColumn("nth", F.row_number().over(within) - 1).join(small(units.drop("rows")), ["range", "sub", "part"])
     return placed.select("id", "size", "text_crc32", "unit", "shard", (F.col("offset") + F.col("nth")).cast("long").alias("slot"))
 
 

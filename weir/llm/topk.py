@@ -1,26 +1,34 @@
 """Exact top-k search by inner product with a pivot table.
 
-Every vector has its distances to some pivots. For a query q and a vector x, the largest |d(q, p) - d(x, p)| over the pivots
-is a lower bound of d(q, x), and 2 q.x = |q|^2 + |x|^2 - d(q, x)^2 turns it into an upper bound of their score. The
-candidates of a query are scored in the order of their bounds, and scoring stops when no bound left can reach the k-th score
-found, which is exact.
-
-Queries and vectors are dealt in blocks, and each pair of blocks is one group; a query's best of each block are merged by
-rank. Nothing is broadcast but the pivots, of which there is a fixed number.
+Every vector has its distances to many pivots, computed once and kept with it. For a query q and a vector x, the largest
+|d(q, p) - d(x, p)| over the pivots is a lower bound of d(q, x), and 2 q.x = |q|^2 + |x|^2 - d(q, x)^2 turns it into an upper
+bound of their score. The candidates of a query are scored in the order of their bounds, and scoring stops at the first whose
+bound is below the k-th score found, which is exact.
+
+Vectors stand in cells, by their nearest pivot. The ranges of a cell's distances bound the score of all in it, so a query
+never visits a cell that can't reach the score its k-th neighbour surely has: the k-th among a fixed number of vectors, the
+scouts. What is left goes to blocks of the cells' rows, and the best of all blocks are merged by rank. Pivots, scouts and
+the ranges of cells are of a fixed number; nothing else is sent to all.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weir.llm.shared import staged
 
-#: Rows of a block of queries and of vectors; pivots; candidates scored in the first step; and the score of what can't be
-#: held in a long is the nearest long.
-QUERY_BLOCK, VECTOR_BLOCK, PIVOTS, FIRST = 4_096, 8_192, 12, 256
+#: Rows of a block of queries and of vectors; pivots, and the rows that they are chosen among, which are the scouts as well;
+#: candidates scored in the first step, each next one taking twice as many.
+QUERY_BLOCK, VECTOR_BLOCK, PIVOTS, SCOUTS, FIRST = 4_096, 8_192, 64, 2_048, 64
+#: Lengths of vectors that have pivots, the most frequent ones; others are scored without.
+LENGTHS = 100
+#: A score that can't be held in a long is the nearest long.
 LONG = (1 << 63) - 1
 
 
@@ -33,91 +41,185 @@ def scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.array(wide, np.int64).reshape(len(q), len(x))
 
 
-def bounds(q: np.ndarray, x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """An upper bound of the score of every query and vector; a margin covers what floats round."""
-    norms = [np.einsum("ij,ij->i", a, a) for a in (q, x)]
-    to = [np.sqrt(np.maximum(0, n[:, None] + np.einsum("ij,ij->i", pivots, pivots) - 2 * a @ pivots.T)) for n, a in zip(norms, (q, x), strict=True)]
+def squares(x: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", x, x)
+
+
+def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """The pivot table's rows: the distance of each row to each pivot."""
+    return np.sqrt(np.maximum(0, squares(x)[:, None] + squares(pivots) - 2 * x @ pivots.T))
+
+
+def far_apart(x: np.ndarray, n: int) -> np.ndarray:
+    """n of the rows, each next one that which is farthest from those before; none twice."""
+    if not len(x):
+        return x
+    chosen = [0]
+    near = distances(x, x[:1])[:, 0]
+    while len(chosen) < n and near.max() > 0:
+        chosen.append(int(near.argmax()))
+        near = np.minimum(near, distances(x, x[chosen[-1:]])[:, 0])
+    return x[chosen]
+
+
+def _upper(q_norm: np.ndarray, x_norm: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Scores from squared norms and lower bounds of distances; a margin covers what floats round."""
+    total = q_norm + x_norm
+    upper = (total - low * low) / 2 + 1e-5 * total + 1e-3
+    return np.where(np.isfinite(upper), upper, np.inf)
+
+
+def bounds(q: np.ndarray, to_q: np.ndarray, x: np.ndarray, to_x: np.ndarray) -> np.ndarray:
+    """An upper bound of the score of every query and vector, from their rows of the pivot table."""
     low = np.zeros((len(q), len(x)))
     gap = np.empty_like(low)
-    for p in range(len(pivots)):
-        np.subtract(to[0][:, p, None], to[1][None, :, p], out=gap)
+    for p in range(to_q.shape[1]):
+        np.subtract(to_q[:, p, None], to_x[None, :, p], out=gap)
         np.maximum(low, np.abs(gap, out=gap), out=low)
-    total = norms[0][:, None] + norms[1][None, :]
-    return (total - low * low) / 2 + 1e-9 * total + 1e-6
+    return _upper(squares(q)[:, None], squares(x)[None, :], low)
 
 
-def best(q: np.ndarray, q_row: np.ndarray, x: np.ndarray, x_row: np.ndarray, x_id: np.ndarray, pivots: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def best(q: np.ndarray, to_q: np.ndarray, q_row: np.ndarray, floor: np.ndarray, x: np.ndarray, to_x: np.ndarray, x_row: np.ndarray, x_id: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """(query's place, vector's place, score) of each query's k highest scores among the vectors, ties to smaller ids and the
-    row itself left out."""
-    out = []
+    row itself left out, and how many candidates were scored. floor: what each query's k-th score surely reaches; lower ones
+    may be left out."""
+    out, scored = [], 0
     for at in range(0, len(q), 256):
-        part, rows = q[at : at + 256], q_row[at : at + 256]
-        bound = bounds(part, x, pivots)
-        bound[rows[:, None] == x_row[None, :]] = -np.inf
-        step = min(len(x), max(FIRST, k))
-        first = np.argpartition(-bound, step - 1, axis=1)[:, :step] if step < len(x) else np.broadcast_to(np.arange(len(x)), (len(part), len(x)))
-        every = None
+        part = q[at : at + 256]
+        bound = bounds(part, to_q[at : at + 256], x, to_x)
+        bound[q_row[at : at + 256, None] == x_row[None, :]] = -np.inf
+        bound[bound < floor[at : at + 256, None]] = -np.inf
+        order = np.argsort(-bound, axis=1, kind="stable")
         for i in range(len(part)):
-            seen = first[i][bound[i, first[i]] > -np.inf]
-            got = scores(part[i : i + 1], x[seen])[0]
-            if step < len(x):
-                kth = np.partition(got, len(got) - k)[len(got) - k] if len(got) >= k else -np.inf
-                reach = bound[i] >= kth  # an equal score may have a smaller id
-                reach[seen] = False
-                rest = np.flatnonzero(reach & (bound[i] > -np.inf))
-                if len(rest) > len(x) // 8:
-                    every = scores(part, x) if every is None else every
-                    more = every[i, rest]
-                else:
-                    more = scores(part[i : i + 1], x[rest])[0]
-                seen, got = np.r_[seen, rest], np.r_[got, more]
-            if len(got) > k:
-                kth = np.partition(got, len(got) - k)[len(got) - k]
-                seen, got = seen[got >= kth], got[got >= kth]
-            order = np.lexsort((x_row[seen], x_id[seen], -got))[:k]
-            out.append((np.full(len(order), at + i), seen[order], got[order]))
-    return tuple(np.concatenate([o[j] for o in out] or [np.empty(0, np.int64)]).astype(np.int64) for j in range(3))
+            ranked = order[i, : np.count_nonzero(bound[i] > -np.inf)]
+            seen, got, kth, done, step = ranked[:0], np.empty(0, np.int64), floor[at + i], 0, max(FIRST, k)
+            while done < len(ranked) and bound[i, ranked[done]] >= kth:  # an equal score may have a smaller id
+                more = ranked[done : done + step]
+                scored += len(more)
+                seen, got = np.r_[seen, more], np.r_[got, scores(part[i : i + 1], x[more])[0]]
+                if len(got) >= k:
+                    kth = max(kth, np.partition(got, len(got) - k)[len(got) - k])
+                    seen, got = seen[got >= kth], got[got >= kth]
+                done, step = done + step, 2 * step
+            top = np.lexsort((x_row[seen], x_id[seen], -got))[:k]
+            out.append((np.full(len(top), at + i), seen[top], got[top]))
+    return *(np.concatenate([o[j] for o in out] or [np.empty(0, np.int64)]).astype(np.int64) for j in range(3)), scored
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(row, id, v) of vectors that take part: not null, with finite components only and an id. v: floor(64 * x)."""
-    x = F.col(vector_col)
-    fine = x.isNotNull() & F.col(id_col).isNotNull() & ~F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
-    return df.where(fine).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.transform(x, lambda c: F.floor(c.cast("double") * 64).cast("double")).alias("v"))
+    """(row, id, v, n) of vectors that take part: not null, with finite components only and an id. v: floor(64 * x)."""
+    x = F.col(f"`{vector_col}`")
+    fine = x.isNotNull() & F.col(f"`{id_col}`").isNotNull() & ~F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
+    rows = df.where(fine).select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), F.transform(x, lambda c: F.floor(c.cast("double") * 64).cast("double")).alias("v"))
+    return rows.withColumn("n", F.size("v"))
+
+
+def _matrix(lists, n: int) -> np.ndarray:
+    return np.array(list(lists), float).reshape(-1, n)
+
+
+class Scouts:
+    """Pivots and scouts by length of vectors: at most SCOUTS rows of each of the LENGTHS most frequent lengths."""
+
+    def __init__(self, rows: DataFrame, k: int):
+        counts = rows.groupBy("n").agg(F.count("*").alias("m")).orderBy(F.desc("m"), "n").limit(LENGTHS).collect()
+        self.k, self.rows, self.pivots = k, {}, {}
+        for c in counts:
+            share = min(1 << 30, -(-(2 * SCOUTS << 30) // c["m"]))  # about twice as many, of which the first are taken
+            place = F.pmod(F.xxhash64("id", "row"), F.lit(1 << 30))
+            some = rows.where((F.col("n") == c["n"]) & (place < share)).orderBy(place, "row").limit(SCOUTS).select("row", "v").collect()
+            x = _matrix([r["v"] for r in some], c["n"])
+            self.rows[c["n"]] = np.array([r["row"] for r in some]), x
+            self.pivots[c["n"]] = far_apart(x, PIVOTS)
+
+    def table(self, n: int, x: np.ndarray) -> np.ndarray:
+        return distances(x, self.pivots[n]) if n in self.pivots else np.zeros((len(x), 0))
+
+    def floor(self, n: int, rows: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """What the k-th score of each row surely reaches: the k-th among the scouts."""
+        out = np.full(len(x), -np.inf)
+        if n in self.rows and len(self.rows[n][0]) > self.k:
+            own, scouts = self.rows[n]
+            for at in range(0, len(x), 256):
+                got = scores(x[at : at + 256], scouts).astype(float)
+                got[rows[at : at + 256, None] == own] = -np.inf
+                out[at : at + 256] = np.partition(got, got.shape[1] - self.k, axis=1)[:, got.shape[1] - self.k]
+        return out
+
+
+def _mapped(rows: DataFrame, schema: str, of) -> DataFrame:
+    """of(n, rows, ids, vectors) for the vectors of one length of a batch, as a list of columns."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            frame = batch.to_pandas()
+            for n, part in frame.groupby("n"):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in of(int(n), part["row"].to_numpy(), part["id"].to_numpy(), _matrix(part["v"], int(n)))], names=names)
+
+    return rows.select("row", "id", "v", "n").mapInArrow(run, schema)
 
 
 def nearest(df: DataFrame, k: int = 20, is_query=None, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): for each query, a row for which the condition is_query holds (ids divisible by 20, if
-    not given), the k highest inner products with other rows of df, all if there are fewer. Ties go to the smaller id.
+    """(query_id, rank, vec_id, score): for each query, a row for which the condition is_query (of a column id) holds (ids
+    divisible by 20, if not given), the k highest inner products with other rows of df, all if there are fewer. Ties go to
+    the smaller id.
 
     A row is never its own candidate, but a repeated row is a candidate of the other. Vectors that are null or hold a null or
     non-finite component take no part, neither do rows without an id; vectors of unlike length never meet. An empty table
-    gives an empty one.
+    gives an empty one. Other columns may have any name.
     """
     spark = df.sparkSession
-    rows = staged(usable(df, id_col, vector_col).withColumn("n", F.size("v")), "vectors")
+    rows = staged(usable(df, id_col, vector_col), "vectors")
     asked = F.pmod(F.col("id"), F.lit(20)) == 0 if is_query is None else is_query
-    count = rows.agg(F.count("*").alias("all"), F.count_if(asked).alias("q")).first()
-    if not count["q"]:
+    if rows.where(asked).isEmpty():
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    q_blocks, v_blocks = -(-count["q"] // QUERY_BLOCK), -(-count["all"] // VECTOR_BLOCK)
-    lengths = [r["n"] for r in rows.select("n").distinct().limit(1_000).collect()]
-    sample = {n: [r["v"] for r in rows.where(F.col("n") == n).orderBy(F.xxhash64("id"), "row").limit(PIVOTS).collect()] for n in lengths}
-    near = {n: np.array(v, float).reshape(len(v), n) for n, v in sample.items()}
-    block = lambda n, salt: F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(n)).cast("int")
-    q = rows.where(asked).select("row", "id", "v", "n", block(q_blocks, 1).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(v_blocks - 1))).alias("vb"))
-    x = rows.select("row", "id", "v", "n", block(v_blocks, 2).alias("vb"), F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("qb"))
+    shipped = spark.sparkContext.broadcast(Scouts(rows, k))  # bounded by LENGTHS, SCOUTS and PIVOTS
+
+    def table(n: int, row: np.ndarray, id_: np.ndarray, x: np.ndarray) -> list:
+        to = shipped.value.table(n, x)
+        return [row, id_, list(x), np.full(len(x), n, np.int32), list(to), (to.argmin(axis=1) if to.shape[1] else np.zeros(len(x))).astype(np.int32), squares(x)]
+
+    vectors = staged(_mapped(rows, "row long, id long, v array<double>, n int, to array<double>, cell int, norm double", table), "table")
+    wide = [F.struct(*[f(F.get("to", F.lit(p))).alias(f"p{p}") for p in range(PIVOTS)]).alias(c) for f, c in ((F.min, "low"), (F.max, "high"))]
+    ranges = [r.asDict(True) for r in vectors.groupBy("n", "cell").agg(F.count("*").alias("m"), F.max("norm").alias("norm"), *wide).collect()]  # of no more cells than PIVOTS for each of LENGTHS, and one for each other length
+    blocks = {(r["n"], r["cell"]): -(-r["m"] // VECTOR_BLOCK) for r in ranges}
+    cells: dict[int, list[dict]] = {}
+    for r in ranges:
+        cells.setdefault(r["n"], []).append(r)
+    known = spark.sparkContext.broadcast(cells)  # a row for each cell
+
+    def visits(n: int, row: np.ndarray, id_: np.ndarray, x: np.ndarray) -> list:
+        """The cells that a query has to visit."""
+        to, floor = shipped.value.table(n, x), shipped.value.floor(n, row, x)
+        low, every = np.zeros((len(x), len(known.value[n]))), known.value[n]
+        for c, r in enumerate(every):
+            for p in range(to.shape[1]):
+                lo, hi = r["low"][f"p{p}"], r["high"][f"p{p}"]
+                low[:, c] = np.maximum(low[:, c], np.maximum(to[:, p] - hi, lo - to[:, p]))
+        reach = _upper(squares(x)[:, None], np.array([r["norm"] for r in every])[None, :], low) >= floor[:, None]
+        numbers = np.array([r["cell"] for r in every])
+        return [row, id_, list(x), np.full(len(x), n, np.int32), list(to), floor, pa.array([numbers[f].tolist() for f in reach], pa.list_(pa.int32()))]
+
+    queries = staged(_mapped(rows.where(asked), "row long, id long, v array<double>, n int, to array<double>, floor double, cells array<int>", visits), "queries")
+    parts = F.create_map(*[F.lit(x) for (n, c), m in blocks.items() for x in (f"{n}:{c}", m)])
+    of_cell = lambda c: F.element_at(parts, F.concat_ws(":", F.col("n"), c))
+    split = lambda m, salt: F.pmod(F.xxhash64("row", F.lit(salt)), m).cast("int")
+    q_blocks = F.lit(max(1, -(-queries.count() // QUERY_BLOCK)))
+    q = queries.withColumn("qb", split(q_blocks, 1)).withColumn("cell", F.explode("cells")).drop("cells")
+    q = q.withColumn("sub", F.explode(F.sequence(F.lit(0), of_cell(F.col("cell")) - 1)))
+    x = vectors.withColumn("sub", split(of_cell(F.col("cell")), 2)).withColumn("qb", F.explode(F.sequence(F.lit(0), q_blocks - 1))).drop("norm")
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            n = int(left["n"].iloc[0])
-            a, b = (np.array(f["v"].tolist(), float).reshape(len(f), n) for f in (left, right))
-            i, j, s = best(a, left["row"].to_numpy(), b, right["row"].to_numpy(), right["id"].to_numpy(), near.get(n, a[:PIVOTS]), k)
-            out.append(pd.DataFrame({"q": left["row"].to_numpy()[i], "query_id": left["id"].to_numpy()[i], "vec_id": right["id"].to_numpy()[j], "row": right["row"].to_numpy()[j], "score": s}))
-        return pd.concat(out) if out else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("q", "query_id", "vec_id", "row", "score")})
-
-    keys = ["n", "qb", "vb"]
+        if not len(left) or not len(right):
+            return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("q", "query_id", "vec_id", "row", "score")})
+        n = int(left["n"].iloc[0])
+        a, b = (_matrix(f["v"], n) for f in (left, right))
+        to_a, to_b = (_matrix(f["to"], len(f["to"].iloc[0])) if len(f["to"].iloc[0]) else np.zeros((len(f), 0)) for f in (left, right))
+        i, j, s, _ = best(a, to_a, left["row"].to_numpy(), left["floor"].to_numpy(), b, to_b, right["row"].to_numpy(), right["id"].to_numpy(), k)
+        return pd.DataFrame({"q": left["row"].to_numpy()[i], "query_id": left["id"].to_numpy()[i], "vec_id": right["id"].to_numpy()[j], "row": right["row"].to_numpy()[j], "score": s})
+
+    keys = ["n", "qb", "cell", "sub"]
     found = q.groupBy(*keys).cogroup(x.groupBy(*keys)).applyInPandas(meet, "q long, query_id long, vec_id long, row long, score long")
     over = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(over)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
