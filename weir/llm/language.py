@@ -15,13 +15,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-#: The bounded sample of labelled rows: about so many rows and so many characters of each at most, by language, and so
-#: many symbols of all of them that an automaton is built of. LANGUAGES: more labels than this are an error.
-SAMPLE_ROWS, SAMPLE_CHARS, TRAIN_SYMBOLS, LANGUAGES = 60, 2_000, 32_000, 200
+#: The bounded sample of labelled rows: so many rows of each language, whole; and the number of languages learned, those with
+#: the most rows, by name where equal.
+SAMPLE_ROWS, LANGUAGES = 24, 200
 #: Letters with a column in the table of transitions; other letters that were learned have their transitions in a sorted list,
 #: and those never learned share a symbol. Symbol 0 is all that isn't a letter, in runs of one.
 SYMBOLS = 60
@@ -91,10 +91,9 @@ class CrossParser:
     stands for a missing one.
     """
 
-    def __init__(self, samples: dict[str, list[str]], symbols: int = SYMBOLS, train_symbols: int = TRAIN_SYMBOLS):
+    def __init__(self, samples: dict[str, list[str]], symbols: int = SYMBOLS):
         self.languages = sorted(samples)
         parts = {k: np.concatenate([np.r_[normal(x), np.uint32(0)] for x in samples[k]] or [np.empty(0, np.uint32)]) for k in self.languages}
-        parts = {k: x[:train_symbols] for k, x in parts.items()}
         seen = Counter(int(c) for x in parts.values() for c in x if c)
         ranked = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))]
         self.letters, self.far = sorted(ranked[:symbols]), sorted(ranked[symbols:])
@@ -194,29 +193,29 @@ class CrossParser:
 
 def held_out(id_col: str = "doc_id"):
     """True for the rows that are never learned from."""
-    return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+    return F.coalesce(F.pmod(F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-def labelled_sample(df: DataFrame, id_col: str, text_col: str, label_col: str, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
-    """Texts by label, of about `rows` rows of each label that is not held out, chosen by a hash of the id.
+def labelled_sample(df: DataFrame, id_col: str, text_col: str, label_col: str, rows: int = SAMPLE_ROWS) -> dict[str, list[str]]:
+    """Texts by label, of `rows` rows of each label that is not held out (all, if fewer), chosen by a hash of id and text.
 
-    Two passes: the first reads ids and labels only and gives the hash bound of each label, so that the second brings no
+    Two passes: the first reads ids and labels only and gives the hash bound of each label, so that the second brings little
     more than the sample to the driver.
     """
-    place = F.pmod(F.xxhash64(F.col(id_col), F.lit("language sample")), F.lit(1 << 30))
-    usable = df.where(~held_out(id_col) & F.col(label_col).isNotNull() & (F.col(label_col) != UNKNOWN))
-    counts = usable.groupBy(F.col(label_col).alias("label")).agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()
-    if len(counts) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} labels")
+    label, text, id_ = (F.col(f"`{c}`") for c in (label_col, text_col, id_col))
+    place = F.pmod(F.xxhash64(id_, F.lit("language sample")), F.lit(1 << 30))
+    usable = df.where(~held_out(id_col) & label.isNotNull() & (label != UNKNOWN) & text.isNotNull()).select(label.alias("label"), text.alias("text"), place.alias("place"))
+    counts = usable.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(LANGUAGES).collect()
     if not counts:
         return {}
-    bound = F.create_map(*[F.lit(x) for r in counts for x in (r["label"], min(1 << 30, -(-(rows << 30) // r["n"])))])
-    chosen = usable.where(place < F.element_at(bound, F.col(label_col))).select(F.col(label_col).alias("label"), F.left(F.col(text_col), F.lit(chars)).alias("text"), place.alias("place"))
-    chosen = chosen.where("text is not null").limit(4 * rows * len(counts))  # a bound even where one id holds most rows
-    out: dict[str, list[tuple[int, str]]] = {r["label"]: [] for r in counts}
-    for r in chosen.collect():
-        out[r["label"]].append((r["place"], r["text"]))
-    return {k: [x for _, x in sorted(v)] for k, v in out.items() if v}
+    bound = F.create_map(*[F.lit(x) for r in counts for x in (r["label"], min(1 << 30, -(-(2 * rows << 30) // r["n"])))])
+    tie = F.xxhash64("text")
+    chosen = usable.where(F.col("place") < F.element_at(bound, F.col("label")))
+    first = F.row_number().over(Window.partitionBy("label").orderBy("place", tie))  # of about twice the rows of the sample
+    out: dict[str, list[str]] = {}
+    for r in chosen.withColumn("nth", first).where(F.col("nth") <= rows).orderBy("label", "nth").collect():
+        out.setdefault(r["label"], []).append(r["text"])
+    return out
 
 
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> CrossParser:
@@ -224,33 +223,41 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
     return CrossParser(labelled_sample(df, id_col, text_col, label_col))
 
 
-def identify(df: DataFrame, parser: CrossParser, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns `keep` (the id alone, if not given) with lang_pred and score, for every row of df.
-
-    Whole texts count, whatever their length. A text that is null, empty or without a letter is `und` with score 0, and so
-    is every text if nothing was learned. Ties go to the first language by name. Repeated rows have equal results.
-    """
-    keep = keep or [id_col]
-    shipped = df.sparkSession.sparkContext.broadcast(parser)  # bounded by LANGUAGES, TRAIN_SYMBOLS and SYMBOLS
+def _identified(df: DataFrame, parser: CrossParser, text_col: str, keep: list[str]) -> DataFrame:
+    """c0, c1, ... for the columns `keep`, and lang_pred and score."""
+    shipped = df.sparkSession.sparkContext.broadcast(parser)  # bounded by LANGUAGES and the rows of the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1_000):
                 part = batch.slice(at, 1_000)
                 names, score = shipped.value.predict(part.column(at_text).to_pylist())
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), pa.array(names, pa.string()), pa.array(score)], names=[f"c{i}" for i in range(len(keep) + 2)])
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), pa.array(names, pa.string()), pa.array(score)], names=fields)
 
+    fields = [*[f"c{i}" for i in range(len(keep))], "lang_pred", "score"]
     at_text = keep.index(text_col) if text_col in keep else len(keep)
     plain = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep if text_col in keep else [*keep, text_col])])
-    schema = ", ".join([f"c{i} {plain.schema[i].dataType.simpleString()}" for i in range(len(keep))] + [f"c{len(keep)} string", f"c{len(keep) + 1} double"])
-    return plain.mapInArrow(run, schema).toDF(*keep, "lang_pred", "score")
+    schema = ", ".join([f"c{i} {plain.schema[i].dataType.simpleString()}" for i in range(len(keep))] + ["lang_pred string", "score double"])
+    return plain.mapInArrow(run, schema)
+
+
+def identify(df: DataFrame, parser: CrossParser, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns `keep` (the id alone, if not given) with lang_pred and score, for every row of df.
+
+    Whole texts count, whatever their length. A text that is null, empty or without a letter is `und` with score 0, and so
+    is every text if nothing was learned. Ties go to the first language by name. Repeated rows have equal results, and an
+    empty table gives an empty one.
+    """
+    keep = keep or [id_col]
+    return _identified(df, parser, text_col, keep).toDF(*keep, "lang_pred", "score")
 
 
 def known_languages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", least: float = 0.0) -> DataFrame:
-    """The rows of df whose language is found with a score of `least` or more, with all their columns; a null label becomes
-    the language found. Rows that are `und` go."""
-    found = identify(df, train(df, id_col, text_col, label_col), id_col, text_col, df.columns).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return found.withColumn(label_col, F.coalesce(label_col, "lang_pred")).select(*df.columns)
+    """The rows of df whose language is found with a score of `least` or more, with all their columns, whatever their names; a
+    null label becomes the language found. Rows that are `und` go: null and empty texts, and those without a letter. Repeated
+    rows stay or go together; an empty table gives an empty one."""
+    found = _identified(df, train(df, id_col, text_col, label_col), text_col, df.columns).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return found.select(*[(F.coalesce(f"c{i}", "lang_pred") if c == label_col else F.col(f"c{i}")).alias(c) for i, c in enumerate(df.columns)])
 
 
 def op5_language(spark, sf_dir: str) -> DataFrame:

@@ -24,15 +24,23 @@ COVER = 4
 FEATURES = ["n_words", "mean_word", "symbol_share", "dup_line_share", "repeat_share", "upper_share", "digit_share"]
 
 
+#: What statistics() adds.
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
 def statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
     """df and n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, and the shares in FEATURES, of each whole text.
+    Columns of these names are replaced; others stay, whatever their names.
 
     n_repeat_words counts the words in windows of three that the text has more than once. Windows are compared by their
     64-bit hashes: sorted with their places, equal neighbours give the places that repeat, and the words they cover are
-    counted from gap to gap. Nothing leaves the row. A null text is like an empty one: all numbers are 0.
+    counted from gap to gap. Nothing leaves the row. A null text is like an empty one: all numbers are 0. Repeated rows have
+    equal numbers, and an empty table gives an empty one.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    out = df.withColumn("__text", text).withColumn("__words", F.regexp_extract_all("__text", F.lit(WORD), F.lit(0)))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    rest = [c for c in df.columns if c not in COUNTS and c not in FEATURES]
+    out = df.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("__all"), text.alias("__text"))
+    out = out.withColumn("__words", F.regexp_extract_all("__text", F.lit(WORD), F.lit(0)))
     words = F.col("__words")
     out = out.withColumn("n_words", F.size(words).cast("long"))
     hashes = F.transform(F.slice(words, F.lit(1), F.greatest(F.lit(0), F.size(words) - 2)), lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
@@ -73,7 +81,7 @@ def statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
             "digit_share": share("__digit", "word_chars"),
         }
     )
-    return out.drop("__text", "__words", "__h", "__p", "__lines", "__upper", "__digit", "__n_lines")
+    return out.select("__all.*", *dict.fromkeys([*COUNTS, *FEATURES]))
 
 
 @dataclass(frozen=True)
@@ -167,11 +175,12 @@ def decide(rules: list[Rule]) -> Column:
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> list[Rule]:
     """Rules learned from about `sample` labelled rows, chosen by a hash of the id; label 0 is bad."""
     n = labels.count()
-    place = F.pmod(F.xxhash64(F.col(id_col), F.lit("quality sample")), F.lit(1 << 30))
-    chosen = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (place < min(1 << 30, -(-(sample << 30) // max(1, n))))).groupBy(id_col).agg(F.min(label_col).alias("__label")).limit(2 * sample)
+    plain = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("label")).where("id is not null and label is not null")
+    place = F.pmod(F.xxhash64("id", F.lit("quality sample")), F.lit(1 << 30))
+    chosen = plain.where(place < min(1 << 30, -(-(sample << 30) // max(1, n)))).groupBy("id").agg(F.min("label").alias("label")).limit(2 * sample)
     chosen = staged(chosen, "labelled")
-    known = statistics(df.select(id_col, text_col).join(small(chosen), id_col), text_col)
-    cols = [*[F.col(f).cast("double").alias(f) for f in FEATURES], (F.col("__label") == 0).cast("int").alias("bad"), (F.pmod(F.xxhash64(F.col(id_col), F.lit("grow")), F.lit(3)) != 0).alias("grow"), F.col(id_col).alias("id")]
+    known = statistics(df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).join(small(chosen), "id"))
+    cols = [*[F.col(f).cast("double").alias(f) for f in FEATURES], (F.col("label") == 0).cast("int").alias("bad"), (F.pmod(F.xxhash64("id", F.lit("grow")), F.lit(3)) != 0).alias("grow"), "id"]
     rows = sorted((r.asDict() for r in known.select(*cols).limit(4 * sample).collect()), key=lambda r: tuple(r.values()))
     return learn(rows)
 
@@ -179,7 +188,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
 def judge(df: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
     """statistics(df) with base_failed and kept: kept if the fixed limits hold and the learned list keeps the row. Each row
     stands alone; repeated rows are judged alike, and an empty table gives an empty one. Columns named like a result go."""
-    named = statistics(df, text_col)
+    named = statistics(df.drop("base_failed", "kept"), text_col)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return named.withColumn("base_failed", failed).withColumn("kept", ~failed & decide(rules))
 

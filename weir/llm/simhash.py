@@ -308,7 +308,7 @@ def sketch(text: str | None, shingle: int) -> tuple[int, np.ndarray, np.ndarray,
 
 def _node(text_col: str):
     """What stands for a text: a hash of 64 bits, so that equal texts are one."""
-    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    return F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
 
 
 def sketches(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
@@ -323,7 +323,7 @@ def sketches(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
                 rest = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *rest], names=["node", "rank", "finer", "keys", "sketch", "bins"])
 
-    one = df.select(_node(text_col).alias("node"), text_col)
+    one = df.select(_node(text_col).alias("node"), F.col(f"`{text_col}`").alias("text"))
     return one.mapInArrow(run, "node long, rank long, finer array<long>, keys array<long>, sketch binary, bins binary").dropDuplicates(["node"])
 
 
@@ -357,7 +357,7 @@ def shingle_sets(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
                 sets = [np.unique(np.concatenate([np.empty(0, np.uint64), *_hashes(x.as_py(), shingle)])).view(np.int64) for x in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "hashes"])
 
-    return df.select("node", text_col).mapInArrow(run, "node long, hashes array<long>")
+    return df.select("node", F.col(f"`{text_col}`").alias("text")).mapInArrow(run, "node long, hashes array<long>")
 
 
 def _near_places(marks: np.ndarray, roots: np.ndarray, least: int, visit: Callable[[np.ndarray, np.ndarray, np.ndarray], None]) -> None:
@@ -537,8 +537,8 @@ class _Links:
         if self.bins is not None:
             nodes = nodes.join(self.bins.select("node"), "node", "left_anti")
         nodes = staged(nodes, "needed")
-        texts = self.df.select(_node(self.text_col).alias("node"), self.text_col).join(small(nodes, BROADCAST_IDS), "node", "left_semi").dropDuplicates(["node"])
-        bins, sets = staged(self.one.select("node", "bins").join(small(nodes, BROADCAST_IDS), "node", "left_semi"), "bins"), staged(shingle_sets(texts, self.text_col, self.shingle), "sets")
+        texts = self.df.select(_node(self.text_col).alias("node"), F.col(f"`{self.text_col}`").alias("text")).join(small(nodes, BROADCAST_IDS), "node", "left_semi").dropDuplicates(["node"])
+        bins, sets = staged(self.one.select("node", "bins").join(small(nodes, BROADCAST_IDS), "node", "left_semi"), "bins"), staged(shingle_sets(texts, "text", self.shingle), "sets")
         self.bins, self.sets = (bins, sets) if self.bins is None else (self.bins.unionByName(bins), self.sets.unionByName(sets))
 
     def test(self, pairs: DataFrame, new: bool) -> None:
@@ -601,26 +601,26 @@ class _Links:
 def representatives(df: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df with one row of each of `groups`, which similar_components has found in df: that with the least id; where the group
     repeats that id, that with the least node, any one of equal texts. Groups that share an id keep a row each. Rows with a null
-    id stay only where their group has no other, one for each text. All columns stay as they are."""
-    groups = staged(groups, "groups")
-    gone = groups.where(F.col(id_col) != F.col("component_id")).select(id_col, "node")
-    repeated = staged(groups.groupBy(id_col).agg(F.count("*").alias("n")).where(f"n > 1 and `{id_col}` is not null").select(id_col), "repeated")
+    id stay only where their group has no other, one for each text. All columns stay as they are, whatever their names, and
+    an empty table gives an empty one."""
+    groups = staged(groups.select(F.col(f"`{id_col}`").alias("id"), "node", "component_id", "root"), "groups")
+    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("all"), F.col(f"`{id_col}`").alias("id"), _node(text_col).alias("node"))
+    gone = groups.where(F.col("id") != F.col("component_id")).select("id", "node")
+    repeated = staged(groups.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 and id is not null").select("id"), "repeated")
     clash = not repeated.isEmpty()
     if clash:
-        least = groups.where(F.col(id_col) == F.col("component_id")).join(repeated, id_col, "left_semi").select(id_col, "node", "root")
+        least = groups.where(F.col("id") == F.col("component_id")).join(repeated, "id", "left_semi").select("id", "node", "root")
         firsts = least.groupBy("root").agg(F.min("node").alias("first"))
-        gone = gone.unionByName(least.join(firsts, "root").where("node <> first").select(id_col, "node"))
-    gone = staged(gone.select(F.col(id_col).alias("__id"), F.col("node").alias("__gone")).distinct(), "gone")
-    named = df.where(F.col(id_col).isNotNull()).withColumn("__node", _node(text_col))
-    kept = named.join(small(gone, BROADCAST_IDS // 2), (F.col(id_col) == F.col("__id")) & (F.col("__node") == F.col("__gone")), "left_anti")
+        gone = gone.unionByName(least.join(firsts, "root").where("node <> first").select("id", "node"))
+    gone = staged(gone.distinct(), "gone")
+    kept = packed.where("id is not null").join(small(gone, BROADCAST_IDS // 2), ["id", "node"], "left_anti").select(*packed.columns)
     if clash:
-        kept = kept.join(repeated, id_col, "left_anti").select(*kept.columns).unionByName(kept.join(repeated, id_col, "left_semi").select(*kept.columns).dropDuplicates([id_col, "__node"]))
-    kept = kept.select(*df.columns)
-    if not groups.where(F.col(id_col).isNull()).isEmpty():
-        named = groups.where(F.col("component_id").isNotNull()).select("node").distinct()
-        alone = df.where(F.col(id_col).isNull()).withColumn("__node", _node(text_col)).join(named, F.col("__node") == F.col("node"), "left_anti")
-        kept = kept.unionByName(alone.dropDuplicates(["__node"]).select(*df.columns))
-    return kept
+        kept = kept.join(repeated, "id", "left_anti").select(*kept.columns).unionByName(kept.join(repeated, "id", "left_semi").select(*kept.columns).dropDuplicates(["id", "node"]))
+    if not groups.where("id is null").isEmpty():
+        named = groups.where("component_id is not null").select("node").distinct()
+        alone = packed.where("id is null").join(named, "node", "left_anti").select(*packed.columns)
+        kept = kept.unionByName(alone.dropDuplicates(["node"]))
+    return kept.select("all.*")
 
 
 def op9_simhash(spark, sf_dir: str) -> DataFrame:
