@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 #: Entries of a memory before it becomes the old one, which is forgotten when the next is full; code points that are cut
 #: into stretches at a time, and positions between two looks for a boundary.
-MEMORY, SLICE, LOOK = 300_000, 1 << 20, 16
+MEMORY, SLICE, LOOK = 150_000, 1 << 20, 16
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 WORD = re.compile(rf"{SPACE}*[^\W\d_]+")

@@ -272,8 +272,8 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 #: Bands, and least hashes of each; the same of the finer bands that a band of more than MEET texts is cut by.
 BANDS, ROWS, FINER, FINER_ROWS = 14, 3, 6, 4
 #: Of the least hashes, the share that must agree before a closer look; pairs of a row that are tested in the first round;
-#: texts of a band that are looked at together; and of a band above which neighbours and hubs are linked before the rest.
-AGREE, TESTS, MEET, CROWD = 0.5, 4, 1_024, 256
+#: texts of a band that are looked at together; in larger bands, neighbours and hubs are linked before the rest.
+AGREE, TESTS, MEET = 0.5, 4, 1_024
 #: Bins of the closer look, and how far below the similarity its estimate may be. At 0.8 the bands miss 43 of a million pairs,
 #: AGREE another 3.2 (fewer than 21 of 42 agree) and SLACK 1.5 (fewer than 758 of 1,024 bins): 48 in all at most. Where all
 #: 14 bands of a pair hold over MEET texts, the finer bands miss 79 of a million instead of 43, and 780 if all of those do too.
@@ -579,8 +579,8 @@ class _Links:
         sizes = dealt.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
         bands = staged(dealt.join(sizes, "k"), "bands")
         marks = self.one.select("node", "rank", "sketch")
-        todo = bands.where(F.col("n") <= CROWD).select("k", "node", F.lit(0).alias("side"))
-        large = bands.where(F.col("n") > CROWD).select("k", "node")
+        todo = bands.where(F.col("n") <= MEET).select("k", "node", F.lit(0).alias("side"))
+        large = bands.where(F.col("n") > MEET).select("k", "node")
         if not large.isEmpty():
             ordered = staged(large.join(marks, "node"), "crowds").repartitionByRange("k", "rank", "node").sortWithinPartitions("k", "rank", "node").select("k", "node", "sketch")
             self.test(ordered.mapInArrow(_by_key(_neighbours, ["a", "b"]), "a long, b long"), True)
