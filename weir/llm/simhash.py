@@ -273,7 +273,7 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 BANDS, ROWS, FINER, FINER_ROWS = 14, 3, 6, 4
 #: Of the least hashes, the share that must agree before a closer look; pairs of a row that are tested in the first round;
 #: texts of a band that are looked at together; in larger bands, neighbours and hubs are linked before the rest.
-AGREE, TESTS, MEET = 0.5, 4, 1_024
+AGREE, TESTS, MEET = 0.5, 4, 2_048
 #: Bins of the closer look, and how far below the similarity its estimate may be. At 0.8 the bands miss 43 of a million pairs,
 #: AGREE another 3.2 (fewer than 21 of 42 agree) and SLACK 1.5 (fewer than 758 of 1,024 bins): 48 in all at most. Where all
 #: 14 bands of a pair hold over MEET texts, the finer bands miss 79 of a million instead of 43, and 780 if all of those do too.
@@ -470,19 +470,25 @@ def _to_test(turn: int, least: float):
                 like = np.concatenate([like[:0], *(_agree(bins[i[k : k + 10_000]], bins[j[k : k + 10_000]]) for k in range(0, len(i), 10_000))])
                 close = like >= least
                 i, j, like = i[close], j[close], like[close]
-            found.append((i, j, like))
+            found.append((i.astype(np.int32), j.astype(np.int32), like.astype(np.float32)))
 
         _near_places(marks, roots, math.ceil(AGREE * marks.shape[1]), visit)
-        i, j, like = (np.concatenate([x[c] for x in found] or [np.empty(0, np.int64)]) for c in range(3))
-        own, other, like = np.r_[i, j], np.r_[j, i], np.r_[like, like]
-        worth = like + np.bincount(own, like, len(nodes))[other] / len(nodes)
-        order = np.lexsort((nodes[other], -worth, own))
-        own, other = own[order], other[order]
-        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else own
-        nth = np.arange(len(own)) - np.repeat(first, np.diff(np.r_[first, len(own)]))
-        now = nth < high
-        a, b = nodes[own[now]], nodes[other[now]]
-        more = keys[:1] if not now.all() else keys[:0]
+        i, j, like = (np.concatenate([x[c] for x in found] or [np.empty(0, np.int32)]) for c in range(3))
+        found.clear()
+        liked = (np.bincount(i, like, len(nodes)) + np.bincount(j, like, len(nodes))) / len(nodes)
+        a, b, left = [nodes[:0]], [nodes[:0]], False
+        for at in range(0, len(nodes), 256):
+            mine, theirs = (i >= at) & (i < at + 256), (j >= at) & (j < at + 256)
+            own, other, worth = np.r_[i[mine], j[theirs]], np.r_[j[mine], i[theirs]], np.r_[like[mine], like[theirs]]
+            order = np.lexsort((nodes[other], -worth - liked[other], own))
+            own, other = own[order], other[order]
+            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else own
+            nth = np.arange(len(own)) - np.repeat(first, np.diff(np.r_[first, len(own)]))
+            now = nth < high
+            left = left or not now.all()
+            a.append(nodes[own[now]])
+            b.append(nodes[other[now]])
+        a, b, more = np.concatenate(a), np.concatenate(b), keys[: int(left)]
         none = np.full(len(more), NONE)
         return np.r_[np.minimum(a, b), none], np.r_[np.maximum(a, b), none], np.r_[np.full(len(a), NONE), more]
 
@@ -490,11 +496,11 @@ def _to_test(turn: int, least: float):
 
 
 def in_blocks(dealt: DataFrame) -> DataFrame:
-    """dealt (k, node, n), n texts in a k, as (k, node, side): each k is cut into blocks of half of MEET, and each two blocks
+    """dealt (k, node, root, n), n texts in a k, as (k, node, side, root): each k is cut into blocks of half of MEET, and each two blocks
     meet under a k of their own, one as side 0 and one as side 1, so that all pairs meet in bounded groups."""
     blocks = F.ceil(F.col("n") * 2 / MEET).cast("int")
     cut = dealt.withColumn("own", F.pmod(F.xxhash64("node", F.lit("block")), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    return cut.select(F.xxhash64("k", F.least("own", "other"), F.greatest("own", "other")).alias("k"), "node", (F.col("own") > F.col("other")).cast("int").alias("side"))
+    return cut.select(F.xxhash64("k", F.least("own", "other"), F.greatest("own", "other")).alias("k"), "node", (F.col("own") > F.col("other")).cast("int").alias("side"), "root")
 
 
 def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -527,8 +533,9 @@ class _Links:
         return groups.join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
     def apart(self, groups: DataFrame) -> DataFrame:
-        """groups (k, node, ...) with root and the number n of texts, without those k that have a single root."""
-        rooted = self.rooted(groups)
+        """groups (k, node, ...) with root and the number n of texts, without those k that have a single root. A root that
+        groups have is taken for the present one."""
+        rooted = groups if "root" in groups.columns else self.rooted(groups)
         sizes = rooted.groupBy("k").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("k", "n")
         return rooted.join(sizes, "k")
 
@@ -559,19 +566,19 @@ class _Links:
             self.roots = staged(components(self.found), "so-far")
 
     def cut(self, large: DataFrame) -> DataFrame:
-        """(k, node, side) groups of at most MEET texts from large bands (k, node): those in which more than one root is left,
-        cut by finer bands, twice if need be, and what is too large still in blocks."""
+        """(k, node, side, root) groups of at most MEET texts from large bands (k, node): those in which more than one root is
+        left, cut by finer bands, twice if need be, and what is too large still in blocks."""
         out = None
         for depth in range(3):
-            left = staged(self.apart(large).select("k", "node", "n"), "apart")
-            ready = left.where(F.col("n") <= MEET).select("k", "node", F.lit(0).alias("side"))
+            left = staged(self.apart(large).select("k", "node", "root", "n"), "apart")
+            ready = left.where(F.col("n") <= MEET).select("k", "node", F.lit(0).alias("side"), "root")
             out = ready if out is None else out.unionByName(ready)
             left = left.where(F.col("n") > MEET)
             if left.isEmpty():
                 return out
             if depth < 2:
-                finer = left.join(self.one.select("node", F.posexplode("finer").alias("i", "f")), "node")
-                large = finer.select(F.xxhash64("k", "i", "f").alias("k"), "node")
+                finer = left.join(self.one.select("node", "finer"), "node").select("k", "node", "root", F.posexplode("finer").alias("i", "f"))
+                large = finer.select(F.xxhash64("k", "i", "f").alias("k"), "node", "root")
         return out.unionByName(in_blocks(left))
 
     def all(self) -> DataFrame:
@@ -579,15 +586,16 @@ class _Links:
         sizes = dealt.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
         bands = staged(dealt.join(sizes, "k"), "bands")
         marks = self.one.select("node", "rank", "sketch")
-        todo = bands.where(F.col("n") <= MEET).select("k", "node", F.lit(0).alias("side"))
+        todo = self.rooted(bands.where(F.col("n") <= MEET).select("k", "node", F.lit(0).alias("side")))
         large = bands.where(F.col("n") > MEET).select("k", "node")
         if not large.isEmpty():
             ordered = staged(large.join(marks, "node"), "crowds").repartitionByRange("k", "rank", "node").sortWithinPartitions("k", "rank", "node").select("k", "node", "sketch")
             self.test(ordered.mapInArrow(_by_key(_neighbours, ["a", "b"]), "a long, b long"), True)
-            todo = staged(todo.unionByName(self.cut(large)), "todo")
+            small_ones = self.rooted(bands.where(F.col("n") <= MEET).select("k", "node", F.lit(0).alias("side")))
+            todo = staged(small_ones.unionByName(self.cut(large)), "todo")
         turn = 0
         while True:
-            marked = self.apart(todo).join(marks if not turn else marks.join(self.bins, "node"), "node")
+            marked = (todo if turn or self.roots is None else self.apart(todo)).join(marks if not turn else marks.join(self.bins, "node"), "node")
             cols = ["k", "node", "root", "side", "sketch", *["bins"] * bool(turn)]
             ordered = marked.repartition("k").sortWithinPartitions("k", "rank", "node").select(*cols)
             out = staged(ordered.mapInArrow(_to_test(turn, self.similarity - SLACK), "a long, b long, more long"), "candidates")
@@ -595,7 +603,8 @@ class _Links:
             again = staged(out.where(F.col("more") != NONE).select(F.col("more").alias("k")).distinct(), "again")
             if again.isEmpty():
                 return self.found if self.found is not None else self.tested.limit(0)
-            todo, turn = staged(todo.join(small(again, BROADCAST_IDS), "k", "left_semi"), "todo"), turn + 1
+            left = todo.drop("root").join(small(again, BROADCAST_IDS), "k", "left_semi")
+            todo, turn = staged(self.apart(left).drop("n"), "todo"), turn + 1
 
 
 def representatives(df: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
