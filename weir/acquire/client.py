@@ -4,10 +4,11 @@ caller asks for it, and every outside call is a parameter, so that tests need no
 from __future__ import annotations
 
 import ipaddress
-import multiprocessing
 import os
 import socket
+import shutil
 import subprocess
+import sys
 import threading
 import time
 import urllib.error
@@ -15,6 +16,8 @@ import urllib.request
 from collections.abc import Callable
 from urllib.parse import urljoin, urlparse
 
+from pyspark import cloudpickle
+
 MAX_BODY, MAX_REDIRECTS, MAX_FILE = 25 * 1024 * 1024, 5, 50 * 1024 * 1024
 TRANSIENT = {429, 500, 502, 503, 504}
 SEARCH_RETRIES, SEARCH_FLOOR, SEARCH_MAX_WAIT = 6, 2.0, 180.0
@@ -147,6 +150,21 @@ class _NoRedirects(urllib.request.HTTPRedirectHandler):
         return None
 
 
+class Polite:
+    """A client: a limiter before each call, transient answers tried again, every address checked."""
+
+    def __init__(self, get=None, limiter: RateLimiter | None = None, resolve=None, limit: int = MAX_BODY, sleep=time.sleep):
+        self.get, self.limiter, self.resolve, self.limit, self.sleep = get or urllib_get, limiter or RateLimiter(), resolve, limit, sleep
+
+    def fetch(self, url: str) -> tuple[int, bytes, str | None]:
+        def once():
+            self.limiter.acquire()
+            found = safe_get(url, self.get, self.resolve, self.limit)
+            return found[0], found
+
+        return retried(once, sleep=self.sleep)[1]
+
+
 def urllib_get(url: str, timeout: float = 30.0) -> tuple[int, dict[str, str], list[bytes]]:
     """One GET without redirects, for safe_get; never more than MAX_BODY and a byte is read."""
     opener = urllib.request.build_opener(_NoRedirects)
@@ -201,6 +219,16 @@ class MirrorError(RuntimeError):
     pass
 
 
+#: Bytes that must be free before a checkout begins.
+DISK_FLOOR = 5 * 1024**3
+
+
+def low_disk(folder: str, floor: int = DISK_FLOOR, usage=shutil.disk_usage) -> str | None:
+    """Why no checkout should begin in a folder: less is free than the floor."""
+    free = usage(folder).free
+    return f"low disk: {free / 1024**3:.1f} GiB free, {floor / 1024**3:.1f} GiB wanted" if free < floor else None
+
+
 def clone(repo: str, folder: str, run=subprocess.run, timeout: float = GIT_TIMEOUT, depth: int = 1) -> tuple[str, str]:
     """(path, commit) of a shallow checkout; one that is there is used again. Large files aren't fetched and nothing asks."""
     path = os.path.join(folder, repo.replace("/", "__", 1))
@@ -221,26 +249,31 @@ def clone(repo: str, folder: str, run=subprocess.run, timeout: float = GIT_TIMEO
     return path, git("-C", path, "rev-parse", "HEAD")
 
 
-def _upload(queue, publish: Callable[[], str]) -> None:
-    try:
-        queue.put(("ok", publish()))
-    except Exception as e:  # noqa: BLE001
-        queue.put(("error", f"{type(e).__name__}: {e}"))
+#: What the child of an upload runs: a pickled function comes in, a pickled answer goes out.
+_CHILD = """import sys
+from pyspark import cloudpickle
+out, sys.stdout = sys.stdout.buffer, sys.stderr
+try:
+    said = ("ok", cloudpickle.loads(sys.stdin.buffer.read())())
+except BaseException as e:
+    said = ("error", f"{type(e).__name__}: {e}")
+out.write(cloudpickle.dumps(said))
+"""
 
 
 def upload(publish: Callable[[], str], attempts: int = UPLOAD_ATTEMPTS, deadline: float = UPLOAD_TIMEOUT, sleep=time.sleep) -> str:
-    """Runs an upload in a child process that is ended at the deadline, again if need be."""
-    ctx, last = multiprocessing.get_context("fork"), "no attempt"
+    """Runs an upload in a child process that is ended at the deadline, again if need be. The child is a new interpreter, so
+    nothing of this one's threads is in it."""
+    last = "no attempt"
     for n in range(attempts):
-        queue = ctx.Queue()
-        child = ctx.Process(target=_upload, args=(queue, publish), daemon=True)
-        child.start()
+        child = subprocess.Popen([sys.executable, "-c", _CHILD], stdin=subprocess.PIPE, stdout=subprocess.PIPE, env=os.environ | {"PYTHONPATH": os.pathsep.join(sys.path)})
         try:
-            kind, last = queue.get(timeout=deadline)
-        except Exception:  # noqa: BLE001  nothing came in time
+            said = child.communicate(cloudpickle.dumps(publish), timeout=deadline)[0]
+            kind, last = cloudpickle.loads(said) if said else ("error", f"the child ended with {child.returncode}")
+        except subprocess.TimeoutExpired:
+            child.kill()
+            child.communicate()
             kind, last = "error", f"no answer in {deadline} s"
-        child.terminate()
-        child.join()
         if kind == "ok":
             return last
         if n < attempts - 1:

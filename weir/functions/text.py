@@ -201,7 +201,7 @@ def repo_dirname(repo: Column) -> Column:
 
 def midpoint(low: Column, high: Column, dates: bool = False) -> Column:
     """The middle of a range, rounded down: of dates or of integers."""
-    return F.date_add(low, F.floor(F.date_diff(high, low) / 2).cast("int")) if dates else F.floor((low + high) / 2).cast("long")
+    return F.date_add(low, F.floor(F.date_diff(high, low) / 2).cast("int")) if dates else F.shiftright((low + high).cast("long"), 1)
 
 
 def page_count(cap: Column, per_page: Column) -> Column:

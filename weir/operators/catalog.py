@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weir import schema
 from weir.functions import license, text
 from weir.sources.records import make
+from weir.stage import staged
 
 # How far each origin is trusted; others count as 0.
 AUTHORITY = {"google_ctf": 5, "hackropole": 5, "juiceshop": 5, "nyu_ctf_bench": 4, "sajjadium": 3, "pwncollege": 3, "ctftime": 2, "github": 1}
@@ -56,8 +57,9 @@ def merge(challenges: DataFrame, pos: str = "input_pos") -> tuple[DataFrame, Dat
     it hasn't. `pos` gives the order of rows and has no ties; canonical rows keep the first of their cluster.
 
     Everything is aggregated by (cluster, edge) before edges meet, with map-side combining: a fingerprint that very many
-    rows share costs its distinct edges.
+    rows share costs its distinct edges. The rows are written once, for all branches to read.
     """
+    challenges = staged(challenges, "normalized")
     ranks = F.transform("sources", authority)
     c = challenges.withColumn("__cluster", cluster_key(F.col("content_fingerprint"), F.col("id")))
     c = c.withColumn("__rank", F.coalesce(F.array_max(ranks), F.struct(F.lit(0).alias("official"), F.lit(0).alias("rank"))))

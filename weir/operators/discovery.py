@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 
@@ -58,27 +59,49 @@ def plan(queries: list[str], count: Callable[[str], int], by: str = "created", l
 
 
 def day_leaves(counts: DataFrame, cap: int = CAP) -> DataFrame:
-    """(low, high, n) of leaves over a table (day, n) of counts, as the halving finds them, level by level: each level is one
-    aggregate over the days, so the table may be of any size."""
-    span = counts.agg(F.min("day").alias("low"), F.max("day").alias("high"))
-    todo, leaves = span, None
-    for _ in range(40):
-        sized = counts.join(F.broadcast(todo) if todo.limit(20_001).count() <= 20_000 else todo, (F.col("day") >= F.col("low")) & (F.col("day") <= F.col("high"))).groupBy("low", "high").agg(F.sum("n").alias("n"))
-        done = sized.where((F.col("n") <= cap) & (F.col("n") > 0) | (F.col("low") == F.col("high")))
-        leaves = done if leaves is None else leaves.unionByName(done)
-        over = sized.where((F.col("n") > cap) & (F.col("low") < F.col("high")))
-        if over.isEmpty():
-            break
-        middle = F.date_add("low", F.floor(F.date_diff("high", "low") / 2).cast("int"))
-        todo = over.select(F.explode(F.array(F.struct("low", middle.alias("high")), F.struct(F.date_add(middle, 1).alias("low"), "high"))).alias("r")).select("r.*")
-    return leaves
+    """(low, high, n) of leaves over a table (day, n) of counts, as the halving finds them. Counts are summed by day in the
+    cluster; the sums up to each day of the calendar are at most some thousand rows, and the halving asks them."""
+    days = {r["day"]: r["n"] for r in counts.where("day is not null").groupBy("day").agg(F.sum("n").alias("n")).collect()}
+    leaves: list[tuple[date, date, int]] = []
+    if days:
+        first, upto, sums = min(days), 0, [0]
+        for i in range((max(days) - first).days + 1):
+            upto += days.get(first + timedelta(days=i), 0)
+            sums.append(upto)
+        todo = [(0, len(sums) - 2)]
+        while todo:
+            low, high = todo.pop()
+            n = sums[high + 1] - sums[low]
+            if n and (n <= cap or low == high):
+                leaves.append((first + timedelta(days=low), first + timedelta(days=high), n))
+            elif n:
+                middle = (low + high) // 2
+                todo += [(low, middle), (middle + 1, high)]
+    return counts.sparkSession.createDataFrame(leaves, "low date, high date, n long")
+
+
+def star_table(counts: DataFrame, cap: int = CAP, high: int = MAX_STARS) -> DataFrame:
+    """(low, high, n, whole) of leaves over a table (stars, n), found by halving 0 to `high`; one value over the cap can't be
+    halved and is not whole. The table is summed by value in the cluster first, which has no more rows than values."""
+    sums = counts.where(F.col("stars").between(0, high)).groupBy("stars").agg(F.sum("n").alias("n")).orderBy("stars").collect()
+    values, upto = [r["stars"] for r in sums], [0]
+    for r in sums:
+        upto.append(upto[-1] + r["n"])
+    held = lambda low, high: upto[bisect_right(values, high)] - upto[bisect_left(values, low)]
+    bounds = lambda q: tuple(map(int, q.rsplit("stars:", 1)[1].split("..")))
+    leaves = [(*bounds(q), n, whole) for q, n, whole in star_leaves("", lambda q: held(*bounds(q)), 0, high, cap)]
+    return counts.sparkSession.createDataFrame(leaves, "low long, high long, n long, whole boolean")
+
+
+def seed_names(seeds: DataFrame) -> DataFrame:
+    """(low): the names of seeds in lower case, each once."""
+    return seeds.select(F.lower("repo").alias("low")).where("low is not null").distinct()
 
 
 def union_found(found: DataFrame, seeds: DataFrame, max_repos: int | None = None) -> DataFrame:
     """One candidate for each repository of `found` (with query_pos and pos), none that a seed names. The first one counts,
     but a later one with a known kind replaces it. max_repos: the first so many by order of first sight."""
-    known = seeds.select(F.lower("repo").alias("low")).distinct()
-    rows = found.withColumn("low", F.lower("full_name")).join(known, "low", "left_anti").drop("low")
+    rows = found.withColumn("low", F.lower("full_name")).join(seed_names(seeds), "low", "left_anti").drop("low")
     order = F.struct((F.col("kind") == "unknown").alias("u"), "query_pos", "pos")
     one = rows.groupBy("full_name").agg(F.min_by(F.struct(*[c for c in rows.columns]), order).alias("x"), F.min(F.struct("query_pos", "pos")).alias("first"))
     out = one.select("x.*", "first")

@@ -6,13 +6,14 @@ files and sub-directories are, and the topmost qualifying directory of each path
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weir import schema
 from weir.functions import license, paths, text
 from weir.sources.records import make, raw
+from weir.stage import staged
 
 MAX_METADATA_BYTES = 1 << 20
 
@@ -36,9 +37,11 @@ def license_of_trees(tree: DataFrame, declared: DataFrame) -> DataFrame:
     return tree.select("tree").distinct().join(named, "tree", "left").join(best, "tree", "left").select("tree", F.coalesce("declared", "found", license.unknown()).alias("license"))
 
 
-def challenge_dirs(tree: DataFrame) -> DataFrame:
-    """(tree, dir) of every challenge directory in a listing (tree, path, is_dir); the root of a tree is ""."""
-    clean = tree.where(~F.when(F.col("is_dir"), paths.has_noise(F.col("path"))).otherwise(paths.has_noise(parent(F.col("path")))))
+def dir_facts(tree: DataFrame) -> DataFrame:
+    """(tree, dir, named, direct, deep, parts, marked) of every directory of a listing (tree, path, is_dir) that isn't noise; the
+    root of a tree is "". named: it has a challenge.json; direct, deep: it or anything below has an artifact; parts: it has
+    sub-directories, and all are components; marked: one of them marks a challenge's root."""
+    clean = tree.where("path is not null").where(~F.when(F.col("is_dir"), paths.has_noise(F.col("path"))).otherwise(paths.has_noise(parent(F.col("path")))))
     files = clean.where("not is_dir").select("tree", parent(F.col("path")).alias("dir"), text.basename(F.col("path")).alias("name"))
     dirs = clean.where("is_dir").select("tree", F.col("path").alias("dir"))
     everywhere = dirs.unionByName(tree.select("tree", F.lit("").alias("dir"))).unionByName(files.select("tree", F.explode(ancestors(F.col("dir"), True)).alias("dir"))).distinct()
@@ -47,8 +50,12 @@ def challenge_dirs(tree: DataFrame) -> DataFrame:
     below = everywhere.where("dir <> ''").groupBy("tree", parent(F.col("dir")).alias("dir"))
     subs = below.agg(F.bool_and(paths.is_component(text.basename(F.col("dir")))).alias("parts"), F.bool_or(paths.is_root_marker(text.basename(F.col("dir")))).alias("marked"))
     facts = everywhere.join(own, ["tree", "dir"], "left").join(deep, ["tree", "dir"], "left").join(subs, ["tree", "dir"], "left")
-    yes = lambda c: F.coalesce(F.col(c), F.lit(False))
-    judged = facts.select("tree", "dir", yes("named").alias("named"), (yes("direct") | ((yes("parts") | yes("marked")) & yes("deep"))).alias("holds"))
+    return facts.select("tree", "dir", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("named", "direct", "deep", "parts", "marked")])
+
+
+def challenge_dirs(tree: DataFrame) -> DataFrame:
+    """(tree, dir) of every challenge directory in a listing (tree, path, is_dir); the root of a tree is ""."""
+    judged = staged(dir_facts(tree).select("tree", "dir", "named", (F.col("direct") | ((F.col("parts") | F.col("marked")) & F.col("deep"))).alias("holds")), "judged")
     root = judged.where("dir = ''")
     # directories under a component of the root are parts of the root
     candidates = judged.where(F.col("dir") != "").where((F.col("named") | F.col("holds")) & ~paths.is_component(F.split_part("dir", F.lit("/"), F.lit(1))))
@@ -59,23 +66,28 @@ def challenge_dirs(tree: DataFrame) -> DataFrame:
     return leaves.unionByName(alone)
 
 
+def metadata(head: Column, size: Column) -> Column:
+    """What a challenge.json tells; nulls for one that is too large or no JSON object."""
+    fields = T.StructType([T.StructField(x, T.StringType()) for x in ("name", "category", "flag", "description")])
+    return F.from_json(F.when(size <= MAX_METADATA_BYTES, head), fields)
+
+
 def records(tree: DataFrame, seeds: DataFrame, commits: DataFrame, retrieved_at: Column | None = None, limit: int | None = None) -> DataFrame:
     """Raw records of source trees (as read by `filetree` with heads "license,licence,copying,unlicense,challenge.json").
 
     seeds: repo, kind, license, official. commits: (tree, commit_sha). limit: challenges of one tree at most, in path order.
     """
+    tree = staged(tree.where("path is not null"), "tree")
     dirs = challenge_dirs(tree).withColumnRenamed("tree", "repo")
     if limit is not None:
-        from pyspark.sql import Window
-
         dirs = dirs.withColumn("nth", F.row_number().over(Window.partitionBy("repo").orderBy("dir"))).where(F.col("nth") <= limit).drop("nth")
-    meta = tree.where(~F.col("is_dir") & (text.basename(F.col("path")) == "challenge.json") & (F.col("size") <= MAX_METADATA_BYTES))
-    fields = "name string, category string, flag string, description string"
-    meta = meta.select(F.col("tree").alias("repo"), parent(F.col("path")).alias("dir"), F.from_json("head", T.StructType([T.StructField(x.split()[0], T.StringType()) for x in fields.split(", ")])).alias("m"))
+    meta = tree.where(~F.col("is_dir") & (text.basename(F.col("path")) == "challenge.json")).select(F.col("tree").alias("repo"), parent(F.col("path")).alias("dir"), metadata(F.col("head"), F.col("size")).alias("m"))
+    dirs = staged(dirs, "dirs")
     licensed = license_of_trees(tree, seeds.select(F.col("repo").alias("tree"), F.col("license").alias("spdx"))).withColumnRenamed("tree", "repo").withColumnRenamed("license", "repo_license")
+    licensed = staged(licensed, "licenses")
     named = dirs.join(meta, ["repo", "dir"], "left").join(licensed, "repo", "left").join(commits.withColumnRenamed("tree", "repo"), "repo", "left").join(seeds.select("repo", "kind", "official"), "repo", "left")
     segments = F.when(F.col("dir") == "", F.array().cast("array<string>")).otherwise(F.split("dir", "/"))
-    named = paths.derive(named.withColumn("__segments", segments), "__segments", "m.name", "m.category")
+    named = staged(paths.derive(named.withColumn("__segments", segments), "__segments", "m.name", "m.category"), "derived")
     found = {c: F.col(c) for c in ("title", "event_name", "edition", "year", "raw_category")}
     origin, short = paths.origin_of_repo(F.col("repo")), F.element_at(F.split("repo", "/"), -1)
     src = make(

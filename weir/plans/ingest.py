@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,7 @@ from weir.operators import catalog, discovery
 from weir.sinks import catalog as sink
 from weir.sinks import corpus
 from weir.sources.records import REGISTRY
+from weir.stage import staged
 
 
 @dataclass
@@ -23,8 +26,8 @@ class Ingested:
 
 
 def ingest(raw: DataFrame, dedup: bool = True, materialize: bool = True, root: str = "corpus", ingested_at: Column | None = None, pos: str = "input_pos") -> Ingested:
-    """Normalizes, merges mirrors and lays out the corpus. Nothing is fetched and nothing is written here."""
-    placed = raw if pos in raw.columns else raw.withColumn(pos, F.monotonically_increasing_id())
+    """Normalizes, merges mirrors and lays out the corpus. Nothing is fetched, and nothing is written outside the shared folder."""
+    placed = raw if pos in raw.columns else staged(raw.withColumn(pos, F.monotonically_increasing_id()), "raw")
     made, pairs = catalog.normalize(placed, ingested_at), None
     if dedup:
         made, pairs = catalog.merge(made, pos)
@@ -88,13 +91,22 @@ def mirror_summary(results: DataFrame) -> DataFrame:
     return results.groupBy("status").agg(F.count("*").alias("repos"), F.coalesce(F.sum("n_challenges"), F.lit(0)).alias("challenges"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
 
 
-def flushes(results: DataFrame, batch_size: int = 50, max_mb: int = 8_000, pos: str = "pos") -> DataFrame:
+def flushes(results: DataFrame, batch_size: int = 50, max_mb: float = 8_000, pos: str = "pos") -> DataFrame:
     """results in the order they are done, with the batch each is published in: a batch ends when it has so many rows or so
-    many bytes. The order is a chain, so this runs on the driver's list of results, one short row for each repository."""
-    rows, batch, n, size, out = results.orderBy(pos).collect(), 0, 0, 0, []
-    for r in rows:
-        out.append((*r, batch))
-        n, size = n + 1, size + (r["bytes"] or 0)
-        if n >= batch_size or size >= max_mb * 1_000_000:
-            batch, n, size = batch + 1, 0, 0
-    return results.sparkSession.createDataFrame(out, T.StructType([*results.schema, T.StructField("batch", T.IntegerType())]))
+    many bytes. Where one ends depends on all before it, so one task goes through the rows, of which there is one for each
+    repository, sorted on disk where need be; it holds a batch of them at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch, n, size = 0, 0, 0
+        for rows in batches:
+            of = []
+            for held in rows.column(at).to_pylist():
+                of.append(batch)
+                n, size = n + 1, size + (held or 0)
+                if n >= batch_size or size >= max_mb * 1_000_000:
+                    batch, n, size = batch + 1, 0, 0
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(of, pa.int32())], names=[*rows.schema.names, "batch"])
+
+    at = results.columns.index("bytes")
+    schema_ = T.StructType([*results.schema, T.StructField("batch", T.IntegerType())])
+    return results.coalesce(1).sortWithinPartitions(pos).mapInArrow(run, schema_)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weir import schema
@@ -129,18 +129,25 @@ def nrm_04(spark, sf_dir):
     return joined.select("l_orderkey", "l_linenumber", text.challenge_id(F.col("o_orderpriority"), F.year("o_orderdate"), F.col("p_name"), text.category(F.col("p_type")), text.slug_of_normal).alias("id"))
 
 
-PATHS = [
-    "src/main.py", "README.md", "readme", "Writeup.pdf", "writeups.md", "solve.py", "solver.c", "solves.sh", "solution.txt", "Dockerfile", "docker-compose.yml", "compose.yaml", "a/b/.gitignore", ".DS_Store", "flag.txt",
-    "dist/chal.tar.gz", "x/y.zip", "lib/core.CPP", "vendor/z.go", "node_modules/q.js", ".github/w.yml", "noext", ".py", "a.b/c", "web/app.ts", "LICENSE", "challenge.json", "solver/main.rs", "unsolved.py", "readme2.md",
+FOLDERS = ["", "src/", "a/b/", "vendor/", ".github/", "web/public/", "node_modules/q/", "dist/", "x.y/", "kctf/", "Deploy/", "public/attachments/"]
+NAMES = [
+    "main.py", "README.md", "readme", "Writeup.pdf", "writeups.md", "solve.py", "solver.c", "solves.sh", "solution.txt", "Dockerfile", "docker-compose.yml", "compose.yaml", ".gitignore", ".DS_Store", "flag.txt",
+    "chal.tar.gz", "y.zip", "core.CPP", "z.go", "q.js", "w.yml", "noext", ".py", "c", "app.ts", "LICENSE", "challenge.json", "main.rs", "unsolved.py", "readme2.md", "COPYING.lesser", "docker-compose-dev.json",
 ]
-PATH_ROWS = [(i, p) for i, p in enumerate(PATHS)]
 _BASE = "regexp_extract(p, '([^/]*)/*$', 1)"
 _SUFFIX = f"lower(regexp_extract({_BASE}, '^.*[^/](\\.[^.]+)$', 1))"
-_FILES = sql_values(PATH_ROWS) + " v(k, p)"
+_list = lambda xs: "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in xs) + "]"
+_FILES = f"(SELECT p_partkey AS k, {_list(FOLDERS)}[p_partkey % 12 + 1] || {_list(NAMES)}[(p_partkey * 7 // 12) % 32 + 1] AS p FROM part)"
 
 
-def path_values(spark):
-    return values(spark, PATH_ROWS, "k int, p string")
+def pick(options: list[str], i: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(x) for x in options]), (i + 1).cast("int"))
+
+
+def path_values(spark, sf_dir) -> DataFrame:
+    """(k, p): a path for each part."""
+    k = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(k.alias("k"), F.concat(pick(FOLDERS, k % 12), pick(NAMES, F.floor(k * 7 / 12) % 32)).alias("p"))
 
 
 _LANG = "CASE " + " ".join(f"WHEN {_SUFFIX} = '{k}' THEN '{v}'" for k, v in text.SOURCE_LANGUAGES.items()) + " END"
@@ -149,25 +156,28 @@ _IS_SOURCE = f"NOT regexp_matches({_BASE}, '^(readme(\\..*)?|writeups?(\\..*)?|s
 
 def _as_files(df: DataFrame) -> DataFrame:
     file = make(schema.FILE, path=F.col("p"), sha256=F.sha2("p", 256), size=F.length("p"), is_source=text.is_source(F.col("p")), lfs=F.lit(False))
-    return df.groupBy((F.col("k") % 4).alias("g")).agg(F.collect_list(file).alias("files"))
+    return df.groupBy((F.col("k") % 50).alias("g")).agg(F.collect_list(file).alias("files"))
 
 
-@query("NRM-06", f"SELECT g, coalesce(string_agg(DISTINCT l, ',' ORDER BY l), '') AS languages FROM (SELECT k % 4 AS g, CASE WHEN {_IS_SOURCE} THEN {_LANG} END AS l FROM {_FILES}) GROUP BY g")
+@query("NRM-06", f"SELECT g, coalesce(string_agg(DISTINCT l, ',' ORDER BY l), '') AS languages FROM (SELECT k % 50 AS g, CASE WHEN {_IS_SOURCE} THEN {_LANG} END AS l FROM {_FILES}) GROUP BY g")
 def nrm_06(spark, sf_dir):
-    return _as_files(path_values(spark)).select("g", F.array_join(text.solve_languages(F.col("files")), ",").alias("languages"))
+    return _as_files(path_values(spark, sf_dir)).select("g", F.array_join(text.solve_languages(F.col("files")), ",").alias("languages"))
 
 
-@query("NRM-07", f"SELECT k % 4 AS g, bool_or(lower({_BASE}) IN ('dockerfile', 'docker-compose.yml', 'docker-compose.yaml', 'compose.yaml')) AS docker, bool_or({_IS_SOURCE}) AS has_source FROM {_FILES} GROUP BY 1")
+@query("NRM-07", f"SELECT k % 50 AS g, bool_or(lower({_BASE}) IN ('dockerfile', 'docker-compose.yml', 'docker-compose.yaml', 'compose.yaml')) AS docker FROM {_FILES} GROUP BY 1")
 def nrm_07(spark, sf_dir):
-    return _as_files(path_values(spark)).select("g", text.has_docker(F.col("files")).alias("docker"), text.has_source(F.col("files")).alias("has_source"))
+    return _as_files(path_values(spark, sf_dir)).select("g", text.has_docker(F.col("files")).alias("docker"))
 
 
-QUERIES["NRM-09"], ORACLES["NRM-09"] = QUERIES["NRM-07"], ORACLES["NRM-07"]
+@query("NRM-09", f"SELECT k % 50 AS g, bool_or({_IS_SOURCE}) AS has_source, count(*) FILTER ({_IS_SOURCE})::BIGINT AS n FROM {_FILES} GROUP BY 1")
+def nrm_09(spark, sf_dir):
+    files = _as_files(path_values(spark, sf_dir))
+    return files.select("g", text.has_source(F.col("files")).alias("has_source"), F.size(F.filter("files", lambda f: f["is_source"])).cast("long").alias("n"))
 
 
 @query("NRM-08", f"SELECT k, p, {_IS_SOURCE} AS is_source, {_SUFFIX} AS suffix FROM {_FILES}")
 def nrm_08(spark, sf_dir):
-    return path_values(spark).select("k", "p", text.is_source(F.col("p")).alias("is_source"), text.suffix(F.col("p")).alias("suffix"))
+    return path_values(spark, sf_dir).select("k", "p", text.is_source(F.col("p")).alias("is_source"), text.suffix(F.col("p")).alias("suffix"))
 
 
 @query("NRM-10", f"WITH {_DOC} SELECT doc_id AS input_pos, coalesce(spdx IN {REDISTRIBUTABLE}, false) AS redistributable FROM m")
@@ -186,11 +196,6 @@ def nrm_12(spark, sf_dir):
     return catalog.first_commit(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("input_pos"), F.array(src).alias("sources")))
 
 
-@query("NRM-13", "SELECT page_id, sha256(html) AS sha256, strlen(html)::BIGINT AS bytes FROM pages")
-def nrm_13(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", F.sha2("html", 256).alias("sha256"), F.octet_length("html").cast("long").alias("bytes"))
-
-
 # ---- path predicates ---------------------------------------------------------------------------------------------------
 _in = lambda xs: "(" + ", ".join(f"'{x}'" for x in xs) + ")"
 _DOCKER = f"(lower({_BASE}) = 'dockerfile' OR starts_with(lower({_BASE}), 'docker-compose') OR lower({_BASE}) = 'compose.yaml')"
@@ -203,36 +208,55 @@ _SRC, _OUT = f"({_SUFFIX} IN {_in(paths.SOURCE_SUFFIXES)})", f"(ends_with(lower(
 )
 def flt_05(spark, sf_dir):
     name = text.basename(F.col("p"))
-    return path_values(spark).select(
+    return path_values(spark, sf_dir).select(
         "k", paths.is_docker_file(name).alias("docker_file"), paths.is_source_name(name).alias("source_name"), paths.is_handout(name).alias("handout"), paths.is_artifact(name).alias("artifact"), paths.has_noise(F.col("p")).alias("noise")
     )
 
 
-for _id in ("FLT-01", "FLT-02", "FLT-03", "FLT-04"):
-    QUERIES[_id], ORACLES[_id] = QUERIES["FLT-05"], ORACLES["FLT-05"]
-
-TREES = {
-    "a/archive": ["2021/HITCON/pwn/baby/chal.py", "2021/HITCON/pwn/baby/src/x.c", "2021/HITCON/web/note/public/index.js", "2021/HITCON/web/note/private/app.py", "tool.py", "2021/HITCON/README.md"],
-    "b/single": ["Dockerfile", "src/main.c", "dist/out.zip"],
-    "c/parts": ["public/a.zip", "private/sol.py"],
-    "d/meta": ["challenge.json", "x/chal.py", "y/z/chal.py"],
-    "google/google-ctf": ["2017/finals/2017-finals-crypto-bender/attachments/a.zip", "2017/finals/2017-finals-crypto-bender/pcb/k.c", "third_party/edk2/a.c", "2018/quals/re-arcade/challenge/go.py"],
-    "e/empty": ["docs/readme.md"],
-    "f/nested": ["event/challenge.json", "event/sub/chal.py", "node_modules/p/q.js", ".github/ci.py"],
-}
-TREE_ROWS = [(t, p, False) for t, ps in TREES.items() for p in ps] + sorted(
-    {(t, p.rsplit("/", i)[0], True) for t, ps in TREES.items() for p in ps for i in range(1, p.count("/") + 1)}
-)
+@query("FLT-01", f"SELECT k, {_BASE} IN {_in(paths.NOISE)} OR starts_with({_BASE}, '.git') AS noise_name, len(list_filter(string_split(p, '/'), lambda s: s IN {_in(paths.NOISE)} OR starts_with(s, '.git'))) > 0 AS noise FROM {_FILES}")
+def flt_01(spark, sf_dir):
+    return path_values(spark, sf_dir).select("k", paths.is_noise(text.basename(F.col("p"))).alias("noise_name"), paths.has_noise(F.col("p")).alias("noise"))
 
 
-def listing(spark) -> DataFrame:
-    df = values(spark, TREE_ROWS, "tree string, path string, is_dir boolean")
-    return df.withColumns({"size": F.length("path").cast("long"), "sha256": F.sha2("path", 256), "lfs": F.lit(False), "head": F.when(F.col("path").endswith("challenge.json"), '{"name": "Named", "category": "web"}')})
+@query("FLT-02", f"SELECT k, p, {_DOCKER} AS docker_file FROM {_FILES}")
+def flt_02(spark, sf_dir):
+    return path_values(spark, sf_dir).select("k", "p", paths.is_docker_file(text.basename(F.col("p"))).alias("docker_file"))
 
 
-@query(
-    "FLT-10",
-    f"""WITH RECURSIVE t AS (SELECT * FROM {sql_values([(a, b, int(c)) for a, b, c in TREE_ROWS])} v(tree, path, is_dir)),
+@query("FLT-03", f"SELECT k, {_SUFFIX} AS suffix, {_SRC} AS source_name FROM {_FILES}")
+def flt_03(spark, sf_dir):
+    return path_values(spark, sf_dir).select("k", text.suffix(F.col("p")).alias("suffix"), paths.is_source_name(text.basename(F.col("p"))).alias("source_name"))
+
+
+@query("FLT-04", f"SELECT k, p, {_OUT} AS handout FROM {_FILES}")
+def flt_04(spark, sf_dir):
+    return path_values(spark, sf_dir).select("k", "p", paths.is_handout(text.basename(F.col("p"))).alias("handout"))
+
+
+# Trees of made-up repositories: each part is a file of one of them.
+EVENTS = ["2021/Cup", "2022/Cup", "Open/2019/quals", "", "old"]
+SPOTS = ["pwn/one", "web/two/public", "web/two/private", "crypto/three", "misc/four/deep/er", "attachments", "docs", "node_modules/m", "rev/five/challenge", "x/solution", ""]
+FILES = ["chal.py", "notes.md", "challenge.json", "out.tar.gz", "Dockerfile", "index.html", "main.c"]
+_TREE = f"""(SELECT 'o/t' || (p_partkey % 97) AS tree, ltrim({_list(EVENTS)}[(p_partkey // 97) % 5 + 1] || '/' || {_list(SPOTS)}[(p_partkey * 31 // 97) % 11 + 1], '/') AS folder, {_list(FILES)}[(p_partkey * 13 // 29) % 7 + 1] AS name, p_partkey % 97 % 4 AS sort FROM part)"""
+_LISTED = f"""files AS (SELECT DISTINCT tree, CASE WHEN rtrim(folder, '/') = '' THEN name ELSE rtrim(folder, '/') || '/' || name END AS p FROM {_TREE} WHERE NOT (name = 'challenge.json' AND sort < 3)),
+t AS (SELECT tree, p AS path, 0 AS is_dir FROM files UNION SELECT tree, array_to_string(list_slice(string_split(p, '/'), 1, i), '/'), 1 FROM files, generate_series(1, 9) g(i) WHERE i < len(string_split(p, '/')))"""
+
+
+def listing(spark, sf_dir) -> DataFrame:
+    """(tree, path, is_dir, size, sha256, lfs, head) of the trees."""
+    k = F.col("p_partkey")
+    rows = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("o/t"), (k % 97).cast("string")).alias("tree"), F.trim(F.concat(pick(EVENTS, F.floor(k / 97) % 5), F.lit("/"), pick(SPOTS, F.floor(k * 31 / 97) % 11)), F.lit("/")).alias("folder"),
+        pick(FILES, F.floor(k * 13 / 29) % 7).alias("name"), (k % 97 % 4).alias("sort"),
+    ).where("not (name = 'challenge.json' and sort < 3)")
+    files = rows.select("tree", F.concat_ws("/", F.nullif("folder", F.lit("")), "name").alias("path")).distinct()
+    dirs = files.select("tree", F.explode(F.filter(walk.ancestors(F.col("path")), lambda d: d != "")).alias("path")).distinct()
+    both = files.withColumn("is_dir", F.lit(False)).unionByName(dirs.withColumn("is_dir", F.lit(True)))
+    meta = F.when(F.col("path").endswith("challenge.json"), F.to_json(F.struct(F.concat(F.lit("Named "), F.length("path").cast("string")).alias("name"), F.lit("web").alias("category"))))
+    return both.withColumns({"size": F.length("path").cast("long"), "sha256": F.sha2("path", 256), "lfs": F.lit(False), "head": meta})
+
+
+_DIR_FACTS = f"""{_LISTED},
 c AS (SELECT * FROM t WHERE len(list_filter(string_split(CASE WHEN is_dir = 1 THEN path ELSE regexp_replace(path, '/?[^/]*$', '') END, '/'), lambda s: s IN {_in(paths.NOISE)} OR starts_with(s, '.git'))) = 0),
 f AS (SELECT tree, regexp_replace(path, '/?[^/]*$', '') AS dir, path AS p FROM c WHERE is_dir = 0),
 d AS (SELECT tree, path AS dir FROM c WHERE is_dir = 1 UNION SELECT tree, '' FROM t),
@@ -240,79 +264,134 @@ q AS (SELECT d.tree, d.dir,
     EXISTS (SELECT 1 FROM f WHERE f.tree = d.tree AND f.dir = d.dir AND {_BASE} = 'challenge.json') AS named,
     EXISTS (SELECT 1 FROM f WHERE f.tree = d.tree AND f.dir = d.dir AND ({_DOCKER} OR {_SRC} OR {_OUT})) AS direct,
     EXISTS (SELECT 1 FROM f WHERE f.tree = d.tree AND (d.dir = '' OR f.dir = d.dir OR starts_with(f.dir, d.dir || '/')) AND ({_DOCKER} OR {_SRC} OR {_OUT})) AS deep,
-    coalesce((SELECT bool_and(lower(regexp_extract(s.dir, '([^/]*)$', 1)) IN {_in(paths.COMPONENTS)}) OR bool_or(lower(regexp_extract(s.dir, '([^/]*)$', 1)) IN {_in(paths.ROOT_MARKERS)})
-      FROM d s WHERE s.tree = d.tree AND s.dir <> '' AND regexp_replace(s.dir, '/?[^/]*$', '') = d.dir), false) AS parts
-  FROM d),
-w AS (SELECT tree, dir, named, direct OR (parts AND deep) AS holds FROM q),
+    coalesce((SELECT bool_and(lower(regexp_extract(s.dir, '([^/]*)$', 1)) IN {_in(paths.COMPONENTS)}) FROM d s WHERE s.tree = d.tree AND s.dir <> '' AND regexp_replace(s.dir, '/?[^/]*$', '') = d.dir), false) AS parts,
+    coalesce((SELECT bool_or(lower(regexp_extract(s.dir, '([^/]*)$', 1)) IN {_in(paths.ROOT_MARKERS)}) FROM d s WHERE s.tree = d.tree AND s.dir <> '' AND regexp_replace(s.dir, '/?[^/]*$', '') = d.dir), false) AS marked
+  FROM d)"""
+_DIRS = f"""{_DIR_FACTS},
+w AS (SELECT tree, dir, named, direct OR ((parts OR marked) AND deep) AS holds FROM q),
 g AS (SELECT tree, dir FROM w WHERE dir <> '' AND (named OR holds) AND lower(string_split(dir, '/')[1]) NOT IN {_in(paths.COMPONENTS)}),
-leaf AS (SELECT * FROM g WHERE NOT EXISTS (SELECT 1 FROM g u WHERE u.tree = g.tree AND starts_with(g.dir, u.dir || '/')) AND tree NOT IN (SELECT tree FROM w WHERE dir = '' AND named))
-SELECT tree, dir FROM leaf UNION ALL SELECT tree, dir FROM w WHERE dir = '' AND (named OR (holds AND tree NOT IN (SELECT tree FROM leaf)))""",
-)
+leaf AS (SELECT * FROM g WHERE NOT EXISTS (SELECT 1 FROM g u WHERE u.tree = g.tree AND starts_with(g.dir, u.dir || '/')) AND tree NOT IN (SELECT tree FROM w WHERE dir = '' AND named)),
+dirs AS (SELECT tree, dir FROM leaf UNION ALL SELECT tree, dir FROM w WHERE dir = '' AND (named OR (holds AND tree NOT IN (SELECT tree FROM leaf))))"""
+
+
+@query("FLT-10", f"WITH {_DIRS} SELECT tree, dir FROM dirs")
 def flt_10(spark, sf_dir):
-    return walk.challenge_dirs(listing(spark))
+    return walk.challenge_dirs(listing(spark, sf_dir))
+
+
+@query("FLT-11", f"WITH {_DIRS} SELECT tree, dir, len(string_split(dir, '/'))::BIGINT AS depth FROM dirs WHERE dir <> ''")
+def flt_11(spark, sf_dir):
+    """The topmost directory of each path below the root that qualifies."""
+    return walk.challenge_dirs(listing(spark, sf_dir)).where("dir <> ''").withColumn("depth", F.size(F.split("dir", "/")).cast("long"))
 
 
-for _id in ("FLT-06", "FLT-07", "FLT-08", "FLT-09", "FLT-11"):
-    QUERIES[_id], ORACLES[_id] = QUERIES["FLT-10"], ORACLES["FLT-10"]
+for _id, _fact in (("FLT-06", "direct"), ("FLT-07", "deep"), ("FLT-08", "parts"), ("FLT-09", "root")):
 
+    def _facts(spark, sf_dir, _fact=_fact):
+        facts = walk.dir_facts(listing(spark, sf_dir)).withColumn("root", F.col("parts") | F.col("marked"))
+        return facts.select("tree", "dir", _fact)
 
-@query("SRC-09")
+    _facts.__name__ = _id.lower().replace("-", "_")
+    query(_id, f"WITH {_DIR_FACTS} SELECT tree, dir, {'parts OR marked AS root' if _fact == 'root' else _fact} FROM q")(_facts)
+
+
+@query(
+    "SRC-09",
+    f"""WITH {_DIRS}, n AS (SELECT tree, dir, (SELECT count(*) FROM files WHERE files.tree = dirs.tree AND (dir = '' OR starts_with(p, dir || '/'))) AS n_files,
+  (SELECT max('Named ' || length(p)) FROM files WHERE files.tree = dirs.tree AND p = CASE WHEN dir = '' THEN '' ELSE dir || '/' END || 'challenge.json') AS meta FROM dirs)
+SELECT tree AS repo, CASE WHEN dir = '' THEN '.' ELSE dir END AS path_in_repo, coalesce(meta, CASE WHEN dir = '' THEN split_part(tree, '/', 2) ELSE regexp_extract(dir, '([^/]*)$', 1) END) AS title, n_files::INTEGER AS n_files, 'github' AS origin FROM n""",
+)
 def src_09(spark, sf_dir):
-    """Trees to raw records, with derived metadata and files."""
-    seeds = values(spark, [(i, "s", t, "sources", None, t.startswith("google"), None, None) for i, t in enumerate(TREES)], "pos int, section string, repo string, kind string, license string, official boolean, layout string, note string")
-    commits = values(spark, [(t, "c" * 40) for t in TREES], "tree string, commit_sha string")
-    made = walk.records(listing(spark), seeds, commits)
-    return made.select("origin", "title", "event_name", "edition", "year", "raw_category", F.size("files").alias("n_files"), F.col("source.path_in_repo").alias("path_in_repo"), F.col("source.repo").alias("repo"), F.col("source.is_official").alias("is_official"))
+    """Trees to raw records, with their titles and files."""
+    made = walk.records(listing(spark, sf_dir), *_known(spark, sf_dir))
+    return made.select(F.col("source.repo").alias("repo"), F.col("source.path_in_repo").alias("path_in_repo"), "title", F.size("files").alias("n_files"), "origin")
 
 
-QUERIES["SRC-08"] = QUERIES["FLT-15"] = QUERIES["SRC-09"]
+def _known(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Seeds and commits of the trees."""
+    trees = table(spark, sf_dir, "part").select(F.concat(F.lit("o/t"), (F.col("p_partkey") % 97).cast("string")).alias("repo")).distinct()
+    none = F.lit(None).cast("string")
+    seeds = trees.select(F.lit(0).alias("pos"), F.lit("s").alias("section"), "repo", F.lit("sources").alias("kind"), none.alias("license"), F.lit(False).alias("official"), none.alias("layout"), none.alias("note"))
+    return seeds, trees.select(F.col("repo").alias("tree"), F.sha1("repo").alias("commit_sha"))
 
-SEGMENTS = [(0, "2021-quals"), (1, "HITCON CTF"), (2, "ctf_2019_x"), (3, "1989"), (4, "2099"), (5, "21000"), (6, "2017-finals-crypto-bender"), (7, "re-arcade"), (8, "webhook-abuse"), (9, "hw parking"), (10, "pwn_heat")]
+
+@query("FLT-15", "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_name END AS name, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_size::VARCHAR END AS flag FROM part")
+def flt_15(spark, sf_dir):
+    """Metadata of bounded size: broken JSON, and what is larger, tells nothing."""
+    k = F.col("p_partkey")
+    good = F.to_json(F.struct(F.col("p_name").alias("name"), F.col("p_size").alias("flag"), F.lit("x").alias("other")))
+    p = table(spark, sf_dir, "part").select("p_partkey", F.when(k % 6 == 0, "{broken").otherwise(good).alias("head"), F.when(k % 6 == 3, walk.MAX_METADATA_BYTES + 1).otherwise(F.length(good)).cast("long").alias("size"))
+    return p.select("p_partkey", walk.metadata(F.col("head"), F.col("size")).alias("m")).select("p_partkey", "m.name", "m.flag")
+
+
+_SEGMENT = "(SELECT o_orderkey AS k, ['Quals-', 'ctf_', 'x ', '', 'v1'][o_orderkey % 5 + 1] || (o_orderkey % 300 + 1880) || ['', '_', '-pwn', ' hw', '-web-', 'webhook'][o_orderkey % 6 + 1] || ['heap', 'crypto', 're', '-abuse'][o_orderkey % 4 + 1] AS x FROM orders)"
+
+
+def segments(spark, sf_dir) -> DataFrame:
+    k = F.col("o_orderkey")
+    x = F.concat(pick(["Quals-", "ctf_", "x ", "", "v1"], k % 5), (k % 300 + 1880).cast("string"), pick(["", "_", "-pwn", " hw", "-web-", "webhook"], k % 6), pick(["heap", "crypto", "re", "-abuse"], k % 4))
+    return table(spark, sf_dir, "orders").select(k.alias("k"), x.alias("x"))
 
 
 @query(
     "FLT-12",
-    "SELECT k, try_cast(list_filter(regexp_split_to_array(x, '[-_\\s]+'), lambda t: regexp_full_match(t, '199[0-9]|20[0-9]{2}'))[1] AS VARCHAR) AS year FROM " + sql_values(SEGMENTS) + " v(k, x)",
+    "SELECT k, try_cast(list_filter(regexp_split_to_array(x, '[-_\\s]+'), lambda t: regexp_full_match(t, '199[0-9]|20[0-9]{2}'))[1] AS VARCHAR) AS year FROM " + _SEGMENT,
 )
 def flt_12(spark, sf_dir):
-    return values(spark, SEGMENTS, "k int, x string").select("k", paths.year_of(F.col("x")).cast("string").alias("year"))
+    return segments(spark, sf_dir).select("k", paths.year_of(F.col("x")).cast("string").alias("year"))
 
 
 @query(
     "FLT-13",
-    "SELECT k, list_filter(list_transform(regexp_split_to_array(lower(x), '[-_\\s]+'), lambda t: CASE " + " ".join(f"WHEN t = '{k}' THEN '{v}'" for k, v in paths.NAME_TOKENS.items()) + " END), lambda t: t IS NOT NULL)[1] AS category FROM " + sql_values(SEGMENTS) + " v(k, x)",
+    "SELECT k, list_filter(list_transform(regexp_split_to_array(lower(x), '[-_\\s]+'), lambda t: CASE " + " ".join(f"WHEN t = '{k}' THEN '{v}'" for k, v in paths.NAME_TOKENS.items()) + " END), lambda t: t IS NOT NULL)[1] AS category FROM " + _SEGMENT,
 )
 def flt_13(spark, sf_dir):
-    return values(spark, SEGMENTS, "k int, x string").select("k", paths.category_of_name(F.col("x")).alias("category"))
+    return segments(spark, sf_dir).select("k", paths.category_of_name(F.col("x")).alias("category"))
+
 
+_UPPER = ["CTFs/Open", "2021/finals", "web/2020", "Cup/2019/Quals/pwn", "old", "challenges"]
 
-@query("FLT-14")
+
+@query(
+    "FLT-14",
+    f"""WITH s AS (SELECT p_partkey AS k, {_list(_UPPER)}[p_partkey % 6 + 1] AS up, 'thing-' || p_partkey || CASE WHEN p_partkey % 5 = 0 THEN '-crypto' ELSE '' END AS leaf FROM part)
+SELECT k, leaf AS title, CASE k % 6 WHEN 0 THEN 'Open' WHEN 3 THEN 'Cup' WHEN 4 THEN 'old' END AS event_name, CASE k % 6 WHEN 1 THEN 'finals' WHEN 3 THEN 'Quals' END AS edition,
+  (CASE k % 6 WHEN 1 THEN 2021 WHEN 2 THEN 2020 WHEN 3 THEN 2019 END)::VARCHAR AS year, CASE WHEN k % 6 = 2 THEN 'web' WHEN k % 6 = 3 THEN 'pwn' WHEN k % 5 = 0 THEN 'crypto' END AS raw_category FROM s""",
+)
 def flt_14(spark, sf_dir):
-    rows = [(0, "CTFs/HITCON/2021/Quals/pwn/baby"), (1, "2017/finals/2017-finals-crypto-bender"), (2, "baby"), (3, "web/2020/Event/web-2/x"), (4, "challenges/tasks/thing")]
-    df = values(spark, rows, "k int, p string").withColumns({"s": F.split("p", "/"), "n": F.lit(None).cast("string")})
-    return paths.derive(df, "s", "n", "n").drop("s", "n", "p")
+    k = F.col("p_partkey")
+    leaf = F.concat(F.lit("thing-"), k.cast("string"), F.when(k % 5 == 0, "-crypto").otherwise(""))
+    df = table(spark, sf_dir, "part").select(k.alias("k"), F.split(F.concat(pick(_UPPER, k % 6), F.lit("/"), leaf), "/").alias("s"), F.lit(None).cast("string").alias("n"))
+    return paths.derive(df, "s", "n", "n").drop("s", "n").withColumn("year", F.col("year").cast("string"))
+
 
+OWNERS = ["google", "Google", "sajjadium", "PwnCollege", "nyu-llm-ctf", "me", "plain"]
+SHORT = ["google-ctf", "other", "ctf-writeups", "write-up", "tasks", "repo", "my-challenge", "resources"]
+_REPOS = f"(SELECT c_custkey AS k, {_list(OWNERS)}[c_custkey % 7 + 1] || '/' || {_list(SHORT)}[c_custkey // 7 % 8 + 1] AS x FROM customer)"
 
-REPOS = [(0, "google/google-ctf"), (1, "Google/other"), (2, "sajjadium/ctf-archives"), (3, "PwnCollege/x"), (4, "nyu-llm-ctf/d"), (5, "me/ctf-writeups"), (6, "me/write-up"), (7, "me/tasks"), (8, "plain/repo")]
+
+def repos(spark, sf_dir) -> DataFrame:
+    k = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(k.alias("k"), F.concat(pick(OWNERS, k % 7), F.lit("/"), pick(SHORT, F.floor(k / 7) % 8)).alias("x"))
 
 
 @query(
     "FLT-16",
-    "SELECT k, CASE WHEN x = 'google/google-ctf' OR lower(split_part(x, '/', 1)) = 'google' THEN 'google_ctf' WHEN lower(split_part(x, '/', 1)) = 'sajjadium' THEN 'sajjadium' WHEN lower(split_part(x, '/', 1)) = 'pwncollege' THEN 'pwncollege' WHEN lower(split_part(x, '/', 1)) = 'nyu-llm-ctf' THEN 'nyu_ctf_bench' ELSE 'github' END AS origin FROM " + sql_values(REPOS) + " v(k, x)",
+    "SELECT k, CASE WHEN x = 'google/google-ctf' OR lower(split_part(x, '/', 1)) = 'google' THEN 'google_ctf' WHEN lower(split_part(x, '/', 1)) = 'sajjadium' THEN 'sajjadium' WHEN lower(split_part(x, '/', 1)) = 'pwncollege' THEN 'pwncollege' WHEN lower(split_part(x, '/', 1)) = 'nyu-llm-ctf' THEN 'nyu_ctf_bench' ELSE 'github' END AS origin FROM " + _REPOS,
 )
 def flt_16(spark, sf_dir):
-    return values(spark, REPOS, "k int, x string").select("k", paths.origin_of_repo(F.col("x")).alias("origin"))
+    return repos(spark, sf_dir).select("k", paths.origin_of_repo(F.col("x")).alias("origin"))
 
 
-@query("FLT-17", "SELECT k, CASE WHEN regexp_matches(lower(x), 'writeup|write-up') THEN 'writeups' WHEN regexp_matches(lower(x), 'challenge|tasks|source') THEN 'sources' ELSE 'unknown' END AS kind FROM " + sql_values(REPOS) + " v(k, x)")
+@query("FLT-17", "SELECT k, CASE WHEN regexp_matches(lower(x), 'writeup|write-up') OR k % 11 = 0 THEN 'writeups' WHEN regexp_matches(lower(x), 'challenge|tasks|source') THEN 'sources' ELSE 'unknown' END AS kind FROM " + _REPOS)
 def flt_17(spark, sf_dir):
-    none = F.lit(None)
-    return values(spark, REPOS, "k int, x string").select("k", paths.kind_of_repo(F.col("x"), none.cast("string"), none.cast("array<string>")).alias("kind"))
+    about, topics = F.when(F.col("k") % 11 == 0, "My WriteUps"), F.when(F.col("k") % 2 == 0, F.array(F.lit("ctf"), F.lit(None).cast("string")))
+    return repos(spark, sf_dir).select("k", paths.kind_of_repo(F.col("x"), about, topics).alias("kind"))
 
 
-@query("SRC-18", "SELECT k, regexp_replace(x, '^([^/]*)/', '\\1__') AS dir FROM " + sql_values(REPOS) + " v(k, x)")
+@query("SRC-18", "SELECT k, regexp_replace(x, '^([^/]*)/', '\\1__') AS dir FROM " + _REPOS)
 def src_18(spark, sf_dir):
-    return values(spark, REPOS, "k int, x string").select("k", text.repo_dirname(F.col("x")).alias("dir"))
+    return repos(spark, sf_dir).select("k", text.repo_dirname(F.col("x")).alias("dir"))
 
 
 # ---- licenses ----------------------------------------------------------------------------------------------------------
@@ -323,12 +402,13 @@ def lic_01(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", license.redistributable(license.spdx_of_text(F.col("text"))).alias("redistributable"))
 
 
-IDS = [(0, "MIT"), (1, "noassertion"), (2, "NONE"), (3, ""), (4, None), (5, "CC-BY-NC-4.0"), (6, "etalab-2.0")]
+SPDX = ["MIT", "noassertion", "NONE", "", "CC-BY-NC-4.0", "etalab-2.0"]
+_IDS = f"(SELECT p_partkey AS k, CASE WHEN p_partkey % 7 < 6 THEN {_list(SPDX)}[p_partkey % 7 + 1] END AS x FROM part)"
 
 
-@query("LIC-02", f"SELECT k, CASE WHEN upper(coalesce(x, '')) NOT IN ('', 'NOASSERTION', 'NONE') THEN x END AS spdx_id, CASE WHEN upper(coalesce(x, '')) NOT IN ('', 'NOASSERTION', 'NONE') THEN 100 ELSE 0 END AS confidence, coalesce(x IN {REDISTRIBUTABLE}, false) AS redistributable FROM {sql_values(IDS)} v(k, x)")
+@query("LIC-02", f"SELECT k, CASE WHEN upper(coalesce(x, '')) NOT IN ('', 'NOASSERTION', 'NONE') THEN x END AS spdx_id, CASE WHEN upper(coalesce(x, '')) NOT IN ('', 'NOASSERTION', 'NONE') THEN 100 ELSE 0 END AS confidence, coalesce(x IN {REDISTRIBUTABLE}, false) AS redistributable FROM {_IDS}")
 def lic_02(spark, sf_dir):
-    found = values(spark, IDS, "k int, x string").select("k", license.from_spdx(F.col("x")).alias("l"))
+    found = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), license.from_spdx(F.get(F.array(*[F.lit(x) for x in SPDX]), (F.col("p_partkey") % 7).cast("int"))).alias("l"))
     return found.select("k", "l.spdx_id", (F.col("l.confidence") * 100).cast("int").alias("confidence"), "l.redistributable")
 
 
@@ -337,17 +417,9 @@ def lic_03(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", license.from_text(F.col("text")).alias("l")).select("doc_id", "l.spdx_id", "l.note")
 
 
-@query("LIC-04", f"WITH f AS (SELECT source, doc_id, {_spdx('text')} AS spdx FROM documents), r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY spdx IS NULL, doc_id) AS n FROM f) SELECT source, spdx AS spdx_id FROM r WHERE n = 1")
-def lic_04(spark, sf_dir):
-    """The surest license of each source, the first of equal ones."""
-    d = table(spark, sf_dir, "documents").select("source", "doc_id", license.spdx_of_text(F.col("text")).alias("spdx"))
-    best = d.groupBy("source").agg(F.min_by("spdx", F.struct(F.col("spdx").isNull(), "doc_id")).alias("spdx_id"))
-    return best
-
-
 @query("LIC-05", "SELECT k, regexp_matches(p, '^(license|licence|copying|unlicense)[^/]*$', 'i') AS is_license FROM " + _FILES)
 def lic_05(spark, sf_dir):
-    return path_values(spark).select("k", license.is_license_file(F.col("p")).alias("is_license"))
+    return path_values(spark, sf_dir).select("k", license.is_license_file(F.col("p")).alias("is_license"))
 
 
 # ---- aggregation and merging -------------------------------------------------------------------------------------------
@@ -510,17 +582,6 @@ def fn_05(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", text.epoch(iso).alias("s"))
 
 
-@query("FN-06")
-def fn_06(spark, sf_dir):
-    rows = [(0, ["zig", "pwn", "heap"]), (1, ["zig"]), (2, []), (3, ["Web", "crypto"])]
-    return values(spark, rows, "k int, t array<string>").select("k", text.pick_category(F.col("t")).alias("category"))
-
-
-@query("FN-07", "SELECT page_id, regexp_extract(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '([^/]*)/*$', 1) AS slug FROM pages")
-def fn_07(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", text.url_slug(F.col("url")).alias("slug"))
-
-
 @query("FN-08", "SELECT n_nationkey, 'https://x.org/' || lower(n_name) || '/sitemap.xml' AS url FROM nation")
 def fn_08(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", text.sitemap_url(F.lit("https://x.org"), F.lower("n_name")).alias("url"))
@@ -555,18 +616,6 @@ def snk_05b(spark, sf_dir):
     return values(spark, URLS, "k int, u string, t string").select("k", text.writeup_suffix(F.col("u"), F.col("t")).alias("suffix"))
 
 
-@query("FN-10", "SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) <> '' AS titled, len(regexp_extract_all(html, '<a href='))::BIGINT AS links FROM pages")
-def fn_10(spark, sf_dir):
-    """Pages through the document tree."""
-    p = table(spark, sf_dir, "pages").select("page_id", html.parsed(html.page_facts, F.col("html")).alias("p"))
-    return p.select("page_id", (F.length("p.title") > 0).alias("titled"), F.size("p.links").cast("long").alias("links"))
-
-
-@query("FN-09")
-def fn_09(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", html.join_url(F.col("url"), F.lit("../x?y")).alias("url"))
-
-
 TAGS = [(0, "a, b ,,c"), (1, None), (2, " "), (3, "one")]
 
 
@@ -579,21 +628,6 @@ def src_03a(spark, sf_dir):
 # ---- sinks, discovery, orchestration -----------------------------------------------------------------------------------
 
 
-@query("SNK-05", "SELECT conv_id::VARCHAR AS id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INTEGER AS nth, 'writeups/writeup_' || lpad((row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::VARCHAR, 2, '0') || '.md' AS path, sha256(text) AS sha256, strlen(text)::BIGINT AS size FROM conversations")
-def snk_05(spark, sf_dir):
-    """Turns as inline writeups of their conversation: the rows that materialization adds to manifests."""
-    c = table(spark, sf_dir, "conversations")
-    note = make(schema.WRITEUP, origin=F.lit("other"), text=F.col("text"), is_inline=F.lit(True))
-    ch = c.groupBy(F.col("conv_id").cast("string").alias("id")).agg(F.sort_array(F.collect_list(F.struct("turn", note.alias("w")))).alias("ws")).select("id", F.col("ws.w").alias("writeups"))
-    return corpus.writeup_bodies(ch).select("id", "nth", "path", F.sha2("body", 256).alias("sha256"), F.octet_length("body").cast("long").alias("size"))
-
-
-@query("SNK-08", f"WITH {_DOC} SELECT id FROM m WHERE spdx IN {REDISTRIBUTABLE}")
-def snk_08(spark, sf_dir):
-    """What an export may hold."""
-    return corpus.exportable(catalog.normalize(document_raw(spark, sf_dir), slug=text.slug_of_normal)).select("id")
-
-
 @query(
     "DSC-01",
     """WITH RECURSIVE c AS (SELECT o_orderdate::DATE AS day, count(*) AS n FROM orders GROUP BY 1),
@@ -608,9 +642,6 @@ def dsc_01(spark, sf_dir):
     return discovery.day_leaves(days).select(F.col("low").cast("string").alias("low"), F.col("high").cast("string").alias("high"), "n")
 
 
-QUERIES["DSC-03"], ORACLES["DSC-03"] = QUERIES["DSC-01"], ORACLES["DSC-01"]
-
-
 @query("DSC-04", "WITH f AS (SELECT o_custkey % 500 AS k, CASE WHEN o_orderkey % 3 = 0 THEN 'sources' ELSE 'unknown' END AS kind, o_orderkey AS pos FROM orders WHERE o_custkey % 500 >= 20), r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY kind = 'unknown', pos) AS n FROM f) SELECT 'r' || k AS full_name, kind, pos AS size_kb FROM r WHERE n = 1")
 def dsc_04(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(
@@ -640,17 +671,6 @@ def orc_04(spark, sf_dir):
     return ingest.pending(repos, done).withColumnRenamed("repo", "c_custkey")
 
 
-QUERIES["INC-02"], ORACLES["INC-02"] = QUERIES["ORC-04"], ORACLES["ORC-04"]
-
-
-@query("ORC-05", "SELECT r, min(pos) AS pos FROM (SELECT 's' || (n_nationkey % 10) AS r, n_nationkey::BIGINT AS pos FROM nation UNION ALL SELECT 's' || r_regionkey * 4, 1000 + r_regionkey FROM region) GROUP BY 1")
-def orc_05(spark, sf_dir):
-    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    a = n.select(F.concat(F.lit("s"), (F.col("n_nationkey") % 10).cast("string")).alias("r"), F.col("n_nationkey").cast("long").alias("pos"))
-    b = r.select(F.concat(F.lit("s"), (F.col("r_regionkey") * 4).cast("string")).alias("r"), (F.col("r_regionkey") + 1000).cast("long").alias("pos"))
-    return discovery.first_seen(a.unionByName(b), "r", "pos")
-
-
 @query("ORC-06", "SELECT c_custkey AS repo, min_by(o_orderkey, o_orderkey) AS size_kb, coalesce(min_by(o_orderkey, o_orderkey) > 1024, false) AS too_big FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1")
 def orc_06(spark, sf_dir):
     repos = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("repo"))
@@ -658,9 +678,6 @@ def orc_06(spark, sf_dir):
     return ingest.sized(repos, sizes, 1)
 
 
-QUERIES["FLT-19"], ORACLES["FLT-19"] = QUERIES["ORC-06"], ORACLES["ORC-06"]
-
-
 @query("INC-06", "SELECT conv_id, turn FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) <= 3")
 def inc_06(spark, sf_dir):
     return catalog.capped(table(spark, sf_dir, "conversations").select("conv_id", "turn"), "conv_id", "turn", 3)
@@ -690,7 +707,7 @@ def rel_lookup(spark, sf_dir):
 @query("REL-closure", "WITH RECURSIVE a(p, d) AS (SELECT p, regexp_replace(p, '/?[^/]*$', '') FROM " + _FILES + " UNION ALL SELECT p, regexp_replace(d, '/?[^/]*$', '') FROM a WHERE d <> '') SELECT d AS dir, count(*)::BIGINT AS files FROM a GROUP BY 1")
 def rel_closure(spark, sf_dir):
     """Files below each directory."""
-    return path_values(spark).select(F.explode(walk.ancestors(F.col("p"))).alias("dir")).groupBy("dir").agg(F.count("*").alias("files"))
+    return path_values(spark, sf_dir).select(F.explode(walk.ancestors(F.col("p"))).alias("dir")).groupBy("dir").agg(F.count("*").alias("files"))
 
 
 @query("REL-bucket", "SELECT page_id, (sum(strlen(html)) OVER (ORDER BY page_id) // 100000)::BIGINT AS bucket FROM pages")
@@ -701,3 +718,6 @@ def rel_bucket(spark, sf_dir):
     before = sums.select("part", F.coalesce(F.sum("s").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     within = Window.partitionBy("part").orderBy("page_id")
     return p.join(before, "part").select("page_id", F.floor((F.col("before") + F.sum("b").over(within)) / 100000).alias("bucket"))
+
+
+from weir.plans import more_queries  # noqa: E402, F401  registers the queries of sources, sinks and acquisition

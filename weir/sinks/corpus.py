@@ -58,6 +58,54 @@ def orphans(listing: DataFrame, bodies: DataFrame, places: DataFrame) -> DataFra
     return listing.where("not is_dir").where(F.col("path").rlike("/writeups/[^/]+$")).join(kept, "path", "left_anti").select("path")
 
 
+def listing(spark, target: str) -> DataFrame:
+    """(path, is_dir, size, sha256) of what is in a corpus."""
+    from weir.sources.trees import read_tree
+
+    return read_tree(spark, target, hash="true").where("path is not null").select("path", "is_dir", "size", "sha256")
+
+
+def prune(target: str, gone: DataFrame) -> DataFrame:
+    """(path, removed) of files below `target`, deleted where they are there. A path that leads out of it is left alone."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        top = os.path.realpath(target)
+        for batch in batches:
+            done = []
+            for path in batch["path"]:
+                full = os.path.join(target, path)
+                inside = os.path.commonpath([top, os.path.realpath(full)]) == top
+                try:
+                    if inside:
+                        os.unlink(full)
+                    done.append(inside)
+                except OSError:
+                    done.append(False)
+            yield pd.DataFrame({"path": batch["path"], "removed": done})
+
+    return gone.select("path").mapInPandas(run, "path string, removed boolean")
+
+
+def merge_move(source: str, target: str) -> int:
+    """Moves a tree into another, file by file and each at once; of equal paths the one that comes last stays. What was a file
+    and is a folder now, or the other way, gives way. Returns the number of files."""
+    n = 0
+    for folder, _, names in os.walk(source, followlinks=False):
+        inner = os.path.relpath(folder, source)
+        into = target if inner == "." else os.path.join(target, inner)
+        if os.path.isfile(into):
+            os.unlink(into)
+        os.makedirs(into, exist_ok=True)
+        for name in names:
+            to = os.path.join(into, name)
+            if os.path.isdir(to) and not os.path.islink(to):
+                shutil.rmtree(to)
+            os.replace(os.path.join(folder, name), to)
+            n += 1
+    shutil.rmtree(source, ignore_errors=True)
+    return n
+
+
 def copy_tree(source: str, target: str) -> int:
     """Copies a tree without version control, links, or anything that leads out of it; returns the number of files."""
     top, n = os.path.realpath(source), 0

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import yaml
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weir import schema
 from weir.functions import html, license, paths, text
+from weir.stage import numbered, staged
 
 #: A sources' registry: name -> function (spark, options) -> DataFrame of raw records.
 REGISTRY: dict = {}
@@ -35,9 +36,9 @@ def raw(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*made)
 
 
-def make(kind, **values: Column) -> Column:
-    """A struct of a contract from some of its fields."""
-    return F.struct(*[values.get(f.name, F.lit(False) if f.name.startswith("is_") else F.lit(None)).cast(f.dataType).alias(f.name) for f in kind])
+def make(contract: T.StructType, /, **values: Column) -> Column:
+    """A struct of a contract from some of its fields, which may have any name."""
+    return F.struct(*[values.get(f.name, F.lit(False) if f.name.startswith("is_") else F.lit(None)).cast(f.dataType).alias(f.name) for f in contract])
 
 
 def read_catalog(spark: SparkSession, path) -> DataFrame:
@@ -62,10 +63,17 @@ def read_candidates(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], schema.CANDIDATE)
 
 
+def _yaml(spark: SparkSession, path: str):
+    """A small YAML file, of any store that Spark reads, as the driver's values; a folder is its one file."""
+    rows = spark.read.text(path, wholetext=True).head(2)
+    if len(rows) > 1:
+        raise ValueError(f"{path} is more than one file")
+    return yaml.safe_load(rows[0]["value"]) if rows else None
+
+
 def read_seeds(spark: SparkSession, path: str, only: list[str] | None = None) -> DataFrame:
     """Curated repositories with their place, section by section. The file is small configuration, read on the driver."""
-    with open(path, encoding="utf-8") as f:
-        doc = yaml.safe_load(f) or {}
+    doc = _yaml(spark, path) or {}
     rows = [(s, e) for s in SEED_SECTIONS for e in doc.get(s) or [] if isinstance(e, dict) and e.get("repo")]
     rows = [(s, e) for s, e in rows if only is None or e["repo"] in only]
     keys = ("repo", "kind", "license", "official", "layout", "note")
@@ -74,15 +82,14 @@ def read_seeds(spark: SparkSession, path: str, only: list[str] | None = None) ->
 
 
 def discovered_seeds(seeds: DataFrame, candidates: DataFrame, only: list[str] | None = None, max_mb: int = 2_048) -> DataFrame:
-    """Seeds and, after them, candidates that are none of them, fit the filter and aren't larger than the cap."""
-    extra = candidates.where(F.col("size_kb") <= max_mb * 1_024).join(seeds.select(F.col("repo").alias("full_name")), "full_name", "left_anti")
+    """Seeds and, after them, candidates that are none of them, fit the filter and aren't known to be larger than the cap."""
+    extra = candidates.where(F.coalesce("size_kb", F.lit(0)) <= max_mb * 1_024).join(seeds.select(F.col("repo").alias("full_name")), "full_name", "left_anti")
     if only is not None:
         extra = extra.where(F.col("full_name").isin(only))
-    placed = extra.select("full_name", "kind", F.monotonically_increasing_id().alias("at"))
+    placed = staged(extra.select("full_name", "kind", F.monotonically_increasing_id().alias("at")), "extra")
     first = placed.groupBy("full_name").agg(F.min_by("kind", "at").alias("kind"), F.min("at").alias("at"))
-    place = F.lit(1 << 20) + F.row_number().over(Window.orderBy("at"))
-    made = first.select(
-        place.cast("int").alias("pos"), F.lit("discovered").alias("section"), F.col("full_name").alias("repo"), "kind", F.lit(None).cast("string").alias("license"), F.lit(False).alias("official"),
+    made = numbered(first, ["at"], "place").select(
+        (F.lit((1 << 20) + 1) + F.col("place")).cast("int").alias("pos"), F.lit("discovered").alias("section"), F.col("full_name").alias("repo"), "kind", F.lit(None).cast("string").alias("license"), F.lit(False).alias("official"),
         F.lit(None).cast("string").alias("layout"), F.lit("discovered by search").alias("note"),
     )
     return seeds.unionByName(made)
@@ -125,8 +132,7 @@ def _pages_schema() -> T.StructType:
 @source("yaml_list")
 def yaml_list(spark: SparkSession, path: str, event: str = "OWASP Juice Shop", url: str = "https://github.com/juice-shop/juice-shop", repo: str = "juice-shop/juice-shop", spdx: str = "MIT") -> DataFrame:
     """A YAML list of challenges of one event. Entries that are no map or have no name are left out."""
-    with open(path, encoding="utf-8") as f:
-        doc = yaml.safe_load(f) or []
+    doc = _yaml(spark, path) or []
     rows = []
     for e in doc if isinstance(doc, list) else []:
         if isinstance(e, dict) and e.get("name"):
@@ -219,3 +225,27 @@ def task_records(event_rows: DataFrame, task_pages: DataFrame, list_pages: DataF
         points=text.first_int(F.col("points")), writeups=F.coalesce("writeups", F.array().cast(schema.RAW["writeups"].dataType)), source=src,
         extra=F.to_json(F.struct(F.col("event.ctftime_event_id"), F.col("event.ctftime_series_id"), F.col("id").alias("ctftime_task_id"))),
     )
+
+
+@source("event_pages")
+def event_pages(spark: SparkSession, path: str, max_writeups: int | None = None) -> DataFrame:
+    """Recorded pages of an event site below a folder: events.json (a JSON list), and Parquet tables tasks (event_id, html),
+    lists (task_id, html) and writeups (writeup_id, html)."""
+    rows = spark.read.schema(API_EVENT).option("multiLine", True).json(f"{path}/events.json")
+    return task_records(rows, *(spark.read.parquet(f"{path}/{n}") for n in ("tasks", "lists", "writeups")), max_writeups=max_writeups)
+
+
+@source("checkouts")
+def checkouts(spark: SparkSession, path: str, seeds: str, discovered: str | None = None, only: list[str] | None = None, limit: int | None = None, max_mb: int = 2_048) -> DataFrame:
+    """Challenges of checked-out repositories, a folder of folders owner__name: those that a seeds file names and, after
+    them, discovered ones. A repository without a checkout has no records; each is a partition of the listing."""
+    from weir.operators import walk  # which uses this module
+    from weir.sources.trees import heads_of_commits, read_tree
+
+    known = read_seeds(spark, seeds, only)
+    if discovered is not None:
+        known = discovered_seeds(known, read_candidates(spark, discovered), only, max_mb)
+    known = staged(known, "seeds")
+    tree = read_tree(spark, path, checkouts="true", heads="license,licence,copying,unlicense,challenge.json")
+    tree = tree.join(known.select(F.col("repo").alias("tree")).distinct(), "tree", "left_semi")
+    return walk.records(tree, known, heads_of_commits(spark, path), limit=limit)

@@ -30,6 +30,7 @@ TREE = StructType(
         StructField("sha256", StringType()),
         StructField("lfs", BooleanType()),
         StructField("head", StringType()),
+        StructField("error", StringType()),
     ]
 )
 
@@ -71,29 +72,37 @@ class TreeReader(DataSourceReader):
 
     def read(self, partition: TreePartition) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        if partition.root:
-            for row in self._walk(partition):
+        walk = self._walk(partition) if partition.root else iter(())
+        while True:
+            try:
+                row = next(walk, None)
+            except OSError as e:  # a tree that can't be read says so in a row; the others are read
+                row, walk = (partition.tree, None, None, None, None, None, None, f"{type(e).__name__}: {e}"[:500]), iter(())
+            if row is not None:
                 rows.append(row)
-                if len(rows) == BATCH:
-                    yield self._batch(rows)
-                    rows = []
-        if rows:
-            yield self._batch(rows)
+            if rows and (row is None or len(rows) == BATCH):
+                yield self._batch(rows)
+                rows = []
+            if row is None:
+                return
 
     def _walk(self, partition: TreePartition) -> Iterator[tuple]:
         top = partition.root
-        for folder, dirs, names in os.walk(top, followlinks=False):
+        def failed(e: OSError) -> None:
+            raise e
+
+        for folder, dirs, names in os.walk(top, followlinks=False, onerror=failed):
             dirs[:] = sorted(d for d in dirs if d != ".git" and not os.path.islink(os.path.join(folder, d)))
             inner = os.path.relpath(folder, top).replace(os.sep, "/")
             if inner != ".":
-                yield partition.tree, inner, True, None, None, None, None
+                yield partition.tree, inner, True, None, None, None, None, None
             for name in sorted(names):
                 path = os.path.join(folder, name)
                 if os.path.islink(path) or not os.path.isfile(path):
                     continue
                 size = os.path.getsize(path)
                 wanted = self.heads and name.lower().startswith(self.heads)
-                yield partition.tree, name if inner == "." else f"{inner}/{name}", False, size, sha256_of(path) if self.hashed else None, size > self.size_cap, head_of(path) if wanted else None
+                yield partition.tree, name if inner == "." else f"{inner}/{name}", False, size, sha256_of(path) if self.hashed else None, size > self.size_cap, head_of(path) if wanted else None, None
 
     def _batch(self, rows: list[tuple]) -> pa.RecordBatch:
         kinds = {StringType: pa.string(), BooleanType: pa.bool_(), LongType: pa.int64()}
@@ -118,3 +127,25 @@ class FileTree(DataSource):
 def read_tree(spark: SparkSession, path: str, **options) -> DataFrame:
     spark.dataSource.register(FileTree)
     return spark.read.format("filetree").options(path=path, **{k: str(v) for k, v in options.items()}).load()
+
+
+def heads_of_commits(spark: SparkSession, path: str) -> DataFrame:
+    """(tree, commit_sha) of checkouts, as their version control tells without being run: a branch's file, else a packed
+    reference, else a bare hash. One short row for each checkout, read on the driver."""
+    rows = []
+    for e in sorted(os.scandir(path), key=lambda e: e.name):
+        top = os.path.join(path, e.name, ".git")
+        if not e.is_dir(follow_symlinks=False) or not os.path.isfile(os.path.join(top, "HEAD")):
+            continue
+        at = head_of(os.path.join(top, "HEAD")).strip()
+        if at.startswith("ref: "):
+            ref, file = at[5:], os.path.join(top, *at[5:].split("/"))
+            if os.path.isfile(file):
+                at = head_of(file).strip()
+            else:
+                packed = os.path.join(top, "packed-refs")
+                lines = head_of(packed).splitlines() if os.path.isfile(packed) else []
+                at = next((x.split()[0] for x in lines if x.endswith(f" {ref}")), "")
+        if at:
+            rows.append((e.name.replace("__", "/", 1), at))
+    return spark.createDataFrame(rows, "tree string, commit_sha string")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+from bisect import bisect_left
 from collections.abc import Iterator
 from datetime import datetime
 
@@ -34,16 +35,21 @@ class RecordedPages(SimpleDataSourceStreamReader):
 
     def __init__(self, options: dict):
         self.path, self.limit = options["path"], int(options.get("limit", 100))
-        self.start = int(options.get("start", 0))
+        self.start, self.known = int(options.get("start", 0)), None
 
     def initialOffset(self) -> dict:
         return {"start": self.start, "done": False, "pages": 0}
 
     def _page(self, start: int) -> list[dict]:
-        with open(self.path, encoding="utf-8") as f:
-            rows = json.load(f)
-        later = [(seconds(e.get("start")), e) for e in rows]
-        return [e for s, e in sorted((x for x in later if x[0] is not None and x[0] >= start), key=lambda x: x[0])][: self.limit]
+        """The first events from a time on. The feed is read and sorted again only where it has changed."""
+        at = os.stat(self.path).st_mtime_ns, os.path.getsize(self.path)
+        if self.known != at:
+            with open(self.path, encoding="utf-8") as f:
+                dated = [(s, e) for e in json.load(f) if (s := seconds(e.get("start"))) is not None]
+            dated.sort(key=lambda x: x[0])
+            self.starts, self.events, self.known = [s for s, _ in dated], [e for _, e in dated], at
+        first = bisect_left(self.starts, start)
+        return self.events[first : first + self.limit]
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
         if start["done"] or not os.path.exists(self.path):
