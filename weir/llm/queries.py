@@ -21,4 +21,5 @@ ORACLES: dict[str, str] = {
     "op8_chat": chat.OP8_SQL,
     "op3_topk": topk.OP3_SQL,
     "op4_mixing": mixing.OP4_SQL,
+    "op7_urls": urls.OP7_SQL,
 }

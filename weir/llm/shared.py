@@ -2,35 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weir.stage import shared_dir, staged
+
+__all__ = ["BROADCAST_IDS", "BROADCAST_ROWS", "shared_dir", "small", "staged"]
+
 #: A table of at most so many rows may be broadcast; beyond it the join is left to shuffle.
 BROADCAST_ROWS = 20_000
 #: The same for a table of one long column, which takes no more than about 40 MB at this size.
 BROADCAST_IDS = 1_000_000
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = getattr(spark, "_weir_scratch", None) or tempfile.mkdtemp(prefix="weir-")
-        spark._weir_scratch = root
-    return f"{root.rstrip('/')}/weir-{spark.sparkContext.applicationId}"
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it again: the lineage ends there, and a lost executor costs no more than
-    a reread."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it has no more than so many rows. df should be cheap to read, such as a staged table."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

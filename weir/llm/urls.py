@@ -88,3 +88,38 @@ def judge(df: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "u
 
 def op7_urls(spark, sf_dir: str) -> DataFrame:
     return judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def _sql() -> str:
+    """The same in SQL: what can be reached over links is found by a recursive query."""
+    upper, lower = string.ascii_uppercase, string.ascii_lowercase
+    host_ = lambda u: f"translate(regexp_extract(coalesce({u}, ''), '(?s)^.*?://([^/?#]*)', 1), '{upper}', '{lower}')"
+    path_ = lambda u: f"regexp_extract(coalesce({u}, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+    node_ = lambda u: f"concat_ws(chr(1), {host_(u)}, CASE WHEN {path_(u)} = '' THEN '/' ELSE {path_(u)} END, regexp_extract(coalesce({u}, ''), '(?s)^[^?#]*(\\?[^#]*)', 1))"
+    fits = lambda h, p, rule: f"(({h} = '{rule[1]}' OR ends_with({h}, '.{rule[1]}')) AND starts_with({p}, '{rule[2]}'))"
+    longest = sorted(RULES, key=lambda r: -len(r[1] + r[2]))
+    case = lambda h, p, of: "CASE " + " ".join(f"WHEN {fits(h, p, r)} THEN '{of(r)}'" for r in longest) + " END"
+    base = "regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1)"
+    folder = "regexp_extract(url, '(?s)^.*?://[^/?#]*((?:[^?#/]*/)*)', 1)"
+    return f"""
+WITH RECURSIVE found AS (
+  SELECT url, unnest(list_concat(
+    list_transform(list_filter(regexp_extract_all(coalesce(html, ''), '(?is)<link\\b[^>]*>'), lambda t: regexp_matches(t, '(?is)\\brel\\s*=\\s*["'']?canonical\\b')), lambda t: regexp_extract(t, '(?is)\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1)),
+    list_transform(list_filter(regexp_extract_all(coalesce(html, ''), '(?is)<meta\\b[^>]*>'), lambda t: regexp_matches(t, '(?is)\\bhttp-equiv\\s*=\\s*["'']?refresh\\b')), lambda t: regexp_extract(t, '(?is)\\bcontent\\s*=\\s*["'']?[^"''>]*?\\burl\\s*=\\s*([^"''>\\s]+)', 1)))) AS raw
+  FROM pages WHERE contains(url, '://')),
+href AS (SELECT url, replace(raw, '&amp;', '&') AS h FROM found WHERE raw <> ''),
+link AS (SELECT url, CASE WHEN regexp_matches(h, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN h WHEN starts_with(h, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || h WHEN starts_with(h, '/') THEN {base} || h
+    WHEN starts_with(h, '?') OR starts_with(h, '#') THEN {base} || {path_('url')} || h ELSE {base} || CASE WHEN {folder} = '' THEN '/' ELSE {folder} END || h END AS too FROM href),
+edge AS (SELECT {node_('url')} AS a, {node_('too')} AS b FROM link UNION SELECT {node_('too')}, {node_('url')} FROM link),
+ends AS (SELECT {node_('url')} AS node, url FROM link UNION SELECT {node_('too')}, too FROM link),
+ruled AS (SELECT node, max(CASE {case(host_('url'), path_('url'), lambda r: r[0])} WHEN 'allow' THEN 2 WHEN 'block' THEN 1 END) AS most FROM ends GROUP BY 1),
+reach(node, way) AS (SELECT DISTINCT a, a FROM edge UNION SELECT reach.node, edge.b FROM reach JOIN edge ON edge.a = reach.way),
+alias AS (SELECT reach.node, max(most) AS most FROM reach JOIN ruled ON ruled.node = reach.way GROUP BY 1),
+page AS (SELECT page_id, url, {host_('url')} AS host, {path_('url')} AS path, CASE WHEN contains(url, '://') THEN {node_('url')} END AS node FROM pages),
+own AS (SELECT *, {case('host', 'path', lambda r: r[1] + r[2])} AS rule, {case('host', 'path', lambda r: r[0])} AS said FROM page)
+SELECT page_id, host, path, rule, coalesce(said, CASE most WHEN 2 THEN 'allow' WHEN 1 THEN 'block' END, 'allow') AS verdict,
+  CASE WHEN said IS NOT NULL THEN 'rule' WHEN most IS NOT NULL THEN 'alias' ELSE 'default' END AS by
+FROM own LEFT JOIN alias ON own.node = alias.node"""
+
+
+OP7_SQL = _sql()
