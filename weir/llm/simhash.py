@@ -240,11 +240,11 @@ def links(distinct: DataFrame, radius: int = 2, group_limit: int = GROUP_LIMIT)
     return found if found is not None else spark.createDataFrame([], "a long, b long")
 
 
-def _spread(rows: DataFrame, id_col: str, edges: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(id_col, node, component_id, root) of rows (id_col, node), a staged table, by the edges between distinct nodes; root is
-    the least node of the group."""
+def _spread(rows: DataFrame, id_col: str, roots_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(id_col, node, component_id, root) of rows (id_col, node), a staged table, by the roots (node, root) of distinct nodes
+    that are linked; root is the least node of the group."""
     distinct = staged(rows.groupBy("node").agg(F.min(id_col).alias("least")), "distinct")
-    roots = components(edges(distinct))
+    roots = roots_of(distinct)
     linked = staged(distinct.join(roots, "node", "left").select("node", "least", "root"), "roots")
     groups = linked.where("root is not null").groupBy("root").agg(F.min("least").alias("component_id"))
     alone = linked.where("root is null").select("node", F.col("least").alias("component_id"), F.col("node").alias("root"))
@@ -261,7 +261,7 @@ def near_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     null where no row reached has one. Repeated rows are kept. An empty table gives an empty one.
     """
     rows = staged(fingerprints(df, [id_col], text_col, shingle, "node"), "fingerprints")
-    return _spread(rows, id_col, lambda x: links(x.select(F.col("node").alias("fp")), radius, group_limit))
+    return _spread(rows, id_col, lambda x: components(links(x.select(F.col("node").alias("fp")), radius, group_limit)))
 
 
 # Near-duplicates by the share of common shingles. Copies that share four fifths of their shingles differ in 4 to 14 of 64
@@ -524,7 +524,7 @@ class _Links:
 
     def __init__(self, df: DataFrame, one: DataFrame, text_col: str, shingle: int, similarity: float):
         self.df, self.one, self.text_col, self.shingle, self.similarity = df, one, text_col, shingle, similarity
-        self.found = self.roots = self.tested = self.sets = self.bins = None
+        self.roots = self.tested = self.sets = self.bins = None
 
     def rooted(self, groups: DataFrame) -> DataFrame:
         """groups with the root of each node so far."""
@@ -556,14 +556,19 @@ class _Links:
         self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
         if new:
             self._of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        close = staged(alike(pairs, self.bins, self.similarity - SLACK), "close")
+        close = alike(pairs, self.bins, self.similarity - SLACK)
         left, right = (self.sets.select(F.col("node").alias(c), F.col("hashes").alias(f"{c}s")) for c in "ab")
         both = F.size(F.array_intersect("as", "bs"))
         passed = close.join(left, "a").join(right, "b").where(both >= F.lit(self.similarity) * (F.size("as") + F.size("bs") - both)).select("a", "b")
-        passed = staged(passed, "found")
-        if not passed.isEmpty():
-            self.found = passed if self.found is None else self.found.unionByName(passed)
-            self.roots = staged(components(self.found), "so-far")
+        if self.roots is None:
+            self.roots = staged(components(passed), "so-far")
+            return
+        # what is joined now are groups, by their roots
+        for c in "ab":
+            passed = passed.join(self.roots.select(F.col("node").alias(c), F.col("root").alias("of")), c, "left").withColumn(c, F.coalesce("of", c)).drop("of")
+        joined = components(passed)
+        moved = self.roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("now")), "root", "left").select("node", F.coalesce("now", "root").alias("root"))
+        self.roots = staged(moved.unionByName(joined.join(self.roots, "node", "left_anti")), "so-far")
 
     def cut(self, large: DataFrame) -> DataFrame:
         """(k, node, side, root) groups of at most MEET texts from large bands (k, node): those in which more than one root is
@@ -582,29 +587,29 @@ class _Links:
         return out.unionByName(in_blocks(left))
 
     def all(self) -> DataFrame:
+        """The roots (node, root) of all texts that are linked."""
         dealt = self.one.select("node", F.explode("keys").alias("k"))
         sizes = dealt.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
         bands = staged(dealt.join(sizes, "k"), "bands")
         marks = self.one.select("node", "rank", "sketch")
-        todo = self.rooted(bands.where(F.col("n") <= MEET).select("k", "node", F.lit(0).alias("side")))
+        groups = bands.where(F.col("n") <= MEET).select("k", "node", F.lit(0).alias("side"))
         large = bands.where(F.col("n") > MEET).select("k", "node")
         if not large.isEmpty():
             ordered = staged(large.join(marks, "node"), "crowds").repartitionByRange("k", "rank", "node").sortWithinPartitions("k", "rank", "node").select("k", "node", "sketch")
             self.test(ordered.mapInArrow(_by_key(_neighbours, ["a", "b"]), "a long, b long"), True)
-            small_ones = self.rooted(bands.where(F.col("n") <= MEET).select("k", "node", F.lit(0).alias("side")))
-            todo = staged(small_ones.unionByName(self.cut(large)), "todo")
-        turn = 0
+            groups = staged(groups.unionByName(self.cut(large).select("k", "node", "side")), "groups")
+        todo, turn = groups, 0
         while True:
-            marked = (todo if turn or self.roots is None else self.apart(todo)).join(marks if not turn else marks.join(self.bins, "node"), "node")
+            apart = self.rooted(todo) if self.roots is None else self.apart(todo)
+            marked = apart.join(marks if not turn else marks.join(self.bins, "node"), "node")
             cols = ["k", "node", "root", "side", "sketch", *["bins"] * bool(turn)]
             ordered = marked.repartition("k").sortWithinPartitions("k", "rank", "node").select(*cols)
             out = staged(ordered.mapInArrow(_to_test(turn, self.similarity - SLACK), "a long, b long, more long"), "candidates")
             self.test(out.where(F.col("a") != NONE).select("a", "b"), not turn)
-            again = staged(out.where(F.col("more") != NONE).select(F.col("more").alias("k")).distinct(), "again")
+            again = out.where(F.col("more") != NONE).select(F.col("more").alias("k")).distinct()
             if again.isEmpty():
-                return self.found if self.found is not None else self.tested.limit(0)
-            left = todo.drop("root").join(small(again, BROADCAST_IDS), "k", "left_semi")
-            todo, turn = staged(self.apart(left).drop("n"), "todo"), turn + 1
+                return self.roots
+            todo, turn = groups.join(small(again, BROADCAST_IDS), "k", "left_semi"), turn + 1
 
 
 def representatives(df: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
