@@ -19,9 +19,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-#: The bounded sample of labelled rows: so many rows of each language, whole; and the number of languages learned, those with
-#: the most rows, by name where equal.
-SAMPLE_ROWS, LANGUAGES = 24, 200
+#: The bounded sample of labelled rows: so many rows of each language at most, whole ones, as long as those before hold fewer than
+#: so many characters, rows over so many characters last; and the number of languages learned, those with the most rows, by
+#: name where equal.
+SAMPLE_ROWS, SAMPLE_CHARS, LONG_ROW, LANGUAGES = 24, 32_000, 8_000, 200
 #: Letters with a column in the table of transitions; other letters that were learned have their transitions in a sorted list,
 #: and those never learned share a symbol. Symbol 0 is all that isn't a letter, in runs of one.
 SYMBOLS = 60
@@ -197,7 +198,8 @@ def held_out(id_col: str = "doc_id"):
 
 
 def labelled_sample(df: DataFrame, id_col: str, text_col: str, label_col: str, rows: int = SAMPLE_ROWS) -> dict[str, list[str]]:
-    """Texts by label, of `rows` rows of each label that is not held out (all, if fewer), chosen by a hash of id and text.
+    """Texts by label, of up to `rows` rows of each label that is not held out, chosen by a hash of the id; see SAMPLE_CHARS.
+    Of rows with one id, one counts.
 
     Two passes: the first reads ids and labels only and gives the hash bound of each label, so that the second brings little
     more than the sample to the driver.
@@ -209,11 +211,13 @@ def labelled_sample(df: DataFrame, id_col: str, text_col: str, label_col: str, r
     if not counts:
         return {}
     bound = F.create_map(*[F.lit(x) for r in counts for x in (r["label"], min(1 << 30, -(-(2 * rows << 30) // r["n"])))])
-    tie = F.xxhash64("text")
-    chosen = usable.where(F.col("place") < F.element_at(bound, F.col("label")))
-    first = F.row_number().over(Window.partitionBy("label").orderBy("place", tie))  # of about twice the rows of the sample
+    chosen = usable.where(F.col("place") < F.element_at(bound, F.col("label"))).groupBy("label", "place").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    chosen = chosen.withColumn("chars", F.char_length("text").cast("long"))
+    order = Window.partitionBy("label").orderBy(F.col("chars") > LONG_ROW, "place")  # of about twice the rows of the sample
+    before = F.coalesce(F.sum("chars").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    picked = chosen.withColumns({"nth": F.row_number().over(order), "before": before}).where((F.col("nth") <= rows) & (F.col("before") < SAMPLE_CHARS))
     out: dict[str, list[str]] = {}
-    for r in chosen.withColumn("nth", first).where(F.col("nth") <= rows).orderBy("label", "nth").collect():
+    for r in picked.select("label", "nth", "text").orderBy("label", "nth").collect():
         out.setdefault(r["label"], []).append(r["text"])
     return out
 
