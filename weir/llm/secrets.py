@@ -106,14 +106,17 @@ def _walk(items: Column, state: Column, step, out: str) -> Column:
     arrays that grow are short or few."""
     none = F.array().cast(f"array<{out}>")
 
-    def block(state: Column, b: Column) -> Column:
-        part = F.slice(items, b * BLOCK + 1, F.lit(BLOCK))
+    def block(all_: Column, state: Column, b: Column) -> Column:
+        part = F.slice(all_, b * BLOCK + 1, F.lit(BLOCK))
         return F.aggregate(part, F.struct(state.alias("s"), none.alias("o")), lambda a, x: (lambda r: F.struct(r[0].alias("s"), F.concat(a["o"], F.array(r[1])).alias("o")))(step(a["s"], x)))
 
-    first = block(state, F.lit(0))
-    rest = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.size(items) / BLOCK).cast("int")))
-    blocks = F.aggregate(rest, F.array(first), lambda acc, b: F.concat(acc, F.array(block(F.element_at(acc, -1)["s"], b))))
-    return F.flatten(F.transform(blocks, lambda r: r["o"]))
+    def blocks(all_: Column) -> Column:
+        rest = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.size(all_) / BLOCK).cast("int")))
+        done = F.aggregate(rest, F.array(block(all_, state, F.lit(0))), lambda acc, b: F.concat(acc, F.array(block(all_, F.element_at(acc, -1)["s"], b))))
+        return F.flatten(F.transform(done, lambda r: r["o"]))
+
+    # the items are bound to a variable, not found again for each block
+    return F.get(F.transform(F.array(items), blocks), F.lit(0))
 
 
 SPAN = "struct<start:int,rank:int,kind:string,end:int,text:string>"
