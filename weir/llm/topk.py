@@ -6,8 +6,8 @@ bound of their score. The candidates of a query are scored in the order of their
 bound is below the k-th score found, which is exact.
 
 Vectors stand in cells, by their nearest pivot. The ranges of a cell's distances bound the score of all in it, so a query
-never visits a cell that can't reach the score its k-th neighbour surely has: the k-th among a fixed number of vectors, the
-scouts. What is left goes to blocks of the cells' rows, and the best of all blocks are merged by rank. Pivots, scouts and
+never visits cells that can't reach the score its k-th neighbour surely has: the k-th among a fixed number of vectors, the
+scouts. What is left goes to blocks of the rows of one or more cells, and the best of all blocks are merged by rank. Pivots, scouts and
 the ranges of cells are of a fixed number; nothing else is sent to all.
 """
 
@@ -25,7 +25,7 @@ from weir.llm.shared import staged
 
 #: Rows of a block of queries and of vectors; pivots, and the rows that they are chosen among, which are the scouts as well;
 #: candidates scored in the first step, each next one taking twice as many.
-QUERY_BLOCK, VECTOR_BLOCK, PIVOTS, SCOUTS, FIRST = 4_096, 8_192, 64, 2_048, 64
+QUERY_BLOCK, VECTOR_BLOCK, PIVOTS, SCOUTS, FIRST = 4_096, 8_192, 64, 2_048, 256
 #: Lengths of vectors that have pivots, the most frequent ones; others are scored without.
 LENGTHS = 100
 #: A score that can't be held in a long is the nearest long.
@@ -183,10 +183,13 @@ def nearest(df: DataFrame, k: int = 20, is_query=None, id_col: str = "vec_id", v
     vectors = staged(_mapped(rows, "row long, id long, v array<double>, n int, to array<double>, cell int, norm double", table), "table")
     wide = [F.struct(*[f(F.get("to", F.lit(p))).alias(f"p{p}") for p in range(PIVOTS)]).alias(c) for f, c in ((F.min, "low"), (F.max, "high"))]
     ranges = [r.asDict(True) for r in vectors.groupBy("n", "cell").agg(F.count("*").alias("m"), F.max("norm").alias("norm"), *wide).collect()]  # of no more cells than PIVOTS for each of LENGTHS, and one for each other length
-    blocks = {(r["n"], r["cell"]): -(-r["m"] // VECTOR_BLOCK) for r in ranges}
     cells: dict[int, list[dict]] = {}
-    for r in ranges:
-        cells.setdefault(r["n"], []).append(r)
+    packs: list[int] = []  # rows of each pack: cells are put together up to a block
+    for r in sorted(ranges, key=lambda r: (r["n"], r["cell"])):
+        if r["n"] not in cells or packs[-1] + r["m"] > VECTOR_BLOCK:
+            packs.append(0)
+        packs[-1] += r["m"]
+        cells.setdefault(r["n"], []).append(r | {"pack": len(packs) - 1})
     known = spark.sparkContext.broadcast(cells)  # a row for each cell
 
     def visits(n: int, row: np.ndarray, id_: np.ndarray, x: np.ndarray) -> list:
@@ -198,17 +201,18 @@ def nearest(df: DataFrame, k: int = 20, is_query=None, id_col: str = "vec_id", v
                 lo, hi = r["low"][f"p{p}"], r["high"][f"p{p}"]
                 low[:, c] = np.maximum(low[:, c], np.maximum(to[:, p] - hi, lo - to[:, p]))
         reach = _upper(squares(x)[:, None], np.array([r["norm"] for r in every])[None, :], low) >= floor[:, None]
-        numbers = np.array([r["cell"] for r in every])
-        return [row, id_, list(x), np.full(len(x), n, np.int32), list(to), floor, pa.array([numbers[f].tolist() for f in reach], pa.list_(pa.int32()))]
+        numbers = np.array([r["pack"] for r in every])
+        return [row, id_, list(x), np.full(len(x), n, np.int32), list(to), floor, pa.array([np.unique(numbers[f]).tolist() for f in reach], pa.list_(pa.int32()))]
 
-    queries = staged(_mapped(rows.where(asked), "row long, id long, v array<double>, n int, to array<double>, floor double, cells array<int>", visits), "queries")
-    parts = F.create_map(*[F.lit(x) for (n, c), m in blocks.items() for x in (f"{n}:{c}", m)])
-    of_cell = lambda c: F.element_at(parts, F.concat_ws(":", F.col("n"), c))
+    queries = staged(_mapped(rows.where(asked), "row long, id long, v array<double>, n int, to array<double>, floor double, packs array<int>", visits), "queries")
+    pack_of = F.create_map(*[F.lit(x) for n, every in cells.items() for r in every for x in (f"{n}:{r['cell']}", r["pack"])])
+    parts = F.array(*[F.lit(-(-m // VECTOR_BLOCK)) for m in packs])
     split = lambda m, salt: F.pmod(F.xxhash64("row", F.lit(salt)), m).cast("int")
     q_blocks = F.lit(max(1, -(-queries.count() // QUERY_BLOCK)))
-    q = queries.withColumn("qb", split(q_blocks, 1)).withColumn("cell", F.explode("cells")).drop("cells")
-    q = q.withColumn("sub", F.explode(F.sequence(F.lit(0), of_cell(F.col("cell")) - 1)))
-    x = vectors.withColumn("sub", split(of_cell(F.col("cell")), 2)).withColumn("qb", F.explode(F.sequence(F.lit(0), q_blocks - 1))).drop("norm")
+    q = queries.withColumn("qb", split(q_blocks, 1)).withColumn("pack", F.explode("packs")).drop("packs")
+    q = q.withColumn("sub", F.explode(F.sequence(F.lit(0), F.get(parts, F.col("pack")) - 1)))
+    x = vectors.withColumn("pack", F.element_at(pack_of, F.concat_ws(":", F.col("n").cast("string"), F.col("cell").cast("string")))).drop("norm", "cell")
+    x = x.withColumn("sub", split(F.get(parts, F.col("pack")), 2)).withColumn("qb", F.explode(F.sequence(F.lit(0), q_blocks - 1)))
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -219,7 +223,7 @@ def nearest(df: DataFrame, k: int = 20, is_query=None, id_col: str = "vec_id", v
         i, j, s, _ = best(a, to_a, left["row"].to_numpy(), left["floor"].to_numpy(), b, to_b, right["row"].to_numpy(), right["id"].to_numpy(), k)
         return pd.DataFrame({"q": left["row"].to_numpy()[i], "query_id": left["id"].to_numpy()[i], "vec_id": right["id"].to_numpy()[j], "row": right["row"].to_numpy()[j], "score": s})
 
-    keys = ["n", "qb", "cell", "sub"]
+    keys = ["n", "qb", "pack", "sub"]
     found = q.groupBy(*keys).cogroup(x.groupBy(*keys)).applyInPandas(meet, "q long, query_id long, vec_id long, row long, score long")
     over = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(over)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
