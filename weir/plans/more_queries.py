@@ -643,6 +643,15 @@ def snk_05(spark, sf_dir):
     return out.join(made.select("id", "title", F.col("event_name").alias("repo")), "id").select("repo", "title", "n_files", "error")
 
 
+@query("SNK-05-rows", "SELECT conv_id::VARCHAR AS id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INTEGER AS nth, 'writeups/writeup_' || lpad((row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::VARCHAR, 2, '0') || '.md' AS path, sha256(text) AS sha256, strlen(text)::BIGINT AS size FROM conversations")
+def snk_05_rows(spark, sf_dir):
+    """Turns as inline writeups of their conversation: the rows that materialization adds to manifests."""
+    c = table(spark, sf_dir, "conversations")
+    note = make(schema.WRITEUP, origin=F.lit("other"), text=F.col("text"), is_inline=F.lit(True))
+    ch = c.groupBy(F.col("conv_id").cast("string").alias("id")).agg(F.sort_array(F.collect_list(F.struct("turn", note.alias("w")))).alias("ws")).select("id", F.col("ws.w").alias("writeups"))
+    return corpus.writeup_bodies(ch).select("id", "nth", "path", F.sha2("body", 256).alias("sha256"), F.octet_length("body").cast("long").alias("size"))
+
+
 @query("SNK-05a", f"SELECT regexp_replace(lower(repo), '[^a-z0-9]+', '-', 'g') AS event, unnest(CASE title WHEN 'one' THEN ['README.md', 'chal.py', 'writeups/writeup_00.md'] WHEN 'two' THEN ['public/i.js', 'writeups/writeup_00.md'] ELSE ['challenge.json', 'writeups/writeup_00.md'] END) AS file FROM {_CHECKOUT}")
 def snk_05a(spark, sf_dir):
     """What stands in the corpus."""
