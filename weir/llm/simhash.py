@@ -406,6 +406,15 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
+def _columns(column: pa.Array) -> np.ndarray:
+    """A column as an array, with a row of bytes or longs for each value that is binary or a list of one length."""
+    if pa.types.is_binary(column.type):
+        return _matrix(column)
+    if pa.types.is_list(column.type):
+        return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    return column.to_numpy(zero_copy_only=False)
+
+
 def _by_key(of: Callable[..., tuple], names: list[str]):
     """An Arrow function that calls `of` with the arrays of each run of an equal first column, which follow one another; it
     gives arrays of longs, null where a mask of them says so."""
@@ -419,7 +428,7 @@ def _by_key(of: Callable[..., tuple], names: list[str]):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [_matrix(c) if pa.types.is_binary(c.type) else c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            cols = [_columns(c) for c in batch.columns]
             held = [np.concatenate(x) for x in zip(held, cols, strict=True)] if held else cols
             starts = np.flatnonzero(np.r_[True, held[0][1:] != held[0][:-1]])
             yield out([of(*(x[s:e] for x in held)) for s, e in zip(starts, starts[1:], strict=False) if e - s > 1])
@@ -452,12 +461,13 @@ NONE = -(1 << 63)
 
 
 def _to_test(turn: int, least: float):
-    """From rows (k, node, root, side, sketch) of a band in Gray order, and their bins in later turns; only unlike sides meet
-    if a k has both: (a, b, NONE), pairs of unlike roots to test in this turn, and (NONE, NONE, k) for each k that has pairs
+    """From rows (k, node, root, side, sketch) of a band in Gray order, and their bins in later turns, and the keys of their
+    bands where every band is looked at whole: then a pair comes from the first band it shares only. Only unlike sides meet if
+    a k has both: (a, b, NONE), pairs of unlike roots to test in this turn, and (NONE, NONE, k) for each k that has pairs
     left for a later one. Each turn takes four times as many pairs of a row."""
     high = TESTS * 4**turn
 
-    def meet(keys: np.ndarray, nodes: np.ndarray, roots: np.ndarray, sides: np.ndarray, marks: np.ndarray, bins: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def meet(keys: np.ndarray, nodes: np.ndarray, roots: np.ndarray, sides: np.ndarray, marks: np.ndarray, bins: np.ndarray | None = None, bands: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A row's candidates are taken in an order: those first that are like it and like many others."""
         halves, found = bool(sides.any()) and not sides.all(), []
 
@@ -470,6 +480,9 @@ def _to_test(turn: int, least: float):
                 like = np.concatenate([like[:0], *(_agree(bins[i[k : k + 10_000]], bins[j[k : k + 10_000]]) for k in range(0, len(i), 10_000))])
                 close = like >= least
                 i, j, like = i[close], j[close], like[close]
+            if bands is not None and len(i):
+                here = bands[i, (bands[i] == bands[j]).argmax(axis=1)] == keys[0]
+                i, j, like = i[here], j[here], like[here]
             found.append((i.astype(np.int32), j.astype(np.int32), like.astype(np.float32)))
 
         _near_places(marks, roots, math.ceil(AGREE * marks.shape[1]), visit)
@@ -489,8 +502,9 @@ def _to_test(turn: int, least: float):
             a.append(nodes[own[now]])
             b.append(nodes[other[now]])
         a, b, more = np.concatenate(a), np.concatenate(b), keys[: int(left)]
+        pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0)
         none = np.full(len(more), NONE)
-        return np.r_[np.minimum(a, b), none], np.r_[np.maximum(a, b), none], np.r_[np.full(len(a), NONE), more]
+        return np.r_[pairs[:, 0], none], np.r_[pairs[:, 1], none], np.r_[np.full(len(pairs), NONE), more]
 
     return _by_key(meet, ["a", "b", "more"])
 
@@ -594,15 +608,17 @@ class _Links:
         marks = self.one.select("node", "rank", "sketch")
         groups = bands.where(F.col("n") <= MEET).select("k", "node", F.lit(0).alias("side"))
         large = bands.where(F.col("n") > MEET).select("k", "node")
-        if not large.isEmpty():
+        whole = large.isEmpty()
+        if not whole:
             ordered = staged(large.join(marks, "node"), "crowds").repartitionByRange("k", "rank", "node").sortWithinPartitions("k", "rank", "node").select("k", "node", "sketch")
             self.test(ordered.mapInArrow(_by_key(_neighbours, ["a", "b"]), "a long, b long"), True)
             groups = staged(groups.unionByName(self.cut(large).select("k", "node", "side")), "groups")
         todo, turn = groups, 0
         while True:
             apart = self.rooted(todo) if self.roots is None else self.apart(todo)
-            marked = apart.join(marks if not turn else marks.join(self.bins, "node"), "node")
-            cols = ["k", "node", "root", "side", "sketch", *["bins"] * bool(turn)]
+            more = ["bins", *["keys"] * whole] if turn else []
+            marked = apart.join(self.one.select("node", "rank", "sketch", "keys").join(self.bins, "node") if turn else marks, "node")
+            cols = ["k", "node", "root", "side", "sketch", *more]
             ordered = marked.repartition("k").sortWithinPartitions("k", "rank", "node").select(*cols)
             out = staged(ordered.mapInArrow(_to_test(turn, self.similarity - SLACK), "a long, b long, more long"), "candidates")
             self.test(out.where(F.col("a") != NONE).select("a", "b"), not turn)
