@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from weir.llm import chat, language, mixing, pieces, quality, secrets, sharding, simhash, topk, urls
+from weir.llm import chat, infill, language, merkle, mixing, pieces, quality, repeats, secrets, sharding, simhash, topk, urls
 
 QUERIES = {
     "op10_quality": quality.op10_quality,
@@ -15,6 +15,9 @@ QUERIES = {
     "op1_secrets": secrets.op1_secrets,
     "op5_language": language.op5_language,
     "op9_simhash": simhash.op9_simhash,
+    "op11_merkle": merkle.op11_merkle,
+    "op12_repeats": repeats.op12_repeats,
+    "op13_infill": infill.op13_infill,
 }
 
 ORACLES: dict[str, str] = {
@@ -22,4 +25,7 @@ ORACLES: dict[str, str] = {
     "op3_topk": topk.OP3_SQL,
     "op4_mixing": mixing.OP4_SQL,
     "op7_urls": urls.OP7_SQL,
+    "op11_merkle": merkle.OP11_SQL,
+    "op12_repeats": repeats.OP12_SQL,
+    "op13_infill": infill.OP13_SQL,
 }
