@@ -237,13 +237,10 @@ def op12_repeats(spark, sf_dir: str) -> DataFrame:
 
 OP12_SQL = r"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
-v AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS i, w FROM d WHERE len(w) >= 50),
-h AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY sha256(array_to_string(w[i:i + 49], ' '))) AS least FROM v),
-g AS (SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 50, true) AS fresh FROM h WHERE least < doc_id),
-s AS (SELECT doc_id, i, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM g),
-t AS (SELECT doc_id, min(i) AS a, max(i) + 49 AS b FROM s GROUP BY doc_id, k),
-u AS (SELECT doc_id, list(a) AS a, list(b) AS b, sum(b - a + 1)::BIGINT AS n FROM t GROUP BY doc_id)
-SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0) AS n_removed,
-  sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_bool_or(list_transform(range(1, len(a) + 1), lambda k: i BETWEEN a[k] AND b[k]))) END, ' ')) AS kept_sha256
-FROM d LEFT JOIN u ON d.doc_id = u.doc_id
+p AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i, len(w) AS n FROM d),
+v AS (SELECT doc_id, i, x, i <= n - 49 AS whole, string_agg(x, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING) AS z FROM p),
+g AS (SELECT doc_id, i, x, whole AND min(doc_id) OVER (PARTITION BY whole, z) < doc_id AS starts FROM v),
+c AS (SELECT doc_id, i, x, bool_or(starts) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM g),
+k AS (SELECT doc_id, count(*) FILTER (gone) AS n, string_agg(x, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM c GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k ON d.doc_id = k.doc_id
 """
