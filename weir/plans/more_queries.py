@@ -20,7 +20,7 @@ from weir.sinks import corpus
 from weir.sources import records, trees
 from weir.sources.records import make
 from weir.stage import local_path, scratch, staged
-from weir.streaming import mirror, paging
+from weir.streaming import mirror, paging, upsert
 
 # ---- files made of tables ----------------------------------------------------------------------------------------------
 
@@ -552,12 +552,36 @@ def inc_03(spark, sf_dir):
     return spark.read.schema("repo string, batch long").json(path).select("repo", "batch")
 
 
-@query("INC-04", f"WITH {_DOC} SELECT id, 'doc ' || doc_id || CASE WHEN doc_id % 3 = 0 THEN ' again' ELSE '' END AS title FROM m")
+_SHARDS = f"""r AS (
+  SELECT id, doc_id AS row_pos, 0 AS shard_pos, 'doc ' || doc_id AS title FROM m WHERE doc_id % 5 <> 0
+  UNION ALL SELECT id, doc_id + 1000000, 0, 'doc ' || doc_id || ' twice' FROM m WHERE doc_id % 7 = 0 AND doc_id % 5 <> 0
+  UNION ALL SELECT id, doc_id * 2, 1, 'doc ' || doc_id || ' again' FROM m WHERE doc_id % 3 = 0
+  UNION ALL SELECT id, doc_id, 2, 'doc ' || doc_id || ' late' FROM m WHERE doc_id % 5 = 0)"""
+
+
+def shard_rows(spark, sf_dir) -> DataFrame:
+    """Three shards of one catalog: a third of its records come again, some twice in one shard, some in the last shard only."""
+    made = catalog.normalize(document_raw(spark, sf_dir), slug=text.slug_of_normal).select("id", "title", F.col("input_pos").alias("k"))
+    some = lambda where, shard, row, mark: made.where(where).select("id", F.concat("title", F.lit(mark)).alias("title"), F.lit(shard).cast("long").alias("shard_pos"), row.cast("long").alias("row_pos"))
+    k = F.col("k")
+    first = some("k % 5 <> 0", 0, k, "").unionByName(some("k % 7 = 0 and k % 5 <> 0", 0, k + 1_000_000, " twice"))
+    return first.unionByName(some("k % 3 = 0", 1, k * 2, " again")).unionByName(some("k % 5 = 0", 2, k, " late"))
+
+
+@query(
+    "INC-04",
+    f"WITH {_DOC}, {_SHARDS} SELECT id, arg_max(title, shard_pos * 100000000 + row_pos) AS title, min(shard_pos)::BIGINT AS first_shard_pos, (min(shard_pos * 100000000 + row_pos) % 100000000)::BIGINT AS first_row_pos, count(DISTINCT shard_pos)::BIGINT AS shards FROM r GROUP BY 1",
+)
 def inc_04(spark, sf_dir):
-    """A second ingest of a third of the records: the same ids, the later values."""
-    made = catalog.normalize(document_raw(spark, sf_dir), slug=text.slug_of_normal).select("id", "title", F.col("input_pos").alias("row_pos"))
-    again = made.where("row_pos % 3 = 0").withColumn("title", F.concat("title", F.lit(" again"))).withColumn("shard_pos", F.lit(1))
-    return catalog.upsert(made.withColumn("shard_pos", F.lit(0)).unionByName(again)).select("id", "title")
+    """Shards as a stream: their rows lie shuffled in files, and half of the files come after a restart. The table is what the
+    state of the stream holds."""
+    rows, source, check = staged(shard_rows(spark, sf_dir), "shard-rows"), scratch(spark, "shards"), scratch(spark, "upsert")
+    for half in (0, 1):
+        rows.where(F.pmod(F.xxhash64("id", "title"), F.lit(2)) == half).repartition(2, "title").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "2").parquet(source)
+        upsert.start(stream, check).awaitTermination()
+    held = upsert.snapshot(spark, check, "id string, title string")
+    return held.join(upsert.shards_of(spark, check), "id").select("id", "title", "first_shard_pos", "first_row_pos", "shards")
 
 
 @query(

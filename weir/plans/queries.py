@@ -506,12 +506,10 @@ def agg_08(spark, sf_dir):
     return catalog.merge(mirrors(spark, sf_dir))[1]
 
 
-@query("AGG-09", "SELECT user_id, event_id, event_type, min(event_id) OVER (PARTITION BY user_id) AS first_row_pos FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts::DATE DESC, event_id DESC) = 1")
+@query("AGG-09", "SELECT user_id, event_id, event_type, first_value(event_id) OVER (PARTITION BY user_id ORDER BY ts::DATE, event_id) AS first_row_pos FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts::DATE DESC, event_id DESC) = 1")
 def agg_09(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", F.to_date("ts").alias("shard_pos"), F.col("event_id").alias("row_pos"))
-    first = e.groupBy("user_id").agg(F.min("event_id").alias("f"))
-    made = catalog.upsert(e, "user_id")
-    return made.select("user_id", "event_id", "event_type").join(first, "user_id").withColumnRenamed("f", "first_row_pos")
+    return catalog.upsert(e, "user_id").select("user_id", "event_id", "event_type", "first_row_pos")
 
 
 @query("AGG-10", f"WITH {_DOC} SELECT count(*)::BIGINT AS total, count(*)::BIGINT AS whitebox, count(*) FILTER (spdx IN {REDISTRIBUTABLE})::BIGINT AS redistributable, 0::BIGINT AS with_writeups FROM m")
