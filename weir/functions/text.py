@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import unicodedata
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,11 +122,41 @@ def near_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.regexp_replace(text, r"(?m)(#|//).*?$", "")), F.lit("[A-Za-z0-9_]+"), F.lit(0))
 
 
+#: The permutations of a signature are x -> (a * x + b) modulo this prime; a and b come from powers of one of its primitive roots.
+PRIME, ROOT = 2**31 - 1, 48_271
+
+
+def token_hash(token: Column) -> Column:
+    """60 bits of a token's md5."""
+    return F.conv(F.substring(F.md5(token.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
+def permutation(i: int) -> tuple[int, int]:
+    """The numbers a and b of the i-th permutation."""
+    return pow(ROOT, 2 * i + 1, PRIME), pow(ROOT, 2 * i + 2, PRIME)
+
+
+def signature(hashes: Column, permutations: int = 128) -> Column:
+    """The least value of a set of token hashes under each permutation; null for none. All sets of a batch are permuted at once."""
+
+    def run(batch: pa.Array) -> pa.Array:
+        counts = np.diff(batch.offsets.to_numpy()) if len(batch) else np.empty(0, np.int64)
+        counts[batch.is_null().to_numpy(zero_copy_only=False)] = 0
+        flat, some = batch.flatten().to_numpy() % PRIME, counts > 0
+        starts = np.concatenate([[0], np.cumsum(counts[some])[:-1]]).astype(np.int64)
+        out = np.empty((int(some.sum()), permutations), np.int64)
+        for i, (a, b) in enumerate(map(permutation, range(permutations)) if len(out) else ()):
+            out[:, i] = np.minimum.reduceat((a * flat + b) % PRIME, starts)
+        offsets = np.concatenate([[0], np.cumsum(some)]).astype(np.int32) * permutations
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.reshape(-1)), mask=pa.array(~some))
+
+    run.__annotations__ = {"batch": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, "array<long>")(hashes)
+
+
 def minhash(tokens: Column, permutations: int = 128) -> Column:
-    """The least hash of the tokens under each seed; null for no tokens."""
-    seeds = F.sequence(F.lit(1), F.lit(permutations))
-    once = F.array(F.array_distinct(tokens))  # bound to a variable, not found again for each seed
-    return F.when(F.size(tokens) > 0, F.transform(once, lambda x: F.transform(seeds, lambda s: F.array_min(F.transform(x, lambda t: F.xxhash64(t, s)))))[0])
+    """The signature of a set of tokens; null for none."""
+    return signature(F.transform(F.array_distinct(tokens), token_hash), permutations)
 
 
 def first_int(text: Column) -> Column:

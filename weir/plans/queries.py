@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weir import schema
 from weir.functions import html, license, paths, text
-from weir.operators import catalog, discovery, walk
+from weir.operators import catalog, discovery, near, walk
 from weir.plans import ingest
 from weir.sinks import corpus
 from weir.sources.records import make, raw
@@ -539,10 +539,43 @@ def agg_14(spark, sf_dir):
     return discovery.first_seen(table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), "o_custkey", "o_orderkey")
 
 
-@query("AGG-15")
+_NEAR_TOKENS = r"list_distinct(regexp_extract_all(lower(regexp_replace(text, '(?m)(#|//).*?$', '', 'g')), '[A-Za-z0-9_]+'))"
+_NEAR = f"""t AS (SELECT doc_id, list_sort({_NEAR_TOKENS}) AS w FROM documents),
+s AS (SELECT min(doc_id) AS node, w FROM t WHERE len(w) > 0 GROUP BY w),
+e AS (SELECT node, len(w) AS n, unnest(w) AS x FROM s),
+l AS (SELECT a.node AS a, b.node AS b, count(*) AS common FROM e a JOIN e b ON a.x = b.x AND a.node < b.node AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n GROUP BY a.node, b.node, a.n, b.n HAVING 5 * count(*) >= 4 * (a.n + b.n - count(*)))"""
+
+
+@query(
+    "AGG-15",
+    f"""WITH RECURSIVE q(k, x) AS (SELECT 1, 48271::BIGINT UNION ALL SELECT k + 1, x * 48271 % 2147483647 FROM q WHERE k < 256),
+p AS (SELECT list(x ORDER BY k) AS x FROM q),
+d AS (SELECT doc_id, list_transform({_NEAR_TOKENS}, lambda t: ('0x' || md5(t)[1:15])::BIGINT % 2147483647) AS h FROM documents)
+SELECT doc_id, array_to_string(list_transform(range(128), lambda i: list_min(list_transform(h, lambda v: (x[2 * i + 1] * v + x[2 * i + 2]) % 2147483647))), ',') AS signature FROM d, p""",
+)
 def agg_15(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", text.minhash(text.near_tokens(F.col("text"))).alias("signature"))
+    return d.select("doc_id", F.array_join(text.minhash(text.near_tokens(F.col("text"))), ",").alias("signature"))
+
+
+@query("AGG-15-links", f"WITH {_NEAR} SELECT a, b, common::BIGINT AS common FROM l")
+def agg_15_links(spark, sf_dir):
+    """Pairs of different token sets that share four fifths of their tokens, found by bands of the signature."""
+    d = table(spark, sf_dir, "documents")
+    return near.links(near.token_sets(d, "doc_id", F.col("text"))[0]).select("a", "b", "common")
+
+
+@query(
+    "AGG-15-groups",
+    f"""WITH RECURSIVE {_NEAR}, b AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, root) AS (SELECT node, node FROM s UNION SELECT b.b, r.root FROM r JOIN b ON b.a = r.node),
+g AS (SELECT node, min(root) AS root FROM r GROUP BY node), n AS (SELECT a AS node, count(*) AS links FROM b GROUP BY a)
+SELECT doc_id, coalesce(root, doc_id) AS group_id, coalesce(links, 0)::BIGINT AS links FROM t LEFT JOIN s ON t.w = s.w LEFT JOIN g ON g.node = s.node LEFT JOIN n ON n.node = s.node""",
+)
+def agg_15_groups(spark, sf_dir):
+    """Each document with the group that these pairs lead to."""
+    made = near.groups(table(spark, sf_dir, "documents"), "doc_id", F.col("text"))
+    return made.select(F.col("id").alias("doc_id"), "group_id", "links")
 
 
 @query("AGG-16", "SELECT doc_id, len(regexp_extract_all(lower(regexp_replace(text, '(?m)(#|//).*?$', '', 'g')), '[A-Za-z0-9_]+'))::BIGINT AS n FROM documents")
