@@ -422,6 +422,13 @@ def src_16(spark, sf_dir):
     return trees.read_tree(spark, document_files(spark, sf_dir), checkouts="true", hash="false").select("tree", "path", "is_dir")
 
 
+@query("SRC-16-filtered", f"SELECT tree, path, strlen(text)::BIGINT AS size, sha256(text) AS sha256 FROM {_TREE_FILES} WHERE tree <> 'o/src1' AND path LIKE 'd1/%' AND NOT path LIKE '%7' AND strlen(text) > 500")
+def src_16_filtered(spark, sf_dir):
+    """Filters that the source applies itself: only what passes them is hashed."""
+    found = trees.read_tree(spark, document_files(spark, sf_dir), checkouts="true").where("not is_dir and tree <> 'o/src1' and path like 'd1/%' and not path like '%7' and size > 500")
+    return found.select("tree", "path", "size", "sha256")
+
+
 @query("NRM-05", f"SELECT tree, path, strlen(text)::BIGINT AS size, sha256(text) AS sha256, strlen(text) > 1000 AS lfs FROM {_TREE_FILES}")
 def nrm_05(spark, sf_dir):
     """Every file with its size and hash, read in pieces; over the cap it counts as large."""

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from weir import schema
 from weir.functions import text
+from weir.sinks import commit
 from weir.sources.records import make
 
 
@@ -146,36 +147,11 @@ def archive(folder: str) -> str:
 
 def write(challenges: DataFrame, bodies: DataFrame, target: str, trees: str | None = None, packed: bool = False, slug=text.slug) -> DataFrame:
     """(id, dir, n_files, bytes, error) of challenges written under `target`, a shared folder. trees: where the folders of
-    local_dir are. A challenge that fails has an error and nothing else fails; a rerun gives the same bytes."""
+    local_dir are. A challenge that fails has an error and nothing else fails; a rerun gives the same bytes. The write is
+    committed as a whole: tasks that fail, or run twice, leave nothing behind."""
     rows = challenges.select("id", relpath(slug).alias("dir"), F.col("corpus_path").alias("local_dir"))
     notes = bodies.groupBy("id").agg(F.collect_list(F.struct("path", "body")).alias("notes"))
-    rows = rows.join(notes, "id", "left").repartition("id")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for r in batch.itertuples():
-                folder, error, n, size = os.path.join(target, r.dir), None, 0, 0
-                try:
-                    shutil.rmtree(folder, ignore_errors=True)
-                    os.makedirs(folder, exist_ok=True)
-                    if trees and r.local_dir and os.path.isdir(os.path.join(trees, r.local_dir)):
-                        copy_tree(os.path.join(trees, r.local_dir), folder)
-                    for note in r.notes if r.notes is not None else []:
-                        path = os.path.join(folder, note["path"])
-                        os.makedirs(os.path.dirname(path), exist_ok=True)
-                        with open(path, "w", encoding="utf-8", newline="") as f:
-                            f.write(note["body"])
-                    found = [os.path.join(d, x) for d, _, names in os.walk(folder) for x in names]
-                    n, size = len(found), sum(os.path.getsize(x) for x in found)
-                    if packed:
-                        size = os.path.getsize(archive(folder))
-                except Exception as e:  # noqa: BLE001
-                    error = f"{type(e).__name__}: {e}"
-                out.append((r.id, r.dir + ".tar.gz" * packed, n, size, error))
-            yield pd.DataFrame(out, columns=["id", "dir", "n_files", "bytes", "error"])
-
-    return rows.mapInPandas(run, "id string, dir string, n_files long, bytes long, error string")
+    return commit.write(rows.join(notes, "id", "left").repartition("id"), target, trees, packed)
 
 
 def archived(challenges: DataFrame) -> DataFrame:
