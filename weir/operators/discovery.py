@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weir.stage import staged
 
 CAP, MAX_STARS, EPOCH = 1_000, 1_000_000, date(2011, 1, 1)
 # The searches that together cover sources and writeups.
@@ -58,39 +58,66 @@ def plan(queries: list[str], count: Callable[[str], int], by: str = "created", l
     return [leaf for q in queries for leaf in (star_leaves(q, count, cap=cap) if by == "stars" else date_leaves(q, count, low, high, cap))]
 
 
+def halved(counts: DataFrame, value: str, low: Column, high: Column, levels: int, cap: int = CAP, by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, low, high, n, whole): the leaves that halving finds over a table of counts `n` by whole numbers `value` from low to high,
+    for each group `by`: ranges of up to `cap` whose parent has more, and single values over it, which are not whole.
+
+    Every value tells the ranges around it, `levels` of them at most, from the whole one down; one aggregation counts all
+    ranges, and each is held against its parent. Counts are combined before the shuffle, so that the whole range is one row
+    for each task, and no range is asked for from the driver. Values that are null or out of range are left out.
+    """
+    by, v = list(by), F.col(value).cast("long")
+    inside = counts.where(v.between(low, high)).groupBy(*by, v.alias("__v")).agg(F.sum("n").cast("long").alias("__n")).withColumns({"__low": low.cast("long"), "__high": high.cast("long")})
+    none = F.lit(None).cast("long")
+    whole = F.struct(F.col("__low").alias("low"), F.col("__high").alias("high"), none.alias("above_low"), none.alias("above_high"))
+
+    def below(ranges: Column, _: Column) -> Column:
+        last = F.element_at(ranges, -1)
+        middle = F.floor((last["low"] + last["high"]) / 2).cast("long")
+        left = F.col("__v") <= middle
+        half = F.struct(F.when(left, last["low"]).otherwise(middle + 1).alias("low"), F.when(left, middle).otherwise(last["high"]).alias("high"), last["low"].alias("above_low"), last["high"].alias("above_high"))
+        return F.when(last["low"] == last["high"], ranges).otherwise(F.array_append(ranges, half))
+
+    around = F.aggregate(F.sequence(F.lit(1), F.lit(levels)), F.array(whole), below)
+    sums = inside.select(*by, "__n", F.inline(around)).groupBy(*by, "low", "high", "above_low", "above_high").agg(F.sum("__n").alias("n")).where("n > 0")
+    sums = staged(sums, "ranges-of-counts")
+    above = sums.select(*[F.col(c).alias(f"__{c}") for c in by], F.col("low").alias("__low"), F.col("high").alias("__high"), F.col("n").alias("__above"))
+    same = (F.col("above_low") == F.col("__low")) & (F.col("above_high") == F.col("__high"))
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"__{c}"))
+    fits, single = F.col("n") <= cap, F.col("low") == F.col("high")
+    held = sums.where(fits | single).join(above, same, "left").where(F.col("above_low").isNull() | (F.col("__above") > cap))
+    return held.select(*by, "low", "high", "n", fits.alias("whole"))
+
+
+#: Halvings that take any calendar, and any number of stars, down to a single value.
+DAY_LEVELS = 24
+
+
 def day_leaves(counts: DataFrame, cap: int = CAP) -> DataFrame:
-    """(low, high, n) of leaves over a table (day, n) of counts, as the halving finds them. Counts are summed by day in the
-    cluster; the sums up to each day of the calendar are at most some thousand rows, and the halving asks them."""
-    days = {r["day"]: r["n"] for r in counts.where("day is not null").groupBy("day").agg(F.sum("n").alias("n")).collect()}
-    leaves: list[tuple[date, date, int]] = []
-    if days:
-        first, upto, sums = min(days), 0, [0]
-        for i in range((max(days) - first).days + 1):
-            upto += days.get(first + timedelta(days=i), 0)
-            sums.append(upto)
-        todo = [(0, len(sums) - 2)]
-        while todo:
-            low, high = todo.pop()
-            n = sums[high + 1] - sums[low]
-            if n and (n <= cap or low == high):
-                leaves.append((first + timedelta(days=low), first + timedelta(days=high), n))
-            elif n:
-                middle = (low + high) // 2
-                todo += [(low, middle), (middle + 1, high)]
-    return counts.sparkSession.createDataFrame(leaves, "low date, high date, n long")
-
-
-def star_table(counts: DataFrame, cap: int = CAP, high: int = MAX_STARS) -> DataFrame:
-    """(low, high, n, whole) of leaves over a table (stars, n), found by halving 0 to `high`; one value over the cap can't be
-    halved and is not whole. The table is summed by value in the cluster first, which has no more rows than values."""
-    sums = counts.where(F.col("stars").between(0, high)).groupBy("stars").agg(F.sum("n").alias("n")).orderBy("stars").collect()
-    values, upto = [r["stars"] for r in sums], [0]
-    for r in sums:
-        upto.append(upto[-1] + r["n"])
-    held = lambda low, high: upto[bisect_right(values, high)] - upto[bisect_left(values, low)]
-    bounds = lambda q: tuple(map(int, q.rsplit("stars:", 1)[1].split("..")))
-    leaves = [(*bounds(q), n, whole) for q, n, whole in star_leaves("", lambda q: held(*bounds(q)), 0, high, cap)]
-    return counts.sparkSession.createDataFrame(leaves, "low long, high long, n long, whole boolean")
+    """(low, high, n, whole) of leaves over a table (day, n) of counts, between its first and last day; a day over the cap can't be
+    halved and is not whole."""
+    days = counts.select(F.unix_date("day").alias("day"), "n")
+    low, high = days.agg(F.min("day")).scalar(), days.agg(F.max("day")).scalar()
+    made = halved(days, "day", low, high, DAY_LEVELS, cap)
+    return made.select(F.date_from_unix_date(F.col("low").cast("int")).alias("low"), F.date_from_unix_date(F.col("high").cast("int")).alias("high"), "n", "whole")
+
+
+def star_table(counts: DataFrame, cap: int = CAP, high: int = MAX_STARS, by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, low, high, n, whole) of leaves over a table (stars, n), found by halving 0 to `high`; one value over the cap is not
+    whole."""
+    return halved(counts, "stars", F.lit(0), F.lit(high), max(1, high.bit_length()), cap, by)
+
+
+def sharded(counts: DataFrame, cap: int = CAP, high: int = MAX_STARS) -> DataFrame:
+    """(low, high, low_stars, high_stars, n, whole) over a table (day, stars, n): ranges of days that fit, and each day over the cap by
+    ranges of stars; what neither can halve is not whole. Days that fit have no range of stars."""
+    counts = staged(counts.groupBy("day", "stars").agg(F.sum("n").alias("n")), "counts")
+    days = staged(day_leaves(counts, cap), "day-leaves")
+    over = counts.join(days.where("not whole").select(F.col("low").alias("day")), "day", "left_semi")
+    stars = star_table(over, cap, high, ("day",)).select(F.col("day").alias("low"), F.col("day").alias("high"), F.col("low").alias("low_stars"), F.col("high").alias("high_stars"), "n", "whole")
+    none = F.lit(None).cast("long")
+    return days.where("whole").select("low", "high", none.alias("low_stars"), none.alias("high_stars"), "n", "whole").unionByName(stars)
 
 
 def seed_names(seeds: DataFrame) -> DataFrame:

@@ -858,6 +858,26 @@ def dsc_02(spark, sf_dir):
     return discovery.star_table(stars)
 
 
+@query(
+    "DSC-02-days",
+    """WITH RECURSIVE o AS (SELECT o_orderdate::DATE AS day, o_custkey % 9 AS s, count(*) AS n FROM orders GROUP BY 1, 2), c AS (SELECT day, sum(n) AS n FROM o GROUP BY 1),
+r(low, high) AS (SELECT min(day), max(day) FROM c UNION ALL
+  SELECT unnest([r.low, r.low + ((r.high - r.low) // 2)::INTEGER + 1]), unnest([r.low + ((r.high - r.low) // 2)::INTEGER, r.high]) FROM r
+  WHERE r.low < r.high AND (SELECT sum(n) FROM c WHERE day BETWEEN r.low AND r.high) > 5),
+s AS (SELECT low, high, (SELECT sum(n) FROM c WHERE day BETWEEN low AND high) AS n FROM r),
+t(day, low, high) AS (SELECT low, 0, 63 FROM s WHERE low = high AND n > 5 UNION ALL
+  SELECT day, unnest([t.low, (t.low + t.high) // 2 + 1]), unnest([(t.low + t.high) // 2, t.high]) FROM t WHERE t.low < t.high AND (SELECT sum(n) FROM o WHERE o.day = t.day AND o.s BETWEEN t.low AND t.high) > 5),
+u AS (SELECT day, low, high, (SELECT sum(n) FROM o WHERE o.day = t.day AND o.s BETWEEN t.low AND t.high) AS n FROM t)
+SELECT low::DATE::VARCHAR AS low, high::DATE::VARCHAR AS high, NULL::BIGINT AS low_stars, NULL::BIGINT AS high_stars, n::BIGINT AS n, true AS whole FROM s WHERE n BETWEEN 1 AND 5
+UNION ALL SELECT day::DATE::VARCHAR, day::DATE::VARCHAR, low::BIGINT, high::BIGINT, n::BIGINT, n <= 5 FROM u WHERE n > 0 AND (n <= 5 OR low = high)""",
+)
+def dsc_02_days(spark, sf_dir):
+    """Days are halved first, and days that hold too much by a second number; what neither can cut is marked."""
+    o = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("day"), (F.col("o_custkey") % 9).alias("stars")).agg(F.count("*").alias("n"))
+    made = discovery.sharded(o, 5, 63)
+    return made.select(F.col("low").cast("string").alias("low"), F.col("high").cast("string").alias("high"), "low_stars", "high_stars", "n", "whole")
+
+
 @query("DSC-03", "SELECT 'r' || o_custkey AS full_name, count(*)::BIGINT AS seen FROM orders GROUP BY 1")
 def dsc_03(spark, sf_dir):
     """A population behind a capped search: every day's leaf is read, and a name that several hold comes once."""

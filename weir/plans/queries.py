@@ -666,11 +666,11 @@ r(low, high) AS (SELECT min(day), max(day) FROM c UNION ALL
   SELECT unnest([r.low, r.low + ((r.high - r.low) // 2)::INTEGER + 1]), unnest([r.low + ((r.high - r.low) // 2)::INTEGER, r.high]) FROM r
   WHERE r.low < r.high AND (SELECT sum(n) FROM c WHERE day BETWEEN r.low AND r.high) > 1000),
 s AS (SELECT low, high, (SELECT sum(n) FROM c WHERE day BETWEEN low AND high) AS n FROM r)
-SELECT low::DATE::VARCHAR AS low, high::DATE::VARCHAR AS high, n::BIGINT AS n FROM s WHERE n > 0 AND (n <= 1000 OR low = high)""",
+SELECT low::DATE::VARCHAR AS low, high::DATE::VARCHAR AS high, n::BIGINT AS n, n <= 1000 AS whole FROM s WHERE n > 0 AND (n <= 1000 OR low = high)""",
 )
 def dsc_01(spark, sf_dir):
     days = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("n"))
-    return discovery.day_leaves(days).select(F.col("low").cast("string").alias("low"), F.col("high").cast("string").alias("high"), "n")
+    return discovery.day_leaves(days).select(F.col("low").cast("string").alias("low"), F.col("high").cast("string").alias("high"), "n", "whole")
 
 
 @query("DSC-04", "WITH f AS (SELECT o_custkey % 500 AS k, CASE WHEN o_orderkey % 3 = 0 THEN 'sources' ELSE 'unknown' END AS kind, o_orderkey AS pos FROM orders WHERE o_custkey % 500 >= 20), r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY kind = 'unknown', pos) AS n FROM f) SELECT 'r' || k AS full_name, kind, pos AS size_kb FROM r WHERE n = 1")
