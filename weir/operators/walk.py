@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from weir import schema
 from weir.functions import license, paths, text
@@ -67,9 +66,19 @@ def challenge_dirs(tree: DataFrame) -> DataFrame:
 
 
 def metadata(head: Column, size: Column) -> Column:
-    """What a challenge.json tells; nulls for one that is too large or no JSON object."""
-    fields = T.StructType([T.StructField(x, T.StringType()) for x in ("name", "category", "flag", "description")])
-    return F.from_json(F.when(size <= MAX_METADATA_BYTES, head), fields)
+    """What a challenge.json holds, as a variant: an object with any fields. Null for one that is too large, no JSON, or no
+    object; an object that names a field twice is no JSON here."""
+    parsed = F.try_parse_json(F.when(size <= MAX_METADATA_BYTES, head))
+    return F.when(F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT")), parsed)
+
+
+def told(meta: Column, path: str) -> Column:
+    """A field of metadata as text, whatever its type; arrays and objects as JSON. Null where it says nothing: it is missing, null,
+    false, zero or empty."""
+    value = F.try_variant_get(meta, path, "variant")
+    as_text, kind = F.try_variant_get(meta, path, "string"), F.schema_of_variant(value)
+    nothing = F.when(kind == "STRING", as_text == "").otherwise(as_text.isin("false", "0", "[]", "{}") | F.coalesce(F.try_variant_get(meta, path, "double") == 0, F.lit(False)))
+    return F.when(~nothing, as_text)
 
 
 def records(tree: DataFrame, seeds: DataFrame, commits: DataFrame, retrieved_at: Column | None = None, limit: int | None = None) -> DataFrame:
@@ -81,7 +90,8 @@ def records(tree: DataFrame, seeds: DataFrame, commits: DataFrame, retrieved_at:
     dirs = challenge_dirs(tree).withColumnRenamed("tree", "repo")
     if limit is not None:
         dirs = dirs.withColumn("nth", F.row_number().over(Window.partitionBy("repo").orderBy("dir"))).where(F.col("nth") <= limit).drop("nth")
-    meta = tree.where(~F.col("is_dir") & (text.basename(F.col("path")) == "challenge.json")).select(F.col("tree").alias("repo"), parent(F.col("path")).alias("dir"), metadata(F.col("head"), F.col("size")).alias("m"))
+    meta = tree.where(~F.col("is_dir") & (text.basename(F.col("path")) == "challenge.json")).select(F.col("tree").alias("repo"), parent(F.col("path")).alias("dir"), metadata(F.col("head"), F.col("size")).alias("v"))
+    meta = meta.select("repo", "dir", F.struct(*[told(F.col("v"), f"$.{x}").alias(x) for x in ("name", "category", "flag", "description")], F.col("v").alias("all")).alias("m"))
     dirs = staged(dirs, "dirs")
     licensed = license_of_trees(tree, seeds.select(F.col("repo").alias("tree"), F.col("license").alias("spdx"))).withColumnRenamed("tree", "repo").withColumnRenamed("license", "repo_license")
     licensed = staged(licensed, "licenses")
@@ -103,7 +113,7 @@ def records(tree: DataFrame, seeds: DataFrame, commits: DataFrame, retrieved_at:
     return raw(
         full, origin=origin, title=F.when(F.col("dir") == "", F.coalesce(F.nullif(F.col("m.name"), F.lit("")), short)).otherwise(found["title"]),
         event_name=F.coalesce(found["event_name"], F.when(origin == "google_ctf", "Google CTF").otherwise(F.regexp_extract("repo", "^[^/]*/?(.*)$", 1))), edition=found["edition"],
-        year=found["year"], raw_category=found["raw_category"], description=F.nullif(F.col("m.description"), F.lit("")), flag=F.nullif(F.col("m.flag"), F.lit("")),
+        year=found["year"], raw_category=found["raw_category"], description=F.col("m.description"), flag=F.col("m.flag"),
         local_dir=F.concat_ws("/", F.col("repo"), F.nullif(F.col("dir"), F.lit(""))), files=F.coalesce("files", F.array().cast(schema.RAW["files"].dataType)), source=src,
-        extra=F.to_json(F.struct("kind", F.col("dir").alias("path_in_repo"))),
+        extra=F.to_json(F.struct("kind", F.col("m.all").alias("challenge_json"), F.col("dir").alias("path_in_repo"))),
     )

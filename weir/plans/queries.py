@@ -315,13 +315,41 @@ def _known(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return seeds, trees.select(F.col("repo").alias("tree"), F.sha1("repo").alias("commit_sha"))
 
 
-@query("FLT-15", "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_name END AS name, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_size::VARCHAR END AS flag FROM part")
+_META = """(SELECT p_partkey AS k, CASE WHEN p_partkey % 12 = 0 THEN '{"name": ' WHEN p_partkey % 12 = 5 THEN '["' || p_name || '"]' WHEN p_partkey % 12 = 7 THEN '"' || p_name || '"' ELSE
+  '{"name":' || CASE p_partkey % 5 WHEN 0 THEN '"' || p_name || '"' WHEN 1 THEN p_size::VARCHAR WHEN 2 THEN '{"en":"' || p_name || '"}' WHEN 3 THEN 'null' ELSE '""' END ||
+  ',"flag":' || CASE p_partkey % 4 WHEN 0 THEN '"0"' WHEN 1 THEN 'true' WHEN 2 THEN '0' ELSE '[]' END ||
+  ',"points":{"value":' || CASE p_partkey % 3 WHEN 0 THEN p_size::VARCHAR WHEN 1 THEN '"' || p_size || '"' ELSE '"much"' END || '},"tags":["' || p_brand || '",' || p_size || '],"x":false}' END AS head,
+  CASE WHEN p_partkey % 13 = 0 THEN 1048577 ELSE 10 END AS size FROM part)"""
+
+
+def metadata_heads(spark, sf_dir) -> DataFrame:
+    """Metadata of every shape: fields of several types, nested ones, arrays and texts instead of objects, broken and large ones."""
+    k, quoted = F.col("p_partkey"), lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    name, size = quoted(F.col("p_name")), F.col("p_size").cast("string")
+    names = F.when(k % 5 == 0, name).when(k % 5 == 1, size).when(k % 5 == 2, F.concat(F.lit('{"en":'), name, F.lit("}"))).when(k % 5 == 3, "null").otherwise('""')
+    points = F.when(k % 3 == 0, size).when(k % 3 == 1, quoted(size)).otherwise('"much"')
+    whole = F.concat(F.lit('{"name":'), names, F.lit(',"flag":'), pick(['"0"', "true", "0", "[]"], k % 4), F.lit(',"points":{"value":'), points, F.lit('},"tags":['), quoted(F.col("p_brand")), F.lit(","), size, F.lit('],"x":false}'))
+    head = F.when(k % 12 == 0, '{"name": ').when(k % 12 == 5, F.concat(F.lit("["), name, F.lit("]"))).when(k % 12 == 7, name).otherwise(whole)
+    return table(spark, sf_dir, "part").select(k.alias("k"), head.alias("head"), F.when(k % 13 == 0, walk.MAX_METADATA_BYTES + 1).otherwise(10).cast("long").alias("size"))
+
+
+def _told(path: str) -> str:
+    text_, kind = f"json_extract_string(j, '{path}')", f"json_type(j, '{path}')"
+    return f"CASE WHEN {kind} = 'NULL' OR {text_} = '' OR {kind} <> 'VARCHAR' AND {text_} IN ('false', '0', '[]', '{{}}') THEN NULL ELSE {text_} END"
+
+
+@query(
+    "FLT-15",
+    f"""WITH j AS (SELECT k, CASE WHEN size <= 1048576 AND json_valid(head) AND json_type(CASE WHEN json_valid(head) THEN head END) = 'OBJECT' THEN head::JSON END AS j FROM {_META})
+SELECT k, {_told('$.name')} AS name, {_told('$.flag')} AS flag, try_cast(json_extract_string(j, '$.points.value') AS INTEGER) AS points, json_extract_string(j, '$.tags[0]') AS tag, json_extract_string(j, '$.name.en') AS en, j IS NOT NULL AS known FROM j""",
+)
 def flt_15(spark, sf_dir):
-    """Metadata of bounded size: broken JSON, and what is larger, tells nothing."""
-    k = F.col("p_partkey")
-    good = F.to_json(F.struct(F.col("p_name").alias("name"), F.col("p_size").alias("flag"), F.lit("x").alias("other")))
-    p = table(spark, sf_dir, "part").select("p_partkey", F.when(k % 6 == 0, "{broken").otherwise(good).alias("head"), F.when(k % 6 == 3, walk.MAX_METADATA_BYTES + 1).otherwise(F.length(good)).cast("long").alias("size"))
-    return p.select("p_partkey", walk.metadata(F.col("head"), F.col("size")).alias("m")).select("p_partkey", "m.name", "m.flag")
+    """Open metadata of bounded size: fields of any type, nested ones by path; broken JSON, other values and what is larger tell
+    nothing."""
+    m = F.col("m")
+    found = metadata_heads(spark, sf_dir).select("k", walk.metadata(F.col("head"), F.col("size")).alias("m"))
+    get = lambda path, kind: F.try_variant_get(m, path, kind)
+    return found.select("k", walk.told(m, "$.name").alias("name"), walk.told(m, "$.flag").alias("flag"), get("$.points.value", "int").alias("points"), get("$.tags[0]", "string").alias("tag"), get("$.name.en", "string").alias("en"), m.isNotNull().alias("known"))
 
 
 _SEGMENT = "(SELECT o_orderkey AS k, ['Quals-', 'ctf_', 'x ', '', 'v1'][o_orderkey % 5 + 1] || (o_orderkey % 300 + 1880) || ['', '_', '-pwn', ' hw', '-web-', 'webhook'][o_orderkey % 6 + 1] || ['heap', 'crypto', 're', '-abuse'][o_orderkey % 4 + 1] AS x FROM orders)"
