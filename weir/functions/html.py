@@ -8,7 +8,8 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin, urlparse
 
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -130,29 +131,142 @@ def challenge_page(html: str, url: str) -> dict:
     }
 
 
-def task_rows(html: str, _: str) -> list[dict]:
+class _Rows(_Builder):
+    """Gives the rows of a page's tables as they end, and forgets them: what is held is the row at hand and what encloses it. A
+    row inside another's cell ends with the outer one, and comes after it."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.ended: list[Node] = []
+        self.outer: Node | None = None
+
+    def _left(self) -> None:
+        """Called when elements may have ended: the outermost open row has, unless the place is still in it."""
+        if self.outer is not None:
+            at = self.at
+            while at is not None and at is not self.outer:
+                at = at.parent
+            if at is None:
+                self.ended.append(self.outer)
+                self.outer.parent.children.remove(self.outer)
+                self.outer = None
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        super().handle_starttag(tag, attrs)
+        self._left()
+        if tag == "tr" and self.outer is None:
+            self.outer = self.at
+        elif self.outer is None:
+            self._forget()
+
+    def handle_endtag(self, tag: str) -> None:
+        super().handle_endtag(tag)
+        self._left()
+        if self.outer is None:
+            self._forget()
+
+    def handle_data(self, data: str) -> None:
+        if self.outer is not None:
+            super().handle_data(data)
+
+    def _forget(self) -> None:
+        """Outside of rows only the open elements are kept."""
+        self.at.children.clear()
+
+
+#: Characters of a page that are parsed at a time, and rows of a batch.
+SLICE, BATCH = 1 << 16, 4_096
+
+
+def rows_of_page(html: str) -> Iterator[Node]:
+    """The rows of all tables of a page in the order they begin, each as soon as it has ended."""
+    builder, at = _Rows(), 0
+    while at < len(html):
+        # a slice ends before a tag, so that no text is cut in two
+        to = html.find("<", at + SLICE)
+        builder.feed(html[at : to if to >= 0 else len(html)])
+        at = to if to >= 0 else len(html)
+        ended, builder.ended = builder.ended, []
+        for row in ended:
+            yield row
+            yield from row.all("tr")
+    builder.close()
+    for row in [*builder.ended, *([builder.outer] if builder.outer is not None else [])]:
+        yield row
+        yield from row.all("tr")
+
+
+def task_rows(html: str) -> Iterator[dict]:
     """The rows of an event's task table: the first task link of each, its points and labels."""
-    out: dict[str, dict] = {}
-    for row in parse(html).all("tr", where=lambda n: n.inside("table", "table-striped")):
-        link = row.first("a", where=lambda n: (n.attrs.get("href") or "").startswith("/task/"))
+    seen: set[int] = set()
+    for row in rows_of_page(html):
+        link = row.first("a", where=lambda n: (n.attrs.get("href") or "").startswith("/task/")) if row.inside("table", "table-striped") else None
         found = re.search(r"/task/(\d+)", link.attrs["href"]) if link else None
-        if found and found[1] not in out:
+        if found and int(found[1]) not in seen:
+            seen.add(int(found[1]))
             cells = row.all("td")
-            labels = [s.text() for s in row.all("span", "label") if s.text()]
-            out[found[1]] = {"id": int(found[1]), "name": link.text() or f"task-{found[1]}", "points": cells[1].text() if len(cells) > 1 else None, "tags": labels}
-    return list(out.values())
+            yield {"id": int(found[1]), "name": link.text() or f"task-{found[1]}", "points": cells[1].text() if len(cells) > 1 else None, "tags": [s.text() for s in row.all("span", "label") if s.text()]}
 
 
-def writeup_rows(html: str, _: str) -> list[dict]:
+def writeup_rows(html: str) -> Iterator[dict]:
     """The rows of a task's writeup table."""
-    out: dict[str, dict] = {}
-    for row in parse(html).all("tr"):
+    seen: set[int] = set()
+    for row in rows_of_page(html):
         link = row.first("a", where=lambda n: (n.attrs.get("href") or "").startswith("/writeup/"))
         found = re.search(r"/writeup/(\d+)", link.attrs["href"]) if link else None
-        if found and found[1] not in out:
+        if found and int(found[1]) not in seen:
+            seen.add(int(found[1]))
             cells, team = row.all("td"), row.first("a", where=lambda n: (n.attrs.get("href") or "").startswith("/team/"))
-            out[found[1]] = {"id": int(found[1]), "rating": cells[1].text() if len(cells) > 1 else None, "author": team.text() if team else None}
-    return list(out.values())
+            yield {"id": int(found[1]), "rating": cells[1].text() if len(cells) > 1 else None, "author": team.text() if team else None}
+
+
+ROWS = {
+    task_rows: "id bigint, name string, points string, tags array<string>",
+    writeup_rows: "id bigint, rating string, author string",
+}
+
+
+def table_rows(read: Callable[[str], Iterator[dict]], pages: DataFrame, html: str = "html") -> DataFrame:
+    """pages without their html, joined with the rows that one of the readers above finds in each: pos, from 0, and its columns.
+    Rows leave a page in batches while it is parsed; a page that can't be read to its end gives the rows before that, and one
+    with `error` alone. A null page has no rows. (A lateral join takes no Arrow table function, and a plain one holds all rows of
+    a page; so the pages are mapped.)"""
+    keep = [f for f in pages.schema if f.name != html]
+    kinds = T.StructType.fromDDL(f"pos int, {ROWS[read]}, error string")
+    schema = T.StructType([*keep, *kinds])
+    arrow = [pa.list_(pa.string()) if isinstance(f.dataType, T.ArrayType) else {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[f.dataType.simpleString()] for f in kinds]
+
+    def found(page: str | None) -> Iterator[list[dict]]:
+        batch: list[dict] = []
+        try:
+            for pos, row in enumerate(read(page) if page is not None else ()):
+                batch.append({"pos": pos, **row})
+                if len(batch) == BATCH:
+                    yield batch
+                    batch = []
+        except Exception as e:  # noqa: BLE001
+            batch.append({"error": f"{type(e).__name__}: {e}"})
+        if batch:
+            yield batch
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(len(keep))
+            held, of = [], []
+            for i in range(batch.num_rows):
+                for rows in found(text[i].as_py()):
+                    held, of = held + rows, of + [i] * len(rows)
+                    if len(held) >= BATCH:
+                        yield joined(batch, held, of)
+                        held, of = [], []
+            if held:
+                yield joined(batch, held, of)
+
+    def joined(batch: pa.RecordBatch, rows: list[dict], of: list[int]) -> pa.RecordBatch:
+        at = pa.array(of, pa.int64())
+        return pa.RecordBatch.from_arrays([*[batch.column(i).take(at) for i in range(len(keep))], *[pa.array([r.get(f.name) for r in rows], t) for f, t in zip(kinds, arrow, strict=True)]], names=schema.names)
+
+    return pages.select(*[F.col(f"`{f.name}`") for f in keep], F.col(f"`{html}`")).mapInArrow(run, schema)
 
 
 def writeup_page(html: str, _: str) -> dict:
@@ -178,17 +292,14 @@ def page_facts(html: str, _: str) -> dict:
 
 SCHEMAS = {
     challenge_page: "og_title string, keywords string, h1 string, badges array<struct<slug:string,label:string>>, stars int, description string, authors array<string>, writeups array<string>, files array<struct<url:string,name:string>>",
-    task_rows: "rows array<struct<id:long,name:string,points:string,tags:array<string>>>",
-    writeup_rows: "rows array<struct<id:long,rating:string,author:string>>",
     writeup_page: "body string, external string",
     page_facts: "title string, h1 string, links array<string>",
 }
 
 
-def parsed(read: Callable[[str, str], dict | list], html: Column, url: Column | None = None) -> Column:
+def parsed(read: Callable[[str, str], dict], html: Column, url: Column | None = None) -> Column:
     """What one of the readers above finds in a page, with `error` for a page that couldn't be read; a bad page is never
     fatal."""
-    rows = SCHEMAS[read].startswith("rows ")
     schema = SCHEMAS[read] + ", error string"
 
     @F.pandas_udf(schema)
@@ -196,8 +307,7 @@ def parsed(read: Callable[[str, str], dict | list], html: Column, url: Column |
         out = []
         for page, at in zip(pages, urls, strict=True):
             try:
-                found = read(page, at or "") if page is not None else {}
-                out.append({"rows": found} if rows and page is not None else dict(found))
+                out.append(dict(read(page, at or "")) if page is not None else {})
             except Exception as e:  # noqa: BLE001
                 out.append({"error": f"{type(e).__name__}: {e}"})
         names = re.findall(r"(?:^|, )(\w+) ", schema)

@@ -232,14 +232,13 @@ _WRITEUP = "(SELECT o_orderkey AS t, o_orderkey * 2 + i AS w, i FROM orders, (SE
 
 @query("FN-17", f"SELECT c AS event_id, t AS id, {_NAME} AS name, (t % 500) || ' pts' AS points, ['zig', 'pwn', 'heap'][t % 3 + 1] || '|' || ['web', 'x'][t % 2 + 1] AS tags FROM {_TASK}")
 def fn_17(spark, sf_dir):
-    found = event_tables(spark, sf_dir)[1].select("event_id", F.explode(html.parsed(html.task_rows, F.col("html"))["rows"]).alias("r"))
-    return found.select("event_id", "r.id", "r.name", "r.points", F.array_join("r.tags", "|").alias("tags"))
+    found = html.table_rows(html.task_rows, event_tables(spark, sf_dir)[1])
+    return found.select("event_id", "id", "name", "points", F.array_join("tags", "|").alias("tags"))
 
 
 @query("FN-18", f"SELECT t AS task_id, w AS id, CASE WHEN (t + i) % 3 = 0 THEN 'not rated' ELSE ((t + i) % 5)::VARCHAR END AS rating, 'Team ' || t % 30 AS author FROM {_WRITEUP}")
 def fn_18(spark, sf_dir):
-    found = event_tables(spark, sf_dir)[2].select("task_id", F.explode(html.parsed(html.writeup_rows, F.col("html"))["rows"]).alias("r"))
-    return found.select("task_id", "r.id", "r.rating", "r.author")
+    return html.table_rows(html.writeup_rows, event_tables(spark, sf_dir)[2]).select("task_id", "id", "rating", "author")
 
 
 @query("FN-19", f"SELECT w AS writeup_id, CASE WHEN w % 3 = 0 THEN 'body ' || w END AS body FROM {_WRITEUP}")

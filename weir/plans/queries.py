@@ -574,6 +574,11 @@ e AS (SELECT node, len(w) AS n, unnest(w) AS x FROM s),
 l AS (SELECT a.node AS a, b.node AS b, count(*) AS common FROM e a JOIN e b ON a.x = b.x AND a.node < b.node AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n GROUP BY a.node, b.node, a.n, b.n HAVING 5 * count(*) >= 4 * (a.n + b.n - count(*)))"""
 
 
+def agg_15(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", text.minhash(text.near_tokens(F.col("text"))).alias("signature"))
+
+
 @query(
     "AGG-15",
     f"""WITH RECURSIVE q(k, x) AS (SELECT 1, 48271::BIGINT UNION ALL SELECT k + 1, x * 48271 % 2147483647 FROM q WHERE k < 256),
@@ -581,9 +586,9 @@ p AS (SELECT list(x ORDER BY k) AS x FROM q),
 d AS (SELECT doc_id, list_transform({_NEAR_TOKENS}, lambda t: ('0x' || md5(t)[1:15])::BIGINT % 2147483647) AS h FROM documents)
 SELECT doc_id, array_to_string(list_transform(range(128), lambda i: list_min(list_transform(h, lambda v: (x[2 * i + 1] * v + x[2 * i + 2]) % 2147483647))), ',') AS signature FROM d, p""",
 )
-def agg_15(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", F.array_join(text.minhash(text.near_tokens(F.col("text"))), ",").alias("signature"))
+def agg_15_text(spark, sf_dir):
+    """Signatures as text, which compares alike everywhere."""
+    return agg_15(spark, sf_dir).withColumn("signature", F.array_join("signature", ","))
 
 
 @query("AGG-15-links", f"WITH {_NEAR} SELECT a, b, common::BIGINT AS common FROM l")

@@ -205,8 +205,8 @@ def task_records(event_rows: DataFrame, task_pages: DataFrame, list_pages: DataF
     task tables, list_pages (task_id, html) the writeups of a task, writeup_pages (writeup_id, html) the writeups. Events
     without a task page have no records; a page that is missing or can't be read leaves out what it would tell."""
     known = events(event_rows)
-    tasks = task_pages.select("event_id", F.posexplode(html.parsed(html.task_rows, F.col("html"))["rows"]).alias("pos", "t")).select("event_id", "pos", "t.*")
-    listed = list_pages.select("task_id", F.posexplode(html.parsed(html.writeup_rows, F.col("html"))["rows"]).alias("nth", "w")).select("task_id", "nth", F.col("w.id").alias("writeup_id"), "w.rating", "w.author")
+    tasks = html.table_rows(html.task_rows, task_pages.select("event_id", "html")).where("error is null").drop("error")
+    listed = html.table_rows(html.writeup_rows, list_pages.select("task_id", "html")).where("error is null").select("task_id", F.col("pos").alias("nth"), F.col("id").alias("writeup_id"), "rating", "author")
     if max_writeups is not None:
         listed = listed.where(F.col("nth") < max_writeups)
     bodies = writeup_pages.select("writeup_id", html.parsed(html.writeup_page, F.col("html")).alias("p")).where("p.error is null").select("writeup_id", "p.body", "p.external", F.lit(True).alias("seen"))
