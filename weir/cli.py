@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import sys
 import os
 from datetime import date
 
@@ -107,7 +108,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif args.cmd == "mirror":
         return run_mirror(spark, args)
     elif args.cmd == "stats":
-        df = records.read_catalog(spark, args.path)
+        done = records.read_checked(spark, args.path)
+        df, left = done.rows, {k: done.counts[k] for k in records.REASONS if done.counts[k]}
+        if left:
+            print(f"lines left out: {json.dumps(left)}", file=sys.stderr)
         print(json.dumps(catalog.stats(df).first().asDict()))
         for r in catalog.counts(df, "category").collect():
             print(f"{r['category']}\t{r['n']}")

@@ -378,12 +378,31 @@ def src_11(spark, sf_dir):
     return records.discovered_seeds(seeds, candidate_rows(spark, sf_dir), max_mb=5).select("repo", "kind", "license", "official")
 
 
-@query("SRC-12", f"WITH {_DOC} SELECT id, 'doc ' || doc_id AS title, coalesce(spdx, 'none') AS spdx_id FROM m")
+_BAD_LINES = """(SELECT doc_id AS k, CASE doc_id % 8
+  WHEN 0 THEN '{"id":"x' || doc_id || '","title":"doc' WHEN 1 THEN '{"id":"x' || doc_id || '","title":"t","year":"soon"}' WHEN 2 THEN '{"title":"doc ' || doc_id || '"}' WHEN 3 THEN '[{"id":"x' || doc_id || '","title":"t"}]'
+  WHEN 4 THEN '{"id":"x' || doc_id || '","tags":[]}' WHEN 5 THEN '   ' ELSE NULL END AS line FROM documents)"""
+_BAD = f"(SELECT line, CASE k % 8 WHEN 2 THEN 'no id' WHEN 4 THEN 'no title' ELSE 'malformed' END AS reason FROM {_BAD_LINES} WHERE k % 8 < 5)"
+
+
+@query(
+    "SRC-12",
+    f"""WITH {_DOC} SELECT 'row' AS kind, id AS a, 'doc ' || doc_id AS b, coalesce(spdx, 'none') AS c FROM m UNION ALL SELECT 'line', sha256(line), reason, NULL FROM {_BAD}
+UNION ALL SELECT 'count', 'lines', ((SELECT count(*) FROM documents) + (SELECT count(*) FROM {_BAD}))::VARCHAR, NULL UNION ALL SELECT 'count', 'rows', (SELECT count(*) FROM documents)::VARCHAR, NULL
+UNION ALL SELECT 'count', reason, count(*)::VARCHAR, NULL FROM {_BAD} GROUP BY 2""",
+)
 def src_12(spark, sf_dir):
-    """A catalog shard written as JSON lines, and read under its contract."""
-    path = scratch(spark, "catalog")
+    """A catalog shard with bad lines among its rows, read once: what fits the contract, what doesn't, and how many of each."""
+    path, k = scratch(spark, "catalog"), F.col("doc_id")
     sink.write_jsonl(catalog.normalize(document_raw(spark, sf_dir), slug=text.slug_of_normal), path)
-    return records.read_catalog(spark, path).select("id", "title", F.coalesce("license.spdx_id", F.lit("none")).alias("spdx_id"))
+    own = F.concat(F.lit('"id":"x'), k.cast("string"), F.lit('"'))
+    bad = [F.concat(F.lit("{"), own, F.lit(',"title":"doc')), F.concat(F.lit("{"), own, F.lit(',"title":"t","year":"soon"}')), F.concat(F.lit('{"title":"doc '), k.cast("string"), F.lit('"}')), F.concat(F.lit("[{"), own, F.lit(',"title":"t"}]')), F.concat(F.lit("{"), own, F.lit(',"tags":[]}')), F.lit("   ")]
+    table(spark, sf_dir, "documents").where(k % 8 < 6).select(F.get(F.array(*bad), (k % 8).cast("int")).alias("value")).write.mode("append").text(path)
+    done = records.read_checked(spark, path)
+    none = F.lit(None).cast("string")
+    rows = done.rows.select(F.lit("row").alias("kind"), F.col("id").alias("a"), F.col("title").alias("b"), F.coalesce("license.spdx_id", F.lit("none")).alias("c"))
+    lines = done.quarantine.select(F.lit("line"), F.sha2("line", 256), "reason", none)
+    counts = spark.createDataFrame([("count", k, str(n), None) for k, n in done.counts.items()], "kind string, a string, b string, c string")
+    return rows.union(lines).union(counts)
 
 
 @query("SRC-13", f"SELECT full_name, stars, topics, kind FROM ({_ITEM})")

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import yaml
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weir import schema
 from weir.functions import html, license, paths, text
-from weir.stage import numbered, staged
+from weir.stage import numbered, scratch, staged
 
 #: A sources' registry: name -> function (spark, options) -> DataFrame of raw records.
 REGISTRY: dict = {}
@@ -42,15 +44,41 @@ def make(contract: T.StructType, /, **values: Column) -> Column:
 
 
 def read_catalog(spark: SparkSession, path) -> DataFrame:
-    """Catalog shards; blank lines are no rows. Lines that don't fit are kept apart by read_quarantine."""
+    """Catalog shards; blank lines are no rows, and lines that don't fit are left out. read_checked() keeps those apart."""
     return spark.read.schema(schema.CHALLENGE).option("mode", "DROPMALFORMED").json(path)
 
 
-def read_quarantine(spark: SparkSession, path) -> DataFrame:
-    """The lines of a catalog that don't fit its contract."""
-    found = spark.read.text(path).where(F.trim("value") != "")
-    parsed = F.from_json("value", schema.CHALLENGE, {"mode": "PERMISSIVE"})
-    return found.where(parsed["id"].isNull() | parsed["title"].isNull())
+@dataclass
+class Checked:
+    """rows under the contract; quarantine (file, line, reason); and how many lines, rows and lines of each reason there were."""
+
+    rows: DataFrame
+    quarantine: DataFrame
+    counts: dict[str, int]
+
+
+#: Why a line isn't taken, the first that holds: it is no JSON object or a value has another type, or the contract asks for more.
+REASONS = ["malformed", "no id", "no title"]
+
+
+def read_checked(spark: SparkSession, path) -> Checked:
+    """Catalog shards with what doesn't fit kept apart. Every line is read and parsed once: rows and quarantine are written by
+    the same pass, each to a partition of its own in the shared folder, and the counts are observed on the way."""
+    parsed = F.from_json("value", T.StructType([*schema.CHALLENGE, T.StructField("__bad", T.StringType())]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"})
+    lines = spark.read.text(path).where(F.trim(F.regexp_replace("value", r"\s", " ")) != "").select("value", F.col("_metadata.file_path").alias("file"))
+    found = lines.withColumn("row", parsed)
+    object_ = F.startswith(F.ltrim("value"), F.lit("{")) & F.col("row").isNotNull() & F.col("row.__bad").isNull()
+    reason = F.when(~object_, REASONS[0]).when(F.coalesce("row.id", F.lit("")) == "", REASONS[1]).when(F.col("row.title").isNull(), REASONS[2])
+    judged = found.select("row", "value", "file", reason.alias("reason"))
+    kept = judged.select(
+        F.when(F.col("reason").isNull(), F.struct(*[F.col(f"row.{f.name}") for f in schema.CHALLENGE])).alias("row"), F.when(F.col("reason").isNotNull(), F.col("value")).alias("line"),
+        F.when(F.col("reason").isNotNull(), F.col("file")).alias("file"), "reason", F.col("reason").isNull().alias("fits"),
+    )
+    seen, to = Observation(), scratch(spark, "checked")
+    counts = [F.count("*").alias("lines"), F.count_if("fits").alias("rows"), *[F.count_if(F.col("reason") == r).alias(r) for r in REASONS]]
+    kept.observe(seen, *counts).write.partitionBy("fits").parquet(to)
+    whole = spark.read.schema(kept.schema).parquet(to)
+    return Checked(whole.where("fits").select("row.*"), whole.where("not fits").select("file", "line", "reason"), {k: seen.get[k] for k in ("lines", "rows", *REASONS)})
 
 
 def read_candidates(spark: SparkSession, path: str) -> DataFrame:
