@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import argparse
 import json
-import sys
 import os
+import sys
 from datetime import date
 
 from pyspark.sql import SparkSession
