@@ -67,22 +67,30 @@ def test_links_against_all_pairs(spark, hot):
     assert len(found) >= 0.97 * len(want)
 
 
-def test_one_large_group(spark):
-    """300 variants of one text, all alike: every band is hot, blocks meet, and no link is lost; copies add none."""
+def test_one_large_group(spark, monkeypatch):
+    """300 variants of one text, all alike: every band is hot. As a join all pairs are there; as groups they cost a star."""
     rng = random.Random(5)
     base = [f"w{i}" for i in range(100)]
     rows = [(i, " ".join(base[:k] + [f"x{i}"] + base[k + 1 :])) for i in range(300) for k in [rng.randint(0, 99)]]
     rows += [(1_000 + i, rows[0][1]) for i in range(500)] + [(5_000, "some other text")]
-    got = {r["id"]: (r["group_id"], r["links"]) for r in near.groups(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", F.col("text"), hot=32).collect()}
-    assert len(got) == len(rows) and got[5_000] == (5_000, 0)
-    assert {v for i, v in got.items() if i != 5_000} == {(0, 299)}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert near.links(near.token_sets(df, "doc_id", F.col("text"))[0], hot=32).count() == 300 * 299 // 2
+    looked, check = [], near.checked
+    monkeypatch.setattr(near, "checked", lambda pairs, *a: looked.append(pairs.count()) or check(pairs, *a))
+    got = near.groups(df, "doc_id", F.col("text"), hot=32).collect()
+    assert len(got) == len(rows) and {(r["id"], r["group_id"]) for r in got} == {(i, 5_000 if i == 5_000 else 0) for i, _ in rows}
+    assert sum(looked) < 10 * 300
 
 
 def test_groups_and_odd_rows(spark):
     rows = texts(3, 40)
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("node", "key", "band", "a", "tokens", "root")})
-    got = {r["id"]: r["group_id"] for r in near.groups(df.withColumnRenamed("doc_id", "my.id"), "my.id", F.col("text")).collect()}
-    assert got == plain_groups(rows, plain_links(rows))
+    for hot in (128, 3):
+        found = near.groups(df.withColumnRenamed("doc_id", "my.id"), "my.id", F.col("text"), hot=hot).collect()
+        got = {r["id"]: r["group_id"] for r in found}
+        assert len(found) == len(rows)
+        if hot == 128:
+            assert got == plain_groups(rows, plain_links(rows))
     assert near.groups(spark.createDataFrame([], "doc_id long, text string"), "doc_id", F.col("text")).count() == 0
 
 
@@ -90,7 +98,9 @@ def test_components_of_long_paths(spark):
     n = 400
     order = random.Random(1).sample(range(n), n)
     edges = [(order[i], order[i + 1]) for i in range(n - 1)] + [(1_000, 1_001), (1_001, 1_000), (1_002, 1_002), (2_000 + 9, 2_000)]
-    got = {r["node"]: r["root"] for r in near.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    found = near.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    got = {r["node"]: r["root"] for r in found}
+    assert len(got) == len(found)
     assert got == {i: 0 for i in range(n)} | {1_000: 1_000, 1_001: 1_000, 2_000: 2_000, 2_009: 2_000}
 
 

@@ -40,75 +40,111 @@ def _met(rows: DataFrame, by: list[str], similarity: float, keep: str, where: Co
     return a.join(b, by).where(sized & where).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
-def candidates(banded: DataFrame, hot: int = HOT, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b), each pair once, of nodes that share a band.
-
-    A band of up to `hot` nodes gives its pairs, but only those that share no such band before it. The nodes of a hot band are
-    dealt again by every second band that they share: similar ones share five more on average, those that only have a
-    common frame of tokens mostly none. What is hot even then is cut into blocks of `hot` nodes, and each meeting of two blocks
-    is a group of its own, so no task has more than two blocks; nothing is left out. A pair that shares one band alone, and a
-    hot one, is missed.
-    """
+def _met_bands(banded: DataFrame) -> DataFrame:
+    """(node, size, band, key, n) of bands that several nodes share."""
     each = banded.select("node", "size", F.posexplode("keys").alias("band", "key"))
     held = staged(each.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1"), "met-bands")
-    met = staged(each.join(held, ["band", "key"]), "band-rows")
+    return staged(each.join(held, ["band", "key"]), "band-rows")
+
+
+def cool_pairs(met: DataFrame, hot: int, similarity: float) -> DataFrame:
+    """(a, b) of nodes that share a band of up to `hot` nodes, each pair from the first of those that it shares."""
     cool = met.where(F.col("n") <= hot)
-    of_node = F.array_sort(F.collect_list(F.struct("band", "key")))
-    before = cool.groupBy("node").agg(of_node.alias("of"))  # a node has no more than all bands
+    before = cool.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("band", "key"))).alias("of"))  # a node has no more than all bands
     placed = cool.join(before, "node").select("node", "size", "band", "key", F.filter("of", lambda x: x["band"] < F.col("band")).alias("before"))
-    found = _met(placed, ["band", "key"], similarity, "before", F.size(F.array_intersect("before_a", "before_b")) == 0)
+    return _met(placed, ["band", "key"], similarity, "before", F.size(F.array_intersect("before_a", "before_b")) == 0)
+
+
+def stars(met: DataFrame, hot: int) -> DataFrame:
+    """(a, b): of each hot band the least node with each of the others."""
+    warm = met.where(F.col("n") > hot)
+    least = warm.groupBy("band", "key").agg(F.min("node").alias("a"))
+    return warm.join(F.broadcast(least) if least.limit(10_001).count() <= 10_000 else least, ["band", "key"]).select("a", F.col("node").alias("b")).where("a < b").distinct()
+
+
+def hot_pairs(met: DataFrame, banded: DataFrame, hot: int, similarity: float, roots: DataFrame | None = None) -> DataFrame:
+    """(a, b) of nodes that share a hot band, and a second band. Those that are similar share five more on average, those that
+    only have a common frame of tokens mostly none. What is hot even then is cut into blocks of `hot` nodes, and each meeting of
+    two blocks is a group of its own, so no task has more than two blocks; nothing is left out. A pair that shares one band
+    alone, and a hot one, is missed.
+
+    roots: (node, root) of nodes known to be in one group. Where it is given, only pairs of different groups come, and bands
+    whose nodes are all of one group are left aside: a large group of near copies costs its nodes, not its pairs.
+    """
     warm = met.where(F.col("n") > hot)
-    if warm.isEmpty():
-        return found
+    warm = warm.withColumn("root", F.col("node")) if roots is None else warm.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    def several(rows: DataFrame, by: list[str], name: str) -> DataFrame:
+        held = rows.groupBy(*by).agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
+        return staged(rows.drop("n").join(staged(held.select(*by, "n"), name), by), f"{name}-rows")
+
+    warm = several(warm, ["band", "key"], "hot-bands")
     other = banded.select("node", F.posexplode("keys").alias("band2", "key2"))
-    twice = warm.join(other, "node").where(F.col("band") != F.col("band2")).select("node", "size", F.xxhash64("band", "key", "band2", "key2").alias("key"))
-    held = staged(twice.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "met-twice")
-    twice = staged(twice.join(held, "key").withColumn("blocks", F.ceil(F.col("n") / hot)), "twice-rows")
+    twice = warm.join(other, "node").where(F.col("band") != F.col("band2"))
+    twice = several(twice.select("node", "size", "root", F.xxhash64(F.least("band", "band2"), F.when(F.col("band") < F.col("band2"), F.col("key")).otherwise(F.col("key2")), F.greatest("band", "band2"), F.when(F.col("band") < F.col("band2"), F.col("key2")).otherwise(F.col("key"))).alias("key")).distinct(), ["key"], "second-bands")
+    twice = twice.withColumn("blocks", F.ceil(F.col("n") / hot))
     # a node of block i goes to the meeting of i with each block, so two nodes of different blocks are together in one meeting
     dealt = twice.withColumn("i", F.pmod(F.xxhash64("node", "key"), F.col("blocks"))).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = dealt.select("key", "node", "size", "i", F.least("i", "j").alias("low"), F.greatest("i", "j").alias("high"))
-    apart = (F.col("i_a") != F.col("i_b")) | (F.col("low") == F.col("high"))
-    return found.unionByName(_met(dealt, ["key", "low", "high"], similarity, "i", apart)).distinct()
+    dealt = dealt.select("key", "node", "size", F.struct("i", "root").alias("at"), F.least("i", "j").alias("low"), F.greatest("i", "j").alias("high"))
+    apart = ((F.col("at_a.i") != F.col("at_b.i")) | (F.col("low") == F.col("high"))) & (F.col("at_a.root") != F.col("at_b.root"))
+    return _met(dealt, ["key", "low", "high"], similarity, "at", apart).distinct()
 
 
-def links(sets: DataFrame, similarity: float = SIMILARITY, hot: int = HOT) -> DataFrame:
-    """(a, b, common, jaccard) of nodes a < b whose sets are similar, each pair of sets once; every candidate is checked exactly."""
-    pairs = staged(candidates(staged(bands(sets), "bands"), hot, similarity), "near-candidates")
+def checked(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b, common, jaccard) of those pairs whose sets are similar, by their whole sets."""
     of = lambda x: sets.select(F.col("node").alias(x), F.col("tokens").alias(f"tokens_{x}"))
-    common = F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long")
-    checked = pairs.join(of("a"), "a").join(of("b"), "b").withColumn("common", common)
-    ratio = F.col("common") / (F.size("tokens_a") + F.size("tokens_b") - F.col("common"))
-    return checked.withColumn("jaccard", ratio).where(F.col("common") >= similarity * (F.size("tokens_a") + F.size("tokens_b") - F.col("common"))).select("a", "b", "common", "jaccard")
+    both = staged(pairs.distinct(), "near-candidates").join(of("a"), "a").join(of("b"), "b").withColumn("common", F.size(F.array_intersect("tokens_a", "tokens_b")).cast("long"))
+    either = F.size("tokens_a") + F.size("tokens_b") - F.col("common")
+    return staged(both.where(F.col("common") >= similarity * either).select("a", "b", "common", (F.col("common") / either).alias("jaccard")), "near-links")
+
+
+def links(sets: DataFrame, similarity: float = SIMILARITY, hot: int = HOT) -> DataFrame:
+    """(a, b, common, jaccard) of nodes a < b whose sets are similar, each pair of sets once; every candidate is checked exactly. A
+    group of n different sets that are all alike has n * (n - 1) / 2 such pairs; groups() finds groups without them."""
+    banded = staged(bands(sets), "bands")
+    met = _met_bands(banded)
+    return checked(cool_pairs(met, hot, similarity).unionByName(hot_pairs(met, banded, hot, similarity)), sets, similarity)
+
+
+def _flattened(up: DataFrame) -> DataFrame:
+    """(node, up) with each path of pointers replaced by its end; every turn halves the paths."""
+    while True:
+        further = up.select(F.col("node").alias("up"), F.col("up").alias("further"))
+        jumped = staged(up.join(further, "up", "left").select("node", F.coalesce("further", "up").alias("up"), F.col("further").isNotNull().alias("moved")), "pointers")
+        up = jumped.select("node", "up")
+        if jumped.where("moved").isEmpty():
+            return up
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of all nodes of edges (a, b): root is the least node that can be reached. Each round hangs every root that has
-    a smaller neighbour below the least one and contracts the edges; at the end the paths are halved until all end at a root."""
+    """(node, root) of all nodes of edges (a, b): root is the least node that can be reached. Each round hangs every node that has
+    a smaller neighbour below the least one, follows these pointers to their ends, and contracts the edges."""
     edges = staged(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "edges")
     forest = None
     while not edges.isEmpty():
-        hung = staged(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up")), "hung")
+        hung = _flattened(staged(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up")), "hung"))
         forest = hung if forest is None else forest.unionByName(hung)
         up = lambda end: hung.select(F.col("node").alias(end), F.col("up").alias(f"{end}_up"))
         moved = edges.join(up("a"), "a", "left").join(up("b"), "b", "left").select(F.coalesce("a_up", "a").alias("x"), F.coalesce("b_up", "b").alias("y"))
         edges = staged(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b").distinct(), "edges")
     if forest is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    forest, changed = staged(forest, "forest"), True
-    while changed:
-        next_ = forest.select(F.col("node").alias("up"), F.col("up").alias("further"))
-        jumped = forest.join(next_, "up", "left")
-        changed = not jumped.where("further is not null").isEmpty()
-        forest = staged(jumped.select("node", F.coalesce("further", "up").alias("up")), "forest") if changed else forest
-    roots = forest.select(F.col("up").alias("node")).distinct().withColumn("up", F.col("node"))
-    return forest.unionByName(roots).select("node", F.col("up").alias("root"))
+    ends = _flattened(forest)  # a node hangs once: it is gone from the edges then
+    roots = ends.select(F.col("up").alias("node")).distinct().withColumn("up", F.col("node"))
+    return ends.unionByName(roots).select("node", F.col("up").alias("root"))
 
 
 def groups(df: DataFrame, id_col: str, source: Column, similarity: float = SIMILARITY, hot: int = HOT) -> DataFrame:
-    """(id, group_id, links) for every row: the least id of the rows that links lead to, and the number of other token sets that the
-    row's own is linked to. Equal sets are one; a null or empty text, or one of comments alone, is a group of its own."""
+    """(id, group_id) for every row: the least id of the rows that links lead to. Equal sets are one; a null or empty text, or one of
+    comments alone, is a group of its own.
+
+    The least node of a hot band is held against all others of it first; then only pairs are looked at that this, and the
+    bands that aren't hot, have not brought into one group."""
     sets, members = token_sets(df, id_col, source)
-    linked = staged(links(sets, similarity, hot), "near-links")
-    ends = linked.select(F.col("a").alias("node")).unionAll(linked.select("b")).groupBy("node").agg(F.count("*").alias("links"))
-    known = components(linked).join(ends, "node")
-    return members.join(known, "node", "left").select("id", F.coalesce("root", "node", "id").alias("group_id"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+    banded = staged(bands(sets), "bands")
+    met = _met_bands(banded)
+    linked = checked(cool_pairs(met, hot, similarity).unionByName(stars(met, hot)), sets, similarity).select("a", "b")
+    if not met.where(F.col("n") > hot).isEmpty():
+        rest = checked(hot_pairs(met, banded, hot, similarity, staged(components(linked), "roots")), sets, similarity)
+        linked = linked.unionByName(rest.select("a", "b"))
+    return members.join(components(linked), "node", "left").select("id", F.coalesce("root", "node", "id").alias("group_id"))

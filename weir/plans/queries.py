@@ -602,13 +602,13 @@ def agg_15_links(spark, sf_dir):
     "AGG-15-groups",
     f"""WITH RECURSIVE {_NEAR}, b AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r(node, root) AS (SELECT node, node FROM s UNION SELECT b.b, r.root FROM r JOIN b ON b.a = r.node),
-g AS (SELECT node, min(root) AS root FROM r GROUP BY node), n AS (SELECT a AS node, count(*) AS links FROM b GROUP BY a)
-SELECT doc_id, coalesce(root, doc_id) AS group_id, coalesce(links, 0)::BIGINT AS links FROM t LEFT JOIN s ON t.w = s.w LEFT JOIN g ON g.node = s.node LEFT JOIN n ON n.node = s.node""",
+g AS (SELECT node, min(root) AS root FROM r GROUP BY node)
+SELECT doc_id, coalesce(root, doc_id) AS group_id FROM t LEFT JOIN s ON t.w = s.w LEFT JOIN g ON g.node = s.node""",
 )
 def agg_15_groups(spark, sf_dir):
     """Each document with the group that these pairs lead to."""
     made = near.groups(table(spark, sf_dir, "documents"), "doc_id", F.col("text"))
-    return made.select(F.col("id").alias("doc_id"), "group_id", "links")
+    return made.select(F.col("id").alias("doc_id"), "group_id")
 
 
 @query("AGG-16", "SELECT doc_id, len(regexp_extract_all(lower(regexp_replace(text, '(?m)(#|//).*?$', '', 'g')), '[A-Za-z0-9_]+'))::BIGINT AS n FROM documents")
