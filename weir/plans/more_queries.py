@@ -230,6 +230,12 @@ _NAME = "CASE WHEN t % 6 <> 0 THEN 'Task ' || t ELSE 'task-' || t END"
 _WRITEUP = "(SELECT o_orderkey AS t, o_orderkey * 2 + i AS w, i FROM orders, (SELECT unnest([0, 1]) AS i) WHERE o_orderkey % 4 = 0)"
 
 
+@query("SRC-07-capped", "WITH e AS (SELECT c_custkey AS k FROM customer ORDER BY CASE WHEN c_custkey % 10 <> 0 THEN c_custkey % 20 END NULLS LAST, c_custkey LIMIT 20) SELECT 'https://ctftime.org/task/' || o_orderkey AS url FROM orders WHERE o_custkey IN (SELECT k FROM e)")
+def src_07_capped(spark, sf_dir):
+    """The tasks of the first twenty events."""
+    return records.task_records(*event_tables(spark, sf_dir), max_events=20).select("source.url")
+
+
 @query("FN-17", f"SELECT c AS event_id, t AS id, {_NAME} AS name, (t % 500) || ' pts' AS points, ['zig', 'pwn', 'heap'][t % 3 + 1] || '|' || ['web', 'x'][t % 2 + 1] AS tags FROM {_TASK}")
 def fn_17(spark, sf_dir):
     found = html.table_rows(html.task_rows, event_tables(spark, sf_dir)[1])
@@ -665,6 +671,15 @@ def snk_03(spark, sf_dir):
     return spark.read.parquet(path).unionByName(spark.read.parquet(empty)).select("id", "category", "content_fingerprint")
 
 
+@query("SNK-03-replaced", "SELECT doc_id, coalesce(lang, 'none') AS lang FROM documents WHERE lang IS DISTINCT FROM 'en' OR doc_id % 2 = 0")
+def snk_03_replaced(spark, sf_dir):
+    """One partition is replaced, the others stay."""
+    path, d = scratch(spark, "partitions"), table(spark, sf_dir, "documents").select("doc_id", F.coalesce("lang", F.lit("none")).alias("lang"))
+    sink.write_partitions(d, path, ["lang"])
+    sink.write_partitions(d.where("lang = 'en' and doc_id % 2 = 0"), path, ["lang"])
+    return spark.read.parquet(path).select("doc_id", "lang")
+
+
 @query("SNK-04", "SELECT count(*)::BIGINT AS lines, count(*)::BIGINT AS with_null FROM customer")
 def snk_04(spark, sf_dir):
     path = scratch(spark, "candidates")

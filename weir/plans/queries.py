@@ -534,6 +534,13 @@ def agg_08(spark, sf_dir):
     return catalog.merge(mirrors(spark, sf_dir))[1]
 
 
+@query("AGG-08-collisions", "SELECT o_custkey::VARCHAR AS id, count(DISTINCT o_orderpriority)::BIGINT AS fingerprints FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderpriority) > 1")
+def agg_08_collisions(spark, sf_dir):
+    """Ids that stand for more than one content."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("id"), F.col("o_orderpriority").alias("content_fingerprint"))
+    return catalog.collisions(o)
+
+
 @query("AGG-09", "SELECT user_id, event_id, event_type, first_value(event_id) OVER (PARTITION BY user_id ORDER BY ts::DATE, event_id) AS first_row_pos FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts::DATE DESC, event_id DESC) = 1")
 def agg_09(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", F.to_date("ts").alias("shard_pos"), F.col("event_id").alias("row_pos"))

@@ -228,10 +228,14 @@ def events(df: DataFrame) -> DataFrame:
     return df.select("id", event.alias("event"))
 
 
-def task_records(event_rows: DataFrame, task_pages: DataFrame, list_pages: DataFrame, writeup_pages: DataFrame, site: str = "https://ctftime.org", max_writeups: int | None = None) -> DataFrame:
+def task_records(event_rows: DataFrame, task_pages: DataFrame, list_pages: DataFrame, writeup_pages: DataFrame, site: str = "https://ctftime.org", max_writeups: int | None = None, max_events: int | None = None) -> DataFrame:
     """Raw records of recorded event pages, one for each task: event_rows as API_EVENT; task_pages (event_id, html) hold the
     task tables, list_pages (task_id, html) the writeups of a task, writeup_pages (writeup_id, html) the writeups. Events
-    without a task page have no records; a page that is missing or can't be read leaves out what it would tell."""
+    without a task page have no records; a page that is missing or can't be read leaves out what it would tell. max_events: only
+    the first so many events by start and id, those without a start last; max_writeups: of each task at most so many."""
+    if max_events is not None:
+        event_rows = event_rows.dropDuplicates(["id"]).orderBy(text.timestamp(F.col("start")).asc_nulls_last(), "id").limit(max_events)
+        task_pages = task_pages.join(event_rows.select(F.col("id").alias("event_id")), "event_id", "left_semi")  # others aren't parsed
     known = events(event_rows)
     tasks = html.table_rows(html.task_rows, task_pages.select("event_id", "html")).where("error is null").drop("error")
     listed = html.table_rows(html.writeup_rows, list_pages.select("task_id", "html")).where("error is null").select("task_id", F.col("pos").alias("nth"), F.col("id").alias("writeup_id"), "rating", "author")
@@ -256,11 +260,11 @@ def task_records(event_rows: DataFrame, task_pages: DataFrame, list_pages: DataF
 
 
 @source("event_pages")
-def event_pages(spark: SparkSession, path: str, max_writeups: int | None = None) -> DataFrame:
+def event_pages(spark: SparkSession, path: str, max_writeups: int | None = None, max_events: int | None = None) -> DataFrame:
     """Recorded pages of an event site below a folder: events.json (a JSON list), and Parquet tables tasks (event_id, html),
     lists (task_id, html) and writeups (writeup_id, html)."""
     rows = spark.read.schema(API_EVENT).option("multiLine", True).json(f"{path}/events.json")
-    return task_records(rows, *(spark.read.parquet(f"{path}/{n}") for n in ("tasks", "lists", "writeups")), max_writeups=max_writeups)
+    return task_records(rows, *(spark.read.parquet(f"{path}/{n}") for n in ("tasks", "lists", "writeups")), max_writeups=max_writeups, max_events=max_events)
 
 
 @source("checkouts")
