@@ -1,7 +1,8 @@
 """From file listings to challenge records: which directories are challenges, and what is in them.
 
 A tree is segmented with aggregates and joins over (tree, directory), not by walking it: a directory qualifies by what its
-files and sub-directories are, and the topmost qualifying directory of each path is a challenge.
+files and sub-directories are, and the topmost qualifying directory of each path is a challenge. The listing is reduced to a row for
+each folder first; it is exchanged itself only once, when files go to the challenge of their folder.
 """
 
 from __future__ import annotations
@@ -12,9 +13,11 @@ from pyspark.sql import functions as F
 from weir import schema
 from weir.functions import license, paths, text
 from weir.sources.records import make, raw
-from weir.stage import staged
+from weir.stage import small, staged
 
 MAX_METADATA_BYTES = 1 << 20
+#: Files of one folder that are kept together; more are dealt to parts.
+CHUNK = 50_000
 
 
 def parent(path: Column) -> Column:
@@ -36,25 +39,44 @@ def license_of_trees(tree: DataFrame, declared: DataFrame) -> DataFrame:
     return tree.select("tree").distinct().join(named, "tree", "left").join(best, "tree", "left").select("tree", F.coalesce("declared", "found", license.unknown()).alias("license"))
 
 
+def folders(tree: DataFrame) -> DataFrame:
+    """(tree, dir, files, named, direct) of every folder that a listing (tree, path, is_dir) names or has a file in, and the root "" of
+    every tree: how many files are right in it, whether one is a challenge.json, whether one is an artifact. The listing is read
+    once and aggregated before it is exchanged; what follows works on folders."""
+    at = F.when(F.col("is_dir"), F.col("path")).when(~F.col("is_dir"), parent(F.col("path")))
+    rows = tree.select("tree", F.coalesce(at, F.lit("")).alias("dir"), F.when(~F.col("is_dir"), text.basename(F.col("path"))).alias("name"))
+    told = rows.groupBy("tree", "dir").agg(F.count("name").alias("files"), F.bool_or(F.col("name") == "challenge.json").alias("named"), F.bool_or(paths.is_artifact(F.col("name"))).alias("direct"))
+    return staged(told.select("tree", "dir", "files", F.coalesce("named", F.lit(False)).alias("named"), F.coalesce("direct", F.lit(False)).alias("direct")), "folders")
+
+
 def dir_facts(tree: DataFrame) -> DataFrame:
     """(tree, dir, named, direct, deep, parts, marked) of every directory of a listing (tree, path, is_dir) that isn't noise; the
     root of a tree is "". named: it has a challenge.json; direct, deep: it or anything below has an artifact; parts: it has
     sub-directories, and all are components; marked: one of them marks a challenge's root."""
-    clean = tree.where("path is not null").where(~F.when(F.col("is_dir"), paths.has_noise(F.col("path"))).otherwise(paths.has_noise(parent(F.col("path")))))
-    files = clean.where("not is_dir").select("tree", parent(F.col("path")).alias("dir"), text.basename(F.col("path")).alias("name"))
-    dirs = clean.where("is_dir").select("tree", F.col("path").alias("dir"))
-    everywhere = dirs.unionByName(tree.select("tree", F.lit("").alias("dir"))).unionByName(files.select("tree", F.explode(ancestors(F.col("dir"), True)).alias("dir"))).distinct()
-    own = files.groupBy("tree", "dir").agg(F.bool_or(F.col("name") == "challenge.json").alias("named"), F.bool_or(paths.is_artifact(F.col("name"))).alias("direct"))
-    deep = own.where("direct").select("tree", F.explode(ancestors(F.col("dir"), True)).alias("dir")).distinct().withColumn("deep", F.lit(True))
-    below = everywhere.where("dir <> ''").groupBy("tree", parent(F.col("dir")).alias("dir"))
-    subs = below.agg(F.bool_and(paths.is_component(text.basename(F.col("dir")))).alias("parts"), F.bool_or(paths.is_root_marker(text.basename(F.col("dir")))).alias("marked"))
-    facts = everywhere.join(own, ["tree", "dir"], "left").join(deep, ["tree", "dir"], "left").join(subs, ["tree", "dir"], "left")
-    return facts.select("tree", "dir", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("named", "direct", "deep", "parts", "marked")])
+    return _facts(folders(tree))
+
+
+def _facts(of: DataFrame) -> DataFrame:
+    clean = of.where(~paths.has_noise(F.col("dir")))
+    up = F.when(F.col("files") > 0, F.array_distinct(ancestors(F.col("dir"), True))).otherwise(F.array("dir"))
+    above = clean.select("tree", F.col("dir").alias("below"), "named", "direct", F.explode(up).alias("dir"))
+    itself = F.col("dir") == F.col("below")
+    told = above.select("tree", "dir", (itself & F.col("named")).alias("named"), (itself & F.col("direct")).alias("direct"), F.col("direct").alias("deep"))
+    no = F.lit(False)
+    roots = of.select("tree", F.lit("").alias("dir"), no.alias("named"), no.alias("direct"), no.alias("deep"))
+    every = staged(told.unionByName(roots).groupBy("tree", "dir").agg(*[F.bool_or(c).alias(c) for c in ("named", "direct", "deep")]), "facts")
+    name = text.basename(F.col("dir"))
+    subs = every.where("dir <> ''").groupBy("tree", parent(F.col("dir")).alias("dir")).agg(F.bool_and(paths.is_component(name)).alias("parts"), F.bool_or(paths.is_root_marker(name)).alias("marked"))
+    return every.join(subs, ["tree", "dir"], "left").select("tree", "dir", "named", "direct", "deep", *[F.coalesce(c, no).alias(c) for c in ("parts", "marked")])
 
 
 def challenge_dirs(tree: DataFrame) -> DataFrame:
     """(tree, dir) of every challenge directory in a listing (tree, path, is_dir); the root of a tree is ""."""
-    judged = staged(dir_facts(tree).select("tree", "dir", "named", (F.col("direct") | ((F.col("parts") | F.col("marked")) & F.col("deep"))).alias("holds")), "judged")
+    return _challenges(folders(tree))
+
+
+def _challenges(of: DataFrame) -> DataFrame:
+    judged = staged(_facts(of).select("tree", "dir", "named", (F.col("direct") | ((F.col("parts") | F.col("marked")) & F.col("deep"))).alias("holds")), "judged")
     root = judged.where("dir = ''")
     # directories under a component of the root are parts of the root
     candidates = judged.where(F.col("dir") != "").where((F.col("named") | F.col("holds")) & ~paths.is_component(F.split_part("dir", F.lit("/"), F.lit(1))))
@@ -65,6 +87,37 @@ def challenge_dirs(tree: DataFrame) -> DataFrame:
     return leaves.unionByName(alone)
 
 
+def placed_files(tree: DataFrame, of: DataFrame, dirs: DataFrame) -> DataFrame:
+    """(repo, dir, folder, part, file) of every file in or below a challenge directory. tree: a staged listing; of: its folders();
+    dirs: (repo, dir), none below another.
+
+    A file goes where its folder goes, which is looked up among folders. The listing is exchanged once, by (repo, folder, part); a folder
+    of over CHUNK files is dealt to parts by the hash of their paths, so that no task gets all of a large one."""
+    above = of.where("files > 0").select(F.col("tree").alias("repo"), F.col("dir").alias("folder"), "files", F.explode(F.array_distinct(ancestors(F.col("dir"), True))).alias("dir"))
+    home = staged(above.join(dirs.select("repo", "dir"), ["repo", "dir"]).select("repo", "folder", "dir", F.ceil(F.col("files") / CHUNK).cast("int").alias("parts")), "homes")
+    large = small(home.where("parts > 1").select("repo", "folder", "parts"))
+    path = F.col("path")
+    listed = tree.where("not is_dir").select(F.col("tree").alias("repo"), parent(path).alias("folder"), "path", "size", "sha256", "lfs").join(large, ["repo", "folder"], "left")
+    listed = listed.withColumn("part", F.coalesce(F.pmod(F.xxhash64("path"), "parts"), F.lit(0)).cast("int")).drop("parts")
+    found = listed.join(home.select("repo", "folder", "dir", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")), ["repo", "folder", "part"])
+    inside = F.when(F.col("dir") == "", path).otherwise(F.expr("substring(path, length(dir) + 2)"))
+    file = make(schema.FILE, path=inside, sha256=F.col("sha256"), size=F.col("size"), is_source=text.is_source(inside), lfs=F.col("lfs"))
+    return found.select("repo", "dir", "folder", "part", file.alias("file"))
+
+
+def file_chunks(files: DataFrame) -> DataFrame:
+    """(repo, dir, folder, part, files): placed files by folder and part, about CHUNK of them in a row at most, without another exchange."""
+    return files.groupBy("repo", "folder", "part", "dir").agg(F.collect_list("file").alias("files"))
+
+
+def files_of(tree: DataFrame) -> DataFrame:
+    """(repo, dir, folder, part, file): the files of all challenges of a listing as rows, for challenges whose files are too many for an
+    array in a record."""
+    tree = staged(tree.where("path is not null"), "tree")
+    of = folders(tree)
+    return placed_files(tree, of, _challenges(of).withColumnRenamed("tree", "repo"))
+
+
 def metadata(head: Column, size: Column) -> Column:
     """What a challenge.json holds, as a variant: an object with any fields. Null for one that is too large, no JSON, or no
     object; an object that names a field twice is no JSON here."""
@@ -87,7 +140,8 @@ def records(tree: DataFrame, seeds: DataFrame, commits: DataFrame, retrieved_at:
     seeds: repo, kind, license, official. commits: (tree, commit_sha). limit: challenges of one tree at most, in path order.
     """
     tree = staged(tree.where("path is not null"), "tree")
-    dirs = challenge_dirs(tree).withColumnRenamed("tree", "repo")
+    of = folders(tree)
+    dirs = _challenges(of).withColumnRenamed("tree", "repo")
     if limit is not None:
         dirs = dirs.withColumn("nth", F.row_number().over(Window.partitionBy("repo").orderBy("dir"))).where(F.col("nth") <= limit).drop("nth")
     meta = tree.where(~F.col("is_dir") & (text.basename(F.col("path")) == "challenge.json")).select(F.col("tree").alias("repo"), parent(F.col("path")).alias("dir"), metadata(F.col("head"), F.col("size")).alias("v"))
@@ -105,10 +159,8 @@ def records(tree: DataFrame, seeds: DataFrame, commits: DataFrame, retrieved_at:
         path_in_repo=F.when(F.col("dir") == "", ".").otherwise(F.col("dir")), license=F.col("repo_license"), retrieved_at=F.lit(None) if retrieved_at is None else retrieved_at,
         is_official=F.coalesce("official", F.lit(False)),
     )
-    listed = tree.where("not is_dir").select(F.col("tree").alias("repo"), "path", "size", "sha256", "lfs", F.explode(ancestors(F.col("path"))).alias("dir"))
-    inside = F.when(F.col("dir") == "", F.col("path")).otherwise(F.expr("substring(path, length(dir) + 2)"))
-    file = make(schema.FILE, path=inside, sha256=F.col("sha256"), size=F.col("size"), is_source=text.is_source(inside), lfs=F.col("lfs"))
-    held = listed.join(dirs, ["repo", "dir"], "left_semi").groupBy("repo", "dir").agg(F.array_sort(F.collect_list(file)).alias("files"))
+    chunks = file_chunks(placed_files(tree, of, dirs))
+    held = chunks.groupBy("repo", "dir").agg(F.array_sort(F.flatten(F.collect_list("files"))).alias("files"))
     full = named.join(held, ["repo", "dir"], "left")
     return raw(
         full, origin=origin, title=F.when(F.col("dir") == "", F.coalesce(F.nullif(F.col("m.name"), F.lit("")), short)).otherwise(found["title"]),

@@ -307,6 +307,16 @@ def src_09(spark, sf_dir):
     return made.select(F.col("source.repo").alias("repo"), F.col("source.path_in_repo").alias("path_in_repo"), "title", F.size("files").alias("n_files"), "origin")
 
 
+@query(
+    "SRC-09-files",
+    f"""WITH {_DIRS} SELECT dirs.tree AS repo, dirs.dir, CASE WHEN dir = '' THEN p ELSE substr(p, length(dir) + 2) END AS path, length(p)::BIGINT AS size, sha256(p) AS sha256
+FROM dirs JOIN files ON files.tree = dirs.tree AND (dir = '' OR starts_with(p, dir || '/'))""",
+)
+def src_09_files(spark, sf_dir):
+    """The files of every challenge as rows."""
+    return walk.files_of(listing(spark, sf_dir)).select("repo", "dir", "file.path", "file.size", "file.sha256")
+
+
 def _known(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Seeds and commits of the trees."""
     trees = table(spark, sf_dir, "part").select(F.concat(F.lit("o/t"), (F.col("p_partkey") % 97).cast("string")).alias("repo")).distinct()

@@ -38,6 +38,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """df with a broadcast hint if it has no more than so many rows, which should be narrow; df is a staged table or cheap to read."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def numbered(df: DataFrame, by: list[str], name: str) -> DataFrame:
     """df with a column `name`: the place from 0 of each row in the order of `by`. Rows are sorted over ranges that sampled
     splitters cut, and numbered in a range and then over the ranges, so that no task holds all rows."""
