@@ -2,8 +2,9 @@
 
 Every vector has its distances to many pivots, computed once and kept with it. For a query q and a vector x, the largest
 |d(q, p) - d(x, p)| over the pivots is a lower bound of d(q, x), and 2 q.x = |q|^2 + |x|^2 - d(q, x)^2 turns it into an upper
-bound of their score. The candidates of a query are scored in the order of their bounds, and scoring stops at the first whose
-bound is below the k-th score found, which is exact.
+bound of their score. The vectors of a block stand in tiles, neighbours in their cell, with the range of their distances to each
+pivot. The candidates of a query are scored in the order of the bounds of their tiles, and scoring stops at the first whose bound
+is below the k-th score found, which is exact; queries that come to a tile together are one matrix product.
 
 Vectors stand in cells, by their nearest pivot. The ranges of a cell's distances bound the score of all in it, so a query
 never visits cells that can't reach the score its k-th neighbour surely has: the k-th among a fixed number of vectors, the
@@ -24,19 +25,25 @@ from pyspark.sql import functions as F
 from weir.llm.shared import staged
 
 #: Rows of a block of queries and of vectors; pivots, and the rows that they are chosen among, which are the scouts as well;
-#: candidates scored in the first step, each next one taking twice as many.
-QUERY_BLOCK, VECTOR_BLOCK, PIVOTS, SCOUTS, FIRST = 4_096, 8_192, 64, 2_048, 256
+#: vectors of a tile at most.
+QUERY_BLOCK, VECTOR_BLOCK, PIVOTS, SCOUTS, TILE = 32_768, 8_192, 64, 2_048, 256
 #: Lengths of vectors that have pivots, the most frequent ones; others are scored without.
 LENGTHS = 100
 #: A score that can't be held in a long is the nearest long.
 LONG = (1 << 63) - 1
 
 
-def scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Exact integer inner products of all rows: in double floats where they can't round, else in unbounded integers."""
+def float_for(q: np.ndarray, x: np.ndarray) -> type | None:
+    """The narrowest float in which no inner product of the rows can round, if there is one."""
     most = (np.abs(q).max(initial=0) * np.abs(x).max(initial=0)) * max(1, q.shape[1])
-    if most < 2**53:
-        return np.rint(q @ x.T).astype(np.int64)
+    return np.float32 if most < 2**24 else np.float64 if most < 2**53 else None
+
+
+def scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Exact integer inner products of all rows: in floats where they can't round, else in unbounded integers."""
+    kind = float_for(q, x)
+    if kind is not None:
+        return (q.astype(kind) @ x.astype(kind).T).astype(np.int64)
     wide = [[min(LONG, max(-LONG - 1, sum(int(a) * int(b) for a, b in zip(r, s, strict=True)))) for s in x] for r in q]
     return np.array(wide, np.int64).reshape(len(q), len(x))
 
@@ -79,31 +86,82 @@ def bounds(q: np.ndarray, to_q: np.ndarray, x: np.ndarray, to_x: np.ndarray) ->
     return _upper(squares(q)[:, None], squares(x)[None, :], low)
 
 
+def tiles(x: np.ndarray, to_x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, starts): the vectors cell by cell, in a cell by their distance to its pivot, and where runs of at most TILE
+    vectors of one cell begin in that order."""
+    if not to_x.shape[1]:
+        return np.arange(len(x)), np.arange(0, len(x), TILE)
+    cell = to_x.argmin(axis=1)
+    order = np.lexsort((to_x[np.arange(len(x)), cell], cell))
+    first = np.searchsorted(cell[order], np.arange(to_x.shape[1]), "left")
+    return order, np.flatnonzero((np.arange(len(x)) - first[cell[order]]) % TILE == 0)
+
+
+def tile_bounds(q: np.ndarray, to_q: np.ndarray, low: np.ndarray, high: np.ndarray, norm: np.ndarray) -> np.ndarray:
+    """An upper bound of every query's scores in every tile, from the ranges of the tile's rows of the pivot table."""
+    least = np.zeros((len(q), len(norm)))
+    for p in range(to_q.shape[1]):
+        np.maximum(least, to_q[:, p, None] - high[None, :, p], out=least)
+        np.maximum(least, low[None, :, p] - to_q[:, p, None], out=least)
+    return _upper(squares(q)[:, None], norm[None, :], least)
+
+
 def best(q: np.ndarray, to_q: np.ndarray, q_row: np.ndarray, floor: np.ndarray, x: np.ndarray, to_x: np.ndarray, x_row: np.ndarray, x_id: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """(query's place, vector's place, score) of each query's k highest scores among the vectors, ties to smaller ids and the
     row itself left out, and how many candidates were scored. floor: what each query's k-th score surely reaches; lower ones
-    may be left out."""
+    may be left out.
+
+    A query goes through the tiles in the order of their bounds and stops at the first whose bound is below its k-th score.
+    The queries that come to the same tile in the same step are scored in one product."""
+    order, starts = tiles(x, to_x)
+    ends = np.r_[starts[1:], len(x)]
+    x, to_x, rows = x[order], to_x[order], x_row[order]
+    low, high, norm = np.minimum.reduceat(to_x, starts, axis=0), np.maximum.reduceat(to_x, starts, axis=0), np.maximum.reduceat(squares(x), starts)
+    kind = float_for(q, x)
+    b = x if kind is None else x.astype(kind)
+    by_row = np.argsort(rows, kind="stable")
     out, scored = [], 0
-    for at in range(0, len(q), 256):
-        part = q[at : at + 256]
-        bound = bounds(part, to_q[at : at + 256], x, to_x)
-        bound[q_row[at : at + 256, None] == x_row[None, :]] = -np.inf
-        bound[bound < floor[at : at + 256, None]] = -np.inf
-        order = np.argsort(-bound, axis=1, kind="stable")
-        for i in range(len(part)):
-            ranked = order[i, : np.count_nonzero(bound[i] > -np.inf)]
-            seen, got, kth, done, step = ranked[:0], np.empty(0, np.int64), floor[at + i], 0, max(FIRST, k)
-            while done < len(ranked) and bound[i, ranked[done]] >= kth:  # an equal score may have a smaller id
-                more = ranked[done : done + step]
-                scored += len(more)
-                seen, got = np.r_[seen, more], np.r_[got, scores(part[i : i + 1], x[more])[0]]
-                if len(got) >= k:
-                    kth = max(kth, np.partition(got, len(got) - k)[len(got) - k])
-                    seen, got = seen[got >= kth], got[got >= kth]
-                done, step = done + step, 2 * step
-            top = np.lexsort((x_row[seen], x_id[seen], -got))[:k]
-            out.append((np.full(len(top), at + i), seen[top], got[top]))
-    return *(np.concatenate([o[j] for o in out] or [np.empty(0, np.int64)]).astype(np.int64) for j in range(3)), scored
+    for at in range(0, len(q), 4_096):
+        part = q[at : at + 4_096]
+        a = part if kind is None else part.astype(kind)
+        place = np.searchsorted(rows, q_row[at : at + 4_096], sorter=by_row)
+        own = by_row[np.minimum(place, len(rows) - 1)]
+        own = np.where(rows[own] == q_row[at : at + 4_096], own, -1)
+        bound = tile_bounds(part, to_q[at : at + 4_096], low, high, norm)
+        ranked = np.argsort(-bound, axis=1, kind="stable")
+        kth, top = floor[at : at + 4_096].astype(float), np.full((len(part), k), -np.inf)
+        alive, found = np.arange(len(part)), []
+        for step in range(len(starts)):
+            tile = ranked[alive, step]
+            going = bound[alive, tile] >= kth[alive]  # an equal score may have a smaller id
+            alive, tile = alive[going], tile[going]
+            if not len(alive):
+                break
+            by_tile = np.argsort(tile, kind="stable")
+            for some in np.split(by_tile, np.flatnonzero(np.diff(tile[by_tile])) + 1):
+                t, mine = tile[some[0]], alive[some]
+                got = scores(a[mine], b[starts[t] : ends[t]]) if kind is None else a[mine] @ b[starts[t] : ends[t]].T
+                scored += got.size
+                high_enough = got >= kth[mine, None]
+                itself = np.flatnonzero((own[mine] >= starts[t]) & (own[mine] < ends[t]))
+                high_enough[itself, own[mine[itself]] - starts[t]] = False
+                hit = np.flatnonzero(high_enough.any(axis=1))
+                if not len(hit):
+                    continue
+                mine, got, high_enough = mine[hit], got[hit], high_enough[hit]
+                both = np.concatenate((top[mine], np.where(high_enough, got, -np.inf)), axis=1)
+                top[mine] = np.partition(both, both.shape[1] - k, axis=1)[:, both.shape[1] - k :]
+                kth[mine] = np.maximum(kth[mine], top[mine].min(axis=1))
+                i, j = np.nonzero(high_enough & (got >= kth[mine, None]))
+                found.append((mine[i], starts[t] + j, got[i, j].astype(np.int64)))
+        i, j, s = (np.concatenate([f[c] for f in found] or [np.empty(0, np.int64)]) for c in range(3))
+        still = s >= kth[i]
+        i, j, s = i[still], order[j[still]], s[still]
+        by = np.lexsort((x_row[j], x_id[j], -s, i))
+        i, j, s = i[by], j[by], s[by]
+        nth = np.arange(len(i)) - np.searchsorted(i, i, "left")
+        out.append((at + i[nth < k], j[nth < k], s[nth < k]))
+    return *(np.concatenate([o[c] for o in out] or [np.empty(0, np.int64)]).astype(np.int64) for c in range(3)), scored
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -178,9 +236,9 @@ def nearest(df: DataFrame, k: int = 20, is_query=None, id_col: str = "vec_id", v
 
     def table(n: int, row: np.ndarray, id_: np.ndarray, x: np.ndarray) -> list:
         to = shipped.value.table(n, x)
-        return [row, id_, list(x), np.full(len(x), n, np.int32), list(to), (to.argmin(axis=1) if to.shape[1] else np.zeros(len(x))).astype(np.int32), squares(x)]
+        return [row, id_, list(x), np.full(len(x), n, np.int32), list(to.astype(np.float32)), (to.argmin(axis=1) if to.shape[1] else np.zeros(len(x))).astype(np.int32), squares(x)]
 
-    vectors = staged(_mapped(rows, "row long, id long, v array<double>, n int, to array<double>, cell int, norm double", table), "table")
+    vectors = staged(_mapped(rows, "row long, id long, v array<double>, n int, to array<float>, cell int, norm double", table), "table")
     wide = [F.struct(*[f(F.get("to", F.lit(p))).alias(f"p{p}") for p in range(PIVOTS)]).alias(c) for f, c in ((F.min, "low"), (F.max, "high"))]
     ranges = [r.asDict(True) for r in vectors.groupBy("n", "cell").agg(F.count("*").alias("m"), F.max("norm").alias("norm"), *wide).collect()]  # of no more cells than PIVOTS for each of LENGTHS, and one for each other length
     cells: dict[int, list[dict]] = {}
@@ -202,9 +260,9 @@ def nearest(df: DataFrame, k: int = 20, is_query=None, id_col: str = "vec_id", v
                 low[:, c] = np.maximum(low[:, c], np.maximum(to[:, p] - hi, lo - to[:, p]))
         reach = _upper(squares(x)[:, None], np.array([r["norm"] for r in every])[None, :], low) >= floor[:, None]
         numbers = np.array([r["pack"] for r in every])
-        return [row, id_, list(x), np.full(len(x), n, np.int32), list(to), floor, pa.array([np.unique(numbers[f]).tolist() for f in reach], pa.list_(pa.int32()))]
+        return [row, id_, list(x), np.full(len(x), n, np.int32), list(to.astype(np.float32)), floor, pa.array([np.unique(numbers[f]).tolist() for f in reach], pa.list_(pa.int32()))]
 
-    queries = staged(_mapped(rows.where(asked), "row long, id long, v array<double>, n int, to array<double>, floor double, packs array<int>", visits), "queries")
+    queries = staged(_mapped(rows.where(asked), "row long, id long, v array<double>, n int, to array<float>, floor double, packs array<int>", visits), "queries")
     pack_of = F.create_map(*[F.lit(x) for n, every in cells.items() for r in every for x in (f"{n}:{r['cell']}", r["pack"])])
     parts = F.array(*[F.lit(-(-m // VECTOR_BLOCK)) for m in packs])
     split = lambda m, salt: F.pmod(F.xxhash64("row", F.lit(salt)), m).cast("int")
