@@ -285,14 +285,12 @@ def src_20(spark, sf_dir):
     return records.events(event_tables(spark, sf_dir)[0]).select("id", "event.name", F.col("event.year").cast("string").alias("year"), F.col("event.ctftime_series_id").alias("series"))
 
 
-def feed_file(spark, sf_dir) -> str:
-    """The events as a recorded feed, a JSON list of one file."""
-    e = table(spark, sf_dir, "events")
-    entry = F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("title"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("start"))
+def feed_folder(spark, sf_dir) -> str:
+    """The events as a recorded feed of JSON lines."""
     path = scratch(spark, "feed")
-    e.agg(F.to_json(F.collect_list(entry)).alias("value")).coalesce(1).write.text(path)
-    folder = local_path(path)
-    return os.path.join(folder, next(n for n in os.listdir(folder) if n.startswith("part-")))
+    start = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("title"), start.alias("start")).write.json(path)
+    return path
 
 
 def streamed(df: DataFrame, name: str) -> DataFrame:
@@ -310,13 +308,13 @@ def streamed(df: DataFrame, name: str) -> DataFrame:
 def src_06(spark, sf_dir):
     """A feed page by page: windows slide over the start times, and what stands on two pages comes once."""
     n = table(spark, sf_dir, "events").count()
-    return streamed(paging.event_stream(spark, feed_file(spark, sf_dir), max(100, n // 8)), "feed").select("id", "title")
+    return streamed(paging.event_stream(spark, feed_folder(spark, sf_dir), max(100, n // 8)), "feed").select("id", "title")
 
 
 @query("INC-01", "WITH e AS (SELECT event_id AS id, floor(epoch(ts))::BIGINT AS s FROM events) SELECT id, s FROM e")
 def inc_01(spark, sf_dir):
     n = table(spark, sf_dir, "events").count()
-    found = streamed(paging.event_stream(spark, feed_file(spark, sf_dir), max(100, n // 5)), "window")
+    found = streamed(paging.event_stream(spark, feed_folder(spark, sf_dir), max(100, n // 5)), "window")
     return found.select("id", text.epoch(F.col("start")).alias("s"))
 
 
