@@ -19,7 +19,7 @@ from weir.sinks import catalog as sink
 from weir.sinks import corpus
 from weir.sources import records, trees
 from weir.sources.records import make
-from weir.stage import local_path, scratch, staged
+from weir.stage import local_path, scratch, spread, staged
 from weir.streaming import mirror, paging, upsert
 
 # ---- files made of tables ----------------------------------------------------------------------------------------------
@@ -112,7 +112,8 @@ def challenge_pages(spark, sf_dir) -> DataFrame:
         F.lit("</body></html>"),
     )
     url = F.concat(F.lit("https://h.org/en/challenges/"), F.when(k % 8 != 0, F.concat(pick(["web", "pwn", "misc"], k % 3), F.lit("/"))).otherwise(""), F.lit("part-"), k.cast("string"), F.when(k % 11 == 0, "-2019").otherwise(""), F.lit("/"))
-    return table(spark, sf_dir, "part").select(k.alias("k"), url.alias("url"), F.when(k % 40 != 0, page).alias("html"))
+    narrow = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_size"))
+    return narrow.select(k.alias("k"), url.alias("url"), F.when(k % 40 != 0, page).alias("html"))
 
 
 def pages_table(spark, sf_dir) -> str:
@@ -204,13 +205,14 @@ def event_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame, DataFr
         pick(["zig", "pwn", "heap"], t % 3), F.lit('</span><span class="label">'), pick(["web", "x"], t % 2), F.lit('</span></td><td><a href="/task/'), t.cast("string"), F.lit('">2</a></td></tr>'),
     )
     page = F.concat(F.lit('<table class="table table-striped"><tr><th>Name</th></tr>'), F.array_join(F.array_sort(F.collect_list(row)), ""), F.lit("</table>"))
-    tasks = o.groupBy(F.col("o_custkey").alias("event_id")).agg(page.alias("html"))
+    tasks = spread(o.select("o_custkey", "o_orderkey"), "o_custkey").groupBy(F.col("o_custkey").alias("event_id")).agg(page.alias("html"))
     rows = lambda i: F.concat(F.lit('<tr><td><a href="/writeup/'), (t * 2 + i).cast("string"), F.lit('">w</a></td><td>'), F.when((t + i) % 3 == 0, "not rated").otherwise(((t + i) % 5).cast("string")), F.lit('</td><td><a href="/team/7">Team '), (t % 30).cast("string"), F.lit("</a></td></tr>"))
-    lists = o.where(t % 4 == 0).select(t.alias("task_id"), F.concat(F.lit("<table>"), rows(0), rows(1), F.lit("</table>")).alias("html"))
+    some = spread(o.where(t % 4 == 0).select("o_orderkey"))
+    lists = some.select(t.alias("task_id"), F.concat(F.lit("<table>"), rows(0), rows(1), F.lit("</table>")).alias("html"))
     own = F.concat(F.lit('<div class="well" id="id_description"> body '), F.col("w").cast("string"), F.lit(" </div>"))
     away = F.concat(F.lit('<div class="well">Original writeup: <a href="'), pick(["https://github.com/a/", "https://blog.org/"], F.col("w") % 2), F.col("w").cast("string"), F.lit('">here</a></div>'))
     body = F.concat(F.when(F.col("w") % 3 == 0, own).otherwise(""), F.when(F.col("w") % 5 < 2, away).otherwise(""))
-    writeups = o.where(t % 4 == 0).select(F.explode(F.array(t * 2, t * 2 + 1)).alias("w")).select(F.col("w").alias("writeup_id"), body.alias("html"))
+    writeups = some.select(F.explode(F.array(t * 2, t * 2 + 1)).alias("w")).select(F.col("w").alias("writeup_id"), body.alias("html"))
     return events, tasks, lists, writeups
 
 
@@ -780,7 +782,7 @@ def net_04(spark, sf_dir):
                     done.append(False)
             yield pd.DataFrame({"k": b["k"], "fetched": done})
 
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k")).mapInPandas(run, "k long, fetched boolean")
+    return spread(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"))).mapInPandas(run, "k long, fetched boolean")
 
 
 @query("SNK-13", f"SELECT 'd' || k % 10 AS dir, 'f' || k AS name, {_ANSWER} IS NOT NULL AS there FROM (SELECT p_partkey AS k FROM part)")
