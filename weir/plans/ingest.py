@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pyarrow as pa
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from weir import schema
 from weir.operators import catalog, discovery
 from weir.sinks import catalog as sink
 from weir.sinks import corpus
 from weir.sources.records import REGISTRY
-from weir.stage import staged
+from weir.stage import numbered, staged
 
 
 @dataclass
@@ -91,22 +90,59 @@ def mirror_summary(results: DataFrame) -> DataFrame:
     return results.groupBy("status").agg(F.count("*").alias("repos"), F.coalesce(F.sum("n_challenges"), F.lit(0)).alias("challenges"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
 
 
+#: Rows of a run that are numbered together, and how many times a batch a run is at least.
+RUN, SHARE = 1 << 16, 1_024
+
+
+def batch_ends(sizes: np.ndarray, batch_size: int, limit: float) -> np.ndarray:
+    """For each row, the place after the last row of the batch that begins there, or len(sizes) if that isn't among them."""
+    sums = np.r_[0, np.cumsum(sizes, dtype=np.int64)]
+    full = np.searchsorted(sums, sums[:-1] + limit, "left") if limit > 0 else np.zeros(len(sizes), np.int64)
+    at = np.arange(len(sizes))
+    return np.minimum(np.maximum(at + 1, np.minimum(full, at + batch_size)), len(sizes))
+
+
 def flushes(results: DataFrame, batch_size: int = 50, max_mb: float = 8_000, pos: str = "pos") -> DataFrame:
     """results in the order they are done, with the batch each is published in: a batch ends when it has so many rows or so
-    many bytes. Where one ends depends on all before it, so one task goes through the rows, of which there is one for each
-    repository, sorted on disk where need be; it holds a batch of them at a time."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batch, n, size = 0, 0, 0
-        for rows in batches:
-            of = []
-            for held in rows.column(at).to_pylist():
-                of.append(batch)
-                n, size = n + 1, size + (held or 0)
-                if n >= batch_size or size >= max_mb * 1_000_000:
-                    batch, n, size = batch + 1, 0, 0
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(of, pa.int32())], names=[*rows.schema.names, "batch"])
-
-    at = results.columns.index("bytes")
-    schema_ = T.StructType([*results.schema, T.StructField("batch", T.IntegerType())])
-    return results.coalesce(1).sortWithinPartitions(pos).mapInArrow(run, schema_)
+    many bytes. Where one ends depends on all before it; but one that is open where a run of rows begins ends within batch_size rows.
+    So each run tells, for every row of these that a batch may begin at, how many batches begin in it from there and where
+    the first of the next run begins. That table, at most a row in a thousand, is followed from run to run; then runs number their
+    rows, each on its own. Negative and unknown bytes count as none."""
+    batch_size = max(1, batch_size)
+    spark, limit, run = results.sparkSession, max_mb * 1_000_000, max(RUN, SHARE * batch_size)
+    placed = staged(numbered(results.select(pos, F.greatest(F.coalesce("bytes", F.lit(0)), F.lit(0)).cast("long").alias("size"), F.struct(*results.columns).alias("row")), [pos], "at"), "placed")
+    own = F.floor(F.col("at") / run).cast("long")
+    cut = placed.select("at", "size", own.alias("run"))
+    # the first rows of a run are looked at by the one before as well, whose last batch ends among them
+    ahead = cut.where((F.col("at") % run < batch_size) & (F.col("run") > 0)).withColumn("run", F.col("run") - 1)
+
+    def tell(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("at")
+        ends = batch_ends(pdf["size"].to_numpy(), batch_size, limit)
+        n = min(run, len(pdf))
+        begun, then = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64)
+        for i in range(n - 1, -1, -1):
+            e = ends[i]
+            begun[i], then[i] = (1, e - n) if e >= n else (begun[e] + 1, then[e])
+        first = min(batch_size, n) + 1
+        return pd.DataFrame({"run": pdf["run"].iloc[0], "first": np.arange(first), "begun": begun[:first], "then": then[:first]})
+
+    table = staged(cut.unionByName(ahead).groupBy("run").applyInPandas(tell, "run long, first int, begun long, then long"), "runs")
+    first, batch, known = 0, 0, []
+    for r in table.orderBy("run", "first").toLocalIterator():
+        if r["run"] == len(known) and r["first"] == first:
+            known.append((r["run"], first, batch))
+            first, batch = r["then"], batch + r["begun"]
+    begins = spark.createDataFrame(known, "run long, first int, before long")
+
+    def number(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("at")
+        ends, i = batch_ends(pdf["size"].to_numpy(), batch_size, limit), int(pdf["first"].iloc[0])
+        begin = np.zeros(len(pdf), np.int64)
+        while i < len(pdf):
+            begin[i] = 1
+            i = ends[i]
+        return pd.DataFrame({"at": pdf["at"], "batch": (pdf["before"].iloc[0] + np.cumsum(begin) - 1).astype(np.int32)})
+
+    numbers = cut.join(F.broadcast(begins), "run").groupBy("run").applyInPandas(number, "at long, batch int")
+    return placed.join(numbers, "at").select("row.*", "batch")

@@ -114,7 +114,7 @@ def request_batches(repos: DataFrame, sizes: DataFrame, path: str, batch_size: i
     known = sizes.groupBy("repo").agg((F.max("size_kb") * 1_024).alias("bytes"))
     rows = flushes(repos.select("pos", "repo").join(known, "repo", "left").select("pos", "repo", F.coalesce("bytes", F.lit(0)).cast("long").alias("bytes")), batch_size, max_mb)
     rows = staged(rows, "requests")
-    rows.select("repo", F.lit(None).cast("string").alias("path"), "batch").repartition("batch").write.mode("overwrite").partitionBy("batch").json(path)
+    rows.select("repo", F.lit(None).cast("string").alias("path"), "batch").repartition(4 * rows.sparkSession.sparkContext.defaultParallelism, "batch").sortWithinPartitions("batch").write.mode("overwrite").partitionBy("batch").json(path)
     return rows.agg(F.coalesce(F.max("batch") + 1, F.lit(0))).first()[0]
 
 
