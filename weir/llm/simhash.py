@@ -521,7 +521,8 @@ def similar_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """(id_col, node, component_id, root) like near_components, where texts link if the sets of their shingles have a Jaccard
     similarity of `similarity` or more; node is a hash of the text. Each link is tested exactly on whole sets.
 
-    Texts that should link share a band's key and pass both looks but for 5 of 100,000 at 0.8 (8 of 10,000 in a crowd that no
+    Candidates are, first, the texts whose fingerprints the index above links. Of the others, texts that should link share a
+    band's key and pass both looks but for 5 of 100,000 at 0.8 (8 of 10,000 in a crowd that no
     band takes apart). Texts of a large band are first tested against their neighbours in Gray order and against hubs; bands
     whose texts are linked by then go, and what is left of large ones is cut by finer bands. A text's candidates are tested a
     few at a time, the likeliest first, and those that links have joined meanwhile need no test, so a group of copies isn't
@@ -584,6 +585,16 @@ class _Links:
         moved = self.roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("now")), "root", "left").select("node", F.coalesce("now", "root").alias("root"))
         self.roots = staged(moved.unionByName(joined.join(self.roots, "node", "left_anti")), "so-far")
 
+    def by_bits(self) -> DataFrame:
+        """Pairs (a, b) of texts whose fingerprints link, by the index over blocks of equal bits: as stars, and texts of one
+        fingerprint with the least of them."""
+        of = self.one.select("node", F.col("rank").bitwiseXOR(F.shiftrightunsigned("rank", 1)).alias("fp"))  # the Gray code of its rank
+        first = staged(of.groupBy("fp").agg(F.min("node").alias("first")), "prints")
+        linked = links(first.select("fp"))
+        ends = [first.select(F.col("fp").alias(c), F.col("first").alias(f"of_{c}")) for c in "ab"]
+        stars = linked.join(ends[0], "a").join(ends[1], "b").select(F.least("of_a", "of_b").alias("a"), F.greatest("of_a", "of_b").alias("b"))
+        return stars.unionByName(of.join(first, "fp").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")))
+
     def cut(self, large: DataFrame) -> DataFrame:
         """(k, node, side, root) groups of at most MEET texts from large bands (k, node): those in which more than one root is
         left, cut by finer bands, twice if need be, and what is too large still in blocks."""
@@ -601,7 +612,9 @@ class _Links:
         return out.unionByName(in_blocks(left))
 
     def all(self) -> DataFrame:
-        """The roots (node, root) of all texts that are linked."""
+        """The roots (node, root) of all texts that are linked. Texts whose fingerprints link are tested first; bands find those
+        that differ in more bits."""
+        self.test(self.by_bits(), True)
         dealt = self.one.select("node", F.explode("keys").alias("k"))
         sizes = dealt.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
         bands = staged(dealt.join(sizes, "k"), "bands")
