@@ -62,3 +62,38 @@ def test_joined_rows(spark, monkeypatch):
     found = html.table_rows(broken, pages.where("k = 5")).collect()
     assert [r["id"] for r in found] == [0, 1, 2, None] and "no" in found[-1]["error"]
     assert html.table_rows(html.writeup_rows, pages.limit(0)).count() == 0
+
+
+def seen(builder, page):
+    """The tree that a parser makes of a page."""
+    builder.feed(page)
+    builder.close()
+    show = lambda n: n if isinstance(n, str) else (n.tag, n.attrs, [show(c) for c in n.children])
+    return show(builder.root), {t: [id(n) for n in ns] for t, ns in builder.root.tags.items()}, {t: [id(n) for n in builder.root.walk() if n.tag == t] for t in builder.root.tags}
+
+
+class Standard(html._Indexed):
+    """Every page by the standard parser."""
+
+    def feed(self, data):
+        html.HTMLParser.feed(self, data)
+
+
+PLAIN = ["<!doctype html>", "<!DOCTYPE html>", "<!-- c -->", "<!---->", '<a href="/x?a=1;b" class="badge big">', '<a\n href="q">', '<a href="1" href="2">', "<br>", "<br/>", "<img />", '<use href="#s"></use>', "</br>", "<h1>", "</h1>", "R&amp;D &lt b &amp", "&#39;x;", " > ", "\n\t "]
+ODD = ["<title>a &amp; <b>", "</title>", "<textarea><p>", "<style>p > a", "<a href='x'>", "<a href=x/>", '<a href="x&amp;y">', "<A HREF=\"x\">", "<option selected>", "<![CDATA[x]]>", "<?php x ?>", "<!-->", "<!--->", "<!-- a - b --!>", "</ p>", "</p x>", "<p", '<a href="x', "<1>", "<a-b>", "<noscript><p>", "\x00", "<svg/ >", '<p a="1"b="2">']
+
+
+@pytest.mark.parametrize("seed", range(400))
+def test_a_page_cut_by_the_pattern_is_that_of_the_standard_parser(seed):
+    rng = random.Random(seed)
+    parts = PLAIN + [p for p in PARTS if p[0] != "<" or p[-1] == ">"] + (ODD if seed % 2 else [])
+    page = "".join(rng.choice(parts) for _ in range(rng.randint(0, 60)))
+    got, want = seen(html._Indexed(), page), seen(Standard(), page)
+    assert got[0] == want[0] and got[1] == got[2]
+
+
+def test_the_given_pages_take_the_pattern_alone(monkeypatch):
+    monkeypatch.setattr(html.HTMLParser, "goahead", lambda self, end: None if not self.rawdata else pytest.fail("read by the standard parser"))
+    assert len(list(html.task_rows(big(10).replace("'", '"').replace("class=label", 'class="label"').replace("&amp;", "&lt;")))) == 10
+    page = '<!doctype html><html><head><meta property="og:title" content="T"></head><body><h1>H</h1><a class="badge" href="/tags/t1/">T</a><br/></body></html>'
+    assert html.challenge_page(page, "https://h.org/")["og_title"] == "T"
