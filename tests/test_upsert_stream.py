@@ -76,3 +76,24 @@ def test_the_store_is_set_for_the_query_alone(spark, tmp_path):
     spark.createDataFrame([], ROW).write.parquet(str(tmp_path / "in"))
     taken(spark, str(tmp_path / "in"), str(tmp_path / "check"))
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+
+
+def test_the_state_is_read_once_for_a_key_and_written_if_it_changed():
+    class State:
+        value, calls = None, []
+
+        def get(self):
+            self.calls.append("get")
+            return self.value
+
+        def update(self, value):
+            self.calls.append("update")
+            self.value = value
+
+    one = upsert.Upsert()
+    one.init(type("Handle", (), {"getValueState": lambda *_: State()}))
+    rows = [{"shard_pos": s, "row_pos": r, "payload": f"{s} {r}"} for s, r in ((2, 1), (0, 5), (2, 9), (1, 1))]
+    for some in (rows[:2], rows[2:], rows):  # the last brings nothing new
+        (told,) = one.handleInputRows(("k",), iter(some), None)
+    assert told.asDict() == {"key": "k", "shard_pos": 2, "row_pos": 9, "payload": "2 9", "first_shard_pos": 0, "first_row_pos": 5, "shards": 3}
+    assert State.calls == ["get", "update", "get", "update", "get"]

@@ -614,8 +614,7 @@ def inc_04(spark, sf_dir):
         rows.where(F.pmod(F.xxhash64("id", "title"), F.lit(2)) == half).repartition(2, "title").write.mode("append").parquet(source)
         stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "2").parquet(source)
         upsert.start(stream, check).awaitTermination()
-    held = upsert.snapshot(spark, check, "id string, title string")
-    return held.join(upsert.shards_of(spark, check), "id").select("id", "title", "first_shard_pos", "first_row_pos", "shards")
+    return upsert.snapshot(spark, check, "id string, title string", "shards").select("id", "title", "first_shard_pos", "first_row_pos", "shards")
 
 
 @query(

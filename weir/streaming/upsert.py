@@ -12,34 +12,32 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 #: The state store that the states below need.
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 LATEST = "shard_pos long, row_pos long, payload string, first_shard_pos long, first_row_pos long"
+STATE = f"{LATEST}, shards array<struct<shard_pos: long, row_pos: long>>"
 UPDATE = f"key string, {LATEST}, shards long"
 
 
 class Upsert(StatefulProcessor):
-    """For each key: `latest`, the last row by (shard_pos, row_pos) and where the first one stood, and `shards`, the last row of the
-    key in each shard that has it. Rows that come again, after a retry or in a shard written twice, change neither; of different
-    rows at one place the one with the greater payload counts, so that the order of arrival changes nothing."""
+    """For each key `latest`: the last row by (shard_pos, row_pos), where the first one stood, and `shards`, the last row of the key
+    in each shard that has it. Rows that come again, after a retry or in a shard written twice, change nothing; of different rows
+    at one place the one with the greater payload counts, so that the order of arrival changes nothing. A call to the store takes
+    far longer than the rest, so all is one value: it is read once for a key of a batch, and written if it has changed."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.latest = handle.getValueState("latest", LATEST)
-        self.shards = handle.getMapState("shards", "shard_pos long", "row_pos long")
+        self.latest = handle.getValueState("latest", STATE)
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
-        known = self.latest.get() if self.latest.exists() else None
-        last, first = (tuple(known[:3]), tuple(known[3:])) if known else (None, None)
-        of_shard: dict[int, int] = {}
+        known = self.latest.get()
+        last, first = (tuple(known[:3]), tuple(known[3:5])) if known else (None, None)
+        of_shard: dict[int, int] = {s: r for s, r in known[5]} if known else {}
+        before = (last, first, dict(of_shard))
         for r in rows:
             row, place = (r["shard_pos"], r["row_pos"], r["payload"]), (r["shard_pos"], r["row_pos"])
             last = row if last is None or row > last else last
             first = place if first is None or place < first else first
             of_shard[place[0]] = max(place[1], of_shard.get(place[0], place[1]))
-        for shard, row_pos in of_shard.items():
-            if not self.shards.containsKey((shard,)) or self.shards.getValue((shard,))[0] < row_pos:
-                self.shards.updateValue((shard,), (row_pos,))
-        value = (*last, *first)
-        if known is None or tuple(known) != value:
-            self.latest.update(value)
-        yield Row(key=key[0], shard_pos=last[0], row_pos=last[1], payload=last[2], first_shard_pos=first[0], first_row_pos=first[1], shards=sum(1 for _ in self.shards.keys()))
+        if (last, first, of_shard) != before:
+            self.latest.update((*last, *first, sorted(of_shard.items())))
+        yield Row(key=key[0], shard_pos=last[0], row_pos=last[1], payload=last[2], first_shard_pos=first[0], first_row_pos=first[1], shards=len(of_shard))
 
     def close(self) -> None:
         pass
@@ -77,14 +75,16 @@ def start(shards: DataFrame, checkpoint: str, key: str = "id", order: tuple[str,
             spark.conf.set(name, before)
 
 
-def snapshot(spark: SparkSession, checkpoint: str, schema: str) -> DataFrame:
+def snapshot(spark: SparkSession, checkpoint: str, schema: str, shards: str | None = None) -> DataFrame:
     """The table as the last batch left it, read from the state: one row for each key, with its columns as `schema` says, and
-    first_shard_pos and first_row_pos. Nothing is grouped or shuffled."""
+    first_shard_pos and first_row_pos; a column named as `shards` says tells in how many shards the key stands. Nothing is
+    grouped or shuffled."""
     state = spark.read.format("statestore").option("stateVarName", "latest").load(checkpoint)
-    return state.select(F.from_json("value.payload", schema).alias("x"), "value.first_shard_pos", "value.first_row_pos").select("x.*", "first_shard_pos", "first_row_pos")
+    count = [F.size("value.shards").cast("long").alias(shards)] if shards else []
+    return state.select(F.from_json("value.payload", schema).alias("x"), "value.first_shard_pos", "value.first_row_pos", *count).select("x.*", "first_shard_pos", "first_row_pos", *([shards] if shards else []))
 
 
 def shards_of(spark: SparkSession, checkpoint: str) -> DataFrame:
     """(id, shards): in how many shards each key stands, from the state."""
-    state = spark.read.format("statestore").option("stateVarName", "shards").load(checkpoint)
-    return state.groupBy(F.col("key.key").alias("id")).agg(F.count("*").alias("shards"))
+    state = spark.read.format("statestore").option("stateVarName", "latest").load(checkpoint)
+    return state.select(F.col("key.key").alias("id"), F.size("value.shards").cast("long").alias("shards"))
