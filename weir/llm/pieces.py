@@ -11,7 +11,8 @@ and the path is the model's own encoding.
 
 The pieces that end at a position come from an automaton of the vocabulary. Where no piece holds a space after something
 else, the place before a space is always a boundary, as is one between two characters that stand together in no piece; the
-stretches between are encoded alike wherever they stand, so those lately met are remembered.
+stretches between are encoded alike wherever they stand, so those lately met are remembered, and of short ones the pass over their first
+characters.
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ SPACE = "▁"
 #: into stretches at a time, and positions between two looks for a boundary.
 MEMORY, SLICE, LOOK = 150_000, 1 << 20, 16
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
+#: A run of up to SHORT characters is passed over whole; how many of its first characters stand for what is remembered of the pass
+#: over them, and of how many such beginnings.
+SHORT, HEAD, HEADS = 64, 5, 50_000
 STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 WORD = re.compile(rf"{SPACE}*[^\W\d_]+")
 
@@ -57,7 +61,8 @@ class Pieces:
         self._plain = np.array([k in (NORMAL, UNUSED) for k in self.kinds] or [False])
         self.cut_at_space = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.fallback = min(self.score.values(), default=0.0) - 10
-        self._known, self._old = {}, {}
+        self._known, self._old, self._heads = {}, {}, {}
+        self._raw = {p: array("i", [i]).tobytes() for p, i in self.ids.items()}
 
     @classmethod
     def load(cls, path: str) -> Pieces:
@@ -75,7 +80,7 @@ class Pieces:
         return cls(rows, model.trainer_spec.model_type == 2, model.normalizer_spec.add_dummy_prefix, model.normalizer_spec.remove_extra_whitespaces, model.trainer_spec.byte_fallback)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_known": {}, "_old": {}}
+        return self.__dict__ | {"_known": {}, "_old": {}, "_heads": {}}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__ |= state
@@ -213,6 +218,46 @@ class Pieces:
                     after, start = after[end:], [max(0, i - end) for i in start[end:]]
         yield self._back(text[base:], start, here)
 
+    def _short_bpe(self, run: str) -> list[str]:
+        """The pieces of a short run, as _path_bpe gives them. Words begin alike, and the pass over a beginning doesn't depend on what
+        follows, so it is taken up where one over the same beginning stood."""
+        head = run[:HEAD]
+        known = self._heads.get(head)
+        if known is None:
+            start, after = [0], [self._after("")]
+            state = self._on(head, 0, 0, start, after)
+            if len(self._heads) >= HEADS:
+                self._heads.clear()
+            known = self._heads[head] = state, start, after
+        state, start, after = known
+        if len(run) > HEAD:
+            start, after = start.copy(), after.copy()
+            self._on(run, HEAD, state, start, after)
+        return self._back(run, start, len(run))
+
+    def _on(self, text: str, here: int, state: int, start: list[int], after: list[dict[str, bool]]) -> int:
+        """Passes over the characters of text from place `here` on; gives the state there."""
+        moves, ends = self._moves, self._ends
+        for c in text[here:]:
+            here += 1
+            way = moves.get(c)
+            if way is None:
+                state = 0
+            else:
+                to = way.get(state)
+                state = self._move(way, state) if to is None else to
+            for piece, n, follow in ends[state]:
+                at = here - n
+                if at >= 0:
+                    ok = after[at].get(piece)
+                    if ok or ok is None and self.fits(text[start[at] : at], piece):
+                        break
+            else:
+                at, follow = here - 1, self._after(c)
+            start.append(at)
+            after.append(follow)
+        return state
+
     def _path_unigram(self, text: str) -> Iterator[list[str]]:
         """The best sum of scores; of equal ones the longest last piece."""
         moves, ends, score, longest, whole = self._moves, self._ends, self.score, self.longest, len(text)
@@ -253,8 +298,17 @@ class Pieces:
 
     def _run(self, run: str) -> bytes:
         """The ids of a run of characters between two sure boundaries: as remembered, or by a pass over it."""
-        known = self._known.get(run) or self._old.get(run)
-        if known is None:
+        known = self._known.get(run)
+        if known is not None:
+            return known
+        known = self._old.get(run)
+        if known is None and self.bpe and len(run) <= SHORT:
+            found, raw = self._short_bpe(run), self._raw
+            try:
+                known = b"".join([raw[p] for p in found])
+            except KeyError:  # of a character that is no piece
+                known = b"".join([raw[p] if p in raw else array("i", self._number(p)).tobytes() for p in found])
+        elif known is None:
             ids, own = array("i"), self.ids
             for some in self._path(run):
                 for p in some:
