@@ -25,24 +25,21 @@ def _stars(edges: DataFrame) -> DataFrame:
     return pairs.where("p.x <> p.y").select(F.col("p.x").alias("a"), F.col("p.y").alias("b")).distinct()
 
 
-def _digest(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").bitwiseAND(0xFFFFFFFF)).alias("h")).first()
-    return row["n"], row["h"]
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges (a, b) with a > b are stars around their least nodes: no a has two of them, or is a b itself."""
+    ends = F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("n")), F.struct(F.col("b").alias("node"), F.lit(0).alias("n"))))
+    of = edges.select(ends.alias("e")).groupBy("e.node").agg(F.sum("e.n").alias("n"), F.min("e.n").alias("least"))
+    return not of.agg(F.count_if((F.col("n") > 1) | (F.col("n") == 1) & (F.col("least") == 0)).alias("n")).first()["n"]
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of edges (a, b): root is the least node reachable, itself included. Edges with an equal
     or null end are dropped; nodes without another end are not returned."""
     at = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    seen = _digest(at)
     for _ in range(MAX_ROUNDS):
-        if not seen[0]:
+        if _settled(at):
             break
         at = staged(_stars(at), "stars")
-        now = _digest(at)
-        if now == seen:
-            break
-        seen = now
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     return at.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(at.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

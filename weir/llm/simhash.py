@@ -568,6 +568,8 @@ class _Links:
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         pairs = staged(pairs.distinct(), "pairs")
+        if self.roots is not None and pairs.isEmpty():
+            return
         self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
         if new:
             self._of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
