@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weir.llm.shared import by_batches
+
 UNKNOWN = "und"
 #: The bounded sample of labelled rows: so many rows of each language at most, whole ones, as long as those before hold fewer than
 #: so many characters, rows over so many characters last; and the number of languages learned, those with the most rows, by
@@ -242,7 +244,7 @@ def _identified(df: DataFrame, parser: CrossParser, text_col: str, keep: list[st
     at_text = keep.index(text_col) if text_col in keep else len(keep)
     plain = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep if text_col in keep else [*keep, text_col])])
     schema = ", ".join([f"c{i} {plain.schema[i].dataType.simpleString()}" for i in range(len(keep))] + ["lang_pred string", "score double"])
-    return plain.mapInArrow(run, schema)
+    return by_batches(plain, run, schema)
 
 
 def identify(df: DataFrame, parser: CrossParser, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -28,6 +28,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weir.llm.shared import by_batches
+
 SPACE = "▁"
 #: Entries of a memory before it becomes the old one, which is forgotten when the next is full; code points that are cut
 #: into stretches at a time, and positions between two looks for a boundary.
@@ -419,7 +421,7 @@ def _by_rows(df: DataFrame, col: str, out: list[tuple[str, str]], of) -> DataFra
                 yield pa.RecordBatch.from_arrays(cols, names=[f"c{i}" for i in range(len(cols))])
 
     schema = ", ".join([f"c{i} {x.dataType.simpleString()}" for i, x in enumerate(plain.schema)] + [f"c{len(rest) + i} {t}" for i, (_, t) in enumerate(out)])
-    found = plain.mapInArrow(run, schema).toDF(*rest, *[f"__new{i}" for i in range(len(out))])
+    found = by_batches(plain, run, schema).toDF(*rest, *[f"__new{i}" for i in range(len(out))])
     return found.select(*[F.col(f"`{c}`") for c in rest if c not in names], *[F.col(f"__new{i}").alias(n) for i, n in enumerate(names)])
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm.components import components
-from weir.llm.shared import BROADCAST_IDS, small, staged
+from weir.llm.shared import BROADCAST_IDS, by_batches, small, staged
 
 SEED = 42
 #: Fingerprints of one leaf of the index, children of a node, and words hashed at a time.
@@ -67,7 +67,7 @@ def fingerprints(df: DataFrame, keep: list[str], text_col: str = "text", shingle
     at = keep.index(text_col) if text_col in keep else len(keep)
     plain = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep if text_col in keep else [*keep, text_col])])
     schema = ", ".join([f"c{i} {plain.schema[i].dataType.simpleString()}" for i in range(len(keep))] + [f"c{len(keep)} long"])
-    return plain.mapInArrow(run, schema).toDF(*keep, out)
+    return by_batches(plain, run, schema).toDF(*keep, out)
 
 
 def gray_rank(fp):
@@ -324,7 +324,7 @@ def sketches(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *rest], names=["node", "rank", "finer", "keys", "sketch", "bins"])
 
     one = df.select(_node(text_col).alias("node"), F.col(f"`{text_col}`").alias("text"))
-    return one.mapInArrow(run, "node long, rank long, finer array<long>, keys array<long>, sketch binary, bins binary").dropDuplicates(["node"])
+    return by_batches(one, run, "node long, rank long, finer array<long>, keys array<long>, sketch binary, bins binary").dropDuplicates(["node"])
 
 
 def _agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -344,7 +344,7 @@ def alike(pairs: DataFrame, bins: DataFrame, least: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(ok)) for i in (0, 1)], names=["a", "b"])
 
     left, right = (bins.select(F.col("node").alias(c), F.col("bins").alias(f"{c}s")) for c in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "as", "bs").mapInArrow(run, "a long, b long")
+    return by_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "as", "bs"), run, "a long, b long")
 
 
 def shingle_sets(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
@@ -357,7 +357,7 @@ def shingle_sets(df: DataFrame, text_col: str, shingle: int) -> DataFrame:
                 sets = [np.unique(np.concatenate([np.empty(0, np.uint64), *_hashes(x.as_py(), shingle)])).view(np.int64) for x in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "hashes"])
 
-    return df.select("node", F.col(f"`{text_col}`").alias("text")).mapInArrow(run, "node long, hashes array<long>")
+    return by_batches(df.select("node", F.col(f"`{text_col}`").alias("text")), run, "node long, hashes array<long>")
 
 
 def _near_places(marks: np.ndarray, roots: np.ndarray, least: int, visit: Callable[[np.ndarray, np.ndarray, np.ndarray], None]) -> None:
@@ -626,7 +626,7 @@ class _Links:
         whole = large.isEmpty()
         if not whole:
             ordered = staged(large.join(marks, "node"), "crowds").repartitionByRange("k", "rank", "node").sortWithinPartitions("k", "rank", "node").select("k", "node", "sketch")
-            self.test(ordered.mapInArrow(_by_key(_neighbours, ["a", "b"]), "a long, b long"), True)
+            self.test(by_batches(ordered, _by_key(_neighbours, ["a", "b"]), "a long, b long"), True)
             groups = staged(groups.unionByName(self.cut(large).select("k", "node", "side")), "groups")
         todo, turn = groups, 0
         while True:
@@ -635,7 +635,7 @@ class _Links:
             marked = apart.join(self.one.select("node", "rank", "sketch", "keys").join(self.bins, "node") if turn else marks, "node")
             cols = ["k", "node", "root", "side", "sketch", *more]
             ordered = marked.repartition("k").sortWithinPartitions("k", "rank", "node").select(*cols)
-            out = staged(ordered.mapInArrow(_to_test(turn, self.similarity - SLACK), "a long, b long, more long"), "candidates")
+            out = staged(by_batches(ordered, _to_test(turn, self.similarity - SLACK), "a long, b long, more long"), "candidates")
             self.test(out.where(F.col("a") != NONE).select("a", "b"), not turn)
             again = out.where(F.col("more") != NONE).select(F.col("more").alias("k")).distinct()
             if again.isEmpty():
