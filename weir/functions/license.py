@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -56,11 +58,17 @@ def from_spdx(spdx: Column, confidence: float = 1.0, note: Column | None = None)
     return F.when(named, _info(spdx, F.lit(confidence), none, none if note is None else note)).otherwise(unknown(note))
 
 
+def _folded(pattern: str) -> str:
+    """A marker whose k and s also match the Kelvin sign and the long s, which fold to them in SQL and in the reference; Java folds
+    ASCII alone, and by (?u) also the dotless i, which SQL doesn't."""
+    return re.sub(r"\\.|[KkSs]", lambda m: {"k": "[k\u212a]", "s": "[s\u017f]"}.get(m[0].lower(), m[0]), pattern)
+
+
 def spdx_of_text(text: Column) -> Column:
     """The identifier of the first marker in a text's head; null without one."""
     head, out = F.substring(text, 1, HEAD), F.lit(None).cast("string")
     for pattern, spdx in reversed(MARKERS):
-        out = F.when(head.rlike(f"(?is){pattern}"), spdx).otherwise(out)
+        out = F.when(head.rlike(f"(?is){_folded(pattern)}"), spdx).otherwise(out)
     return out
 
 
